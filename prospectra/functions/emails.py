@@ -153,8 +153,8 @@ def page_points(page_kind: Column) -> Column:
 
 
 def clamp(value: Column, low: int = 0, high: int = 100) -> Column:
-    """Value held between two bounds."""
-    return F.least(F.lit(high), F.greatest(F.lit(low), value))
+    """Value held between two bounds, NULL staying NULL."""
+    return F.when(value.isNotNull(), F.least(F.lit(high), F.greatest(F.lit(low), value)))
 
 
 def address_confidence(is_role_: Column, is_free: Column, own_domain: Column, page_kind: Column) -> Column:

@@ -98,4 +98,4 @@ def is_stale(checked_at: Column, now: Column, days: int) -> Column:
 
 def histogram_bucket(score: Column, width: int = 20, top: int = 80) -> Column:
     """Lower edge of a fixed-width bucket, the top one closed."""
-    return F.least(F.lit(top), (F.floor(score / width) * width).cast("int"))
+    return F.when(score.isNotNull(), F.least(F.lit(top), (F.floor(score / width) * width).cast("int")))
