@@ -1 +1,460 @@
-"""Pending."""
+"""Queries over page evidence: addresses, signals, people, registrations, ads, forms."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, functions as F
+
+from prospectra.catalog.columns import DEMO_JUNK, FREE_SQL, ROLE_SQL, duck_addresses, duck_host, duck_reject
+from prospectra.catalog.registry import query
+from prospectra.catalog.world import table, world
+from prospectra.functions import emails as E
+from prospectra.functions.reviews import as_time
+from prospectra.plans import ads, email_job, forms, page_signals, people, registration
+
+# -- addresses ---------------------------------------------------------------------------------
+
+_SEEN = f"""
+    f AS (SELECT page_seq, business_id, url, page_kind, website, unnest({duck_addresses('text')}) AS email FROM crawl),
+    k AS (SELECT *, split_part(email, '@', 1) IN ({ROLE_SQL}) AS is_role, split_part(split_part(email, '@', 2), '.', 1) IN ({FREE_SQL}) AS is_free,
+                 array_to_string(string_split(split_part(email, '@', 2), '.')[-2:], '.') = array_to_string(string_split({duck_host('website')}, '.')[-2:], '.') AS own
+          FROM f WHERE {duck_reject('email', DEMO_JUNK)} IS NULL),
+    s AS (SELECT *, greatest(0, least(100, 40 + CASE WHEN own THEN 30 WHEN NOT is_free THEN 5 ELSE 0 END + CASE WHEN is_role THEN 0 ELSE 15 END
+                 - CASE WHEN is_free THEN 10 ELSE 0 END + CASE page_kind WHEN 'contact' THEN 20 WHEN 'about' THEN 16 WHEN 'home' THEN 12 WHEN 'pricing' THEN 8 ELSE 6 END)) AS conf FROM k),
+    a AS (SELECT business_id, email, bool_or(is_role) AS is_role, bool_or(is_free) AS is_free, bool_or(own) AS own, MAX(conf) AS conf, COUNT(*) AS page_count,
+                 min_by(url, (-conf, page_seq)) AS source_url, min_by(page_kind, (-conf, page_seq)) AS page_kind FROM s GROUP BY 1, 2)"""
+
+
+def _addresses(spark, sf):
+    return email_job.per_business(email_job.sightings(world(spark, sf, "crawl"), DEMO_JUNK))
+
+
+@query("D06 F16 A11", f"""WITH {_SEEN} SELECT business_id, email, CAST(conf AS INTEGER) AS confidence, page_count, source_url, page_kind, is_role, own AS matches_site_domain FROM a""", ("crawl",))
+def business_addresses(spark, sf):
+    return _addresses(spark, sf).select(
+        "business_id", "email", "confidence", "page_count", "source_url", "page_kind", "is_role", "matches_site_domain")
+
+
+@query("D06 A12", f"""WITH {_SEEN} SELECT business_id, min_by(email, (-conf, -page_count, email)) AS contact_email, COUNT(*) AS contact_email_count,
+    min_by(is_role, (-conf, -page_count, email)) AS contact_email_is_role FROM a GROUP BY 1""", ("crawl",))
+def best_contact(spark, sf):
+    """Best address per business: the flagship query."""
+    return email_job.best_address(_addresses(spark, sf))
+
+
+@query("A13", f"""WITH {_SEEN} SELECT COUNT(*) AS addresses, COUNT(*) FILTER (WHERE NOT is_role) AS personal, COUNT(*) FILTER (WHERE is_role) AS role,
+    COUNT(*) FILTER (WHERE own) AS own_domain, COUNT(*) FILTER (WHERE is_free) AS free_mail FROM a""", ("crawl",))
+def address_classes(spark, sf):
+    return email_job.class_counts(_addresses(spark, sf))
+
+
+@query("A14 F14", f"""
+    SELECT reason, COUNT(*) AS n FROM (SELECT {duck_reject('email')} AS reason FROM (
+        SELECT unnest(list_transform(regexp_extract_all(text, '{E.LOOSE_ADDRESS}'), lambda x: regexp_replace(lower(x), '[.,;:)\\]}}>''\"]+$', ''))) AS email FROM crawl))
+    WHERE reason IS NOT NULL GROUP BY 1
+""", ("crawl",))
+def reject_counts(spark, sf):
+    return email_job.reject_counts(world(spark, sf, "crawl"))
+
+
+@query("D06 S09", f"""WITH {_SEEN} SELECT business_id, email, CAST(conf AS INTEGER) AS confidence, CASE WHEN business_id % 2 = 0 THEN 'rdap' ELSE 'crawl' END AS source FROM a""", ("crawl",))
+def stored_addresses(spark, sf):
+    """Addresses stored before keep the channel they came through."""
+    fresh = _addresses(spark, sf)
+    before = fresh.filter("business_id % 2 = 0").withColumn("confidence", F.lit(1)).withColumn("source", F.lit("rdap"))
+    return email_job.store(before, fresh, as_time("2026-01-01")).select(
+        "business_id", "email", "confidence", F.coalesce("source", F.lit("crawl")).alias("source"))
+
+
+def _verdicts(rows):
+    """Invented check results for stored addresses; every fifth address was not answered."""
+    k = F.pmod(F.length("email") + F.col("business_id"), F.lit(5))
+    return rows.filter(k < 4).withColumn("verified", k == 0) \
+        .withColumn("error", F.when(k == 1, "5.1.1 no such mailbox").when(k == 2, "false positive check failed for mx x").when(k == 3, "timed out"))
+
+
+_K5 = "(length(email) + business_id) % 5"
+
+
+@query("A19 F23", f"""WITH {_SEEN} SELECT business_id, COUNT(*) FILTER (WHERE {_K5} = 0) AS email_verified_count,
+    COUNT(*) FILTER (WHERE {_K5} = 2) AS email_catch_all_count, COUNT(*) FILTER (WHERE {_K5} IN (1, 3)) AS email_rejected_count
+    FROM a WHERE {_K5} < 4 GROUP BY 1""", ("crawl",))
+def verification_rollup(spark, sf):
+    return email_job.verification_rollup(_verdicts(_addresses(spark, sf)))
+
+
+@query("J17 A20", f"""WITH {_SEEN}, d AS (SELECT DISTINCT email FROM a) SELECT COUNT(*) AS addresses, COUNT(*) FILTER (WHERE length(email) % 5 = 0) AS verified,
+    COUNT(*) FILTER (WHERE length(email) % 5 IN (1, 2, 3)) AS failed, COUNT(*) FILTER (WHERE length(email) % 5 = 4) AS unchecked FROM d""", ("crawl",))
+def check_summary(spark, sf):
+    rows = _addresses(spark, sf)
+    asked = rows.select("email").distinct().withColumn("business_id", F.lit(0))
+    return email_job.check_summary(rows, _verdicts(asked).select(F.upper("email").alias("email"), "verified"))
+
+
+@query("J17 F42", f"""WITH {_SEEN} SELECT business_id, email, length(email) % 5 = 0 AS verified FROM a WHERE length(email) % 5 < 4""", ("crawl",))
+def check_results(spark, sf):
+    """One answer per address, handed to every business that holds it."""
+    rows = _addresses(spark, sf).select("business_id", "email")
+    asked = rows.select("email").distinct().withColumn("business_id", F.lit(0))
+    results = _verdicts(asked).select(F.upper("email").alias("email"), "verified", F.lit("mx\u0001x").alias("mx_server"), "error")
+    return email_job.match_results(rows, results).select("business_id", "email", "verified")
+
+
+@query("P22 T02", f"""WITH {_SEEN} SELECT business_id, email FROM a WHERE {_K5} = 4 ORDER BY conf DESC, business_id, email LIMIT 50""", ("crawl",))
+def addresses_to_check(spark, sf):
+    rows = _addresses(spark, sf).withColumn("business_email_id", F.concat(F.lpad(F.col("business_id").cast("string"), 12, "0"), F.lit(":"), F.col("email"))) \
+        .withColumn("extracted_at", F.lit(1))
+    return email_job.select_for_check(rows, _verdicts(rows), unverified_limit=50).select("business_id", "email")
+
+
+@query("A30", f"""WITH {_SEEN}, h AS (SELECT business_id, COUNT(*) AS n FROM a GROUP BY 1),
+    b AS (SELECT id, 'Tier ' || id % 4 AS icp_tier, id % 3 = 0 AS person, n FROM biz LEFT JOIN h ON business_id = id)
+    SELECT icp_tier, COUNT(*) AS businesses, COUNT(n) AS with_address, CAST(coalesce(SUM(n), 0) AS BIGINT) AS addresses, COUNT(*) FILTER (WHERE n IS NOT NULL AND person) AS with_person
+    FROM b GROUP BY ROLLUP (icp_tier)""", ("crawl", "biz"))
+def address_funnel(spark, sf):
+    biz = world(spark, sf, "biz").select(
+        "id", F.concat(F.lit("Tier "), (F.col("id") % 4).cast("string")).alias("icp_tier"),
+        F.when(F.col("id") % 3 == 0, "x").alias("decision_maker_name"))
+    return email_job.coverage_funnel(biz, _addresses(spark, sf))
+
+
+# -- page signals ------------------------------------------------------------------------------
+
+def markup(spark, sf):
+    """Pages with tags, links and forms added by page number, three pages to a site."""
+    i = F.col("page_id")
+    tags = F.concat(
+        F.when(i % 5 == 0, "<script src='https://www.googletagmanager.com/gtm.js?id=GTM-ABCD1'></script>").otherwise(""),
+        F.when(i % 7 == 0, "<script>fbq('init', '1')</script>").otherwise(""),
+        F.when(i % 11 == 0, "<a href=\"https://calendly.com/x\">book</a>").otherwise(""),
+        F.when(i % 4 == 0, "<a href=\"https://www.facebook.com/dogs\">f</a><a href='https://instagram.com/dogs?x'>i</a>").otherwise(""),
+        F.when(i % 6 == 0, "<form method=post action='/send#a' id=f1><label for=\"e\">Your E-Mail</label><input id=e name=input_3><textarea name=message></textarea>"
+                           "<li class=\"gfield--type-honeypot\"><input name=input_9 type=text></li></form>").otherwise(""),
+        F.when(i % 6 == 1, "<form action='/search'><input name=q></form>").otherwise(""),
+        F.when(i % 6 == 2, "<form method=post><input name='your-email' type='email'><input type=submit name=go></form>").otherwise(""),
+        F.when(i % 8 == 0, "<a href='/about-us/team'>t</a><a href='../pricing'>p</a><a href=\"/contact#x\">c</a><a href='mailto:jane.doe@k9.com'>m</a>").otherwise(""),
+        F.when(i % 9 == 0, "<p>We're hiring! See our locations.</p>").otherwise(""),
+    )
+    return table(spark, sf, "pages").withColumn("html", F.concat("html", tags)).withColumn("site", F.floor(i / 3))
+
+
+@query("D04", r"""
+    SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'fbq(''init'')' END AS meta_ads, CASE WHEN page_id % 5 = 0 THEN 'Google Tag Manager' ELSE '' END AS martech,
+           CASE WHEN page_id % 11 = 0 THEN 'Calendly' END AS booking,
+           CASE WHEN page_id % 6 = 2 THEN 'native form with email/phone input' END AS lead_form,
+           CASE WHEN page_id % 4 = 0 THEN 2 ELSE 0 END AS profiles, concat_ws(',', CASE WHEN page_id % 9 = 0 THEN 'hiring,multi_location' END, CASE WHEN page_id % 8 = 0 THEN 'pricing_page' END) AS growth,
+           CASE WHEN page_id % 8 = 0 THEN 'jane.doe@k9.com' ELSE '' END AS person_emails
+    FROM pages
+""")
+def page_signals_found(spark, sf):
+    return page_signals.detect(markup(spark, sf)).select(
+        "page_id", "meta_ads", F.array_join("martech", ",").alias("martech"), "booking", "lead_form",
+        F.size("profiles").alias("profiles"), F.array_join("growth", ",").alias("growth"), F.array_join("person_emails", ",").alias("person_emails"))
+
+
+@query("A10 D05", r"""
+    SELECT CAST(FLOOR(page_id / 3) AS BIGINT) AS site, COUNT(*) AS pages, bool_or(page_id % 7 = 0) AS marketing_active,
+           CAST(CASE WHEN bool_or(page_id % 7 = 0) THEN 25 ELSE 0 END + CASE WHEN bool_or(page_id % 11 = 0) THEN 15 ELSE 0 END + CASE WHEN bool_or(page_id % 6 = 2) THEN 10 ELSE 0 END
+             + CASE WHEN bool_or(page_id % 5 = 0) THEN 4 ELSE 0 END + CASE WHEN bool_or(page_id % 4 = 0) THEN 6 ELSE 0 END + CASE WHEN bool_or(page_id % 9 = 0) THEN 10 ELSE 0 END AS INTEGER) AS marketing_score,
+           nullif(array_to_string(list_filter([
+             CASE WHEN bool_or(page_id % 7 = 0) THEN 'Meta Ads (fbq(''init''))' END, CASE WHEN bool_or(page_id % 11 = 0) THEN 'booking: Calendly' END,
+             CASE WHEN bool_or(page_id % 6 = 2) THEN 'lead form: native form with email/phone input' END, CASE WHEN bool_or(page_id % 5 = 0) THEN 'martech: Google Tag Manager' END,
+             CASE WHEN bool_or(page_id % 4 = 0) THEN 'social: facebook, instagram' END, CASE WHEN bool_or(page_id % 9 = 0) THEN 'hiring copy' END,
+             CASE WHEN bool_or(page_id % 9 = 0) THEN 'multiple locations' END,
+             CASE WHEN bool_or(page_id % 8 = 0) THEN 'pricing/packages' END], lambda x: x IS NOT NULL), '; '), '') AS marketing_evidence
+    FROM pages GROUP BY 1
+""")
+def site_signals(spark, sf):
+    rolled = page_signals.roll_up(page_signals.detect(markup(spark, sf)), "site", "page_id")
+    return rolled.select("site", "pages", "marketing_active", "marketing_score", "marketing_evidence")
+
+
+@query("A26", r"""
+    WITH r AS (SELECT FLOOR(page_id / 3) AS s, bool_or(page_id % 7 = 0) AS px, bool_or(page_id % 11 = 0) AS bk, bool_or(page_id % 6 = 2) AS fm, bool_or(page_id % 8 = 0) AS pe FROM pages GROUP BY 1)
+    SELECT COUNT(*) AS reachable, round(100.0::DOUBLE * COUNT(*) FILTER (WHERE px) / COUNT(*), 1) AS pct_pixel, round(100.0::DOUBLE * COUNT(*) FILTER (WHERE bk) / COUNT(*), 1) AS pct_booking,
+           round(100.0::DOUBLE * COUNT(*) FILTER (WHERE fm) / COUNT(*), 1) AS pct_form, round(100.0::DOUBLE * COUNT(*) FILTER (WHERE pe) / COUNT(*), 1) AS pct_person_email FROM r
+""")
+def signal_coverage(spark, sf):
+    return page_signals.coverage(page_signals.roll_up(page_signals.detect(markup(spark, sf)), "site", "page_id"))
+
+
+@query("A32", r"""
+    WITH r AS (SELECT CAST(FLOOR(page_id / 3) AS BIGINT) AS site, CASE WHEN bool_or(page_id % 4 = 0) THEN 2 ELSE 0 END AS breadth FROM pages GROUP BY 1)
+    SELECT breadth, COUNT(*) AS businesses, quantile_cont(c_custkey % 50, 0.5) AS median_reviews FROM r JOIN customer ON c_custkey = site GROUP BY 1
+""")
+def social_breadth(spark, sf):
+    reviews = table(spark, sf, "customer").select(F.col("c_custkey").alias("site"), (F.col("c_custkey") % 50).alias("review_count"))
+    rolled = page_signals.roll_up(page_signals.detect(markup(spark, sf)), "site", "page_id")
+    return page_signals.social_breadth(rolled, reviews, "site")
+
+
+@query("W07 F09 S11")
+def subpages(spark, sf):
+    """Up to three sub-pages per page, about before pricing before contact."""
+    picked = page_signals.subpages(markup(spark, sf), "page_id")
+    return picked.select("page_id", "kind", "subpage", "rank")
+
+
+@query("P03 P04 J20", r"""
+    SELECT id FROM biz WHERE website IS NOT NULL AND NOT regexp_matches(website, '(?i)(?:facebook\.com|instagram\.com|nextdoor\.com|linktr\.ee)')
+      AND id % 10 <> 0 AND primary_category IN ('Kennel', 'Dog trainer')
+""", ("biz",))
+def crawl_targets(spark, sf):
+    biz = world(spark, sf, "biz").withColumn("qc_status", F.when(F.col("id") % 10 == 0, "REJECTED").otherwise("VALID")) \
+        .withColumn("service_category", F.col("primary_category"))
+    return page_signals.crawl_eligible(biz, ["Kennel", "Dog trainer"]).select("id")
+
+
+@query("P05 J09", """
+    SELECT id FROM biz LEFT JOIN (SELECT business_id, bool_or(text <> '') AS t, bool_or(http_status = 404) AS f FROM crawl GROUP BY 1) ON business_id = id
+    WHERE (NOT coalesce(t, FALSE) OR coalesce(f, FALSE)) AND id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0)
+""", ("biz", "crawl"))
+def crawl_gaps(spark, sf):
+    crawl = world(spark, sf, "crawl").withColumn("fetch_error", F.lit(None).cast("string"))
+    second = table(spark, sf, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").alias("business_id"), F.lit("x").alias("text"))
+    return page_signals.crawl_gaps(world(spark, sf, "biz"), crawl, second).select("id")
+
+
+@query("P07", """SELECT doc_id FROM documents WHERE length(text) = 500 AND doc_id % 2 = 0""")
+def cut_off_texts(spark, sf):
+    docs = table(spark, sf, "documents").withColumn("fetched_at", F.when(F.col("doc_id") % 2 == 0, as_time("2025-01-01")).otherwise(as_time("2026-01-01")))
+    return page_signals.cut_off_texts(docs, 500, as_time("2025-06-01")).select("doc_id")
+
+
+# -- people ------------------------------------------------------------------------------------
+
+def _people(spark, sf):
+    found = people.candidates(world(spark, sf, "crawl"))
+    mails = _addresses(spark, sf).filter(E.is_person_shaped(F.col("email"))).select("business_id", "email")
+    return found, people.score_people(found, mails)
+
+
+@query("D07", """
+    WITH p AS (SELECT page_seq, business_id, page_kind, text, 'Erin ' || split_part('Kline|Hurst|Dorn|Frye|Tuck|Sato|Moreno', '|', CAST(business_id % 7 AS INT) + 1) AS erin,
+                      'Ian ' || split_part('Dorn|Hale|Marsh', '|', CAST(page_seq % 3 AS INT) + 1) AS ian FROM crawl WHERE text <> '')
+    SELECT page_seq, erin AS name, 'Owner' AS title, 'name_comma_title' AS pattern FROM p WHERE business_id % 5 = 1
+    UNION ALL SELECT page_seq, ian, 'Founder', 'title_then_name' FROM p WHERE business_id % 5 <> 1 AND page_seq % 5 = 2
+""", ("crawl",))
+def person_candidates(spark, sf):
+    found = people.candidates(world(spark, sf, "crawl"))
+    return found.select("page_seq", "name", "title", "pattern")
+
+
+@query("D08 W10")
+def decision_makers(spark, sf):
+    """One person per business or none, with the score and what corroborates it."""
+    _, scored = _people(spark, sf)
+    return people.pick_decision_maker(scored).select(
+        "business_id", "name", "title", "confidence", "score", "email_match", "mentions", F.array_join("patterns", ",").alias("patterns"))
+
+
+@query("A27 F37")
+def person_levels(spark, sf):
+    _, scored = _people(spark, sf)
+    return people.level_counts(scored)
+
+
+@query("D34 F37 J06")
+def person_write_back(spark, sf):
+    """Research's primary contact written to the entities, by what happened."""
+    biz = world(spark, sf, "biz").select(
+        "id", F.when(F.col("id") % 2 == 0, "Stored Name").alias("decision_maker_name"), F.lit(None).cast("string").alias("decision_maker_title"),
+        F.lit(None).cast("string").alias("decision_maker_confidence"), F.lit("listing").alias("decision_maker_source"))
+    _, scored = _people(spark, sf)
+    primary = people.pick_decision_maker(scored).select(
+        F.col("business_id").alias("id"), "name", "title", (F.col("score") / 60).alias("confidence"), "source_url",
+        (F.col("business_id") % 3 == 0).alias("any_decision_maker"))
+    out = people.write_back(biz, primary)
+    return out.groupBy("decision_maker_confidence", "decision_maker_title", (F.col("decision_maker_name") == "Stored Name").alias("kept")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- registrations -----------------------------------------------------------------------------
+
+def registrations(spark, sf):
+    """Registration documents of the businesses' domains, one shape per business number."""
+    i = F.col("id")
+    dom = F.concat(F.lit("site"), i.cast("string"), F.lit(".test"))
+
+    def card(role: str, name: Column, mail: Column) -> Column:
+        return F.concat(F.lit('{"roles":["' + role + '"],"vcardArray":["vcard",[["version",{},"text","4.0"],["fn",{},"text","'), name,
+                        F.lit('"],["email",{},"text","'), mail, F.lit('"]]]}'))
+
+    person = F.concat(F.lit("erin@"), dom)
+    entities = (
+        F.when(i % 6 == 0, F.lit(""))
+        .when(i % 6 == 1, card("registrant", F.lit("Domains By Proxy, LLC"), F.lit("x@domainsbyproxy.com")))
+        .when(i % 6 == 2, card("abuse", F.lit("Registrar"), F.lit("abuse@registrar.test")))
+        .when(i % 6 == 3, F.concat(card("technical", F.lit("Tech"), F.lit("tech@host.test")), F.lit(","), card("registrant", F.lit("Erin Kline"), person)))
+        .when(i % 6 == 4, card("administrative", F.lit("Registrar"), F.lit("support@registrar.test")))
+        .otherwise(card("technical", F.lit("Pat Lee"), F.lit("PAT.LEE@gmail.com"))))
+    return world(spark, sf, "biz").select(
+        "id", dom.alias("domain"), F.concat(F.lit("https://www."), dom).alias("website"),
+        F.concat(F.lit('{"entities":['), entities, F.lit('],"links":[{"href":"https://rdap.x.test/'), dom, F.lit('"}]}')).alias("document"))
+
+
+_REG = """SELECT id, 'site' || id || '.test' AS domain, CASE id % 6 WHEN 1 THEN 'privacy' WHEN 3 THEN 'found' WHEN 4 THEN 'junk' WHEN 5 THEN 'found' ELSE 'redacted' END AS outcome,
+    CASE id % 6 WHEN 3 THEN 'erin@site' || id || '.test' WHEN 5 THEN 'pat.lee@gmail.com' END AS email, CASE id % 6 WHEN 3 THEN 'Erin Kline' WHEN 5 THEN 'Pat Lee' END AS registrant FROM biz"""
+
+
+@query("D09 P19", f"SELECT domain, outcome, email, registrant, 'https://rdap.x.test/' || domain AS link FROM ({_REG})", ("biz",))
+def registration_contacts(spark, sf):
+    docs = registrations(spark, sf)
+    link = docs.select("domain", registration.registrar_link(F.col("document")).alias("link"))
+    return registration.contacts(docs).join(link, "domain")
+
+
+@query("D10 F02", f"""SELECT domain, email, CASE WHEN email LIKE 'erin%' THEN 50 ELSE 40 END AS confidence, CAST(NULL AS VARCHAR) AS reason FROM ({_REG}) WHERE outcome = 'found'""", ("biz",))
+def registration_accepted(spark, sf):
+    docs = registrations(spark, sf)
+    found = registration.contacts(docs).filter("outcome = 'found'").join(docs.select("domain", "website"), "domain")
+    return registration.accept(found).select("domain", "email", "confidence", "reason")
+
+
+@query("D10 J17 J06 S10")
+def registration_stored(spark, sf):
+    """Addresses and entities after a run: an address already known stays."""
+    docs = registrations(spark, sf)
+    probes = registration.contacts(docs)
+    judged = registration.accept(probes.filter("outcome = 'found'").join(docs.select("domain", "website"), "domain"))
+    entities = docs.select("id", "website", F.when(F.col("id") % 4 == 3, "known@site.test").alias("contact_email"))
+    none = judged.select(F.col("domain").alias("business_id"), "email").limit(0).select(F.lit(0).cast("long").alias("business_id"), "email")
+    _, addresses, after = registration.store(entities, none, probes.limit(0), judged, probes)
+    return after.join(addresses.groupBy(F.col("business_id").alias("id")).agg(F.count(F.lit(1)).alias("n")), "id", "left") \
+        .groupBy((F.col("contact_email") == "known@site.test").alias("kept"), F.col("n").alias("addresses")).agg(F.count(F.lit(1)).alias("businesses"))
+
+
+@query("P19 J09 A25", f"""
+    WITH b AS (SELECT id, website, {duck_host('website')} AS h FROM biz WHERE website IS NOT NULL AND id % 4 > 0),
+    d AS (SELECT website, array_to_string(string_split(h, '.')[-2:], '.') AS domain FROM b WHERE contains(h, '.'))
+    SELECT domain, MIN(website) AS website, COUNT(*) AS holders FROM d WHERE NOT regexp_matches(domain, '(?i)^(instagram|facebook)\\.com$') GROUP BY 1
+""", ("biz",))
+def registration_targets(spark, sf):
+    biz = world(spark, sf, "biz").select("id", "website", F.lit("VALID").alias("qc_status"), F.when(F.col("id") % 4 == 0, "x@y.test").alias("contact_email"))
+    return registration.targets(biz, spark.createDataFrame([], "domain string"))
+
+
+# -- ads ---------------------------------------------------------------------------------------
+
+def _responses(spark, sf):
+    """Stored ad answers per customer: their orders as creatives."""
+    o = table(spark, sf, "orders")
+    ad = F.concat(F.lit('{"1":"AR'), (F.col("o_custkey") % 9).cast("string"), F.lit('","2":"CR'), F.col("o_orderkey").cast("string"),
+                  F.lit('","4":'), (F.col("o_orderkey") % 3).cast("string"), F.lit(',"6":{"1":"'), (F.lit(1600000000) + F.col("o_orderkey") * 1000).cast("string"),
+                  F.lit('"},"7":{"1":"'), F.when(F.col("o_orderkey") % 50 == 0, "99999999999999").otherwise((F.lit(1700000000) + F.col("o_orderkey") * 1000).cast("string")), F.lit('"},"12":"Acme"}'))
+    from prospectra.operators.skew import pack_rows
+    packed = pack_rows(o.select("o_custkey", "o_orderkey", ad.alias("ad")), ["o_custkey"], ["o_orderkey"], ["ad"], "ads", 40)
+    return packed.filter("chunk = 0").select("o_custkey", F.concat(
+        F.lit('{"1":['), F.array_join(F.transform("ads", lambda a: a["ad"]), ","), F.lit('],"2":"next"}')).alias("body"))
+
+
+@query("D11 A15 F20", """
+    SELECT o_custkey, 'AR' || o_custkey % 9 AS advertiser_id, CAST(COUNT(*) AS INTEGER) AS creative_count, 1600000000 + MIN(o_orderkey) * 1000 AS first_shown,
+           1700000000 + MAX(o_orderkey) FILTER (WHERE o_orderkey % 50 <> 0) * 1000 AS last_shown, string_agg(DISTINCT o_orderkey % 3, ',' ORDER BY o_orderkey % 3) AS formats, FALSE AS truncated
+    FROM orders GROUP BY o_custkey
+""")
+def ad_responses(spark, sf):
+    return ads.decode(_responses(spark, sf)).select(
+        "o_custkey", "advertiser_id", "creative_count", F.unix_seconds("first_shown").alias("first_shown"), F.unix_seconds("last_shown").alias("last_shown"),
+        F.array_join("formats", ",").alias("formats"), "truncated")
+
+
+@query("A15 F21", """
+    SELECT o_custkey, COUNT(*) AS creative_count, strftime(MIN(o_orderdate), '%Y-%m-%d') AS first_shown, strftime(MAX(o_orderdate), '%Y-%m-%d') AS last_shown,
+           string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS formats, TIMESTAMP '2001-12-01' - MAX(o_orderdate) <= INTERVAL 365 DAY AS ads_confirmed_active
+    FROM orders GROUP BY o_custkey
+""")
+def ad_evidence(spark, sf):
+    o = table(spark, sf, "orders")
+    at = F.col("o_orderdate").cast("timestamp")
+    folded = ads.fold_creatives(o.select("o_custkey", at.alias("first_shown"), at.alias("last_shown"), F.col("o_orderstatus").alias("format")),
+                                "o_custkey", as_time("2001-12-01"))
+    from prospectra.functions.reviews import within_days
+    return folded.select("o_custkey", "creative_count", F.date_format("first_shown", "yyyy-MM-dd").alias("first_shown"),
+                         F.date_format("last_shown", "yyyy-MM-dd").alias("last_shown"), F.array_join("formats", ",").alias("formats"),
+                         within_days(F.col("last_shown"), as_time("2001-12-01"), 365).alias("ads_confirmed_active"))
+
+
+@query("J17 P06 P03", f"""
+    WITH b AS (SELECT id, {duck_host('website')} AS domain FROM biz WHERE website IS NOT NULL AND NOT regexp_matches(website, '(?i)facebook') AND id % 7 <> 0)
+    SELECT domain, COUNT(*) AS holders, MAX(CAST(id % 90 AS INTEGER)) AS best_score FROM b WHERE contains(domain, '.') GROUP BY 1
+""", ("biz",))
+def ad_targets(spark, sf):
+    biz = world(spark, sf, "biz").select("id", "website", F.lit("VALID").alias("qc_status"), (F.col("id") % 90).cast("int").alias("icp_score"))
+    evidence = biz.select(F.col("id").alias("business_id"), F.when(F.col("id") % 7 == 0, 200).otherwise(500).alias("http_status"),
+                          as_time("2026-01-01").alias("checked_at"))
+    return ads.targets(biz, evidence, as_time("2026-01-10"), 30)
+
+
+@query("D11 J17 ST12 A26", """
+    WITH e AS (SELECT id, id % 8 AS k FROM biz)
+    SELECT COUNT(*) AS checked, COUNT(*) FILTER (WHERE n > 0 AND NOT px) AS ads_without_pixel, COUNT(*) FILTER (WHERE n = 0 AND px) AS pixel_without_ads FROM (
+        SELECT id % 5 = 0 AS px, CASE WHEN k IN (0, 1) THEN id % 3 + 1 WHEN k IN (2, 3) THEN id % 4 END AS n FROM e) WHERE n IS NOT NULL
+""", ("biz",))
+def ad_rollup(spark, sf):
+    """Old good evidence survives failed and throttled checks; only good rows reach the entity."""
+    biz = world(spark, sf, "biz").select("id", (F.col("id") % 5 == 0).alias("marketing_active"), F.concat(F.lit("d"), F.col("id").cast("string")).alias("domain"))
+    k = F.col("id") % 8
+    shown = as_time("2026-01-01")
+    old = biz.filter(k < 2).select(F.col("id").alias("business_id"), "domain", (F.col("id") % 3 + 1).cast("int").alias("creative_count"),
+                                   shown.alias("last_shown"), F.lit(200).alias("http_status"), shown.alias("checked_at"))
+    answers = biz.select("domain", (F.col("id") % 4).cast("int").alias("creative_count"), shown.alias("last_shown"),
+                         F.when(k.isin(2, 3), 200).otherwise(503).alias("http_status"), k.isin(6, 7).alias("throttled"))
+    holders = biz.select(F.col("id").alias("business_id"), "domain")
+    kept = ads.store(old, answers, holders, shown)
+    return ads.pixel_disagreement(ads.rollup(biz, kept, shown))
+
+
+# -- forms -------------------------------------------------------------------------------------
+
+@query("D12", """
+    SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'f1' ELSE 'form-0' END AS form_key, page_id % 6 = 0 AS ok,
+           CASE page_id % 6 WHEN 1 THEN 'not a contact form (search/newsletter/auth)' WHEN 2 THEN 'no message field (likely a newsletter opt-in)' END AS reason,
+           CAST(CASE page_id % 6 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS BIGINT) AS n_fields, CAST(CASE page_id % 6 WHEN 0 THEN 1 ELSE 0 END AS BIGINT) AS traps
+    FROM pages WHERE page_id % 6 < 3
+""")
+def form_verdicts(spark, sf):
+    return forms.classify(markup(spark, sf), "page_id").select("page_id", "form_key", "ok", "reason", "n_fields", "traps")
+
+
+@query("D12 F11")
+def form_fields(spark, sf):
+    found = forms.fields_of(forms.forms_of(markup(spark, sf).select("page_id", "html")).select("page_id", "form_index", "body"))
+    return found.groupBy("role", "type", "is_trap", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("W08 J20 W13")
+def best_forms(spark, sf):
+    """The usable form with most fields per site, one business per website."""
+    classified = forms.classify(markup(spark, sf), "page_id").withColumn("site_no", F.floor(F.col("page_id") / 3))
+    best = forms.best_form(classified, ["site_no"])
+    offered = best.withColumnRenamed("site_no", "id").withColumn("icp_score", F.pmod(F.col("id"), F.lit(90)))
+    attempts = best.filter("site_no % 10 = 0").select("action_url", F.lit("sent").alias("outcome"))
+    return forms.one_per_site(offered, attempts).select("site", "id", "form_key")
+
+
+@query("D13", r"""
+    SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'blocked' WHEN doc_id % 10 = 1 THEN 'blocked' WHEN doc_id % 4 = 0 THEN 'rejected' WHEN doc_id % 4 = 1 THEN 'sent' ELSE 'unknown' END AS outcome,
+           CASE WHEN doc_id % 10 = 0 THEN 'no response' WHEN doc_id % 10 = 1 THEN 'HTTP 503' WHEN doc_id % 4 = 0 THEN 'Please try again' WHEN doc_id % 4 = 1 THEN 'Thank you'
+                ELSE 'HTTP 200, no confirmation or error text' END AS note
+    FROM documents
+""")
+def submission_answers(spark, sf):
+    i = F.col("doc_id")
+    lead = F.when(i % 4 == 0, "Thank you. Please try again. ").when(i % 4 == 1, "Thank you! ").otherwise("")
+    out = forms.read_response(F.when(i % 10 == 0, 0).when(i % 10 == 1, 503).otherwise(200), F.concat(lead, F.col("text")))
+    return table(spark, sf, "documents").select("doc_id", out["outcome"].alias("outcome"), out["note"].alias("note"))
+
+
+@query("J10 W12", """
+    SELECT id, page_url, CAST(page_rank AS INTEGER) AS page_rank FROM (
+      SELECT b.id, c.url AS page_url, row_number() OVER (PARTITION BY b.id ORDER BY (c.page_kind = 'contact') DESC, c.page_seq % 7 DESC, c.url) AS page_rank
+      FROM biz b JOIN crawl c ON c.business_id = b.id
+      WHERE b.id % 5 <> 0 AND b.id % 3 <> 0 AND NOT (b.id % 4 = 0 AND b.id % 8 <> 0) AND c.page_seq % 2 = 0) WHERE page_rank <= 4
+""", ("biz", "crawl"))
+def form_targets(spark, sf):
+    """Pages with a form of businesses without an address; an unknown outcome is made eligible again."""
+    biz = world(spark, sf, "biz").select("id", F.when(F.col("id") % 5 == 0, "REJECTED").otherwise("VALID").alias("qc_status"),
+                                         F.when(F.col("id") % 3 == 0, "x@y.test").alias("contact_email"), F.lit(1).alias("icp_score"))
+    attempts = biz.filter("id % 4 = 0").select(F.col("id").alias("business_id"), F.when(F.col("id") % 8 == 0, "unknown").otherwise("sent").alias("outcome"))
+    pages = world(spark, sf, "crawl").select("business_id", F.col("url").alias("page_url"), "page_kind", (F.col("page_seq") % 7).alias("fetched_at"),
+                                             F.when(F.col("page_seq") % 2 == 0, "form").alias("lead_form"))
+    return forms.targets(biz, pages, attempts, retry_unknown=True).select("id", "page_url", "page_rank")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -149,6 +150,10 @@ def url_path(url: Column | str) -> Column:
 
 def _collapse_dots(path: Column) -> Column:
     """``/a/./b/../c`` -> ``/a/c``."""
+    return F.when(path.rlike(r"(?:^|/)\.{1,2}(?:/|$)"), _walk_dots(path)).otherwise(path)
+
+
+def _walk_dots(path: Column) -> Column:
     walked = F.aggregate(
         F.split(path, "/"),
         F.array().cast("array<string>"),
@@ -163,27 +168,39 @@ def _collapse_dots(path: Column) -> Column:
     return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def resolve_url(href: Column | str, base: Column | str) -> Column:
     """An ``href`` made absolute against ``base``, fragment dropped; NULL when not a web URL."""
-    raw = F.regexp_replace(F.trim(_col(href)), "#.*$", "")
-    base_c = F.regexp_replace(_col(base), "#.*$", "")
-    folder = F.regexp_replace(url_path(base_c), "[^/]*$", "")
-    own, query = F.regexp_replace(raw, r"\?.*$", ""), F.regexp_extract(raw, r"(\?.*)$", 1)
-    site = origin(base_c)
-    full = (
-        F.when(raw == "", base_c)
-        .when(raw.rlike("(?i)^https?://"), raw)
-        .when(raw.rlike("(?i)^[a-z][a-z0-9+.-]*:"), F.lit(None))
-        .when(raw.startswith("//"), F.concat(F.regexp_extract(site, "^(https?:)", 1), raw))
-        .when(raw.startswith("?"), F.concat(site, url_path(base_c), raw))
-        .when(raw.startswith("/"), F.concat(site, _collapse_dots(own), query))
-        .otherwise(F.concat(site, _collapse_dots(F.concat(folder, own)), query))
-    )
-    return F.when(
-        full.rlike(_URL),
-        F.concat(origin(full), url_path(full), F.regexp_extract(full, r"(\?.*)$", 1)),
+    parts = F.struct(
+        F.regexp_replace(F.trim(_col(href)), "#.*$", "").alias("raw"),
+        origin(base).alias("site"), url_path(base).alias("path"),
+        F.regexp_extract(F.regexp_replace(_col(base), "#.*$", ""), r"(\?.*)$", 1).alias("query"),
     )
 
+    def built(p: Column) -> Column:
+        raw = p["raw"]
+        own, query = F.regexp_replace(raw, r"\?.*$", ""), F.regexp_extract(raw, r"(\?.*)$", 1)
+        folder = F.regexp_replace(p["path"], "[^/]*$", "")
+        tail = F.regexp_extract(raw, r"(\?.*)$", 1)
+        return (
+            F.when(p["site"].isNull(), F.lit(None))
+            .when(raw == "", F.concat(p["site"], p["path"], p["query"]))
+            .when(raw.rlike("(?i)^https?://"), F.concat(origin(raw), url_path(raw), tail))
+            .when(raw.rlike("(?i)^[a-z][a-z0-9+.-]*:"), F.lit(None))
+            .when(raw.startswith("//"), let(
+                F.concat(F.regexp_extract(p["site"], "^(https?:)", 1), raw),
+                lambda full: F.concat(origin(full), url_path(full), tail)))
+            .when(raw.startswith("?"), F.concat(p["site"], p["path"], raw))
+            .when(raw.startswith("/"), F.concat(p["site"], _collapse_dots(own), query))
+            .otherwise(F.concat(p["site"], _collapse_dots(F.concat(folder, own)), query))
+        )
+
+    return let(parts, built)
+
 
 def email_domain(email: Column | str) -> Column:
     """Lower-case domain of an address, empty when it has none."""

@@ -74,7 +74,7 @@ def growth(n: Column, oldest: Column, newest: Column, now: Column, sample_cap: i
 
 def growth_of_dates(published: Column, now: Column) -> dict[str, Column]:
     """Growth of an array of date texts; unreadable and future dates do not count."""
-    dates = F.filter(F.transform(published, parse_date), lambda d: d.isNotNull() & (d <= now))
+    dates = F.filter(F.transform(published, lambda d: parse_date(d)), lambda d: d.isNotNull() & (d <= now))
     return growth(F.size(dates), F.array_min(dates), F.array_max(dates), now)
 
 

@@ -97,9 +97,9 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> Data
 
 def append_source_once(sources: Column, entry: Column, marker: Column) -> Column:
     """Provenance array with ``entry`` appended unless an entry of the same source is there."""
-    known = F.coalesce(sources, F.array().cast("array<struct<source:string>>"))
-    return F.when(F.exists(known, lambda s: s["source"] == marker), known).otherwise(
-        F.concat(known, F.array(entry))
+    known = F.exists(sources, lambda s: s["source"] == marker)
+    return F.when(sources.isNull(), F.array(entry)).when(known, sources).otherwise(
+        F.concat(sources, F.array(entry))
     )
 
 

@@ -118,9 +118,13 @@ def fields_of(forms: DataFrame) -> DataFrame:
     hay = F.filter(F.array("label", "placeholder", "name", "field_id"), lambda x: F.coalesce(x, F.lit("")) != "")
     foreign = F.exists(F.filter(shown, lambda x: x.isNotNull()), lambda x: x.rlike(NOT_THE_SENDER))
     by_type = F.when(F.col("type") == "email", "email").when(F.col("type") == "tel", "phone")
+
+    def mentions(pattern: str) -> Column:
+        return F.exists(hay, lambda x: x.rlike(pattern))
+
     role = F
     for name, pattern in FIELD_ROLES:
-        hit = F.exists(hay, lambda x, p=pattern: x.rlike(p))
+        hit = mentions(pattern)
         if "name" in name:
             role = role.when(hit & ~foreign, name)
         elif name == "message":

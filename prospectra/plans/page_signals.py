@@ -221,8 +221,9 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Every link of a page made absolute, in page order."""
     hrefs = F.regexp_extract_all(F.col(html), F.lit(HREF), F.lit(1))
     rest = [c for c in pages.columns if c != html]
-    exploded = pages.select(*rest, F.posexplode(hrefs).alias("pos", "href"))
-    return exploded.withColumn("target", resolve_url("href", url))
+    resolved = F.transform(hrefs, lambda h: F.struct(h.alias("href"), resolve_url(h, url).alias("target")))
+    return pages.select(*rest, F.posexplode(resolved).alias("pos", "_l")) \
+        .select(*rest, "pos", F.col("_l.href").alias("href"), F.col("_l.target").alias("target"))
 
 
 def subpages(pages: DataFrame, key: str, url: str = "url", html: str = "html", k: int = 3) -> DataFrame:
