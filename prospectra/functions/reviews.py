@@ -6,21 +6,23 @@ import datetime as dt
 
 from pyspark.sql import Column, functions as F
 
+from prospectra.functions.identity import let
+
 DAY_SECONDS = 86400.0
 
 # Points by age of the newest review in days, and by reviews per month.
 RECENCY_STEPS = ((30, 50), (90, 40), (180, 28), (365, 15), (730, 5))
 CADENCE_STEPS = ((4.0, 50), (2.0, 40), (1.0, 30), (0.5, 20), (0.25, 10))
 
-# Formats a scraped review date may come in, tried in order.
+# Formats a scraped review date may come in, each with the shape that selects it.
 DATE_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "yyyy-M-d",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "M/d/yyyy",
+    (r"^\d{4}-\d{2}-\d{2}T.*(?:Z|[+-]\d{2}:\d{2})$", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"),
+    (r"^\d{4}-\d{2}-\d{2}T[\d:]+$", "yyyy-MM-dd'T'HH:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2} [\d:.]+$", "yyyy-MM-dd HH:mm:ss[.SSSSSS]"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Z][a-z]{3,8} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
 )
 
 
@@ -29,9 +31,12 @@ def as_time(now: Column | dt.datetime | str) -> Column:
     return now if isinstance(now, Column) else F.lit(str(now)).cast("timestamp")
 
 
-def parse_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """First format that fits; NULL when none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+def parse_date(text: Column, formats: tuple[tuple[str, str], ...] = DATE_FORMATS) -> Column:
+    """A date by the first format whose shape fits; NULL when none does."""
+    chain = F
+    for shape, fmt in formats:
+        chain = chain.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(fmt)))
+    return chain.otherwise(F.lit(None))
 
 
 def days_between(later: Column, earlier: Column) -> Column:
@@ -72,10 +77,12 @@ def growth(n: Column, oldest: Column, newest: Column, now: Column, sample_cap: i
     }
 
 
-def growth_of_dates(published: Column, now: Column) -> dict[str, Column]:
-    """Growth of an array of date texts; unreadable and future dates do not count."""
+def review_window(published: Column, now: Column) -> Column:
+    """Count, oldest and newest of an array of date texts; unreadable and future dates do not count."""
     dates = F.filter(F.transform(published, lambda d: parse_date(d)), lambda d: d.isNotNull() & (d <= now))
-    return growth(F.size(dates), F.array_min(dates), F.array_max(dates), now)
+    return let(dates, lambda d: F.struct(
+        F.size(d).alias("n"), F.array_min(d).alias("oldest"), F.array_max(d).alias("newest")
+    ))
 
 
 def epoch_seconds(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from prospectra.functions.identity import _col, none_if_blank
+from prospectra.functions.identity import _col, let, none_if_blank
 
 # Control characters a text store refuses (tab, LF and CR are kept).
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
@@ -60,13 +60,12 @@ def decode_entities(text: Column | str) -> Column:
     c = F.regexp_replace(c, "&nbsp;", " ")
     c = F.regexp_replace(c, "&lt;", "<")
     c = F.regexp_replace(c, "&gt;", ">")
-    return F.aggregate(
-        F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#(\d{1,5});"), F.lit(1))),
-        c,
+    return let(c, lambda t: F.when(~F.contains(t, F.lit("&#")), t).otherwise(F.aggregate(
+        F.array_distinct(F.regexp_extract_all(t, F.lit(r"&#(\d{1,5});"), F.lit(1))), t,
         lambda acc, code: F.replace(
             acc, F.concat(F.lit("&#"), code, F.lit(";")), F.char(code.cast("int"))
         ),
-    )
+    )))
 
 
 def mailto_addresses(html: Column | str) -> Column:

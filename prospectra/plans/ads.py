@@ -8,6 +8,7 @@ from prospectra.functions.identity import host
 from prospectra.functions.reviews import epoch_seconds, is_stale, within_days
 from prospectra.operators.match import fan_out
 from prospectra.operators.merge import merge_upsert
+from prospectra.operators.stage import staged
 from prospectra.operators.topk import running_streak
 
 PAGE_SIZE = 40
@@ -46,7 +47,8 @@ def decode(responses: DataFrame, body: str = "body") -> DataFrame:
             F.when(a["3"]["1"]["4"] != "", a["3"]["1"]["4"]).alias("preview_url"),
         )
 
-    df = df.withColumn("_ads", ads).withColumn("creatives", F.transform("_ads", creative))
+    df = staged(df, {"_ads": ads})
+    df = staged(df, {"creatives": F.transform("_ads", creative)})
     n = F.size("creatives")
     return df.select(
         *responses.columns, (n > 0).alias("found"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from prospectra.functions import emails as E
 from prospectra.operators.merge import merge_upsert
+from prospectra.operators.stage import staged
 from prospectra.operators.topk import budget
 
 
@@ -22,8 +23,7 @@ def sightings(pages: DataFrame, junk_domains: tuple[str, ...] = E.INFRASTRUCTURE
         "business_id", "page_seq", "url", "page_kind", "website",
         F.explode(E.addresses_in(text)).alias("email"),
     ).filter(E.reject_reason("email", junk_domains).isNull())
-    for name, column in E.address_classes("email", "website").items():
-        found = found.withColumn(name, column)
+    found = staged(found, E.address_classes("email", "website"))
     return found.withColumn("confidence", E.address_confidence(
         F.col("is_role"), F.col("is_free_mail"), F.col("matches_site_domain"), F.col("page_kind")
     ))

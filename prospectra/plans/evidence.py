@@ -7,9 +7,12 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from prospectra.functions import emails as E
+from prospectra.functions.identity import let
 from prospectra.functions.text import find_payment_terms
+from prospectra.operators.stage import staged
 
 # Words that show somebody owns or runs a business.
 OWNERSHIP = (
@@ -21,7 +24,7 @@ TITLE_REACH = 80
 THRESHOLD = 0.7
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _compatible(texts: pd.Series) -> pd.Series:
     """Entities decoded and compatibility forms folded (NFKC), which Spark has no function for."""
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", html.unescape(t)))
@@ -53,20 +56,23 @@ def title_near_name(title: Column, name: Column, page: Column, reach: int = TITL
         around = F.concat(
             F.lit(rf"(?s)(?<=(^.{{0,{reach - 1}}}|.{{{reach}}}))"), whole_phrase(who), F.lit(rf"(?=(.{{0,{reach}}}))")
         )
-        left = F.regexp_extract_all(page, around, F.lit(1))
-        right = F.regexp_extract_all(page, around, F.lit(2))
-        windows = F.zip_with(left, right, lambda a, b: F.concat(a, who, b))
-        return F.exists(windows, lambda w: F.regexp_like(w, whole_phrase(title)))
+        return let(around, lambda p: F.exists(
+            F.zip_with(
+                F.regexp_extract_all(page, p, F.lit(1)), F.regexp_extract_all(page, p, F.lit(2)),
+                lambda a, b: F.concat(a, who, b),
+            ),
+            lambda w: F.regexp_like(w, whole_phrase(title)),
+        ))
 
     first = F.substring_index(name, " ", 1)
-    both = F.contains(page, title) & F.contains(page, first)
-    return F.when((title == "") | (first == "") | ~both, False).otherwise(near(name) | near(first))
+    possible = (title != "") & (first != "") & F.contains(page, title) & F.contains(page, first)
+    return F.when(possible, F.when(near(first), True).when(name == first, False).otherwise(near(name))).otherwise(False)
 
 
-def shows_ownership(quote_pieces: Column, folded_name: Column) -> Column:
-    """True when one passage both names the person and carries an ownership word."""
-    first = whole_phrase(F.substring_index(folded_name, " ", 1))
-    return F.exists(quote_pieces, lambda p: F.regexp_like(p, first) & p.rlike(OWNERSHIP))
+def shows_ownership(passage: Column, folded_name: Column) -> Column:
+    """True when a passage both names the person and carries an ownership word."""
+    first = F.substring_index(folded_name, " ", 1)
+    return (first != "") & F.regexp_like(passage, whole_phrase(first)) & passage.rlike(OWNERSHIP)
 
 
 def claims_of(research: DataFrame) -> DataFrame:
@@ -74,68 +80,71 @@ def claims_of(research: DataFrame) -> DataFrame:
 
     ``research`` has one row per business with ``contacts`` and ``angle_evidence``.
     """
-    people = research.select("business_id", F.posexplode("contacts").alias("idx", "c"))
-    titles = people.filter(F.coalesce("c.title", F.lit("")) != "").select(
-        "business_id", "idx", F.lit("title").alias("kind"), F.lit(0).alias("piece_no"),
-        F.col("c.title").alias("phrase"), F.col("c.name").alias("who"))
-    quotes = people.filter(F.coalesce("c.evidence", F.lit("")) != "").select(
-        "business_id", "idx", F.lit("quote").alias("kind"), F.col("c.evidence").alias("_q"), F.col("c.name").alias("who"))
-    angles = research.filter(F.coalesce("angle_evidence", F.lit("")) != "").select(
-        "business_id", F.lit(-1).alias("idx"), F.lit("angle").alias("kind"),
-        F.col("angle_evidence").alias("_q"), F.lit(None).cast("string").alias("who"))
-    quoted = quotes.unionByName(angles).withColumn("_p", pieces(folded(F.col("_q"))))
-    passages = quoted.select("business_id", "idx", "kind", F.posexplode("_p").alias("piece_no", "phrase"), "who")
-    folded_titles = titles.withColumn("phrase", folded(F.col("phrase"))).withColumn("who", folded(F.col("who")))
-    return folded_titles.unionByName(passages.withColumn("who", folded(F.col("who"))))
+    def claim(kind: str, idx: Column, text: Column, who: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), idx.cast("int").alias("idx"), text.alias("text"), who.alias("who"))
+
+    nobody = F.lit(None).cast("string")
+    people = F.flatten(F.transform("contacts", lambda c, i: F.array(
+        claim("title", i, c["title"], c["name"]), claim("quote", i, c["evidence"], c["name"]))))
+    stated = F.concat(people, F.array(claim("angle", F.lit(-1), F.col("angle_evidence"), nobody)))
+    wanted = F.filter(stated, lambda c: F.coalesce(c["text"], F.lit("")) != "")
+    rows = research.select("business_id", F.explode(wanted).alias("c")).select("business_id", "c.*")
+    # Text and name share one trip through the fold.
+    both = staged(rows, {"_f": folded(F.concat("text", F.lit("\u0000"), F.coalesce("who", F.lit(""))))}, ("text", "who"))
+    parts = staged(both, {
+        "_text": F.trim(F.split_part("_f", F.lit("\u0000"), F.lit(1))), "who": F.trim(F.split_part("_f", F.lit("\u0000"), F.lit(2))),
+    }, ("_f",))
+    passages = F.when(F.col("kind") == "title", F.array("_text")).otherwise(pieces(F.col("_text")))
+    split = parts.select("business_id", "idx", "kind", "who", F.posexplode(passages).alias("piece_no", "phrase"))
+    return split.withColumn("owns", (F.col("kind") == "quote") & shows_ownership(F.col("phrase"), F.col("who")))
 
 
 def prove(claims: DataFrame, pages: DataFrame) -> DataFrame:
     """(business_id, idx, kind) with ``proven``: every passage of the statement stands on some page.
 
-    Claims of a business are few and travel as one short array to each of its
-    pages; pages are never gathered.
+    ``owns`` tells whether a passage shows ownership. Claims of a business are
+    few and travel as one short array to each of its pages; pages are never
+    gathered.
     """
     packed = claims.groupBy("business_id").agg(
         F.collect_list(F.struct("idx", "kind", "piece_no", "phrase", "who")).alias("_claims"))
-    judged = pages.join(packed, "business_id").withColumn("_page", folded(F.col("text"))).select(
-        "business_id", F.explode(F.transform("_claims", lambda c: F.struct(
-            c["idx"].alias("idx"), c["kind"].alias("kind"), c["piece_no"].alias("piece_no"),
-            F.when(c["kind"] == "title", title_near_name(c["phrase"], c["who"], F.col("_page")))
-            .otherwise(F.contains(F.col("_page"), c["phrase"])).alias("hit"),
-        ))).alias("_h")).select("business_id", "_h.*")
+    seen = staged(pages.join(packed, "business_id"), {"_page": folded(F.col("text"))})
+    judged = seen.select("business_id", F.explode(F.transform("_claims", lambda c: F.struct(
+        c["idx"].alias("idx"), c["kind"].alias("kind"), c["piece_no"].alias("piece_no"),
+        F.when(c["kind"] == "title", title_near_name(c["phrase"], c["who"], F.col("_page")))
+        .otherwise(F.contains(F.col("_page"), c["phrase"])).alias("hit"),
+    ))).alias("_h")).select("business_id", "_h.*")
     keys = ["business_id", "idx", "kind"]
     per_piece = judged.groupBy(*keys, "piece_no").agg(F.max("hit").alias("hit"))
-    found = claims.select(*keys, "piece_no").join(per_piece, [*keys, "piece_no"], "left")
-    return found.groupBy(*keys).agg(F.min(F.coalesce("hit", F.lit(False))).alias("proven"))
+    found = claims.select(*keys, "piece_no", "owns").join(per_piece, [*keys, "piece_no"], "left")
+    return found.groupBy(*keys).agg(
+        F.min(F.coalesce("hit", F.lit(False))).alias("proven"), F.max("owns").alias("owns"))
 
 
 def enforce(research: DataFrame, pages: DataFrame) -> DataFrame:
-    """Research with unsupported titles, quotes and angles removed; a decider must keep one proof.
+    """Research with unsupported titles and quotes removed; a decider must keep one proof.
 
-    Adds the enforced people as rows: business_id, idx, name, title, email, evidence,
+    Gives the people as rows: business_id, idx, name, title, email, evidence,
     is_decision_maker.
     """
-    proofs = prove(claims_of(research), pages)
-
-    def of(kind: str) -> DataFrame:
-        return proofs.filter(F.col("kind") == kind).select("business_id", "idx", F.col("proven").alias(f"_{kind}"))
-
+    claims = claims_of(research).filter(F.col("kind") != "angle")
+    proofs = prove(claims, pages).groupBy("business_id", "idx").agg(
+        F.max((F.col("kind") == "title") & F.col("proven")).alias("_title"),
+        F.max((F.col("kind") == "quote") & F.col("proven")).alias("_quote"),
+        F.max((F.col("kind") == "quote") & F.col("proven") & F.col("owns")).alias("_owns"),
+    )
     people = research.select("business_id", F.posexplode("contacts").alias("idx", "c")) \
-        .join(of("title"), ["business_id", "idx"], "left").join(of("quote"), ["business_id", "idx"], "left")
-    title = F.when(F.coalesce("_title", F.lit(False)), F.col("c.title"))
-    evidence = F.when(F.coalesce("_quote", F.lit(False)), F.col("c.evidence"))
-    rows = people.select("business_id", "idx", F.col("c.name").alias("name"), title.alias("title"),
-                         F.col("c.email").alias("email"), evidence.alias("evidence"),
-                         F.coalesce("c.is_decision_maker", F.lit(False)).alias("_claimed")) \
-        .withColumn("_who", folded(F.col("name"))).withColumn("_pieces", pieces(folded(F.col("evidence"))))
-    shown = F.col("title").isNotNull() | (F.col("evidence").isNotNull() & shows_ownership(F.col("_pieces"), F.col("_who")))
-    return rows.withColumn("is_decision_maker", F.col("_claimed") & F.coalesce(shown, F.lit(False))) \
-        .drop("_claimed", "_who", "_pieces")
+        .join(proofs, ["business_id", "idx"], "left")
+    shown = F.coalesce(F.col("_title"), F.lit(False)) | F.coalesce(F.col("_owns"), F.lit(False))
+    return people.select(
+        "business_id", "idx", F.col("c.name").alias("name"), F.when(F.col("_title"), F.col("c.title")).alias("title"),
+        F.col("c.email").alias("email"), F.when(F.col("_quote"), F.col("c.evidence")).alias("evidence"),
+        (F.coalesce("c.is_decision_maker", F.lit(False)) & shown).alias("is_decision_maker"))
 
 
 def enforce_angles(research: DataFrame, pages: DataFrame) -> DataFrame:
     """Angles whose quote is on the pages; a caution that carries payment terms is dropped."""
-    proofs = prove(claims_of(research), pages).filter((F.col("kind") == "angle") & F.col("proven"))
+    proofs = prove(claims_of(research).filter(F.col("kind") == "angle"), pages).filter("proven")
     caution = F.when(find_payment_terms("angle_caution").isNull(), F.col("angle_caution"))
     return research.join(proofs.select("business_id"), "business_id", "left_semi") \
         .select("business_id", "angle_problem", "angle_evidence", caution.alias("angle_caution"))

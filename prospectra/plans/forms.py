@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from prospectra.functions.identity import host, resolve_url
 from prospectra.functions.regex import before, located
 from prospectra.functions.text import decode_entities
+from prospectra.operators.stage import staged
 from prospectra.operators.topk import first_k
 
 # Field roles, first match wins.
@@ -106,14 +107,17 @@ def fields_of(forms: DataFrame) -> DataFrame:
         *keep, "body", "_labels", F.posexplode(located(F.col("body"), CONTROL_TAG)).alias("field_pos", "_m")
     )
     tag = F.regexp_extract("_m.hit", CONTROL_TAG, 2)
-    raw = raw.withColumn("tag", F.lower(F.regexp_extract("_m.hit", CONTROL_TAG, 1))).withColumn("_a", tag) \
-        .withColumn("_ctx", before(F.col("body"), F.col("_m.start"), 400)).drop("body")
+    raw = staged(raw, {
+        "tag": F.lower(F.regexp_extract("_m.hit", CONTROL_TAG, 1)), "_a": tag,
+        "_ctx": before(F.col("body"), F.col("_m.start"), 400),
+    }, ("body", "_m"))
     a = F.col("_a")
-    named = raw.withColumn("name", attribute(a, "name")).filter(F.coalesce("name", F.lit("")) != "") \
-        .withColumn("field_id", attribute(a, "id")).withColumn("placeholder", attribute(a, "placeholder")) \
-        .withColumn("type", F.lower(F.coalesce(F.nullif(attribute(a, "type"), F.lit("")), F.col("tag")))) \
-        .withColumn("required", a.rlike(r"(?i)\brequired\b|aria-required\s*=\s*[\"']true")) \
-        .withColumn("label", _label_for(F.col("_labels"), F.col("field_id")))
+    named = staged(raw, {
+        "name": attribute(a, "name"), "field_id": attribute(a, "id"), "placeholder": attribute(a, "placeholder"),
+        "type": F.lower(F.coalesce(F.nullif(attribute(a, "type"), F.lit("")), F.col("tag"))),
+        "required": a.rlike(r"(?i)\brequired\b|aria-required\s*=\s*[\"']true"),
+    }).filter(F.coalesce("name", F.lit("")) != "")
+    named = staged(named, {"label": _label_for(F.col("_labels"), F.col("field_id"))}, ("_labels",))
     shown = F.array(F.col("label"), F.col("placeholder"))
     hay = F.filter(F.array("label", "placeholder", "name", "field_id"), lambda x: F.coalesce(x, F.lit("")) != "")
     foreign = F.exists(F.filter(shown, lambda x: x.isNotNull()), lambda x: x.rlike(NOT_THE_SENDER))
@@ -136,8 +140,9 @@ def fields_of(forms: DataFrame) -> DataFrame:
         | ((F.col("type") == "text") & a.rlike(r"(?i)autocomplete\s*=\s*[\"']new-password"))
         | F.col("_ctx").rlike(TRAP_WRAPPER)
     )
-    return named.withColumn("role", F.coalesce(role.otherwise(F.lit(None)), by_type)) \
-        .withColumn("is_trap", trap).drop("_labels", "_m", "_a", "_ctx")
+    return staged(named, {
+        "role": F.coalesce(role.otherwise(F.lit(None)), by_type), "is_trap": trap
+    }, ("_a", "_ctx"))
 
 
 def classify(pages: DataFrame, key: str, url: str = "url", html: str = "html") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from prospectra.functions import emails as E
 from prospectra.functions.identity import none_if_blank, origin, resolve_url, url_path
 from prospectra.operators.skew import first_non_null
+from prospectra.operators.stage import staged
 from prospectra.operators.topk import first_k
 
 # Detector rules as (pattern, token). Inside a group the first match gives the token.
@@ -126,10 +127,10 @@ def detect(pages: DataFrame, html: str = "html") -> DataFrame:
     h = F.col(html)
     form = F.exists(F.regexp_extract_all(h, F.lit(NATIVE_FORM), F.lit(0)), lambda f: f.rlike(FORM_INPUT))
     found = E.page_addresses(h)
-    staged = pages.withColumn("_addresses", found)
+    with_addresses = staged(pages, {"_addresses": found})
     people = F.filter("_addresses", E.is_person_shaped)
     desks = F.filter("_addresses", lambda e: ~E.is_person_shaped(e))
-    return staged.select(
+    return with_addresses.select(
         *pages.columns,
         first_token(h, GOOGLE_ADS).alias("google_ads"), first_token(h, META_ADS).alias("meta_ads"),
         all_tokens(h, MARTECH).alias("martech"), first_token(h, BOOKING).alias("booking"),

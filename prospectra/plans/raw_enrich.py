@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.functions.identity import none_if_blank
-from prospectra.functions.reviews import growth_of_dates, histogram_bucket
+from prospectra.functions.reviews import growth, histogram_bucket, review_window
 from prospectra.operators.merge import merge_upsert
+from prospectra.operators.stage import staged
 
 # Booking vendors by link pattern.
 BOOKING_VENDORS = (
@@ -37,15 +38,17 @@ def booking_evidence(order_online: Column) -> Column:
 
 def derive(businesses: DataFrame, now: Column) -> DataFrame:
     """Rows for which at least one field could be derived."""
-    grown = growth_of_dates(F.transform("user_reviews", lambda r: r["published_at"]), now)
-    evidence = booking_evidence(F.col("order_online"))
+    dated = staged(businesses, {
+        "_w": review_window(F.transform("user_reviews", lambda r: r["published_at"]), now),
+        "_evidence": booking_evidence(F.col("order_online")),
+    })
+    grown = growth(F.col("_w.n"), F.col("_w.oldest"), F.col("_w.newest"), now)
     raw = none_if_blank(F.col("raw_description"))
-    backfill = F.when(F.coalesce(F.col("description"), F.lit("")) == "", raw)
-    out = businesses.select(
-        "id", F.when(evidence.isNotNull(), True).alias("booking_present"),
-        evidence.alias("marketing_evidence"), grown["growth_score"].alias("growth_score"),
-        grown["growth_signal"].alias("growth_signal"), backfill.alias("description"),
-    )
+    out = staged(dated.select("id", "description", "raw_description", "_w", "_evidence"), {
+        "booking_present": F.when(F.col("_evidence").isNotNull(), True), "marketing_evidence": F.col("_evidence"),
+        "growth_score": grown["growth_score"], "growth_signal": grown["growth_signal"],
+        "description": F.when(F.coalesce(F.col("description"), F.lit("")) == "", raw),
+    }, ("raw_description", "_w", "_evidence"))
     return out.filter(
         F.col("booking_present").isNotNull() | F.col("growth_score").isNotNull()
         | F.col("description").isNotNull()

@@ -8,6 +8,7 @@ from prospectra.functions import emails as E
 from prospectra.functions.identity import registrable
 from prospectra.operators.match import fan_out
 from prospectra.operators.merge import insert_absent, merge_upsert
+from prospectra.operators.stage import staged
 
 # Wording of privacy and proxy services.
 PRIVACY = (
@@ -103,22 +104,22 @@ def contacts(documents: DataFrame) -> DataFrame:
         F.array_join(_named(_fields(e), ("fn", "org")), " / ").alias("who"),
     ))
     wanted = F.array(*[F.lit(r) for r in CONTACT_ROLES])
-    doc = doc.withColumn("_c", F.filter(shaped, lambda c: F.arrays_overlap(c["roles"], wanted)))
+    doc = staged(doc, {"_c": F.filter(shaped, lambda c: F.arrays_overlap(c["roles"], wanted))}, ("_d",))
     in_order = F.flatten(F.transform(
         F.array(*[F.lit(r) for r in ROLE_ORDER]),
         lambda role: F.filter(F.col("_c"), lambda c: F.array_contains(c["roles"], role)),
     ))
-    doc = doc.withColumn("_o", in_order)
+    doc = staged(doc, {"_o": in_order}, ("_c",))
     judged = F.flatten(F.transform("_o", lambda c: F.transform(c["emails"], lambda e: F.struct(
         e.alias("email"), c["who"].alias("who"), _verdict(e, c["proxied"], F.col("domain")).alias("verdict")
     ))))
-    doc = doc.withColumn("_j", judged)
+    doc = staged(doc, {"_j": judged})
     hit = F.get(F.filter("_j", lambda j: j["verdict"] == "found"), F.lit(0))
     private = F.exists("_o", lambda c: c["proxied"]) | F.exists("_j", lambda j: j["verdict"] == "privacy")
     junk = F.exists("_j", lambda j: j["verdict"] == "junk")
     outcome = F.when(hit.isNotNull(), "found").when(private, "privacy").when(junk, "junk").otherwise("redacted")
     who = F.when(hit["who"] != "", hit["who"])
-    return doc.select("domain", outcome.alias("outcome"), hit["email"].alias("email"), who.alias("registrant"))
+    return staged(doc, {"outcome": outcome, "email": hit["email"], "registrant": who}, ("_o", "_j"))
 
 
 def registrar_link(document: Column, registry_base: Column | None = None) -> Column:
@@ -141,9 +142,7 @@ def local_names_registrant(email: Column, registrant: Column) -> Column:
 def accept(found: DataFrame) -> DataFrame:
     """Judges found addresses (domain, website, email, registrant): accepted ones get a confidence."""
     classes = E.address_classes("email", "website")
-    df = found
-    for name, column in classes.items():
-        df = df.withColumn(f"email_{name}" if name == "domain" else name, column)
+    df = staged(found, {f"email_{n}" if n == "domain" else n: c for n, c in classes.items()})
     own = F.col("matches_site_domain")
     theirs = local_names_registrant(F.col("email"), F.col("registrant")) & ~F.col("email_domain").rlike(VENDOR_DOMAIN)
     consumer = F.col("is_free_mail") | F.col("email_domain").rlike(LEGACY_MAIL_DOMAIN)

@@ -7,7 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.functions.emails import clamp
+from prospectra.functions.identity import let
 from prospectra.operators.diff import differs
+from prospectra.operators.stage import staged
 
 # Listing category -> service line.
 CATEGORY_SERVICE = {
@@ -113,14 +115,10 @@ def service_category(primary: Column, categories: Column, pet_primary: str = PET
         F.transform(F.concat(F.array(first), others), lambda c: lookup(CATEGORY_SERVICE, c)),
         lambda s: s.isNotNull(),
     )
-    standalone = F.exists(mapped, lambda s: s.isin(*STANDALONE_SERVICES))
     own = lookup(CATEGORY_SERVICE, first)
-    return (
-        F.when(first.isin(*DISQUALIFYING), F.lit(None))
-        .when(own.isNotNull(), own)
-        .when(~first.rlike(pet_primary) & ~standalone, F.lit(None))
-        .otherwise(best_service(mapped))
-    )
+    return F.when(first.isin(*DISQUALIFYING), F.lit(None)).otherwise(F.coalesce(own, let(mapped, lambda m: F.when(
+        first.rlike(pet_primary) | F.exists(m, lambda s: s.isin(*STANDALONE_SERVICES)), best_service(m)
+    ))))
 
 
 def directory_service(categories: Column, ranked_by_priority: bool = True) -> Column:
@@ -185,9 +183,8 @@ def score(df: DataFrame, cutoffs: tuple[int, int, int] = TIER_CUTOFFS, prefix: s
     blob = F.lower(F.concat_ws(
         "\n", F.col("name"), F.col("primary_category"), F.col("categories"), c("description"), c("about"),
     ))
-    staged = df.withColumn("_service", service).withColumn("_blob", blob)
-    for i, (pattern, _, _) in enumerate(PREMIUM_SIGNALS):
-        staged = staged.withColumn(f"_sig{i}", F.col("_blob").rlike(pattern))
+    texts = staged(df, {"_service": service, "_blob": blob})
+    judged = staged(texts, {f"_sig{i}": F.col("_blob").rlike(p) for i, (p, _, _) in enumerate(PREMIUM_SIGNALS)}, ("_blob",))
     hits = [F.col(f"_sig{i}") for i in range(len(PREMIUM_SIGNALS))]
     rating, reviews = F.col("rating"), F.col("review_count")
     has_site = F.coalesce(F.col("website"), F.lit("")) != ""
@@ -220,7 +217,8 @@ def score(df: DataFrame, cutoffs: tuple[int, int, int] = TIER_CUTOFFS, prefix: s
         F.when(~active & (creatives > 0), "lapsed ad spend"),
     ), lambda s: s.isNotNull())
     off = F.col("_service").isNull()
-    scored = staged.withColumn(f"{prefix}icp_score", points)
+    scored = staged(judged, {f"{prefix}icp_score": points, f"{prefix}signals": F.when(
+        off, F.array(F.lit("off-ICP category"))).otherwise(named)}, tuple(f"_sig{i}" for i in range(len(hits))))
     out_score = F.col(f"{prefix}icp_score")
     status = (
         F.when(off, "REJECTED")
@@ -232,8 +230,7 @@ def score(df: DataFrame, cutoffs: tuple[int, int, int] = TIER_CUTOFFS, prefix: s
         scored.withColumn(f"{prefix}icp_tier", F.when(off, "Tier 4").otherwise(tier(out_score, cutoffs)))
         .withColumn(f"{prefix}qc_status", status)
         .withColumn(f"{prefix}derived_service", F.col("_service"))
-        .withColumn(f"{prefix}signals", F.when(off, F.array(F.lit("off-ICP category"))).otherwise(named))
-        .drop("_service", "_blob", *[f"_sig{i}" for i in range(len(PREMIUM_SIGNALS))])
+        .drop("_service")
     )
 
 

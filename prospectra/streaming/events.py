@@ -61,7 +61,7 @@ def gate(raw: DataFrame, secret: str, now: Column, max_age: int | None = None, m
         return signed.map(lambda s: None if s is None else hmac.new(key, s.encode(), hashlib.sha256).hexdigest())
 
     stamp, digests = signature_parts(F.col("header"))
-    staged = raw.withColumn("_t", stamp).withColumn("_d", digests) \
+    signed = raw.withColumn("_t", stamp).withColumn("_d", digests) \
         .withColumn("_e", digest(F.when(F.coalesce("_t", F.lit("")) != "", F.concat_ws(".", "_t", "body")).otherwise(F.col("body"))))
     age = F.unix_seconds(now) - F.col("_t").try_cast("bigint")
     too_old = F.lit(False) if max_age is None else F.coalesce(age > max_age, F.lit(False))
@@ -73,7 +73,7 @@ def gate(raw: DataFrame, secret: str, now: Column, max_age: int | None = None, m
         .when(too_old, "signature too old")
         .when(F.try_parse_json("body").isNull(), "invalid JSON")
     )
-    return staged.withColumn("reject_reason", reason).drop("_t", "_d", "_e")
+    return signed.withColumn("reject_reason", reason).drop("_t", "_d", "_e")
 
 
 def parsed(valid: DataFrame, schema: str = EVENT) -> DataFrame:
