@@ -10,6 +10,7 @@ from prospectra.functions.identity import host, name_key, phone_key
 from prospectra.functions.reviews import as_time
 from prospectra.operators.diff import histogram
 from prospectra.operators.skew import pack_rows
+from prospectra.operators.stage import staged
 from prospectra.plans import ingest, listing, qc, raw_enrich, scoring as S
 from prospectra.session import new_path
 from prospectra.sources import tables
@@ -136,27 +137,31 @@ def growth_score_buckets(spark, sf):
 
 # -- ingest ------------------------------------------------------------------------------------
 
-def staging(spark, sf):
-    """Orders as staged search hits of the businesses, scored by their own text."""
+def _facts(spark, sf):
+    """What a scrape would say about every business, scored by its own text."""
     biz = with_categories(world(spark, sf, "biz"))
     scored = S.score(biz.drop("booking_present", "growth_score", "ads_confirmed_active", "ads_creative_count"))
-    facts = scored.select(
+    return scored.select(
         F.col("id").alias("business_id"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("place"), F.col("id").cast("string"))).alias("place_id"),
         F.when(F.col("id") % 6 == 1, host("website")).alias("domain"), phone_key("phone").alias("phone_normalized"),
         name_key("name", "city", "state").alias("name_city_state_key"), "name", "website", "phone", "city", "state", "rating",
         "review_count", "primary_category", "categories", "description", "price_range",
         F.coalesce("derived_service", F.lit("dog_training")).alias("service_category"), "icp_score", "icp_tier", "qc_status")
+
+
+def staging(spark, sf):
+    """Orders as staged search hits of the businesses."""
     hits = world(spark, sf, "hits").select("business_id", F.col("term").alias("query"), "geo_target", "phase")
-    return hits.join(facts, "business_id").drop("business_id")
+    return hits.join(_facts(spark, sf), "business_id").drop("business_id")
 
 
 def master(spark, sf):
-    """Businesses known before the batch: every third customer."""
-    known = staging(spark, sf).drop("query", "geo_target", "phase").distinct() \
-        .filter(F.pmod(F.xxhash64("name"), F.lit(3)) == 0)
+    """Businesses known before the batch: every third one, with an old score and no description."""
+    known = _facts(spark, sf).filter(F.col("business_id") % 3 == 0)
     moment = as_time(NOW)
-    return known.select(F.concat(F.lit("b"), F.sha1("name_city_state_key")).alias("id"), *known.columns,
-                        moment.alias("date_discovered"), moment.alias("date_updated")) \
+    return known.select(
+        F.concat(F.lit("b"), F.col("business_id").cast("string")).alias("id"), *[c for c in known.columns if c != "business_id"],
+        moment.alias("date_discovered"), moment.alias("date_updated")) \
         .withColumn("icp_score", F.lit(1)).withColumn("description", F.lit(None).cast("string"))
 
 
@@ -298,8 +303,8 @@ def duplicate_flags(spark, sf):
 
 def _duplicate_input(spark, sf):
     key = F.md5(F.lower(F.regexp_replace("text", "[^A-Za-z0-9]+", "")).cast("binary"))
-    return table(spark, sf, "documents").select(
-        F.col("doc_id").alias("id"), F.col("source").alias("domain"), F.col("lang").alias("phone_normalized"), key.alias("name_city_state_key"))
+    keyed = staged(table(spark, sf, "documents").select("doc_id", "source", "lang", "text"), {"name_city_state_key": key}, ("text",))
+    return keyed.withColumnsRenamed({"doc_id": "id", "source": "domain", "lang": "phone_normalized"})
 
 
 @query("D14 S10", """

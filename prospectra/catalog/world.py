@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from prospectra.sources.tables import spread
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -100,14 +102,20 @@ WORLD = {
 }
 
 
+# Tables whose rows carry whole texts: work on them is per row and heavy.
+TEXT_TABLES = ("documents", "pages", "conversations", "crawl")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def world(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the derived tables."""
-    return spark.sql(WORLD[name].format(**{t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}))
+    df = spark.sql(WORLD[name].format(**{t: f"parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}))
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def oracle(body: str, *names: str) -> str:

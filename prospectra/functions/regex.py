@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str | Column) -> Column:
     """All matches as ``array<struct<start,hit>>``, ``start`` counted from 1.
 
     The pieces between the matches come from splitting on the same pattern, so
     positions are running sums of lengths.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    hits = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.slice(F.split(text, pattern, -1), 1, F.greatest(F.size(hits), F.lit(0)))
     pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), h.alias("hit")))
     start = F.struct(

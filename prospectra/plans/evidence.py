@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from prospectra.functions import emails as E
-from prospectra.functions.identity import let
+from prospectra.functions.regex import before, located
 from prospectra.functions.text import find_payment_terms
 from prospectra.operators.stage import staged
 
@@ -53,16 +53,13 @@ def title_near_name(title: Column, name: Column, page: Column, reach: int = TITL
     All three are folded text.
     """
     def near(who: Column) -> Column:
-        around = F.concat(
-            F.lit(rf"(?s)(?<=(^.{{0,{reach - 1}}}|.{{{reach}}}))"), whole_phrase(who), F.lit(rf"(?=(.{{0,{reach}}}))")
+        def window(m: Column) -> Column:
+            after = F.substring(page, m["start"] + F.length(m["hit"]), F.lit(reach))
+            return F.concat(before(page, m["start"], reach), m["hit"], after)
+
+        return F.exists(
+            located(page, whole_phrase(who)), lambda m: F.regexp_like(window(m), whole_phrase(title))
         )
-        return let(around, lambda p: F.exists(
-            F.zip_with(
-                F.regexp_extract_all(page, p, F.lit(1)), F.regexp_extract_all(page, p, F.lit(2)),
-                lambda a, b: F.concat(a, who, b),
-            ),
-            lambda w: F.regexp_like(w, whole_phrase(title)),
-        ))
 
     first = F.substring_index(name, " ", 1)
     possible = (title != "") & (first != "") & F.contains(page, title) & F.contains(page, first)

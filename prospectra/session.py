@@ -29,7 +29,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.driver.bindAddress", "127.0.0.1")
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Rows are few and the work per row heavy: keep the cores busy.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

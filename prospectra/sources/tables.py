@@ -83,3 +83,13 @@ def split_valid(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, Da
     )
     judged = df.withColumn("broken_checks", broken)
     return judged.filter(F.size("broken_checks") == 0).drop("broken_checks"), judged.filter(F.size("broken_checks") > 0)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows spread over all cores when the scan has fewer splits than there are cores.
+
+    A few large files would leave most of a cluster idle under per-row text work.
+    A scan with enough splits, the normal case at scale, is returned untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
