@@ -143,7 +143,7 @@ def find_placeholder(text: Column | str) -> Column:
 def _lines(text: Column, trimmed: bool) -> Column:
     lines = F.split(F.rtrim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+$", "")), "\r?\n")
     if trimmed:
-        lines = F.transform(lines, F.trim)
+        lines = F.transform(lines, lambda ln: F.trim(ln))
     return F.filter(lines, lambda ln: F.trim(ln) != "")
 
 

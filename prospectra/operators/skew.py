@@ -7,20 +7,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 def salted_join(
     big: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
-    hot_keys: int = 64, salts: int = 32,
+    hot_keys: int = 64, salts: int = 32, counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a lookup unique on ``on``, spreading the ``hot_keys`` commonest keys.
 
     Only the hot keys' lookup rows are repeated, so at most ``hot_keys * salts``
     rows are added and the broadcast list never exceeds ``hot_keys`` rows. All
-    other keys take the ordinary shuffle; no row is dropped.
+    other keys take the ordinary shuffle; no row is dropped. ``counts`` (the
+    keys and a column ``count``) saves counting them again.
     """
-    hot = (
-        big.groupBy(*on).count().orderBy(F.desc("count"), *on).limit(hot_keys)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
+    counted = counts if counts is not None else big.groupBy(*on).count()
+    hot = counted.orderBy(F.desc("count"), *on).limit(hot_keys).select(*on, F.lit(True).alias("_hot"))
     # A hash of the row, not a random number: a recomputed task must route rows the same way.
-    row_hash = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
+    hashed = [c for c, t in big.dtypes if "map" not in t and "variant" not in t]
+    row_hash = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
     salt = F.when(F.col("_hot"), row_hash).otherwise(0)
     left = big.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
@@ -45,13 +45,13 @@ def pack_rows(
     and no row is lost.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > max_items).select(
-        *keys, F.ceil(F.col("_n") / F.lit(max_items)).alias("_chunks")
-    )
+    large = sizes.filter(F.col("_n") > max_items)
+    chunks = large.select(*keys, F.ceil(F.col("_n") / F.lit(max_items)).alias("_chunks"))
+    counts = large.select(*keys, F.col("_n").alias("count"))
     item = F.struct(*order, *[v for v in values if v not in order])
     spread = F.pmod(F.xxhash64(*order, *values), F.coalesce(F.col("_chunks"), F.lit(1)))
     return (
-        df.join(large, keys, "left")
+        salted_join(df.select(*keys, *dict.fromkeys([*order, *values])), chunks, keys, "left", counts=counts)
         .withColumn("chunk", spread.cast("int"))
         .groupBy(*keys, "chunk")
         .agg(F.array_sort(F.collect_list(item)).alias(into))

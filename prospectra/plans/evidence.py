@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 from prospectra.functions import emails as E
 from prospectra.functions.regex import before, located
 from prospectra.functions.text import find_payment_terms
+from prospectra.operators.skew import salted_join
 from prospectra.operators.stage import staged
 
 # Words that show somebody owns or runs a business.
@@ -105,7 +106,9 @@ def prove(claims: DataFrame, pages: DataFrame) -> DataFrame:
     """
     packed = claims.groupBy("business_id").agg(
         F.collect_list(F.struct("idx", "kind", "piece_no", "phrase", "who")).alias("_claims"))
-    seen = staged(pages.join(packed, "business_id"), {"_page": folded(F.col("text"))})
+    told = salted_join(pages.select("business_id", "text"), packed, ["business_id"], "inner",
+                       counts=pages.groupBy("business_id").count())
+    seen = staged(told, {"_page": folded(F.col("text"))}, ("text",))
     judged = seen.select("business_id", F.explode(F.transform("_claims", lambda c: F.struct(
         c["idx"].alias("idx"), c["kind"].alias("kind"), c["piece_no"].alias("piece_no"),
         F.when(c["kind"] == "title", title_near_name(c["phrase"], c["who"], F.col("_page")))

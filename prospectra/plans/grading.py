@@ -44,7 +44,7 @@ def parse_evaluation(reply: Column) -> dict[str, Column]:
             F.try_variant_get(v, f"$.scores.{criterion}", "double"), F.try_variant_get(v, f"$.{criterion}", "double"))
         out[criterion] = F.least(F.lit(5), F.greatest(F.lit(1), F.bround(raw).cast("int"))) * F.when(raw.isNotNull(), 1)
     unmet = F.coalesce(F.try_variant_get(v, "$.unmet_requirements", "array<string>"), F.array().cast("array<string>"))
-    out["unmet"] = F.filter(F.transform(unmet, F.trim), lambda u: u != "")
+    out["unmet"] = F.filter(F.transform(unmet, lambda u: F.trim(u)), lambda u: u != "")
     complete = F.lit(True)
     for criterion in RUBRIC:
         complete = complete & out[criterion].isNotNull()
@@ -54,7 +54,7 @@ def parse_evaluation(reply: Column) -> dict[str, Column]:
 
 def critic(text: Column) -> dict[str, Column]:
     """Criticism lines, how many are severe, and the confidence they leave."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: F.contains(x, F.lit("|")))
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: F.contains(x, F.lit("|")))
     severe = F.size(F.filter(lines, lambda x: F.contains(F.upper(x), F.lit("SEVERITY: HIGH"))))
     return {"criticisms": lines, "severe": severe,
             "confidence": F.greatest(F.lit(0.1), F.lit(1.0) - severe * F.lit(0.3))}

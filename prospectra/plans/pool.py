@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.functions import emails as E
+from prospectra.operators.skew import salted_join
 
 CONTACTS = "array<struct<name:string,title:string,email:string,is_decision_maker:boolean,evidence:string>>"
 
@@ -34,7 +35,8 @@ def live_pool(pool: DataFrame, pages: DataFrame) -> DataFrame:
     totals = rows.groupBy("business_id").agg(
         F.count_if("on_page").alias("_on"), F.count(F.lit(1)).alias("_all")
     )
-    rows = rows.join(totals, "business_id")
+    counts = totals.select("business_id", F.col("_all").alias("count"))
+    rows = salted_join(rows, totals, ["business_id"], "inner", counts=counts)
     partly = (F.col("_on") > 0) & (F.col("_on") < F.col("_all"))
     first = F.split(E.local_part("email"), "[._+-]", 2)[0]
     personal = F.coalesce(~F.col("is_role"), F.lit(False)) & first.rlike(r"^\p{L}{3,}$")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -14,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also when that costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Building a plan is several times faster without a stack trace per column.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -41,6 +44,11 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     return spark
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="prospectra-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
@@ -51,9 +59,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="prospectra-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_dir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -28,10 +29,12 @@ def written(df: DataFrame, path: str) -> DataFrame:
 
 def optional_table(spark: SparkSession, path: str, schema) -> DataFrame:
     """A table that may not exist yet; then an empty one of the same schema."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    try:
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def append_log(df: DataFrame, path: str, at: str) -> None:

@@ -40,7 +40,7 @@ def with_time(events: DataFrame) -> DataFrame:
 def signature_parts(header: Column) -> tuple[Column, Column]:
     """(first timestamp, all digests) of a ``t=..,v1=..`` header."""
     stamp = F.get(F.regexp_extract_all(header, F.lit(r"(?:^|,)\s*t\s*=\s*([^,]*?)\s*(?:,|$)"), F.lit(1)), F.lit(0))
-    parts = F.transform(F.split(header, ","), F.trim)
+    parts = F.transform(F.split(header, ","), lambda p: F.trim(p))
     digests = F.transform(
         F.filter(parts, lambda p: p.rlike(r"^v1\s*=")), lambda p: F.trim(F.regexp_replace(p, r"^v1\s*=", ""))
     )
