@@ -56,11 +56,11 @@ def reject_counts(spark, sf):
     return email_job.reject_counts(world(spark, sf, "crawl"))
 
 
-@query("D06 S09", f"""WITH {_SEEN} SELECT business_id, email, CAST(conf AS INTEGER) AS confidence, CASE WHEN business_id % 2 = 0 THEN 'rdap' ELSE 'crawl' END AS source FROM a""", ("crawl",))
+@query("D06 S09", f"""WITH {_SEEN} SELECT business_id, email, CAST(conf AS INTEGER) AS confidence, CASE WHEN is_role THEN 'rdap' ELSE 'crawl' END AS source FROM a""", ("crawl",))
 def stored_addresses(spark, sf):
     """Addresses stored before keep the channel they came through."""
     fresh = _addresses(spark, sf)
-    before = fresh.filter("business_id % 2 = 0").withColumn("confidence", F.lit(1)).withColumn("source", F.lit("rdap"))
+    before = fresh.filter("is_role").withColumn("confidence", F.lit(1)).withColumn("source", F.lit("rdap"))
     return email_job.store(before, fresh, as_time("2026-01-01")).select(
         "business_id", "email", "confidence", F.coalesce("source", F.lit("crawl")).alias("source"))
 
@@ -206,18 +206,18 @@ def crawl_targets(spark, sf):
 
 @query("P05 J09", """
     SELECT id FROM biz LEFT JOIN (SELECT business_id, bool_or(text <> '') AS t, bool_or(http_status = 404) AS f FROM crawl GROUP BY 1) ON business_id = id
-    WHERE (NOT coalesce(t, FALSE) OR coalesce(f, FALSE)) AND id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 2 = 0)
+    WHERE (NOT coalesce(t, FALSE) OR coalesce(f, FALSE)) AND id NOT IN (SELECT doc_id FROM documents WHERE lang = 'fr')
 """, ("biz", "crawl"))
 def crawl_gaps(spark, sf):
     crawl = world(spark, sf, "crawl").withColumn("fetch_error", F.lit(None).cast("string"))
-    second = table(spark, sf, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").alias("business_id"), F.lit("x").alias("text"))
+    second = table(spark, sf, "documents").filter("lang = 'fr'").select(F.col("doc_id").alias("business_id"), F.lit("x").alias("text"))
     return page_signals.crawl_gaps(world(spark, sf, "biz"), crawl, second).select("id")
 
 
-@query("P07", """SELECT doc_id FROM documents WHERE length(text) = 500 AND doc_id % 2 = 0""")
+@query("P07", """SELECT doc_id FROM documents WHERE length(text) = 380 AND lang = 'en'""")
 def cut_off_texts(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("fetched_at", F.when(F.col("doc_id") % 2 == 0, as_time("2025-01-01")).otherwise(as_time("2026-01-01")))
-    return page_signals.cut_off_texts(docs, 500, as_time("2025-06-01")).select("doc_id")
+    docs = table(spark, sf, "documents").withColumn("fetched_at", F.when(F.col("lang") == "en", as_time("2025-01-01")).otherwise(as_time("2026-01-01")))
+    return page_signals.cut_off_texts(docs, 380, as_time("2025-06-01")).select("doc_id")
 
 
 # -- people ------------------------------------------------------------------------------------

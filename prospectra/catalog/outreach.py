@@ -333,12 +333,12 @@ def contact_keys(spark, sf):
 
 
 @query("D28 J22", """
-    SELECT c_custkey AS business_id, CASE WHEN c_custkey % 10 = 0 THEN 'reuse' ELSE 'create' END AS action, 'URGENT@site' || c_custkey || '.test' AS enrolled, 1 AS not_enrolled FROM customer
+    SELECT c_custkey AS business_id, CASE WHEN c_acctbal < 1000 THEN 'reuse' ELSE 'create' END AS action, 'URGENT@site' || c_custkey || '.test' AS enrolled, 1 AS not_enrolled FROM customer
 """)
 def campaign_rows(spark, sf):
     biz, rows = _contacts(spark, sf)
     biz = biz.withColumn("name", F.concat(F.lit("b"), F.col("business_id").cast("string")))
-    existing = biz.filter("business_id % 10 = 0").select(F.col("name").alias("campaign_name"), F.col("business_id").alias("campaign_id"))
+    existing = biz.filter("balance < 1000").select(F.col("name").alias("campaign_name"), F.col("business_id").alias("campaign_id"))
     return PL.campaigns(biz, rows, existing).select("business_id", "action", "enrolled", F.col("not_enrolled").cast("int").alias("not_enrolled"))
 
 

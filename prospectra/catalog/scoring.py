@@ -85,7 +85,7 @@ _RESCORE = f"""
                  coalesce(o.service, 'dog_training') AS c0, coalesce(n.service, o.service, 'dog_training') AS c1 FROM old o JOIN new n ON n.id = o.id)"""
 
 
-@query("D02 P18", _RESCORE + """ SELECT id, CAST(s0 AS INTEGER) AS icp_score, CAST(s1 AS INTEGER) AS new_icp_score, t1 AS new_icp_tier, q1 AS new_qc_status, c1 AS new_service_category
+@query("D02 P18 P20", _RESCORE + """ SELECT id, CAST(s0 AS INTEGER) AS icp_score, CAST(s1 AS INTEGER) AS new_icp_score, t1 AS new_icp_tier, q1 AS new_qc_status, c1 AS new_service_category
     FROM d WHERE s0 <> s1 OR t0 <> t1 OR q0 <> q1 OR c0 <> c1""", ("biz",))
 def rescore_changes(spark, sf):
     return S.rescore_changes(stored_scores(spark, sf)).select(
@@ -156,8 +156,8 @@ def staging(spark, sf):
 
 
 def master(spark, sf):
-    """Businesses known before the batch: every third one, with an old score and no description."""
-    known = _facts(spark, sf).filter(F.col("business_id") % 3 == 0)
+    """Businesses known before the batch: the well-rated ones, with an old score and no description."""
+    known = _facts(spark, sf).filter(F.col("rating") >= 4.5)
     moment = as_time(NOW)
     return known.select(
         F.concat(F.lit("b"), F.col("business_id").cast("string")).alias("id"), *[c for c in known.columns if c != "business_id"],

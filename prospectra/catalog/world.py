@@ -86,8 +86,8 @@ WORLD = {
                    WHEN 1 THEN ' (write Pat.Lee' || CAST(d.doc_id % 7 AS STRING) || '@gmail.com) or filler@godaddy.com, logo@2x.png'
                    WHEN 2 THEN ' Mail erin@site' || CAST({half('d.doc_id', 3)} AS STRING) || '.test; noreply@site1.test'
                    ELSE '' END ||
-                 CASE WHEN {half('d.doc_id', 3)} % 5 = 1 THEN ' Erin ' || {pick('Kline|Hurst|Dorn|Frye|Tuck|Sato|Moreno', half('d.doc_id', 3))} || ', Owner of the place. '
-                      WHEN d.doc_id % 5 = 2 THEN ' Every dog owner knows. Founder Dr. Ian ' || {pick('Dorn|Hale|Marsh', 'd.doc_id')} || ' trains. '
+                 CASE WHEN {half('d.doc_id', 3)} % 5 = 1 THEN '; Erin ' || {pick('Kline|Hurst|Dorn|Frye|Tuck|Sato|Moreno', half('d.doc_id', 3))} || ', Owner of the place. '
+                      WHEN d.doc_id % 5 = 2 THEN '. Every dog owner knows. Founder Dr. Ian ' || {pick('Dorn|Hale|Marsh', 'd.doc_id')} || ' trains. '
                       ELSE '' END END AS text
         FROM {{documents}} d
     """,

@@ -36,23 +36,28 @@ def salted_join(
 
 def pack_rows(
     df: DataFrame, keys: list[str], order: list[str], values: list[str],
-    into: str = "items", max_items: int = 10_000,
+    into: str = "items", max_items: int = 10_000, salts: int = 32,
 ) -> DataFrame:
     """Rows of a key as a sorted array of structs, in chunks of about ``max_items``.
 
     A key at or below the limit gives one row, ``chunk`` 0. A larger key is
     spread over as many chunks as it needs, so no task holds the whole group
-    and no row is lost.
+    and no row is lost. The chunk counts are repeated ``salts`` times for the
+    join, which is ``salts / max_items`` of the rows at most.
     """
+    row_hash = F.xxhash64(*dict.fromkeys([*order, *values]))
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > max_items)
-    chunks = large.select(*keys, F.ceil(F.col("_n") / F.lit(max_items)).alias("_chunks"))
-    counts = large.select(*keys, F.col("_n").alias("count"))
+    chunks = sizes.filter(F.col("_n") > max_items).select(
+        *keys, F.ceil(F.col("_n") / F.lit(max_items)).alias("_chunks"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+    )
+    rows = df.select(*keys, *[c for c in dict.fromkeys([*order, *values]) if c not in keys]).withColumn("_hash", row_hash)
+    # The salt takes the upper half of the hash, the chunk the lower, so neither decides the other.
+    salted = rows.withColumn("_salt", F.pmod(F.shiftright("_hash", 32), F.lit(salts)).cast("int"))
     item = F.struct(*order, *[v for v in values if v not in order])
-    spread = F.pmod(F.xxhash64(*order, *values), F.coalesce(F.col("_chunks"), F.lit(1)))
     return (
-        salted_join(df.select(*keys, *dict.fromkeys([*order, *values])), chunks, keys, "left", counts=counts)
-        .withColumn("chunk", spread.cast("int"))
+        salted.join(chunks, [*keys, "_salt"], "left")
+        .withColumn("chunk", F.pmod(F.col("_hash"), F.coalesce("_chunks", F.lit(1))).cast("int"))
         .groupBy(*keys, "chunk")
         .agg(F.array_sort(F.collect_list(item)).alias(into))
     )
