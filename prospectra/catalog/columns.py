@@ -189,7 +189,7 @@ def document_phones(spark, sf):
 MONTHLY = "n / (greatest(span, 30.0) / 30.44)"
 
 
-@query("F19 A09", f"""
+GROWTH_SQL = f"""
     WITH s AS (SELECT o_custkey, COUNT(*) AS n, MAX(o_orderdate) AS newest, MIN(o_orderdate) AS oldest,
                       date_diff('day', MAX(o_orderdate), TIMESTAMP '2000-06-30') AS since,
                       date_diff('day', MIN(o_orderdate), MAX(o_orderdate))::DOUBLE AS span
@@ -197,7 +197,10 @@ MONTHLY = "n / (greatest(span, 30.0) / 30.44)"
     p AS (SELECT *, CASE WHEN since <= 30 THEN 50 WHEN since <= 90 THEN 40 WHEN since <= 180 THEN 28
                          WHEN since <= 365 THEN 15 WHEN since <= 730 THEN 5 ELSE 0 END
                   + CASE WHEN {MONTHLY} >= 4 THEN 50 WHEN {MONTHLY} >= 2 THEN 40 WHEN {MONTHLY} >= 1 THEN 30
-                         WHEN {MONTHLY} >= 0.5 THEN 20 WHEN {MONTHLY} >= 0.25 THEN 10 ELSE 4 END AS score FROM s)
+                         WHEN {MONTHLY} >= 0.5 THEN 20 WHEN {MONTHLY} >= 0.25 THEN 10 ELSE 4 END AS score FROM s)"""
+
+
+@query("F19 A09", f"""{GROWTH_SQL}
     SELECT o_custkey, CASE WHEN n >= 3 THEN score END AS growth_score,
            CASE WHEN n >= 3 THEN n >= 8 AND span < 30 END AS capped,
            CASE WHEN n >= 3 THEN CAST(least(80, floor(score / 20) * 20) AS INTEGER) END AS bucket FROM p
@@ -382,7 +385,7 @@ def address_lines(spark, sf):
         F.lit("info@site.test"), verified, F.lit("5.1.1 no such user"), F.lit(True), own).alias("line"))
 
 
-@query("F26 F27")
+@query("F26 F27", "SELECT lang, COUNT(*) AS documents, COUNT(*) AS quoted FROM documents GROUP BY 1")
 def quotes_on_page(spark, sf):
     """A passage of every document looked for in the folded text of the whole document."""
     from prospectra.plans.evidence import folded, pieces

@@ -187,7 +187,12 @@ def social_breadth(spark, sf):
     return page_signals.social_breadth(rolled, reviews, "site")
 
 
-@query("W07 F09 S11")
+@query("W07 F09 S11", r"""
+    WITH p AS (SELECT page_id, lower(regexp_extract(url, '^(https?://[^/?#]+)', 1)) AS o,
+                      regexp_replace(regexp_replace(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), '[^/]*$', ''), '[^/]+/$', '') AS up FROM pages WHERE page_id % 8 = 0)
+    SELECT page_id, 'about' AS kind, o || '/about-us/team' AS subpage, 1 AS rank FROM p
+    UNION ALL SELECT page_id, 'pricing', o || up || 'pricing', 2 FROM p UNION ALL SELECT page_id, 'contact', o || '/contact', 3 FROM p
+""")
 def subpages(spark, sf):
     """Up to three sub-pages per page, about before pricing before contact."""
     picked = page_signals.subpages(markup(spark, sf), "page_id")
@@ -228,18 +233,22 @@ def _people(spark, sf):
     return found, people.score_people(found, mails)
 
 
-@query("D07", """
-    WITH p AS (SELECT page_seq, business_id, page_kind, text, 'Erin ' || split_part('Kline|Hurst|Dorn|Frye|Tuck|Sato|Moreno', '|', CAST(business_id % 7 AS INT) + 1) AS erin,
+_NAMED = """
+    p AS (SELECT page_seq, business_id, page_kind, text, 'Erin ' || split_part('Kline|Hurst|Dorn|Frye|Tuck|Sato|Moreno', '|', CAST(business_id % 7 AS INT) + 1) AS erin,
                       'Ian ' || split_part('Dorn|Hale|Marsh', '|', CAST(page_seq % 3 AS INT) + 1) AS ian FROM crawl WHERE text <> '')
-    SELECT page_seq, erin AS name, 'Owner' AS title, 'name_comma_title' AS pattern FROM p WHERE business_id % 5 = 1
-    UNION ALL SELECT page_seq, ian, 'Founder', 'title_then_name' FROM p WHERE business_id % 5 <> 1 AND page_seq % 5 = 2
-""", ("crawl",))
+    , c AS (SELECT business_id, page_kind, page_seq, erin AS name, 'Owner' AS title, 'name_comma_title' AS pattern, 'high' AS confidence, 34 AS base FROM p WHERE business_id % 5 = 1
+            UNION ALL SELECT business_id, page_kind, page_seq, ian, 'Founder', 'title_then_name', 'medium', 26 FROM p WHERE business_id % 5 <> 1 AND page_seq % 5 = 2),
+    d AS (SELECT business_id, name, title, confidence, CAST(MAX(base) + CASE WHEN bool_or(page_kind = 'about') THEN 3 ELSE 0 END AS DOUBLE) AS score, COUNT(*) AS mentions, MIN(pattern) AS patterns
+          FROM c GROUP BY 1, 2, 3, 4)"""
+
+
+@query("D07", f"WITH {_NAMED.strip()} SELECT page_seq, name, title, pattern FROM c", ("crawl",))
 def person_candidates(spark, sf):
     found = people.candidates(world(spark, sf, "crawl"))
     return found.select("page_seq", "name", "title", "pattern")
 
 
-@query("D08 W10")
+@query("D08 W10", f"WITH {_NAMED.strip()} SELECT business_id, name, title, confidence, score, FALSE AS email_match, mentions, patterns FROM d", ("crawl",))
 def decision_makers(spark, sf):
     """One person per business or none, with the score and what corroborates it."""
     _, scored = _people(spark, sf)
@@ -247,7 +256,8 @@ def decision_makers(spark, sf):
         "business_id", "name", "title", "confidence", "score", "email_match", "mentions", F.array_join("patterns", ",").alias("patterns"))
 
 
-@query("A27 F37")
+@query("A27 F37", f"""WITH {_NAMED.strip()} SELECT COUNT(*) AS found, COUNT(*) FILTER (WHERE confidence = 'high') AS high, COUNT(*) FILTER (WHERE confidence = 'medium') AS medium,
+    COUNT(*) FILTER (WHERE confidence = 'low') AS low, COUNT(*) FILTER (WHERE confidence = 'low') AS below_threshold FROM d""", ("crawl",))
 def person_levels(spark, sf):
     _, scored = _people(spark, sf)
     return people.level_counts(scored)
@@ -309,7 +319,10 @@ def registration_accepted(spark, sf):
     return registration.accept(found).select("domain", "email", "confidence", "reason")
 
 
-@query("D10 J17 J06 S10")
+@query("D10 J17 J06 S10", """
+    SELECT CASE WHEN id % 4 = 3 THEN TRUE WHEN f THEN FALSE END AS kept, CASE WHEN f THEN 1 END AS addresses, COUNT(*) AS businesses
+    FROM (SELECT c_custkey AS id, c_custkey % 6 IN (3, 5) AS f FROM customer) GROUP BY 1, 2
+""")
 def registration_stored(spark, sf):
     """Addresses and entities after a run: an address already known stays."""
     docs = registrations(spark, sf)
@@ -415,13 +428,24 @@ def form_verdicts(spark, sf):
     return forms.classify(markup(spark, sf), "page_id").select("page_id", "form_key", "ok", "reason", "n_fields", "traps")
 
 
-@query("D12 F11")
+@query("D12 F11", """
+    SELECT 'email' AS role, 'input' AS type, FALSE AS is_trap, 'Your E-Mail' AS label, COUNT(*) AS n FROM pages WHERE page_id % 6 = 0
+    UNION ALL SELECT 'message', 'textarea', FALSE, NULL, COUNT(*) FROM pages WHERE page_id % 6 = 0
+    UNION ALL SELECT NULL, 'text', TRUE, NULL, COUNT(*) FROM pages WHERE page_id % 6 = 0
+    UNION ALL SELECT NULL, 'input', FALSE, NULL, COUNT(*) FROM pages WHERE page_id % 6 = 1
+    UNION ALL SELECT 'email', 'email', FALSE, NULL, COUNT(*) FROM pages WHERE page_id % 6 = 2
+    UNION ALL SELECT NULL, 'submit', FALSE, NULL, COUNT(*) FROM pages WHERE page_id % 6 = 2
+""")
 def form_fields(spark, sf):
     found = forms.fields_of(forms.forms_of(markup(spark, sf).select("page_id", "html")).select("page_id", "form_index", "body"))
     return found.groupBy("role", "type", "is_trap", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("W08 J20 W13")
+@query("W08 J20 W13", f"""
+    WITH f AS (SELECT CAST(FLOOR(page_id / 3) AS BIGINT) AS id, {duck_host('url')} AS site FROM pages WHERE page_id % 6 = 0)
+    SELECT site, id, 'f1' AS form_key FROM f WHERE site NOT IN (SELECT site FROM f WHERE id % 10 = 0)
+    QUALIFY row_number() OVER (PARTITION BY site ORDER BY id % 90 DESC, id) = 1
+""")
 def best_forms(spark, sf):
     """The usable form with most fields per site, one business per website."""
     classified = forms.classify(markup(spark, sf), "page_id").withColumn("site_no", F.floor(F.col("page_id") / 3))

@@ -324,7 +324,10 @@ def drafted_pool(spark, sf):
     return PL.drafted_only(pool(spark, sf), drafts(spark, sf)).select("business_id", "email")
 
 
-@query("F33 D27")
+@query("F33 D27", f"""
+    WITH {_POOL}, n AS (SELECT c_custkey, 2 + COUNT(email) FILTER (WHERE k <> 1 AND email NOT LIKE 'urgent@%') AS contacts FROM customer LEFT JOIN pool ON business_id = c_custkey GROUP BY 1)
+    SELECT contacts, COUNT(*) AS businesses, CAST(MIN(length(CAST(c_custkey AS VARCHAR))) + 32 AS INTEGER) AS shortest FROM n GROUP BY 1
+""")
 def contact_keys(spark, sf):
     """One idempotency key per business; equal content gives equal keys."""
     _, rows = _contacts(spark, sf)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from prospectra.catalog.columns import GROWTH_SQL
 from prospectra.catalog.registry import query
 from prospectra.catalog.world import NOW, table, world
 from prospectra.functions.identity import host, name_key, phone_key
@@ -125,7 +126,10 @@ def raw_enrichment(spark, sf):
     return merged.groupBy("marketing_evidence", "growth_score", F.col("description").isNull().alias("no_text")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("A09 D03")
+@query("A09 D03", f"""{GROWTH_SQL}
+    SELECT lo || '-' || CASE WHEN lo = 80 THEN 100 ELSE lo + 19 END AS bucket, COUNT(*) AS n
+    FROM (SELECT CAST(least(80, floor(score / 20) * 20) AS INTEGER) AS lo FROM p WHERE n >= 3) GROUP BY 1
+""")
 def growth_score_buckets(spark, sf):
     now = as_time("2000-06-30 00:00:00")
     at = F.col("o_orderdate").cast("timestamp")

@@ -8,6 +8,7 @@ from prospectra.catalog.registry import query
 from prospectra.catalog.world import table, world
 from prospectra.operators.merge import insert_absent, last_per_key, merge_upsert, restore_values
 from prospectra.plans import page_signals
+from prospectra.schemas import EVENT
 from prospectra.session import new_path
 from prospectra.sources import places, reader, tables
 from prospectra.streaming import events as ev
@@ -243,18 +244,31 @@ def stream_classes(spark, sf):
     return ev.run_to_files(stream, spark, "classes").groupBy("event_class").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("ST02 ST03")
+def _signed(secret: str, message):
+    """HMAC-SHA256 as hex, built from two SHA-256 calls, to play the sender."""
+    key = secret.encode().ljust(64, b"\0")
+    inner, outer = (F.lit(bytearray(x ^ pad for x in key)) for pad in (0x36, 0x5C))
+    first = F.unhex(F.sha2(F.concat(inner, message.cast("binary")), 256))
+    return F.sha2(F.concat(outer, first), 256)
+
+
+@query("ST02 ST03", """
+    SELECT CASE event_id % 10 WHEN 1 THEN 'no signature header' WHEN 2 THEN 'no digest in header' WHEN 3 THEN 'digest mismatch' END AS reject_reason,
+           event_id % 50 = 0 AS is_ping, COUNT(*) AS n FROM events GROUP BY 1, 2
+""")
 def stream_gate(spark, sf):
     """Events as signed deliveries; every reject reason counted, pings told from real events."""
-    raw = ev.file_events(spark, sf)
     body = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), "event_type", F.struct(
         F.when(F.col("event_id") % 50 == 0, "ping").alias("challenge")).alias("data")))
-    good = F.sha2(F.concat(F.lit("wrong"), body), 256)
-    header = F.when(F.col("event_id") % 10 == 1, "").when(F.col("event_id") % 10 == 2, "t=1704100000") \
-        .otherwise(F.concat(F.lit("t=1704100000,v1="), good))
-    checked = ev.gate(raw.select("event_id", body.alias("body"), header.alias("header")), "secret", F.lit("2024-01-02").cast("timestamp"))
-    return ev.run_to_files(checked.select("event_id", "reject_reason"), spark, "gate") \
-        .groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    digest = _signed("secret", F.concat_ws(".", F.lit("1704100000"), "body"))
+    kind = F.col("event_id") % 10
+    header = F.when(kind == 1, "").when(kind == 2, "t=1704100000").when(kind == 3, "t=1704100000,v1=00") \
+        .otherwise(F.concat(F.lit("t=1704100000,v1=00,v1="), digest))
+    raw = ev.file_events(spark, sf).select("event_id", body.alias("body")).withColumn("header", header)
+    checked = ev.gate(raw, "secret", F.lit("2024-01-02").cast("timestamp"))
+    event = checked.withColumn("data", F.from_json("body", EVENT)["data"])
+    return ev.run_to_files(event.select("reject_reason", ev.is_challenge(event).alias("is_ping")), spark, "gate") \
+        .groupBy("reject_reason", "is_ping").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("ST04", """
@@ -331,9 +345,12 @@ def stream_outcome_counts(spark, sf):
     return spark.read.parquet(out).groupBy("outcome").agg(F.sum("n").alias("n"))
 
 
-@query("W07 F09")
+@query("W07 F09", r"""
+    SELECT len(string_split(h, '/')) - 1 AS depth, FALSE AS unresolved, COUNT(*) AS n
+    FROM (SELECT unnest(regexp_extract_all(html, '(?i)href\s*=\s*["'']([^"'']+)["'']', 1)) AS h FROM pages) GROUP BY 1
+""")
 def followed_links(spark, sf):
     """Links of all pages by resolved path depth."""
     found = page_signals.links(table(spark, sf, "pages"))
-    depth = F.size(F.split("target", "/")) - 3
+    depth = (F.size(F.split("target", "/")) - 3).cast("long")
     return found.groupBy(depth.alias("depth"), F.col("target").isNull().alias("unresolved")).agg(F.count(F.lit(1)).alias("n"))
