@@ -4,22 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from prospectra.functions.identity import let
+
+
+HITS = "array<struct<start:int,hit:string>>"
+
 
 def located(text: Column, pattern: str | Column) -> Column:
     """All matches as ``array<struct<start,hit>>``, ``start`` counted from 1.
 
     The pieces between the matches come from splitting on the same pattern, so
-    positions are running sums of lengths.
+    positions are running sums of lengths. A text without a match is read once.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    hits = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), 1, F.greatest(F.size(hits), F.lit(0)))
-    pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), h.alias("hit")))
-    start = F.struct(
-        F.lit(1).alias("pos"), F.array().cast("array<struct<start:int,hit:string>>").alias("out")
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
+    return let(found, lambda hits: F.when(F.size(hits) == 0, F.array().cast(HITS)).otherwise(
+        _with_starts(F.split(text, pattern, -1), hits)
+    ))
+
+
+def _with_starts(gaps: Column, hits: Column) -> Column:
+    pairs = F.zip_with(
+        F.slice(gaps, 1, F.greatest(F.size(hits), F.lit(0))), hits,
+        lambda g, h: F.struct(F.length(g).alias("gap"), h.alias("hit")),
     )
     return F.aggregate(
-        pairs, start,
+        pairs, F.struct(F.lit(1).alias("pos"), F.array().cast(HITS).alias("out")),
         lambda acc, p: F.struct(
             (acc["pos"] + p["gap"] + F.length(p["hit"])).alias("pos"),
             F.concat(acc["out"], F.array(F.struct(
