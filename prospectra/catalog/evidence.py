@@ -263,7 +263,11 @@ def person_levels(spark, sf):
     return people.level_counts(scored)
 
 
-@query("D34 F37 J06")
+@query("D34 F37 J06", f"""
+    WITH {_NAMED.strip()}, w AS (SELECT id, title, score / 60 AS conf, d.name IS NOT NULL AND (id % 2 = 1 OR id % 3 = 0) AS hit FROM biz LEFT JOIN d ON business_id = id)
+    SELECT CASE WHEN hit THEN CASE WHEN conf >= 0.8 THEN 'high' WHEN conf >= 0.6 THEN 'medium' ELSE 'low' END END AS decision_maker_confidence,
+           CASE WHEN hit THEN title END AS decision_maker_title, CASE WHEN hit THEN FALSE WHEN id % 2 = 0 THEN TRUE END AS kept, COUNT(*) AS n FROM w GROUP BY 1, 2, 3
+""", ("crawl", "biz"))
 def person_write_back(spark, sf):
     """Research's primary contact written to the entities, by what happened."""
     biz = world(spark, sf, "biz").select(

@@ -257,7 +257,17 @@ def _listing_merge(spark, sf):
     return found, known, listing.match(found, known)
 
 
-@query("D18 J03 P16")
+_NEW_POINTS = f"least(100, greatest(0, {_case('service', S.BASE_SCORE)} + 7 + CASE WHEN website IS NOT NULL THEN 4 ELSE -20 END))"
+
+
+@query("D18 J03 P16", f"""
+    WITH {_LISTED}, n AS (SELECT *, CAST({_NEW_POINTS} AS INTEGER) AS pts FROM p WHERE name LIKE 'New %' AND service IS NOT NULL)
+    SELECT service AS service_category, pts AS icp_score, CASE WHEN pts >= 70 THEN 'Tier 1' WHEN pts >= 50 THEN 'Tier 2' WHEN pts >= 30 THEN 'Tier 3' ELSE 'Tier 4' END AS icp_tier,
+           CASE WHEN website IS NULL THEN 'NEEDS_ENRICHMENT' ELSE 'VALID' END AS qc_status,
+           CASE WHEN list_contains(cats, 'dog-training') THEN 'dog trainer' WHEN list_contains(cats, 'kennels') THEN 'pet boarding service' WHEN list_contains(cats, 'pet-grooming') THEN 'pet groomer'
+                WHEN list_contains(cats, 'veterinarians') THEN 'veterinarian' WHEN list_contains(cats, 'pet-stores') THEN 'pet store' ELSE 'pet insurance' END AS primary_category, COUNT(*) AS n
+    FROM n GROUP BY ALL
+""", ("biz", "hits"))
 def directory_new_businesses(spark, sf):
     found, _, matches = _listing_merge(spark, sf)
     fresh = listing.new_businesses(found, matches)

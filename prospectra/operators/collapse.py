@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.operators.merge import first_per_key
-from prospectra.operators.skew import first_non_null, pack_rows
+from prospectra.operators.skew import pack_rows
 
 
 def identity_key(*keys: Column) -> Column:
@@ -69,5 +69,5 @@ def backfill_log(sources: DataFrame, log: DataFrame, row_id: str, seen_at: str)
 
 __all__ = [
     "identity_key", "provenance", "provenance_arrays", "representatives",
-    "collapse_listings", "backfill_log", "first_non_null",
+    "collapse_listings", "backfill_log",
 ]
