@@ -26,7 +26,7 @@ SYMBOLS = b"#*$%&|<>"
 NGRAM_LIMITS = {5: 0.30, 7: 0.28, 10: 0.25}
 LINE_LIMIT = 0.30
 #: The share of symbols among the characters of words.
-SYMBOL_LIMIT = 0.10
+SYMBOL_LIMIT = 0.20
 MIN_WORDS = 10
 #: Words a repeated window counts over, and the percentage of words they may hold.
 WINDOW, WINDOW_PERCENT = 5, 20

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prospectra.llm import quality_rules, secret_scan, token_counts
+from prospectra.llm import decontaminate, quality_rules, secret_scan, token_counts
 from prospectra.llm.common import fields, table
 
 
@@ -25,5 +25,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_secret_scans, op4_quality_rules)}
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("stretches", "items")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op3_secret_scans, op4_quality_rules, op9_benchmark_decontamination)}
 ORACLE_SQL: dict[str, str] = {}
