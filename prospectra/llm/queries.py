@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prospectra.llm import decontaminate, quality_rules, secret_scan, token_counts
+from prospectra.llm import decontaminate, mixing, quality_rules, secret_scan, token_counts, warc
 from prospectra.llm.common import fields, table
+from prospectra.session import new_path
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +15,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, and when."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
@@ -25,11 +31,24 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    path = new_path(spark, "llm-warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    records = warc.read_warc(spark, path, payloads=False).filter("reason IS NULL")
+    number = lambda c: F.expr(f"try_cast({c} AS BIGINT)")
+    return records.select(warc.id_of(F.col("record_id")).alias("_id"), warc.id_of(F.col("refers_to")).alias("_to"), "*").select(
+        number("_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("_to").alias("refers_to")
+    )
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("stretches", "items")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_secret_scans, op4_quality_rules, op9_benchmark_decontamination)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_source_mixing, op3_secret_scans, op4_quality_rules, op8_warc, op9_benchmark_decontamination,
+)}
+ORACLE_SQL = {"op2_source_mixing": mixing.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL}
