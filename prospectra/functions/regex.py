@@ -26,17 +26,22 @@ def located(text: Column, pattern: str | Column) -> Column:
 def _with_starts(gaps: Column, hits: Column) -> Column:
     pairs = F.zip_with(
         F.slice(gaps, 1, F.greatest(F.size(hits), F.lit(0))), hits,
-        lambda g, h: F.struct(F.length(g).alias("gap"), h.alias("hit")),
+        lambda g, h: F.struct((F.length(g) + F.length(h)).alias("step"), h.alias("hit")),
     )
+    return let(pairs, lambda p: F.zip_with(
+        running_sums(F.transform(p, lambda x: x["step"])), p,
+        lambda end, x: F.struct((end - F.length(x["hit"]) + 1).alias("start"), x["hit"].alias("hit")),
+    ))
+
+
+def running_sums(numbers: Column) -> Column:
+    """Inclusive running sums of an array: n numbers take log2(n) passes, each adding the sums twice as far back."""
+    passes = F.ceil(F.log2(F.greatest(F.size(numbers), F.lit(2)).cast("double"))).cast("int")
     return F.aggregate(
-        pairs, F.struct(F.lit(1).alias("pos"), F.array().cast(HITS).alias("out")),
-        lambda acc, p: F.struct(
-            (acc["pos"] + p["gap"] + F.length(p["hit"])).alias("pos"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["pos"] + p["gap"]).alias("start"), p["hit"].alias("hit")
-            ))).alias("out"),
+        F.sequence(F.lit(0), passes - 1), numbers,
+        lambda sums, k: F.transform(
+            sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), k)), F.lit(0)),
         ),
-        lambda acc: acc["out"],
     )
 
 
