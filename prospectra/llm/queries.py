@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prospectra.llm import decontaminate, mixing, quality_rules, secret_scan, token_counts, warc
+from prospectra.llm import decontaminate, mixing, pii, quality_rules, secret_scan, token_counts, warc
 from prospectra.llm.common import fields, table
 from prospectra.session import new_path
 
@@ -48,7 +48,13 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("stretches", "items")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.span_digests(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_source_mixing, op3_secret_scans, op4_quality_rules, op8_warc, op9_benchmark_decontamination,
+    op10_pii,
 )}
 ORACLE_SQL = {"op2_source_mixing": mixing.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL}
