@@ -216,13 +216,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     def first(keys: tuple, table: pa.Table) -> pa.Table:
         return _sent(keys[0].as_py(), Group(_texts(table), length, groups).samples()[1])
 
-    samples = cut(_compared(grouped.applyInArrow(first, SENT), SAMPLE_WIDTH, 1), "samples")
+    samples = _compared(grouped.applyInArrow(first, SENT), SAMPLE_WIDTH, 1)
 
     def second(keys: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         return _sent(keys[0].as_py(), Group(_texts(table), length, groups).windows(_bits(replies, 1))[1])
 
     windows = _compared(grouped.cogroup(samples.groupBy("source")).applyInArrow(second, SENT), WINDOW_WIDTH, 2)
-    replies = samples.unionAll(cut(windows, "windows"))
+    # One plan for all three steps: the texts move once, as their exchange is used again.
+    replies = samples.unionAll(windows)
 
     def last(table: pa.Table, replies: pa.Table) -> pa.Table:
         texts = _texts(table)

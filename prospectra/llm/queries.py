@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prospectra.llm import decontaminate, mixing, near_dedup, pii, quality_rules, secret_scan, token_counts, warc
+from prospectra.llm import decontaminate, exact_substrings, mixing, near_dedup, pii, quality_rules, secret_scan, token_counts, warc
 from prospectra.llm.common import fields, table
 from prospectra.session import new_path
 
@@ -31,6 +31,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in repeated strings."""
+    return exact_substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near-duplicates of every document."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -59,7 +64,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_source_mixing, op3_secret_scans, op4_quality_rules, op7_minhash_near_dedup, op8_warc, op9_benchmark_decontamination,
+    op1_token_counts, op2_source_mixing, op3_secret_scans, op4_quality_rules, op6_suffix_array_dedup,
+    op7_minhash_near_dedup, op8_warc, op9_benchmark_decontamination,
     op10_pii,
 )}
 ORACLE_SQL = {"op2_source_mixing": mixing.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL}
