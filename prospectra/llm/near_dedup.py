@@ -23,7 +23,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,6 +37,8 @@ PERCENT = 75
 SLACK = 0.2
 #: Classes on either side of one block of comparisons.
 BLOCK = 1024
+#: Pairs of sketches compared at once.
+PAIRS = 100_000
 SKETCH = "struct<n_shingles:long,signature:binary,registers:binary>"
 
 
@@ -135,47 +136,88 @@ def _blocks(members: DataFrame) -> DataFrame:
     return dealt.drop("_top", "_all", "_most", "_kinds", "_i", "_j", "_own", "_p", "asks")
 
 
+def _by_block(members: DataFrame, judge, schema: str) -> DataFrame:
+    """``judge`` over whole blocks, many small ones at once: rows come sorted by block, its columns as arrays."""
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            held = now if held is None else pa.concat_tables([held, now])
+            edge = _edges(held)
+            if len(edge) > 2:
+                yield from judge(held.slice(0, int(edge[-2])), edge[:-1]).to_batches()
+                held = held.slice(int(edge[-2]))
+        if held is not None and len(held):
+            yield from judge(held, _edges(held)).to_batches()
+
+    blocks = ["band", "i", "j"]
+    return _blocks(members).repartition(*blocks).sortWithinPartitions(*blocks).mapInArrow(runs, schema).distinct()
+
+
+def _edges(table: pa.Table) -> np.ndarray:
+    """Where the blocks of a sorted table begin, and its end."""
+    cols = [table.column(c).to_numpy() for c in ("band", "i", "j")]
+    new = np.any([c[1:] != c[:-1] for c in cols], axis=0) if len(table) else np.zeros(0, bool)
+    return np.r_[0, np.flatnonzero(new) + 1, len(table)]
+
+
+def _sides(table: pa.Table, edge: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of the pairs across components, block by block, in runs of bounded size."""
+    left, component = table.column("left").to_numpy(zero_copy_only=False), table.column("component").to_numpy()
+    asking, others = np.flatnonzero(left), np.flatnonzero(~left)
+    block = np.searchsorted(edge, np.arange(len(left)), "right") - 1
+    low, high = np.searchsorted(block[others], block[asking], "left"), np.searchsorted(block[others], block[asking], "right")
+    count = high - low
+    cuts = np.searchsorted(np.cumsum(count), np.arange(1, count.sum() // PAIRS + 1) * PAIRS, "left")
+    for part in np.split(np.arange(len(asking)), np.unique(cuts)):
+        n = count[part]
+        x = np.repeat(asking[part], n)
+        y = others[np.repeat(low[part] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())] if len(part) else x
+        cross = component[x] != component[y]
+        yield x[cross], y[cross]
+
+
 def may_link(members: DataFrame, least: float) -> DataFrame:
     """``band, node`` of members whose sketch comes near one of another component in a shared bucket."""
-    def near(rows: pd.DataFrame) -> pd.DataFrame:
-        left, right = rows[rows.left], rows[~rows.left]
-        found = set()
-        if len(left) and len(right):
-            regs, sizes = _stack(right.registers), right.n_shingles.to_numpy()
-            for node, component, own, n in zip(left.node, left.component, left.registers, left.n_shingles):
-                close = jaccard_estimate(regs, _stack([own]), sizes, np.full(len(sizes), n)) >= least
-                hits = right.node.to_numpy()[close & (right.component.to_numpy() != component)]
-                if len(hits):
-                    found.update(hits.tolist(), [node])
-        return pd.DataFrame({"band": rows.band.iloc[0], "node": sorted(found)}, columns=["band", "node"])
+    def near(table: pa.Table, edge: np.ndarray) -> pa.Table:
+        regs, sizes = _stack(table.column("registers").to_pylist()), table.column("n_shingles").to_numpy()
+        hit = np.zeros(len(table), bool)
+        for x, y in _sides(table, edge):
+            close = jaccard_estimate(regs[x], regs[y], sizes[x], sizes[y]) >= least
+            hit[x[close]] = hit[y[close]] = True
+        return table.select(["band", "node"]).filter(pa.array(hit))
 
-    return _blocks(members).groupBy("band", "i", "j").applyInPandas(near, "band long, node long").distinct()
+    return _by_block(members, near, "band long, node long")
 
 
 def across(members: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` between members of different components of a bucket, one per member and other component."""
-    def prove(rows: pd.DataFrame) -> pd.DataFrame:
-        left, right = rows[rows.left], rows[~rows.left]
-        out = []
-        if len(left) and len(right):
-            sets = [np.frombuffer(s, "<u8") for s in right.shingles]
-            flat = np.concatenate(sets)
-            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    def prove(table: pa.Table, edge: np.ndarray) -> pa.Table:
+        node, kind = table.column("node").to_numpy(), table.column("component").to_numpy()
+        left = table.column("left").to_numpy(zero_copy_only=False)
+        out = set()
+        for begin, end in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            asking, others = begin + np.flatnonzero(left[begin:end]), begin + np.flatnonzero(~left[begin:end])
+            if not len(asking) or not len(others):
+                continue
+            sets = [np.frombuffer(s.as_buffer(), "<u8") for s in table.column("shingles").slice(begin, end - begin)]
+            flat = np.concatenate([sets[k - begin] for k in others])
+            sizes = np.array([len(sets[k - begin]) for k in others])
+            owner = np.repeat(np.arange(len(others)), sizes)
             order = np.argsort(flat, kind="stable")
             flat, owner = flat[order], owner[order]
-            sizes = np.array([len(s) for s in sets])
-            kinds, nodes = right.component.to_numpy(), right.node.to_numpy()
-            for node, component, own in zip(left.node, left.component, left.shingles):
-                own = np.frombuffer(own, "<u8")
+            for k in asking.tolist():
+                own = sets[k - begin]
                 low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
                 at = np.repeat(low - np.r_[0, np.cumsum(high - low)[:-1]], high - low) + np.arange((high - low).sum())
-                both = np.bincount(owner[at], minlength=len(sets))
-                hit = (100 * both >= percent * (sizes + len(own) - both)) & (kinds != component)
-                for kind in np.unique(kinds[hit]):
-                    out.append((node, int(nodes[hit & (kinds == kind)].min())))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return _blocks(members).groupBy("band", "i", "j").applyInPandas(prove, "a long, b long").distinct()
+                both = np.bincount(owner[at], minlength=len(others))
+                hit = others[(100 * both >= percent * (sizes + len(own) - both)) & (kind[others] != kind[k])]
+                for other in np.unique(kind[hit]).tolist():
+                    out.add((int(node[k]), int(node[hit[kind[hit] == other]].min())))
+        links = sorted(out)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return _by_block(members, prove, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
