@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prospectra.llm import decontaminate, exact_substrings, mixing, near_dedup, pii, quality_rules, secret_scan, token_counts, warc
+from prospectra.llm import decontaminate, exact_substrings, language, mixing, near_dedup, pii, quality_rules, secret_scan, token_counts, warc
 from prospectra.llm.common import fields, table
 from prospectra.session import new_path
 
@@ -31,6 +31,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those whose crc32 of the id is not 2 modulo 4."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    found = language.identify(table(spark, sf_dir, "documents"), F.coalesce(~held_out, F.lit(False)))
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in repeated strings."""
     return exact_substrings.remove_repeats(table(spark, sf_dir, "documents"))
@@ -64,7 +71,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_source_mixing, op3_secret_scans, op4_quality_rules, op6_suffix_array_dedup,
+    op1_token_counts, op2_source_mixing, op3_secret_scans, op4_quality_rules, op5_language_id, op6_suffix_array_dedup,
     op7_minhash_near_dedup, op8_warc, op9_benchmark_decontamination,
     op10_pii,
 )}
