@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from prospectra.llm import decontaminate, mixing, near_dedup, secret_scan
 from prospectra.llm import quality_rules as rules
-from prospectra.llm import secret_scan
 from prospectra.llm.common import cut, table
 
 
-def _column(name: str) -> Column:
-    return F.col(name)
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     verdict = docs.select(F.struct(*docs.columns).alias("_row"), rules.quality(F.col("text")).alias("_q"))
     return verdict.filter("_q.kept").select("_row.*")
 
 
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return near_dedup.deduplicate(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark; ``n_chars`` follows a changed text."""
     rows = docs.select(F.struct(*docs.columns).alias("_row"), secret_scan.secret_spans(F.col("text")).alias("_spans"))
@@ -29,7 +35,19 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return rows.select(*[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
-STAGES = [("quality_rules", quality_rules), ("secret_scans", secret_scans)]
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mix takes of every document, and when."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("source_mixing", source_mixing),
+]
+#: SQL can't express the sketches and the repetition measures; tests hold the rows against a brute-force version.
 ORACLE_SQL = None
 
 

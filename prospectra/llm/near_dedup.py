@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from prospectra.llm.common import cut, text_slices
 from prospectra.llm.components import components
@@ -264,6 +264,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row, all columns kept, per class of near-duplicates: the one with the smallest id; repeated rows leave one."""
-    gone = near_duplicates(docs, key, text, **options).filter(~F.col("kept") & F.col(key).isNotNull()).select(key).distinct()
-    return docs.join(gone, key, "left_anti")
+    """The rows of ``docs``, all columns kept, whose id names its class; of rows that share an id one stays.
+
+    Rows without an id can't be named and stay. The window needs no exchange of its own after a shuffled join.
+    """
+    classes = near_duplicates(docs, key, text, **options)
+    gone = cut(classes.filter(~F.col("kept")).select(F.col(key).alias("_gone")).filter("_gone IS NOT NULL").distinct(), "gone")
+    left = docs.join(gone, docs[key] == gone["_gone"], "left_anti")
+    row = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))
+    return left.withColumn("_copy", row).filter((F.col("_copy") == 1) | F.col(key).isNull()).drop("_copy")
