@@ -14,7 +14,7 @@ from prospectra.session import new_path
 
 WORD_SPACE = " \t\n\x0b\x0c\r"
 #: Text held at once by a Python worker, in bytes; a longer single text is its own slice.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

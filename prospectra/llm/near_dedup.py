@@ -38,7 +38,7 @@ SLACK = 0.2
 #: Classes on either side of one block of comparisons.
 BLOCK = 1024
 #: Pairs of sketches compared at once.
-PAIRS = 100_000
+PAIRS = 25_000
 SKETCH = "struct<n_shingles:long,signature:binary,registers:binary>"
 
 

@@ -22,7 +22,7 @@ def _name(word: bytes) -> int:
 class Shingler:
     """Shingle hashes of texts; equal on every machine, as words are named by BLAKE2."""
 
-    def __init__(self, words: int = WORDS, remembered: int = 300_000):
+    def __init__(self, words: int = WORDS, remembered: int = 100_000):
         self.words, self.remembered, self.known = words, remembered, {}
 
     def names(self, words: list[bytes]) -> np.ndarray:

@@ -23,7 +23,7 @@ from prospectra.llm.common import text_slices
 
 NONE = np.int32(2**31 - 1)
 #: Counts of chunks a worker remembers; beyond it the memory starts anew. A cache only: results do not depend on it.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 # The contractions the vocabulary keeps apart.
 CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d"
 
