@@ -97,7 +97,8 @@ class Parser:
         owner = np.array([i for i, _ in pieces], np.int64)
         flat, width = self.table.ravel(), self.table.shape[1]
         for k, base in enumerate(self.bases.tolist()):
-            root = np.maximum(self.table[base], base)  # an unknown character is a phrase of its own
+            unknown = self.table[base] < 0  # such a character is a phrase of its own
+            root = np.maximum(self.table[base], base)
             state = np.full(len(pieces), base, np.int32)
             count = np.zeros(len(pieces), np.int64)
             for step in range(PIECE):
@@ -107,9 +108,9 @@ class Parser:
                 symbol = lanes[step, :live]
                 to = flat[state[:live].astype(np.int64) * width + symbol]
                 missed = to < 0
-                count[:live] += missed
+                count[:live] += (missed & (state[:live] != base)).astype(np.int64) + (missed & unknown[symbol])
                 state[:live] = np.where(missed, root[symbol], to)
-            out[:, k] = np.bincount(owner, count + 1, len(texts)) if len(pieces) else 0
+            out[:, k] = np.bincount(owner, count + (state != base), len(texts)) if len(pieces) else 0
         return out
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:

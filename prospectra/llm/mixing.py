@@ -115,7 +115,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
     copies = [copy(n) for n in range(most_times)]
     taken = sum(copies[1:], copies[0]).cast("long")
-    rows = rows.withColumn("taken", taken).withColumn("_share", F.col("_start").cast("double") / F.col("_goal"))
+    rows = rows.withColumn("taken", taken).withColumn("_share", F.try_divide(F.col("_start").cast("double"), F.col("_goal")))
     time = F.when(F.col("taken") > 0, F.expr(schedule_sql("rank", "_share", schedules)))
     out = rows.select(F.col("_key").alias(key), F.col("rank").alias("source_rank"), "size", "source_size", "target", "taken",
                       time.alias("position"))

@@ -69,7 +69,7 @@ def mod97(code: Column) -> Column:
         letter = char.rlike("[A-Z]")
         return (rest * F.when(letter, 100).otherwise(10) + F.when(letter, F.ascii(char) - 55).otherwise(F.ascii(char) - 48)) % 97
 
-    return F.aggregate(F.split(turned, "(?!^)"), F.lit(0), add) == 1
+    return F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), add) == 1
 
 
 def confirmed(kind: str, hit: Column) -> Column:
