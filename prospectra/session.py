@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,8 +21,8 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and the benchmark."""
+def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **settings: str) -> SparkSession:
+    """A local session for tests and the benchmark; more settings by their names with ``__`` for dots."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("prospectra")
@@ -37,29 +35,17 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         # Rows are few and the work per row heavy: keep the cores busy.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="prospectra-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``.
-
-    Only a local master may leave it unset; then a temporary folder stands in.
-    """
+    """The folder all executors can reach: ``spark.checkpoint.dir``, where unset a folder in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_dir()
+    return configured.rstrip("/") if configured else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/prospectra-work"
 
 
 def new_path(spark: SparkSession, label: str) -> str:

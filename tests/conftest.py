@@ -11,8 +11,8 @@ from prospectra.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, 4)
+def spark(tmp_path_factory):
+    session = local_session(4, 4, spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
