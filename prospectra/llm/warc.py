@@ -78,7 +78,7 @@ def write_warc(pages: DataFrame, path: str, least: int = REVISIT_BYTES, records_
 
 
 HEADER = re.compile(rb"WARC/1\.[01]\r\n((?:[^\r\n]+\r\n)+)\r\n")
-NEXT = re.compile(rb"(?<=\n)WARC/1\.[01]\r\n|\x1f\x8b\x08")
+NEXT = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 
 
 def read_record(data: bytes, at: int) -> tuple[dict, int] | str:
@@ -91,7 +91,10 @@ def read_record(data: bytes, at: int) -> tuple[dict, int] | str:
         name, colon, value = line.partition(":")
         if not colon:
             return "bad header line"
-        named[name.strip().lower()] = value.strip()
+        name = name.strip().lower()
+        if name in named and name != "warc-concurrent-to":
+            return "header line repeated"
+        named[name] = value.strip()
     if not named.get("content-length", "").isdecimal():
         return "no length"
     end = head.end() + int(named["content-length"])
