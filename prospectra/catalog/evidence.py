@@ -357,9 +357,9 @@ def _responses(spark, sf):
     ad = F.concat(F.lit('{"1":"AR'), (F.col("o_custkey") % 9).cast("string"), F.lit('","2":"CR'), F.col("o_orderkey").cast("string"),
                   F.lit('","4":'), (F.col("o_orderkey") % 3).cast("string"), F.lit(',"6":{"1":"'), (F.lit(1600000000) + F.col("o_orderkey") * 1000).cast("string"),
                   F.lit('"},"7":{"1":"'), F.when(F.col("o_orderkey") % 50 == 0, "99999999999999").otherwise((F.lit(1700000000) + F.col("o_orderkey") * 1000).cast("string")), F.lit('"},"12":"Acme"}'))
-    from prospectra.operators.skew import pack_rows
-    packed = pack_rows(o.select("o_custkey", "o_orderkey", ad.alias("ad")), ["o_custkey"], ["o_orderkey"], ["ad"], "ads", 40)
-    return packed.filter("chunk = 0").select("o_custkey", F.concat(
+    # A stored answer holds all creatives of its advertiser.
+    whole = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", ad.alias("ad")))).alias("ads"))
+    return whole.select("o_custkey", F.concat(
         F.lit('{"1":['), F.array_join(F.transform("ads", lambda a: a["ad"]), ","), F.lit('],"2":"next"}')).alias("body"))
 
 

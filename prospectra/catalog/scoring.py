@@ -10,7 +10,6 @@ from prospectra.catalog.world import NOW, table, world
 from prospectra.functions.identity import host, name_key, phone_key
 from prospectra.functions.reviews import as_time
 from prospectra.operators.diff import histogram
-from prospectra.operators.skew import pack_rows
 from prospectra.operators.stage import staged
 from prospectra.plans import ingest, listing, qc, raw_enrich, scoring as S
 from prospectra.session import new_path
@@ -111,10 +110,10 @@ def raw_enrichment(spark, sf):
     """Booking, growth and description derived from stored listings built of orders, then merged."""
     now = as_time("2000-06-30 00:00:00")
     orders = table(spark, sf, "orders")
-    reviews = pack_rows(orders.select(
-        F.col("o_custkey").alias("id"), F.date_format("o_orderdate", "MMM d, yyyy").alias("published_at"), "o_orderkey"),
-        ["id"], ["o_orderkey"], ["published_at"], "user_reviews", 8)
-    raw = world(spark, sf, "biz").join(reviews.filter("chunk = 0"), "id", "left").select(
+    # A stored listing holds all reviews of its business.
+    reviews = orders.groupBy(F.col("o_custkey").alias("id")).agg(F.array_sort(F.collect_list(
+        F.struct("o_orderkey", F.date_format("o_orderdate", "MMM d, yyyy").alias("published_at")))).alias("user_reviews"))
+    raw = world(spark, sf, "biz").join(reviews, "id", "left").select(
         "id", F.when(F.col("id") % 4 > 0, F.col("description")).alias("description"), F.lit("From the listing").alias("raw_description"),
         F.col("booking_present"), F.lit(None).cast("string").alias("marketing_evidence"), F.lit(None).cast("int").alias("growth_score"),
         F.lit(None).cast("string").alias("growth_signal"),

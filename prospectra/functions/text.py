@@ -52,6 +52,14 @@ def strip_controls(text: Column | str, replacement: str = " ") -> Column:
     return F.regexp_replace(_col(text), CONTROL, replacement)
 
 
+def code_point(code: Column) -> Column:
+    """The character of a decimal code point; a number that is none stays a reference."""
+    number = code.cast("int")
+    known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.when(known, char).otherwise(F.concat(F.lit("&#"), code, F.lit(";")))
+
+
 def decode_entities(text: Column | str) -> Column:
     """The named entities page copy uses, plus their decimal forms."""
     c = F.regexp_replace(_col(text), "&#0?39;|&apos;|&rsquo;", "'")
@@ -61,9 +69,9 @@ def decode_entities(text: Column | str) -> Column:
     c = F.regexp_replace(c, "&lt;", "<")
     c = F.regexp_replace(c, "&gt;", ">")
     return let(c, lambda t: F.when(~F.contains(t, F.lit("&#")), t).otherwise(F.aggregate(
-        F.array_distinct(F.regexp_extract_all(t, F.lit(r"&#(\d{1,5});"), F.lit(1))), t,
+        F.array_distinct(F.regexp_extract_all(t, F.lit(r"&#(\d{1,7});"), F.lit(1))), t,
         lambda acc, code: F.replace(
-            acc, F.concat(F.lit("&#"), code, F.lit(";")), F.char(code.cast("int"))
+            acc, F.concat(F.lit("&#"), code, F.lit(";")), code_point(code)
         ),
     )))
 

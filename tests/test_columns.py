@@ -172,3 +172,9 @@ def test_content_key_is_sha256_prefix(value):
 def test_route_ties_go_to_the_earlier(value):
     assert value(lambda c: T.keyword_route(c, T.ROUTES, "cheap"), "write sql") == "code"
     assert value(lambda c: T.keyword_route(c, T.ROUTES, "cheap"), "hello") == "cheap"
+
+
+def test_decimal_references_beyond_one_byte(value):
+    from prospectra.functions.text import decode_entities
+
+    assert value(decode_entities, "It&#8217;s caf&#233; &#128054; &#039; &#55296; &#9999999;") == "It’s café \U0001f436 ' &#55296; &#9999999;"

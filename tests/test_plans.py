@@ -98,11 +98,6 @@ def test_quote_is_verbatim(spark):
     assert quote in text and "Ann Bell, Owner" in quote
 
 
-def test_stop_words_follow_the_rule():
-    words = people.not_a_name_words()
-    assert {"classes", "trainers", "monday", "march", "puppies", "dogs"} <= set(words) and len(set(words)) == len(words)
-
-
 def registration_outcome(spark, entities, domain="acme.test"):
     doc = json.dumps({"entities": entities, "links": [{"href": "https://rdap.r.test/d"}]})
     r = registration.contacts(spark.createDataFrame([(domain, doc)], "domain string, document string")).first()
