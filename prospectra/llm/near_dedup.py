@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from prospectra.llm.common import cut, text_slices
 from prospectra.llm.components import components
-from prospectra.llm.shingles import BUCKETS, WORDS, Shingler, jaccard_estimate, registers
+from prospectra.llm.shingles import BUCKETS, WORDS, jaccard_estimate, registers, shingle_sets
 
 BAND = 4
 #: Similarity in percent from which documents are linked.
@@ -46,11 +46,10 @@ def sketch(text: Column, words: int = WORDS) -> Column:
     """Set size, signature of the set, and registers; the last two null for an empty set."""
     @F.arrow_udf(SKETCH)
     def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        shingler = Shingler(words)
         for texts in batches:
             sizes, names, regs = [], [], []
             for part in text_slices(texts):
-                sets = [shingler.set_of(t) for t in part]
+                sets = shingle_sets(part, words)
                 rows = iter(registers([s for s in sets if len(s)]))
                 sizes += map(len, sets)
                 names += [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
@@ -67,9 +66,8 @@ def full_set(text: Column, words: int = WORDS) -> Column:
     """The sorted shingle hashes as bytes."""
     @F.arrow_udf("binary")
     def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        shingler = Shingler(words)
         for texts in batches:
-            yield pa.array([shingler.set_of(t).tobytes() for part in text_slices(texts) for t in part], pa.binary())
+            yield pa.array([s.tobytes() for part in text_slices(texts) for s in shingle_sets(part, words)], pa.binary())
 
     return made(text)
 

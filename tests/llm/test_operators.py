@@ -3,6 +3,7 @@
 import collections
 import gzip
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -349,3 +350,16 @@ def test_registered_queries_and_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES][1] == "minhash_near_dedup" and 0.5 * documents < len(rows) < documents
     assert len({r.doc_id for r in rows}) == len(rows)
 
+
+def test_shingles_of_a_batch_are_those_of_each_text():
+    texts = [None, "", " \n", "a", "A b\x0bc d", "x" * 200_000 + " b c d e " + "y" * 70_000, "a b c d e " * 20_000, "é ü a b c d e", "a b c d e f a b c d e"]
+    found = shingles.shingle_sets(texts)
+
+    def windows(text):
+        words = (text or "").encode().lower().split()
+        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    assert [len(s) for s in found] == [len(windows(t)) for t in texts]
+    assert all((s == shingles.shingle_sets([t])[0]).all() for s, t in zip(found, texts))
+    for (s, t), (u, v) in itertools.combinations(zip(found, texts), 2):
+        assert len(set(s.tolist()) & set(u.tolist())) == len(windows(t) & windows(v))
