@@ -323,20 +323,27 @@ def registration_accepted(spark, sf):
     return registration.accept(found).select("domain", "email", "confidence", "reason")
 
 
-@query("D10 J17 J06 S10", """
-    SELECT CASE WHEN id % 4 = 3 THEN TRUE WHEN f THEN FALSE END AS kept, CASE WHEN f THEN 1 END AS addresses, COUNT(*) AS businesses
-    FROM (SELECT c_custkey AS id, c_custkey % 6 IN (3, 5) AS f FROM customer) GROUP BY 1, 2
+@query("D10 J17 J06 S09 S10", """
+    SELECT CASE WHEN id % 4 = 3 THEN TRUE WHEN f THEN FALSE END AS kept, CASE WHEN f OR id % 12 = 4 THEN 1 END AS addresses, CASE WHEN f OR id % 12 = 4 THEN CAST(f AND id % 12 <> 3 AS BIGINT) END AS from_registry,
+           CASE WHEN id % 10 = 7 THEN 'stale' WHEN f THEN 'found' WHEN id % 6 = 1 THEN 'privacy' WHEN id % 6 = 4 THEN 'junk' ELSE 'redacted' END AS probe, COUNT(*) AS businesses
+    FROM (SELECT c_custkey AS id, c_custkey % 6 IN (3, 5) AS f FROM customer) GROUP BY ALL
 """)
 def registration_stored(spark, sf):
-    """Addresses and entities after a run: an address already known stays."""
+    """Probes, addresses and entities after a run: known addresses stay, new answers replace old probes."""
     docs = registrations(spark, sf)
     probes = registration.contacts(docs)
     judged = registration.accept(probes.filter("outcome = 'found'").join(docs.select("domain", "website"), "domain"))
     entities = docs.select("id", "website", F.when(F.col("id") % 4 == 3, "known@site.test").alias("contact_email"))
-    none = judged.select(F.col("domain").alias("business_id"), "email").limit(0).select(F.lit(0).cast("long").alias("business_id"), "email")
-    _, addresses, after = registration.store(entities, none, probes.limit(0), judged, probes)
-    return after.join(addresses.groupBy(F.col("business_id").alias("id")).agg(F.count(F.lit(1)).alias("n")), "id", "left") \
-        .groupBy((F.col("contact_email") == "known@site.test").alias("kept"), F.col("n").alias("addresses")).agg(F.count(F.lit(1)).alias("businesses"))
+    k = F.col("id") % 12
+    stored = docs.filter(k.isin(3, 4)).select(
+        F.col("id").alias("business_id"), F.concat(F.when(k == 3, "erin@").otherwise("old@"), "domain").alias("email"), F.lit("form").alias("source"))
+    old = probes.withColumn("outcome", F.lit("stale"))
+    after_probes, addresses, after = registration.store(entities, stored, old, judged, probes.filter(~F.col("domain").endswith("7.test")))
+    held = addresses.groupBy(F.col("business_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("source") == "rdap").alias("from_registry"))
+    probed = docs.select("id", "domain").join(after_probes.select("domain", F.col("outcome").alias("probe")), "domain", "left").drop("domain")
+    return after.join(held, "id", "left").join(probed, "id", "left").groupBy(
+        (F.col("contact_email") == "known@site.test").alias("kept"), F.col("n").alias("addresses"), "from_registry", "probe",
+    ).agg(F.count(F.lit(1)).alias("businesses"))
 
 
 @query("P19 J09 A25", f"""

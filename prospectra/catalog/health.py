@@ -81,16 +81,15 @@ def fleet_verdicts(spark, sf):
     return metrics.select("user_id", H.verdict(now).alias("verdict"), "backlog", "zero_yield_ratio", "longest_running_sec")
 
 
-@query("ST10 D33", "WITH n AS (SELECT MAX(checked_at) AS mx FROM ticks), near AS (SELECT ticks.* FROM ticks, n WHERE checked_at >= mx - INTERVAL 2 DAY), "
-       + _decide_sql().replace("WITH ", "", 1).replace("FROM ticks", "FROM near").replace("TIMESTAMP '2024-01-31'", "(SELECT mx FROM n)"), ("ticks",))
+@query("ST10 D33", _decide_sql().replace("TIMESTAMP '2024-01-31'", "(SELECT MAX(checked_at) FROM ticks)"), ("ticks",))
 def stream_fleet_actions(spark, sf):
-    """The same decisions from a stream of ticks, the log being the only state."""
+    """The same decisions from a stream of ticks, which carries a small state per fleet."""
     ticks = file_events(spark, sf).select(
         F.col("event_id").alias("tick_id"), F.col("user_id").alias("fleet"), F.col("at").alias("checked_at"),
         F.element_at(F.array(*[F.lit(v) for v in ("HEALTHY", "WEDGED", "WEDGED", "PROXY_DEGRADED", "WEDGED", "IDLE")]),
                      (F.floor(F.col("event_id") / 200) % 6 + 1).cast("int")).alias("verdict"),
         F.when(F.col("event_type") == "click", "restart").when(F.col("event_type") == "view", "proxy_refresh").otherwise("none").alias("action"),
         (F.col("value") > 20).alias("action_ok"))
-    log, out, mark = (new_path(spark, x) for x in ("ticks", "decisions", "decisions-progress"))
-    decide_stream(ticks, log, out, mark, "fleet", 3).awaitTermination()
+    log, state, out, mark = (new_path(spark, x) for x in ("ticks", "fleet-state", "decisions", "decisions-progress"))
+    decide_stream(ticks, log, state, out, mark, "fleet", 3).awaitTermination()
     return spark.read.parquet(out).select("fleet", "verdict", "streak", "decision")

@@ -110,14 +110,13 @@ def eligible_candidates(spark, sf):
 
 
 @query("W14 U01 D19", """
-    SELECT business_id AS id, COUNT(*) AS pages, md5(string_agg('--- ' || page_kind || ': ' || url || ' ---' || chr(10) || trim(text), chr(10) || chr(10) ORDER BY page_kind, page_seq, url)) AS digest
+    SELECT business_id AS id, COUNT(*) AS pages, md5(string_agg('--- ' || page_kind || ': ' || url || ' ---' || chr(10) || trim(text), chr(10) || chr(10) ORDER BY page_kind = 'about', page_kind, page_seq, url)) AS digest
     FROM crawl WHERE business_id IN (SELECT c_custkey FROM customer) AND trim(text) <> '' GROUP BY 1
 """, ("crawl",))
 def research_context(spark, sf):
-    """All page texts of a business joined in order, whole."""
+    """All page texts of a business joined in order, whole; the second crawler read the about pages."""
     crawl = world(spark, sf, "crawl").select("business_id", "page_kind", F.col("page_seq").alias("fetched_at"), "url", "text")
-    second = crawl.limit(0)
-    blocks = C.context_blocks(world(spark, sf, "biz"), crawl, second)
+    blocks = C.context_blocks(world(spark, sf, "biz"), crawl.filter("page_kind <> 'about'"), crawl.filter("page_kind = 'about'"))
     return C.research_context(blocks).select("id", F.col("pages").cast("long").alias("pages"), F.md5(F.col("context").cast("binary")).alias("digest"))
 
 

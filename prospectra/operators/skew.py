@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -13,15 +16,17 @@ def salted_join(
 
     Only the hot keys' lookup rows are repeated, so at most ``hot_keys * salts``
     rows are added and the broadcast list never exceeds ``hot_keys`` rows. All
-    other keys take the ordinary shuffle; no row is dropped. ``counts`` (the
-    keys and a column ``count``) saves counting them again.
+    other keys take the ordinary shuffle; no row is dropped. Rows with a NULL
+    key match nothing and are spread as well. ``counts`` (the keys and a column
+    ``count``) saves counting them again.
     """
     counted = counts if counts is not None else big.groupBy(*on).count()
-    hot = counted.orderBy(F.desc("count"), *on).limit(hot_keys).select(*on, F.lit(True).alias("_hot"))
+    unmatchable = reduce(or_, [F.col(c).isNull() for c in on])
+    hot = counted.filter(~unmatchable).orderBy(F.desc("count"), *on).limit(hot_keys).select(*on, F.lit(True).alias("_hot"))
     # A hash of the row, not a random number: a recomputed task must route rows the same way.
     hashed = [c for c, t in big.dtypes if "map" not in t and "variant" not in t]
     row_hash = F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")
-    salt = F.when(F.col("_hot"), row_hash).otherwise(0)
+    salt = F.when(F.col("_hot") | unmatchable, row_hash).otherwise(0)
     left = big.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))

@@ -37,7 +37,7 @@ def keyed(staging: DataFrame) -> DataFrame:
 
 def run_batch(
     staging: DataFrame, businesses: DataFrame, now: Column,
-    cut: Callable[[DataFrame, str], DataFrame] | None = None, hot_keys: int = 0,
+    cut: Callable[[DataFrame, str], DataFrame] | None = None, hot_keys: int = 64,
 ) -> Batch:
     """Merges one staged batch into the master table.
 

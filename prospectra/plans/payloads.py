@@ -26,12 +26,12 @@ def contact_rows(businesses: DataFrame, research: DataFrame, drafts: DataFrame,
     picked = drafts.select("business_id", F.posexplode("selected").alias("pos", "email")) \
         .withColumn("is_drafted", F.lit(True)).withColumn("verified", F.lit(None).cast("boolean")) \
         .withColumn("verification_error", F.lit(None).cast("string"))
-    rest = pool.select("business_id", (F.col("pos") + 1_000_000).alias("pos"), F.trim("email").alias("email"),
+    rest = pool.select("business_id", "pos", F.trim("email").alias("email"),
                        F.lit(False).alias("is_drafted"), "verified", "verification_error") \
         .filter(F.col("email") != "")
     rows = picked.unionByName(rest).withColumn("_e", F.lower("email"))
     first = rows.groupBy("business_id", "_e").agg(F.min_by(
-        F.struct("pos", "email", "is_drafted", "verified", "verification_error"), F.col("pos")).alias("_r")) \
+        F.struct("pos", "email", "is_drafted", "verified", "verification_error"), F.struct(~F.col("is_drafted"), "pos")).alias("_r")) \
         .select("business_id", "_r.*")
     joined = first.join(facts, "business_id")
     domain = email_domain("email")
@@ -71,11 +71,16 @@ def drafted_only(pool: DataFrame, drafts: DataFrame) -> DataFrame:
 
 
 def idempotency_keys(contacts: DataFrame) -> DataFrame:
-    """Key per business that changes with the content of its contacts, not with their order."""
-    row = F.xxhash64("email", "first_name", "last_name", "company", "phone", F.to_json("custom_fields"))
-    per = contacts.filter(F.col("skip_reason").isNull()).groupBy("business_id").agg(
-        F.bit_xor(row).alias("_x"), F.sum(F.pmod(row, F.lit(1_000_003))).alias("_s"), F.count(F.lit(1)).alias("contacts"))
-    payload = F.concat_ws(":", F.col("_x").cast("string"), F.col("_s").cast("string"), F.col("contacts").cast("string"))
+    """Key per business: SHA-256 over the sorted SHA-256 values of its contacts, so their order does not matter.
+
+    The values are joined per first two digits, then over those digits; no list holds a large business whole.
+    """
+    content = F.to_json(F.struct("email", "first_name", "last_name", "company", "phone", "custom_fields"))
+    rows = contacts.filter(F.col("skip_reason").isNull()).select("business_id", F.sha2(content, 256).alias("_h"))
+    joined = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), ""), 256)
+    parts = rows.groupBy("business_id", F.left("_h", F.lit(2)).alias("_p")).agg(joined("_h").alias("_h"), F.count(F.lit(1)).alias("_n"))
+    per = parts.groupBy("business_id").agg(joined(F.concat("_p", "_h")).alias("_h"), F.sum("_n").alias("contacts"))
+    payload = F.col("_h")
     key = content_key(F.concat(F.lit("leads-business-"), F.col("business_id").cast("string")), payload)
     return per.select("business_id", "contacts", key.alias("idempotency_key"))
 

@@ -158,9 +158,13 @@ def archive_and_feed(
     Each batch writes its own folder, so a batch that runs again replaces itself.
     """
     def batch(df: DataFrame, number: int) -> None:
-        df.withColumn("date", F.to_date("at")).write.mode("overwrite") \
-            .partitionBy("event_type", "date").parquet(f"{archive}/batch={number}")
-        visible(df, settings()).write.mode("overwrite").parquet(f"{feed}/batch={number}")
+        df = df.persist()  # both tables come from one read of the batch's files
+        try:
+            df.withColumn("date", F.to_date("at")).write.mode("overwrite") \
+                .partitionBy("event_type", "date").parquet(f"{archive}/batch={number}")
+            visible(df, settings()).write.mode("overwrite").parquet(f"{feed}/batch={number}")
+        finally:
+            df.unpersist()
 
     return events.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()

@@ -1,30 +1,42 @@
-"""Health ticks as a stream: the log is the only state, each batch decides from it."""
+"""Health ticks as a stream: a small state per fleet is carried from batch to batch."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from prospectra.operators.topk import first_k
 from prospectra.plans.candidates import is_stale_claim
 from prospectra.plans.health import decide
 
 
+def remembered(ticks: DataFrame, key: str, last: int = 10) -> DataFrame:
+    """The ticks a later decision can look at: a fleet's ``last`` newest and the newest good one per action."""
+    newest = [F.col("checked_at").desc(), F.col("tick_id").desc()]
+    good = first_k(ticks.filter(F.coalesce("action_ok", F.lit(False))), [key, "action"], newest, 1, "_rn")
+    return first_k(ticks, [key], newest, last, "_rn").unionByName(good).drop("_rn").distinct()
+
+
 def decide_stream(
-    ticks: DataFrame, log: str, decisions: str, checkpoint: str, key: str, workers: int, horizon_days: int = 2,
+    ticks: DataFrame, log: str, state: str, decisions: str, checkpoint: str, key: str, workers: int,
 ) -> StreamingQuery:
     """Appends ticks to the log and writes, per batch, the action for every fleet's newest tick.
 
-    Streaks and cooldowns come from the last days of the log, as in the batch
-    form, so a restarted stream decides the same. A batch that runs again
-    replaces its own folder.
+    A batch reads its own ticks and the state the batch before it wrote, never the
+    log, and decides as the batch form does over the whole log (a tick delivered
+    twice counts once). A batch that runs again replaces its own folders.
     """
     def batch(df: DataFrame, number: int) -> None:
         spark = df.sparkSession
         df.write.mode("overwrite").parquet(f"{log}/batch={number}")
-        known = spark.read.parquet(log).filter(F.col("batch") <= number).drop("batch")
-        newest = known.agg(F.max("checked_at").alias("m")).scalar()
-        recent = known.filter(F.col("checked_at") >= newest - F.make_dt_interval(F.lit(horizon_days)))
-        decide(recent, key, newest, F.lit(workers)).write.mode("overwrite").parquet(f"{decisions}/batch={number}")
+        read = spark.read.schema(df.schema)
+        known = read.parquet(f"{log}/batch={number}")
+        if number:
+            known = known.unionByName(read.parquet(f"{state}/batch={number - 1}"))
+        remembered(known, key).write.mode("overwrite").parquet(f"{state}/batch={number}")
+        held = read.parquet(f"{state}/batch={number}")
+        newest = held.agg(F.max("checked_at").alias("m")).scalar()
+        decide(held, key, newest, F.lit(workers)).write.mode("overwrite").parquet(f"{decisions}/batch={number}")
 
     return ticks.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start()

@@ -127,3 +127,37 @@ def test_window_limit_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     plan = merge.first_per_key(df, ["k"], [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_null_keys_are_spread_and_kept(spark):
+    big = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, F.col("id") % 3).alias("k"), F.lit("x").alias("a"))
+    lookup = spark.range(3).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    got = skew.salted_join(big, lookup, ["k"], "left", 1, 8)
+    assert got.count() == 400 and got.filter("k IS NULL AND v IS NOT NULL").count() == 0
+    assert got.filter("k IS NOT NULL AND v <> k * 10").count() == 0
+    right = lookup.select(F.col("v").alias("rid"), "k")
+    found = match.waterfall_match(big.select(F.col("id").alias("lid"), "k"), right, "lid", "rid", ["k"])
+    assert found.count() == 400 and found.filter("matched_id IS NULL").count() == 200
+    assert found.filter("key_rank IS NULL").count() == 200
+
+
+def test_stream_decides_as_the_whole_log(spark):
+    from prospectra.plans.health import decide
+    from prospectra.session import new_path
+    from prospectra.streaming.health import decide_stream
+    verdicts = F.element_at(F.array(*map(F.lit, ("WEDGED", "WEDGED", "PROXY_DEGRADED", "HEALTHY"))), (F.floor(F.col("id") / 90) % 4 + 1).cast("int"))
+    ticks = spark.range(720).select(
+        F.col("id").alias("tick_id"), (F.col("id") % 5).alias("fleet"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 1800).alias("checked_at"),
+        F.when((F.col("id") % 5 == 4) & (F.col("id") > 300), "WEDGED").otherwise(verdicts).alias("verdict"),
+        F.when(F.col("id") % 97 == 0, "restart").when(F.col("id") % 89 == 0, "proxy_refresh").otherwise("none").alias("action"), (F.col("id") % 2 == 0).alias("action_ok"))
+    ticks = ticks.filter("fleet <> 3 OR tick_id < 200")  # a fleet that falls silent for days keeps its decision
+    source, log, state, out, mark = (new_path(spark, x) for x in ("t-in", "t-log", "t-state", "t-out", "t-mark"))
+    ticks.repartitionByRange(4, "tick_id").write.parquet(source)
+    stream = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    decide_stream(stream, log, state, out, mark, "fleet", 3).awaitTermination()
+    after = spark.read.parquet(out)
+    last = after.agg(F.max("batch")).first()[0]
+    assert last == 3
+    newest = spark.read.parquet(source).agg(F.max("checked_at").alias("m")).scalar()
+    cols = ["fleet", "verdict", "streak", "since_restart", "since_refresh", "decision"]
+    assert sorted(after.filter(F.col("batch") == last).select(*cols).collect()) == sorted(decide(ticks, "fleet", newest, F.lit(3)).select(*cols).collect())
