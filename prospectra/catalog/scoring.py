@@ -105,7 +105,11 @@ def tier_one_share(spark, sf):
         F.count(F.lit(1)).alias("total"), first.alias("tier1"), F.round(F.lit(100.0) * first / F.count(F.lit(1)), 1).alias("pct_tier1"))
 
 
-@query("D03 F18 F19 J05")
+@query("D03 F18 F19 J05", f"""{GROWTH_SQL}
+    SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 1 THEN 'booking via Vagaro' WHEN 2 THEN 'booking link on own.test' END AS marketing_evidence,
+           CASE WHEN n >= 3 THEN score END AS growth_score, CASE WHEN c_custkey % 4 > 0 AND c_custkey % 5 = 0 THEN 'Private lessons, one on one' ELSE 'From the listing' END AS description
+    FROM customer LEFT JOIN p ON o_custkey = c_custkey
+""")
 def raw_enrichment(spark, sf):
     """Booking, growth and description derived from stored listings built of orders, then merged."""
     now = as_time("2000-06-30 00:00:00")
@@ -122,7 +126,7 @@ def raw_enrichment(spark, sf):
         F.transform("user_reviews", lambda r: F.struct(r["published_at"].alias("published_at"))).alias("user_reviews"))
     derived = raw_enrich.derive(raw, now)
     merged = raw_enrich.apply(raw.drop("order_online", "user_reviews", "raw_description"), derived)
-    return merged.groupBy("marketing_evidence", "growth_score", F.col("description").isNull().alias("no_text")).agg(F.count(F.lit(1)).alias("n"))
+    return merged.select("id", "marketing_evidence", "growth_score", "description")
 
 
 @query("A09 D03", f"""{GROWTH_SQL}
@@ -273,12 +277,29 @@ def directory_new_businesses(spark, sf):
     return fresh.groupBy("service_category", "icp_score", "icp_tier", "qc_status", "primary_category").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("D18 U07 A24")
+def _key_sql(name: str) -> str:
+    squeezed = lambda c: f"regexp_replace(lower({c}), '[^a-z0-9]+', '', 'g')"
+    bare = f"regexp_replace(lower({name}), '\\b(llc|inc|corp|co)\\b\\.?', '', 'g')"
+    return f"{squeezed(bare)} || '|' || {squeezed('city')} || '|' || {squeezed("coalesce(state, '')")}"
+
+
+@query("D18 U07 A24", f"""
+    WITH {_LISTED}, b AS (SELECT *, right(regexp_replace(phone, '[^0-9]', '', 'g'), 10) AS digits, {_key_sql('name')} AS k FROM biz),
+    m1 AS (SELECT digits, MIN(id) AS id FROM b WHERE digits IS NOT NULL GROUP BY 1), m2 AS (SELECT k, MIN(id) AS id FROM b GROUP BY 1),
+    m AS (SELECT CASE WHEN p.digits IS NOT NULL THEN m1.id ELSE m2.id END AS id, unnest(cats) AS tag
+          FROM (SELECT *, {_key_sql('name')} AS k FROM p) p LEFT JOIN m1 ON m1.digits = right(p.digits, 10) LEFT JOIN m2 ON m2.k = p.k),
+    t AS (SELECT id, tag FROM m WHERE id IS NOT NULL UNION SELECT id, unnest([primary_category, second_category]) FROM biz WHERE id IN (SELECT id FROM m))
+    SELECT id, 67 AS icp_score, 'Tier 2' AS icp_tier, CASE WHEN id % 3 = 0 THEN 'Meta Ads (x); ' ELSE '' END || 'yellow_pages_paid_listing' AS marketing_evidence,
+           string_agg(tag, ',' ORDER BY tag) AS categories, 'maps,yellow_pages' AS sources FROM t GROUP BY id
+""", ("biz", "hits"))
 def directory_updates(spark, sf):
+    """Businesses changed by the listings; some had the listing among their sources before."""
     found, known, matches = _listing_merge(spark, sf)
     changed = listing.updated_businesses(found, matches, known)
-    return changed.groupBy("icp_score", "icp_tier", "marketing_evidence").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("categories")).alias("most_categories"))
+    sources = known.select("id", F.lit("maps").alias("source")).unionAll(known.filter("id % 10 = 0").select("id", F.lit(listing.LISTING_SOURCE)))
+    held = listing.updated_sources(matches, sources).groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("source")), ",").alias("sources"))
+    return changed.join(held, "id").select(
+        "id", "icp_score", "icp_tier", "marketing_evidence", F.array_join("categories", ",").alias("categories"), "sources")
 
 
 # -- quality checks ----------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from prospectra.functions.emails import clamp
 from prospectra.functions.identity import name_key, none_if_blank, phone_key
 from prospectra.operators.match import waterfall_match
+from prospectra.operators.merge import insert_absent
 from prospectra.plans.scoring import BASE_SCORE, directory_primary, directory_service, lookup, tier
 
 LISTING_POINTS = 7
@@ -63,3 +64,9 @@ def updated_businesses(listings: DataFrame, matches: DataFrame, businesses: Data
                     .otherwise(evidence)) \
         .withColumn("icp_score", boosted).withColumn("icp_tier", tier(F.col("icp_score"), (70, 50, 30))) \
         .withColumn("directory_listed", F.lit(True)).drop("_tags")
+
+
+def updated_sources(matches: DataFrame, sources: DataFrame) -> DataFrame:
+    """The provenance rows (``id, source``) with one entry of the listing per matched business, added once."""
+    entries = matches.filter(F.col("matched_id").isNotNull()).select(F.col("matched_id").alias("id"), F.lit(LISTING_SOURCE).alias("source"))
+    return insert_absent(sources, entries, ["id", "source"])
