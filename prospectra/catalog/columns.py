@@ -246,12 +246,31 @@ def draft_measures(spark, sf):
         m["mentions_business"].alias("mentions_business"), (F.size(m["html_entities"]) > 0).alias("has_entity"))
 
 
-@query("F30 D30")
+@query("F29 F30 D30", rf"""
+    WITH d AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 2 THEN repeat('s', 91) ELSE '' END AS subject, text || CASE (conv_id + turn) % 6 WHEN 1 THEN chr(10) || 'Thanks,' || chr(10) || 'Pat'
+            WHEN 2 THEN ' **bold** claim.' WHEN 3 THEN ' Salt &amp; pepper.' WHEN 4 THEN chr(10) || 'Cheers' WHEN 5 THEN ' (see above.)' ELSE '' END AS body FROM conversations),
+    l AS (SELECT *, len(list_filter(regexp_split_to_array(body, '\s+'), lambda w: w <> '')) AS n,
+                 list_filter(list_transform(string_split(body, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines FROM d),
+    j AS (SELECT *, lines[-1] AS last, len(list_filter(regexp_split_to_array(lines[-1], '\s+'), lambda w: w <> '')) <= 3 AS short FROM l),
+    f AS (SELECT conv_id, turn, list_filter([CASE WHEN n = 0 THEN 'empty_body' END,
+        CASE WHEN n > 0 AND right(regexp_replace(CASE WHEN len(lines) > 1 AND short THEN lines[-2] ELSE last END, '["'')\]”’]+$', ''), 1) NOT IN ('.', '!', '?') THEN 'unterminated_body' END,
+        CASE WHEN n > 0 AND n < 25 THEN 'body_too_short' END, CASE WHEN n > 250 THEN 'body_too_long' END, CASE WHEN length(subject) > 90 THEN 'subject_too_long' END,
+        CASE WHEN regexp_matches(regexp_replace(body, '\p{{Latin}}', '', 'g'), '\p{{L}}') OR regexp_matches(body, '[ªºＡ-Ｚａ-ｚ]') THEN 'non_latin_script' END,
+        CASE WHEN regexp_matches(body, '&(?:[a-zA-Z]{{2,8}}|#[0-9]{{1,6}}|#x[0-9a-fA-F]{{1,6}});') THEN 'html_entity' END,
+        CASE WHEN regexp_matches(body, '(?m)(?:\*\*[^*\n]+\*\*|^#{{1,6}}\s|^\s*[-*]\s+\S|\[[^\]\n]+\]\([^)\n]+\))') THEN 'markdown' END,
+        CASE WHEN (len(lines) > 1 AND regexp_matches(last, '{T.SIGN_OFF}')) OR (len(lines) > 2 AND regexp_matches(lines[-2], '{T.SIGN_OFF}') AND short AND right(last, 1) NOT IN ('.', '?', '!')) THEN 'sign_off' END
+        ], lambda x: x IS NOT NULL) AS failures FROM j)
+    SELECT conv_id, turn, array_to_string(failures, ',') AS failures, len(failures) = 0 AS passed FROM f
+""")
 def draft_verdicts(spark, sf):
-    """Ordered failure list of every conversation turn read as a draft."""
+    """Ordered failure list of every conversation turn read as a draft, some with a planted fault."""
     from prospectra.plans.draft_qa import verdicts
-    df = table(spark, sf, "conversations").withColumn("subject", F.lit("")).withColumnRenamed("text", "body")
-    return verdicts(df).groupBy(F.array_join("failures", ",").alias("failures"), "passed").agg(F.count(F.lit(1)).alias("n"))
+    k = (F.col("conv_id") + F.col("turn")) % 6
+    planted = F.when(k == 1, "\nThanks,\nPat").when(k == 2, " **bold** claim.").when(k == 3, " Salt &amp; pepper.") \
+        .when(k == 4, "\nCheers").when(k == 5, " (see above.)").otherwise("")
+    df = table(spark, sf, "conversations").withColumn("body", F.concat("text", planted)) \
+        .withColumn("subject", F.when(F.col("turn") % 3 == 2, F.repeat(F.lit("s"), F.lit(91))).otherwise(""))
+    return verdicts(df).select("conv_id", "turn", F.array_join("failures", ",").alias("failures"), "passed")
 
 
 @query("F29", f"""
