@@ -21,6 +21,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.llm.common import text_slices
 
+# A key block runs to its END line if that is the next marker. Else it takes header lines and runs of base64 in
+# lines, quotes or escaped line ends, and at most two short last lines. Nothing in it steps back.
+_KEY = r"[A-Z0-9 ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+_GLUE = r"(?:\\+[nrt]?|<br ?/?>|[\s\"'>#*|,;+])"
+_EOL = r"(?:\\+r)?(?:\\+n|[\r\n])"
+_HEADERS = rf"(?:{_GLUE}*+[A-Za-z][A-Za-z0-9-]*+:[^\r\n\\]*+(?={_EOL}))*+"
+_SHORT = rf"(?:[\x20\t\"',;]*+{_EOL}[\s\"'>#*|]*+[A-Za-z0-9+/=]{{1,15}}+(?=[\x20\t\"',;+]*+(?:\Z|{_EOL}))){{0,2}}+"
+PRIVATE_KEY = (
+    rf"-----BEGIN {_KEY}(?:(?>[^-]+|-(?!----(?:BEGIN|END) ))*+-----END {_KEY}"
+    rf"|(?:{_HEADERS}(?:{_GLUE}*+[A-Za-z0-9+/=]{{16,}}+)++{_SHORT})?)"
+)
 # Kind, pattern, group that must reach a length, that length. The first three are the base kinds.
 RULES = (
     ("assign", r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
@@ -31,7 +42,7 @@ RULES = (
     ("google", r"AIza[0-9A-Za-z_-]{35}", 0, 0),
     ("stripe", r"[sr]k_live_[0-9A-Za-z]{16,}", 0, 0),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 0),
-    ("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 0),
+    ("private_key", PRIVATE_KEY, 0, 0),
 )
 BASE = ("assign", "access", "hex")
 #: Literal variants followed while reading a pattern; beyond it the run of literals ends there.

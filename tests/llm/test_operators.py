@@ -88,6 +88,31 @@ def test_redaction_joins_overlaps(spark):
     assert [r[0] for r in df.select(secret_scan.redact(F.col("text"), F.col("spans"))).collect()] == ["é[SECRET]efg", "ab", None]
 
 
+def test_redaction_leaves_no_key_body(spark):
+    pick = random.Random(8)
+    lines = ["".join(pick.choice("ABCDEFGHIJabcdefghij0123456789+/") for _ in range(n)) for n in (64, 64, 64, 22)]
+    body, begin, end = "\n".join(lines) + "==", "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    pgp = f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n{body}\n=aB3d\n"
+    whole = [
+        f"{begin}\n{body}\n{end}", f"{begin}\r\n{head}{body}\r\n{end}", f"{pgp}-----END PGP PRIVATE KEY BLOCK-----",
+        (f"{begin}\n{body}\n{end}").replace("\n", "\\n"), "\n".join(f'> "{x}" +' for x in [begin, *lines, end])[3:-3],
+        (f"{begin}\n{body}\n{end}").replace("\n", " "), f"{begin} {end}",
+    ]
+    cut = [f"{begin}\n{body}", f"{begin}\n{head}{body}", pgp[:-1], f"{begin}\n{body}".replace("\n", "\\n"), f"{begin}\r\n{body}\r\nabc="]
+    texts = [f"see {k} and so on" for k in whole] + [f"see {k}\n\nand so on" for k in cut]
+    texts += [f"{begin}\n{body}\nthen prose\n-----BEGIN CERTIFICATE-----\nabc\n-----END CERTIFICATE-----\n{end}", f"a {begin} b", begin * 300 + "-" * 5000]
+    df = frame(spark, texts).select("doc_id", "text", secret_scan.secret_spans(F.col("text")).alias("s"))
+    got = {r.doc_id: r.t for r in df.select("doc_id", secret_scan.redact(F.col("text"), F.col("s")).alias("t")).collect()}
+    for i in range(len(whole)):
+        assert got[i] in ("see [SECRET] and so on", 'see [SECRET]" and so on')
+    for i in range(len(whole), len(whole) + len(cut)):
+        assert got[i] == "see [SECRET]\n\nand so on"
+    n = len(whole) + len(cut)
+    assert got[n].startswith("[SECRET]\nthen prose\n-----BEGIN CERTIFICATE") and got[n + 1] == "a [SECRET] b"
+    assert got[n + 2] == "[SECRET]" * 300 + "-" * 5000
+
+
 def test_quality_measures(spark):
     texts = corpus() + ["a b c d e f g a b c d e q", "l\nl\n \nl x\n l", "#$ a | b"]
     got = by_id(quality_rules.quality_rules(frame(spark, texts)))
