@@ -5,9 +5,13 @@ the writer's line separator, so archives land in any store that Spark writes to.
 payloads from a given size on, the page with the largest id is written whole and the others
 as revisits of it.
 
-The reader takes files of plain records or gzip members. Each record's length, end and
-digests are checked. After a failed check it looks for the next version line or member that
-reads well, carries on there, and logs the bytes in between as a quarantined gap.
+The reader takes files of plain records or gzip members. Each record's length, end and sha1
+digests (hex or base32, in either case) are checked; only blocks of application/http are
+split at HTTP headers. After a failed check it looks for the next version line or member that
+reads well, carries on there, and logs the bytes in between as a quarantined gap. What a
+damaged member gave before its damage is read too: its records carry the offset of the
+member and the bytes read of it, and the member still counts as a gap. A damaged member of
+one record gives nothing but the gap.
 
 A null html is an empty payload, a null page_id a record without id; repeated rows are
 written one by one, and rows that share the largest id are all written whole. Pages of any
@@ -16,6 +20,8 @@ length pass. Columns beyond id, url and html are left out; an empty table gives
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import re
 import zlib
@@ -81,6 +87,24 @@ HEADER = re.compile(rb"WARC/1\.[01]\r\n((?:[^\r\n]+\r\n)+)\r\n")
 NEXT = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 
 
+#: Compressed bytes that are unpacked at once.
+CHUNK = 1 << 16
+
+
+def sha1_told(value: str) -> str | None:
+    """The sha1 that a header tells as lower-case hex, None if it tells none."""
+    name, _, told = value.partition(":")
+    if name.strip().lower() != "sha1":
+        return None
+    told = told.strip()
+    if len(told) == 32:
+        try:
+            return base64.b32decode(told, casefold=True).hex()
+        except binascii.Error:
+            pass
+    return told.lower()
+
+
 def read_record(data: bytes, at: int) -> tuple[dict, int] | str:
     """The record at a place and where it ends, or why it can't be trusted."""
     head = HEADER.match(data, at)
@@ -101,21 +125,23 @@ def read_record(data: bytes, at: int) -> tuple[dict, int] | str:
     block = data[head.end():end]
     if data[end:end + 4] != END.encode():
         return "wrong length"
-    told = named.get("warc-block-digest", "")
-    if told.startswith("sha1:") and told[5:] != hashlib.sha1(block).hexdigest():
+    told = sha1_told(named.get("warc-block-digest", ""))
+    if told is not None and told != hashlib.sha1(block).hexdigest():
         return "block digest differs"
-    http, split, payload = block.partition(END.encode())
-    if not split:
-        http, payload = b"", block
+    http, payload = b"", block
+    if named.get("content-type", "").partition(";")[0].strip().lower() == "application/http":
+        before, split, after = block.partition(END.encode())
+        if split:
+            http, payload = before, after
     kind = named.get("warc-type")
-    told = named.get("warc-payload-digest", "")
+    told = sha1_told(named.get("warc-payload-digest", ""))
     digest = hashlib.sha1(payload).hexdigest()
     size = len(payload)
     if kind == "revisit":
-        digest = told.removeprefix("sha1:")
+        digest = named.get("warc-payload-digest", "") if told is None else told
         length = re.search(rb"(?im)^content-length:\s*([0-9]+)", http)
         size = int(length[1]) if length else None
-    elif told.startswith("sha1:") and told[5:] != digest:
+    elif told is not None and told != digest:
         return "payload digest differs"
     return {
         "record_type": kind, "record_id": named.get("warc-record-id"), "target_uri": named.get("warc-target-uri"),
@@ -123,28 +149,55 @@ def read_record(data: bytes, at: int) -> tuple[dict, int] | str:
     }, end + 4
 
 
+def unpacked(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at a place gives, where reading it ended, and what is wrong with it."""
+    unpack, out, view = zlib.decompressobj(31), [], memoryview(data)
+    while at < len(data) and not unpack.eof:
+        saved, part = unpack.copy(), view[at:at + CHUNK]
+        try:
+            out.append(unpack.decompress(part))
+        except zlib.error:
+            # The part again byte by byte, to have all that it gives before the damage.
+            for i in range(len(part)):
+                try:
+                    out.append(saved.decompress(part[i:i + 1]))
+                except zlib.error:
+                    return b"".join(out), at + i, "member damaged"
+        at += len(part)
+    return b"".join(out), at - len(unpack.unused_data), "" if unpack.eof else "member cut short"
+
+
 def salvage(data: bytes) -> Iterator[dict]:
     """Records of an archive as they can be trusted, and rows with ``reason`` for the byte gaps between them."""
     at, gap, why = 0, None, ""
+    # Records given from a damaged member, up to where it was read: stored blocks show them again as plain ones.
+    given, reached = set(), 0
+    known = lambda r: (r["record_type"], r["record_id"], r["payload_digest"])
     while at < len(data):
         found: list[dict] = []
+        partial: list[dict] = []
         if data.startswith(b"\x1f\x8b", at):
-            unpack = zlib.decompressobj(31)
-            try:
-                inside = unpack.decompress(data[at:])
-                problem = "" if unpack.eof else "member cut short"
-            except zlib.error:
-                problem = "member damaged"
-            if not problem:
-                end = len(data) - len(unpack.unused_data)
-                found = [r | {"offset": at, "length": end - at} for r in salvage(inside)]
+            inside, end, problem = unpacked(data, at)
+            rows = list(salvage(inside))
+            found = [r | {"offset": at, "length": end - at} for r in rows]
+            if problem:
+                # A member that is a single record is lost with it, even if only its own end is damaged.
+                single = len(rows) == 1 and rows[0]["length"] == len(inside)
+                partial, found = [r for r in found if "reason" not in r and not single], []
         else:
             read = read_record(data, at)
             problem = read if isinstance(read, str) else ""
             if not problem:
                 end = read[1]
                 found = [read[0] | {"offset": at, "length": end - at}]
+                if at < reached and known(read[0]) in given:
+                    found = []
         if problem:
+            if partial:
+                if gap is not None:
+                    yield {"offset": gap, "length": at - gap, "reason": why}
+                yield from partial
+                gap, given, reached = None, set(map(known, partial)), end
             if gap is None:
                 gap, why = at, problem
             following = NEXT.search(data, at + 1)

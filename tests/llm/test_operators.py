@@ -1,5 +1,6 @@
 """The operators against brute force, and their defined results on odd rows."""
 
+import base64
 import collections
 import gzip
 import hashlib
@@ -256,6 +257,48 @@ def test_salvage_logs_the_gap(spark):
     assert [r["reason"] for r in rows if "reason" in r][-1] == "member cut short"
 
 
+def planted(kind, body, content_type, digest, name="x", http=b""):
+    """A record as other writers make it."""
+    lines = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{name}>"), ("WARC-Payload-Digest", digest(body)),
+             ("WARC-Block-Digest", digest(http + body)), ("Content-Type", content_type), ("Content-Length", str(len(http + body)))]
+    return "".join(["WARC/1.0\r\n", *(f"{n}: {v}\r\n" for n, v in lines), "\r\n"]).encode() + http + body + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers():
+    base32 = lambda b: "sha1:" + base64.b32encode(hashlib.sha1(b).digest()).decode()
+    upper = lambda b: "SHA1:" + hashlib.sha1(b).hexdigest().upper()
+    body, http, other = b"<p>a\r\n\r\nb</p>", b"HTTP/1.1 200 OK\r\nContent-Length: 14\r\n\r\n", "application/http; msgtype=response"
+    records = [
+        planted("response", body, other, base32, "1", http), planted("response", body, other, lambda b: base32(b).lower(), "2", http),
+        planted("response", body, other, upper, "3", http), planted("resource", body, "text/html", base32, "4"),
+        planted("metadata", b"a: 1\r\n\r\nb: 2", "application/warc-fields", base32, "5"),
+        planted("revisit", b"", other, lambda b: base32(body if not b else http), "6", http),
+    ]
+    rows = list(warc.salvage(b"".join(records)))
+    assert [r.get("record_id") for r in rows] == [f"<urn:uuid:{i}>" for i in range(1, 7)]
+    assert [r["payload"] for r in rows[:5]] == [body] * 4 + [b"a: 1\r\n\r\nb: 2"]
+    assert {r["payload_digest"] for r in rows if r["record_id"] != "<urn:uuid:5>"} == {hashlib.sha1(body).hexdigest()}
+    wrong = b"".join(records).replace(b"a: 1", b"a: 2").replace(b"<p>", b"<q>", 1)
+    assert [r.get("reason") for r in warc.salvage(wrong)] == ["block digest differs", None, None, None, "block digest differs", None]
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_salvage_within_a_damaged_member(level):
+    pick = random.Random(17)
+    bodies = ["".join(pick.choice("abcdefgh ") for _ in range(3000)).encode() for _ in range(60)]
+    records = [planted("resource", b, "text/plain", lambda x: "sha1:" + hashlib.sha1(x).hexdigest(), str(i)) for i, b in enumerate(bodies)]
+    whole, tail = gzip.compress(b"".join(records), level), gzip.compress(records[0].replace(b"uuid:0", b"uuid:z"))
+    broken = bytearray(whole)
+    broken[len(whole) * 3 // 4] ^= 255
+    for data, least in ((whole[:len(whole) // 2], 25), (whole[:-4], 60), (whole[:-4] + tail, 60), (bytes(broken) + tail, 40)):
+        rows = list(warc.salvage(data))
+        names = [r["record_id"] for r in rows if "reason" not in r]
+        tailed = ["<urn:uuid:z>"] if data.endswith(tail) else []
+        assert names[:least] == [f"<urn:uuid:{i}>" for i in range(least)] and len(set(names)) == len(names)
+        assert names[len(names) - len(tailed):] == tailed
+        assert any("reason" in r for r in rows) and all(bytes(r["payload"]) in bodies for r in rows if "reason" not in r)
+
+
 @pytest.mark.parametrize("part_bytes", [1 << 20, 300])
 def test_contamination(spark, part_bytes):
     texts = corpus(11, 60) + ["the tiny item is here", "Tiny-ITEM"]
