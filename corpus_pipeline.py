@@ -36,7 +36,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes of every document, and when."""
+    """The words that the mix takes of every document, and the training position of every copy."""
     return mixing.mix(docs)
 
 

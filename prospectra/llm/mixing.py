@@ -4,8 +4,9 @@ Every source has a weight and a weight schedule over the training run. The weigh
 the mix's words by water level: a source stops at a multiple of its own size, and what it
 can't give is shared again by weight. A source's documents stand in hashed order and are
 streamed as often as its target asks; the schedule is integrated to a cumulative demand,
-and inverting the demand at the place where a document begins gives its training position.
-The rows come out sorted by range of position.
+and inverting the demand at the place where a copy of a document begins gives its training
+position: copy n begins n times the source's size after the first. ``curriculum`` has a row
+per copy, ``mix`` a row per document; both come out sorted by range of position.
 
 All work is DataFrame and SQL functions. Running sums are built from sums per hashed
 bucket, so no task holds a source. The one unpartitioned window has a row per source.
@@ -88,12 +89,12 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_percent
     return rows.select("_none", "_source", "source_size", "rank", "weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, schedules=SCHEDULES, share_percent: int = SHARE_PERCENT,
-        most_times: int = MOST_TIMES) -> DataFrame:
-    """``key, source_rank, size, source_size, target, taken, position`` of every row, sorted by ranges of position.
+def placed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+           weights: tuple[int, ...] = WEIGHTS, schedules=SCHEDULES, share_percent: int = SHARE_PERCENT,
+           most_times: int = MOST_TIMES) -> DataFrame:
+    """``key, source_rank, size, source_size, target, taken, copies`` of every row.
 
-    ``position`` is the training time of a document's first copy, null if nothing of it is taken.
+    ``copies`` has ``copy, words, position`` of each copy of which something is taken.
     """
     code = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     sizes = cut(docs.select(
@@ -111,17 +112,42 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     rows = rows.withColumn("_start", F.col("_before") + F.col("_inside")).withColumn("_goal", F.floor(F.col("target") + 0.5))
 
     def copy(n: int) -> Column:
-        return F.least("size", F.greatest(F.col("_goal") - n * F.col("source_size") - F.col("_start"), F.lit(0)))
-
-    copies = [copy(n) for n in range(most_times)]
-    taken = sum(copies[1:], copies[0]).cast("long")
-    rows = rows.withColumn("taken", taken).withColumn("_share", F.try_divide(F.col("_start").cast("double"), F.col("_goal")))
-    time = F.when(F.col("taken") > 0, F.expr(schedule_sql("rank", "_share", schedules)))
-    out = rows.select(F.col("_key").alias(key), F.col("rank").alias("source_rank"), "size", "source_size", "target", "taken",
-                      time.alias("position"))
+        return F.least("size", F.greatest(F.col("_goal") - n * F.col("source_size") - F.col("_start"), F.lit(0))).cast("long")
+
+    def share(n: int) -> Column:
+        begin = (F.col("_start") + n * F.col("source_size")).cast("double")
+        return F.try_divide(begin, F.col("_goal")).alias(f"_share_{n}")
+
+    rows = rows.select("*", *(copy(n).alias(f"_words_{n}") for n in range(most_times)), *map(share, range(most_times)))
+    taken = sum((F.col(f"_words_{n}") for n in range(most_times)), F.lit(0).cast("long"))
+    copies = F.array_compact(F.array(*(
+        F.when(F.col(f"_words_{n}") > 0, F.struct(
+            F.lit(n).alias("copy"), F.col(f"_words_{n}").alias("words"), F.expr(schedule_sql("rank", f"_share_{n}", schedules)).alias("position"),
+        )) for n in range(most_times)
+    )))
+    return rows.select(F.col("_key").alias(key), F.col("rank").alias("source_rank"), "size", "source_size", "target",
+                       taken.alias("taken"), copies.alias("copies"))
+
+
+def mix(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """``key, source_rank, size, source_size, target, taken, position, positions`` of every row, sorted by ranges of position.
+
+    ``positions`` are the training times of a document's copies, ``position`` is that of the first, null if nothing is taken.
+    """
+    positions = F.col("copies.position")
+    out = placed(docs, key, **options).select(
+        key, "source_rank", "size", "source_size", "target", "taken", F.get(positions, F.lit(0)).alias("position"), positions.alias("positions"),
+    )
     return out.repartitionByRange(F.col("position").asc_nulls_last(), key).sortWithinPartitions(F.col("position").asc_nulls_last(), key)
 
 
+def curriculum(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """``key, source_rank, copy, words, position`` of every copy taken, sorted by ranges of position."""
+    out = placed(docs, key, **options).select(key, "source_rank", F.inline("copies"))
+    order = ("position", key, "copy")
+    return out.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 #: The mix of ``documents`` in SQL.
 ORACLE_SQL = f"""
 WITH sizes AS (

@@ -378,6 +378,30 @@ def test_mix_takes_the_targets(spark):
     assert mixing.mix(frame(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_every_copy_has_a_position(spark):
+    docs = frame(spark, corpus(13))
+    rows, steps = mixing.mix(docs).collect(), mixing.curriculum(docs).collect()
+    assert sum(len(r.positions) for r in rows) == len(steps) > sum(r.taken > 0 for r in rows)
+    assert [r.position for r in steps] == sorted(r.position for r in steps)
+    words = collections.defaultdict(list)
+    for r in sorted(steps, key=lambda r: r.copy):
+        words[r.doc_id].append((r.words, r.position))
+    for r in rows:
+        assert [p for _, p in words[r.doc_id]] == r.positions and sum(w for w, _ in words[r.doc_id]) == r.taken
+        assert r.positions == sorted(r.positions) and r.position == (r.positions or [None])[0]
+    for rank in range(4):
+        schedule = mixing.SCHEDULES[rank % 3]
+
+        def weight(t):
+            return sum((t1 - t0) * (w0 + w1) / 2 if t >= t1 else (t - t0) * (w0 + (w0 + (w1 - w0) * (t - t0) / (t1 - t0))) / 2
+                       for (t0, w0), (t1, w1) in zip(schedule, schedule[1:]) if t > t0)
+
+        done, goal = 0, sum(r.words for r in steps if r.source_rank == rank)
+        for r in (r for r in sorted(steps, key=lambda r: (r.position, r.copy)) if r.source_rank == rank):
+            assert weight(r.position) == pytest.approx(done / goal, abs=1e-6)
+            done += r.words
+
+
 def test_targets_refill_by_water_level(spark):
     sizes = [("a", 10), ("b", 1000), ("c", 400), ("d", 50)]
     df = spark.createDataFrame([(False, s, n) for s, n in sizes], "_none boolean, _source string, source_size long")
