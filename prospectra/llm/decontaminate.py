@@ -108,12 +108,12 @@ class Benchmark:
             at += len(words) + 1
         return np.concatenate([*parts, np.zeros(1, np.int64)]), np.array([*begins, at], np.int64)
 
-    def order(self, ids: np.ndarray) -> np.ndarray:
-        """The shard's suffix array, without places where not even the shortest window fits into known words."""
+    def order(self, ids: np.ndarray, depth: int) -> np.ndarray:
+        """The shard's suffix array by ``depth`` words, without places where not even the shortest window fits into known words."""
         known = np.append(0, np.cumsum(ids > 0))
         at = np.arange(max(0, len(ids) - self.least))
         at = at[known[at + self.least] - known[at] == self.least]
-        return suffix_array(ids, at, 2 * self.window)
+        return suffix_array(ids, at, depth)
 
     def bisect(self, ids: np.ndarray, order: np.ndarray, starts: np.ndarray, reach: np.ndarray, after: bool) -> np.ndarray:
         """The first place in the order not below (or above) the item suffixes cut to ``reach`` words."""
@@ -135,7 +135,7 @@ class Benchmark:
         out = [{"n_words": int(n), "stretches": [], "items": []} for n in np.diff(begins) - 1]
         if not len(self.starts):
             return out
-        order = self.order(ids)
+        order = self.order(ids, 2 * self.window)
         starts, needs = self.starts[self.first], self.needs[self.first]
         low = self.bisect(ids, order, starts, needs, False)
         high = self.bisect(ids, order, starts, needs, True)
@@ -165,10 +165,11 @@ class Benchmark:
     def longest(self, texts: list[str | None]) -> list[tuple[str, int, int, int, int]]:
         """Per item its longest match in the shard: item, words, place in the item, text of the shard, place in it."""
         ids, begins = self.shard(texts)
-        order = self.order(ids)
+        # By as many words as the longest item has: only then the neighbours of a suffix are its longest matches.
+        order = self.order(ids, self.depth)
         if not len(order) or not len(self.starts):
             return []
-        where = self.bisect(ids, order, self.starts, np.full(len(self.starts), 2 * self.window), False)
+        where = self.bisect(ids, order, self.starts, np.full(len(self.starts), self.depth), False)
         best = np.zeros(len(self.starts), np.int64)
         place = np.zeros(len(self.starts), np.int64)
         for near in (where - 1, where):

@@ -335,6 +335,26 @@ def test_longest_matches(spark):
     assert (row.item, row.n_words, row.item_start, row.doc_key, row.doc_start) == ("5", 12, 2, "2", 1)
 
 
+def test_longest_match_among_copies_of_long_passages(spark):
+    item = [f"w{i}" for i in range(90)]
+    copies = [item[:40], item[:50], item[:45], item[10:75], item[12:70], item[5:60]]
+    texts = [(i, " ".join(["own", *c, "other", *item[60:72]])) for i, c in enumerate(copies)]
+    items = [(5, " ".join(item)), (6, " ".join(item[:55])), (7, " ".join(item[:48] + ["zz"] + item[20:64]))]
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), spark.createDataFrame(items, "item_id long, text string")
+    got = {r.item: tuple(r)[1:] for r in decontaminate.longest_matches(docs, bench).collect()}
+
+    def length(a, b):
+        return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    for i, text in items:
+        words = text.split()
+        most = max(length(words[a:], t.split()[b:]) for _, t in texts for a in range(len(words)) for b in range(len(t.split())))
+        n, start, doc, at = got[str(i)]
+        assert n == most == length(words[start:], texts[int(doc)][1].split()[at:])
+    two = decontaminate.longest_matches(docs.filter("doc_id < 2"), bench.filter("item_id = 5")).first()
+    assert (two.n_words, two.item_start, two.doc_key, two.doc_start) == (50, 0, "1", 1)
+
+
 def test_personal_data(spark):
     pick = random.Random(6)
     parts = ["a@b.c", "@", ".", "-", "+1 (555) 010-22", "4111 1111 1111 1111", "4111-1111-1111-1112 ", "1.2.3.4", ".5", "255.255.256.1", "é", "🐶", " ", "x", "9", "00"]
