@@ -7,8 +7,10 @@ insertion point give the longest verbatim match of the suffix and its place.
 
 Words are maximal runs of ASCII letters and digits (lower-cased) and of everything beyond
 ASCII. Items and documents that are null or hold no word match nothing; repeated rows are
-searched one by one; an item repeated in the benchmark counts once by its id. Benchmark
-items reach the tasks in parts of a checked size, one search per part.
+searched one by one; an item repeated in the benchmark counts once by its id. Items without
+id are searched too: their words are hit, but they are neither counted nor listed. Benchmark
+items reach the tasks in parts of a checked size, one search per part; the parts are cut by
+id and text, so one id with many rows is spread. All parts pass the driver.
 """
 
 from __future__ import annotations
@@ -61,10 +63,10 @@ def common_length(left: np.ndarray, a: np.ndarray, right: np.ndarray, b: np.ndar
 class Benchmark:
     """Benchmark items as word numbers, with their suffixes to search for."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
-        self.names: list[str] = []
+        self.names: list[str | None] = []
         ids: list[int] = []
         starts: list[int] = []
         needs: list[int] = []
@@ -159,11 +161,11 @@ class Benchmark:
         for text, u in pairs.tolist():
             seen.setdefault(text, set()).update(self.items[u])
         for text, items in seen.items():
-            out[text]["items"] = sorted({self.names[i] for i in items})
+            out[text]["items"] = sorted({self.names[i] for i in items} - {None})
         return out
 
     def longest(self, texts: list[str | None]) -> list[tuple[str, int, int, int, int]]:
-        """Per item its longest match in the shard: item, words, place in the item, text of the shard, place in it."""
+        """Per item with an id its longest match in the shard: item, words, place in the item, text of the shard, place in it."""
         ids, begins = self.shard(texts)
         # By as many words as the longest item has: only then the neighbours of a suffix are its longest matches.
         order = self.order(ids, self.depth)
@@ -185,7 +187,7 @@ class Benchmark:
         text = np.searchsorted(begins, place, "right") - 1
         return [
             (self.names[k], int(best[i]), int(self.starts[i] - begin[k]), int(text[i]), int(place[i] - begins[text[i]]))
-            for k, i in sorted(top.items()) if best[i]
+            for k, i in sorted(top.items()) if best[i] and self.names[k] is not None
         ]
 
 
@@ -196,10 +198,10 @@ _FOUND = pa.struct([("n_words", pa.int64()), ("stretches", _STRETCHES), ("items"
 
 def benchmark_parts(benchmark: DataFrame, key: str, text: str, part_bytes: int) -> list[tuple]:
     """The items as tuples, in parts of at most about ``part_bytes``, each collected on its own."""
-    items = benchmark.select(F.col(key).cast("string").alias("_id"), F.col(text).alias("_text")).filter("_id IS NOT NULL")
+    items = benchmark.select(F.col(key).cast("string").alias("_id"), F.col(text).alias("_text"))
     total = items.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     count = max(1, -(-2 * total // part_bytes)) if total > part_bytes else 1
-    part = F.pmod(F.xxhash64("_id"), F.lit(count))
+    part = F.pmod(F.xxhash64("_id", "_text"), F.lit(count))
     return [tuple(map(tuple, items.filter(part == i).orderBy("_id", "_text").collect())) for i in range(count)]
 
 
@@ -261,7 +263,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **o
 def longest_matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                     window: int = WINDOW, item_key: str = "item_id", item_text: str = "text",
                     part_bytes: int = PART_BYTES) -> DataFrame:
-    """Per item its longest verbatim match: ``item, n_words, item_start``, the document's key and ``doc_start``."""
+    """Per item with an id its longest verbatim match: ``item, n_words, item_start``, the document's key and ``doc_start``."""
     context = docs.sparkSession.sparkContext
     schema = "item string, n_words long, item_start long, doc_key string, doc_start long"
     parts = []

@@ -328,6 +328,21 @@ def test_contamination(spark, part_bytes):
     assert by_id(decontaminate.contamination(frame(spark, texts), bench.limit(0)))[0].n_hit == 0
 
 
+@pytest.mark.parametrize("part_bytes", [1 << 20, 1500])
+def test_items_without_id_and_ids_with_many_rows(spark, part_bytes):
+    passages = [" ".join(f"p{k}w{j}" for j in range(12)) for k in range(40)]
+    items = [(None, passages[0]), (None, passages[1]), (3, passages[1])] + [(8, p) for p in passages[2:]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, [f"a b {passages[0]} c", f"{passages[1]} d", passages[30], "nothing of it"]).coalesce(1)
+    got = by_id(decontaminate.contamination(docs, bench, part_bytes=part_bytes))
+    assert [(got[i].n_hit, got[i].n_items, got[i]["items"]) for i in range(4)] == [(12, 0, []), (12, 1, ["3"]), (12, 1, ["8"]), (0, 0, [])]
+    assert [r.doc_id for r in decontaminate.decontaminate(docs, bench, part_bytes=part_bytes).collect()] == [3]
+    assert {r.item for r in decontaminate.longest_matches(docs, bench, part_bytes=part_bytes).collect()} == {"3", "8"}
+    parts = decontaminate.benchmark_parts(bench, "item_id", "text", part_bytes)
+    assert sorted(map(str, sum(parts, ()))) == sorted(str((i if i is None else str(i), t)) for i, t in items)
+    assert len(parts) == 1 or max(map(len, parts)) < 20
+
+
 def test_longest_matches(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k l m"), (2, "x c d e f g h i j k l m n o")], "doc_id long, text string")
     bench = spark.createDataFrame([(5, "z z c d e f g h i j k l m n")], "item_id long, text string")
