@@ -28,6 +28,19 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ranged(df: DataFrame, order: list, label: str) -> DataFrame:
+    """The rows written in ranges of ``order`` and read back, with the number of their range as ``_part``.
+
+    Ranges may divide the rows of one key, so that a hot key is spread; ``order`` should tell rows apart.
+    """
+    return cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), label)
+
+
+def in_ranges(df: DataFrame, order: list) -> DataFrame:
+    """The rows of ``ranged`` with whole ranges in tasks, sorted by range and ``order``."""
+    return df.repartition("_part").sortWithinPartitions("_part", *order)
+
+
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[list[str | None]]:
     """The texts of an Arrow batch in runs of about ``limit`` bytes."""
     first, held = 0, 0

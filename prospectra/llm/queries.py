@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prospectra.llm import decontaminate, exact_substrings, language, mixing, near_dedup, pii, quality_rules, secret_scan, token_counts, warc
+from prospectra.llm import decontaminate, exact_substrings, language, mixing, near_dedup, pii, quality_rules, secret_scan, token_counts, token_planes, warc
 from prospectra.llm.common import fields, table
 from prospectra.session import new_path
 
@@ -70,9 +70,16 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(pii.find_pii(table(spark, sf_dir, "documents")))
 
 
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document written to files of byte planes and read back."""
+    path = new_path(spark, "llm-ids")
+    token_planes.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_planes.read_ids(spark, path, with_ids=False).withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_source_mixing, op3_secret_scans, op4_quality_rules, op5_language_id, op6_suffix_array_dedup,
     op7_minhash_near_dedup, op8_warc, op9_benchmark_decontamination,
-    op10_pii,
+    op10_pii, op12_token_ids,
 )}
 ORACLE_SQL = {"op2_source_mixing": mixing.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL}
