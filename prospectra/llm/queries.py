@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prospectra.llm import decontaminate, exact_substrings, language, mixing, near_dedup, pii, quality_rules, secret_scan, token_counts, token_planes, warc
+from prospectra.llm import (
+    conversation_trie, decontaminate, exact_substrings, language, mixing, near_dedup, pii, quality_rules, secret_scan, token_counts, token_planes, warc,
+)
 from prospectra.llm.common import fields, table
 from prospectra.session import new_path
 
@@ -77,9 +79,15 @@ def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_ids(spark, path, with_ids=False).withColumnRenamed("key", "doc_id")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared prefix of the conversations, rebuilt from their trunks."""
+    rows = conversation_trie.listed(table(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(conversation_trie.branched(rows))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_source_mixing, op3_secret_scans, op4_quality_rules, op5_language_id, op6_suffix_array_dedup,
     op7_minhash_near_dedup, op8_warc, op9_benchmark_decontamination,
-    op10_pii, op12_token_ids,
+    op10_pii, op12_token_ids, op13_prefix_trie,
 )}
 ORACLE_SQL = {"op2_source_mixing": mixing.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL}
