@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from prospectra.llm import (
-    conversation_trie, decontaminate, exact_substrings, language, mixing, near_dedup, pii, quality_rules, secret_scan, token_counts, token_planes, warc,
+    collocations, conversation_trie, decontaminate, exact_substrings, language, mixing, near_dedup, pii, quality_rules, secret_scan, token_counts, token_planes, warc,
 )
 from prospectra.llm.common import fields, table
 from prospectra.session import new_path
@@ -72,6 +72,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(pii.find_pii(table(spark, sf_dir, "documents")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collocations of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written to files of byte planes and read back."""
     path = new_path(spark, "llm-ids")
@@ -88,6 +93,6 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_source_mixing, op3_secret_scans, op4_quality_rules, op5_language_id, op6_suffix_array_dedup,
     op7_minhash_near_dedup, op8_warc, op9_benchmark_decontamination,
-    op10_pii, op12_token_ids, op13_prefix_trie,
+    op10_pii, op11_collocations, op12_token_ids, op13_prefix_trie,
 )}
 ORACLE_SQL = {"op2_source_mixing": mixing.ORACLE_SQL, "op8_warc": warc.ORACLE_SQL}
