@@ -34,6 +34,7 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from prospectra.llm.common import cut, text_slices
+from prospectra.llm.token_counts import byte_symbols, plain
 
 MAGIC = b"IDPLANE1"
 #: Ids in a chunk.
@@ -50,18 +52,22 @@ CHUNK_IDS = 1 << 16
 FILE_IDS = 1 << 22
 #: Planes of a 32-bit id by their kind.
 PLANES = {"byte": 4, "bit": 32}
-#: Encoded chunks of text a worker remembers; beyond it the memory starts anew. A cache only.
-REMEMBERED = 400_000
+#: Encoded pieces of text a worker remembers; beyond it the memory starts anew. A cache only.
+REMEMBERED = 600_000
 #: Characters handed to the library at once.
 PIECE = 1 << 16
 AFTER_SPACE = re.compile(r"\s |^ ")
+# Letters, digits and white space of Latin-1, and the pre-tokens of byte-level vocabularies.
+LETTER, DIGIT, SPACE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+PRE_TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^{SPACE}{LETTER}{DIGIT}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
 class IdEncoder:
     """Ids of texts as the library gives them, from ids of remembered pieces.
 
-    A byte-level vocabulary never joins what stands on either side of a space that follows a
-    visible character, so a text is cut there; other vocabularies get whole texts.
+    A byte-level vocabulary joins nothing across pre-tokens. Latin-1 texts are cut into these,
+    and the library's model merges each. Other texts are cut at spaces that follow a visible
+    character, where a pre-token always ends; other vocabularies get whole texts.
     """
 
     def __init__(self, path: str):
@@ -77,12 +83,17 @@ class IdEncoder:
         )
         self.library.no_truncation()
         self.library.no_padding()
+        self.specials = [t["content"] for t in special]
+        self.model = self.library.model
+        self.symbols = {b: s for b, s in enumerate(byte_symbols())}
         self.known: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         """Parts of a text that are encoded apart."""
         if not self.divides:
             return [text]
+        if plain(text) and not any(s in text for s in self.specials):
+            return PRE_TOKEN.findall(text)
         words = text.split(" ")
         if not AFTER_SPACE.search(text):
             return [words[0], *[" " + w for w in words[1:]]]
@@ -95,11 +106,19 @@ class IdEncoder:
         return out
 
     def learn(self, pieces: list[str]) -> None:
-        first, held = 0, 0
+        """Encodes new pieces: single pre-tokens by the model, the rest by the whole library."""
+        rest = []
+        for piece in pieces:
+            if self.divides and PRE_TOKEN.fullmatch(piece) and plain(piece) and len(piece) < PIECE:
+                symbols = piece.encode().decode("latin-1").translate(self.symbols)
+                self.known[piece] = array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+            else:
+                rest.append(piece)
+        pieces, first, held = rest, 0, 0
         for i, piece in enumerate([*pieces, None]):
             if piece is None or (held and held + len(piece) > PIECE):
                 found = self.library.encode_batch_fast(pieces[first:i], add_special_tokens=False) if i > first else []
-                self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(pieces[first:i], found))
+                self.known.update((p, array("I", e.ids).tobytes()) for p, e in zip(pieces[first:i], found))
                 first, held = i, 0
             held += len(piece or "")
 
