@@ -22,10 +22,12 @@ from prospectra.llm.common import WORD_SPACE, fields, mix, text_slices
 
 SPACES = WORD_SPACE.encode()
 SYMBOLS = b"#*$%&|<>"
-#: The share of characters that may lie in duplicated n-grams, by n, and in duplicated lines.
-NGRAM_LIMITS = {5: 0.30, 7: 0.28, 10: 0.25}
-LINE_LIMIT = 0.30
-#: The share of symbols among the characters of words.
+#: The share of characters that may lie in duplicated n-grams, by n, and in duplicated lines: the published
+#: limits of this rule, which fall with n. The base rule lets 20 % of words through, so each of them decides.
+NGRAM_LIMITS = {5: 0.15, 7: 0.13, 10: 0.10}
+LINE_LIMIT = 0.20
+#: The share of symbols among the characters of words. Prose with mark-up or code reaches 0.13 and is wanted,
+#: runs of symbols begin at a third; the limit lies between.
 SYMBOL_LIMIT = 0.20
 MIN_WORDS = 10
 #: Words a repeated window counts over, and the percentage of words they may hold.
