@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.llm.common import cut, text_slices
 from prospectra.llm.components import components
@@ -218,10 +218,10 @@ def across(members: DataFrame, percent: int) -> DataFrame:
     return _by_block(members, prove, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``key, n_shingles, component_id, kept`` of every row."""
-    rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    sketches = cut(rows.select("_key", sketch(F.col("_text"), words).alias("_s")).select("_key", "_s.*"), "sketches")
+def classed(rows: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``n_shingles, signature, component`` beside the columns of ``rows`` but ``_text``; the component is its smallest ``_key``."""
+    beside = [c for c in rows.columns if c != "_text"]
+    sketches = cut(rows.select(*beside, sketch(F.col("_text"), words).alias("_s")).select(*beside, "_s.*"), "sketches")
     classes = cut(
         sketches.filter("signature IS NOT NULL").groupBy("signature")
         .agg(F.min("_key").alias("node"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles")),
@@ -254,20 +254,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     more = cut(across(with_component(open_).join(sets, "node"), percent), "across")
     found = cut(components(links.unionAll(more)), "components")
 
-    ends = classes.join(found, "node", "left").select("signature", F.coalesce("component", "node").alias("_c"))
-    out = sketches.join(ends, "signature", "left").select(
-        F.col("_key").alias(key), "n_shingles", F.when(F.col("signature").isNull(), F.col("_key")).otherwise(F.col("_c")).alias("component_id"),
+    ends = classes.join(found, "node", "left").select("signature", F.coalesce("component", "node").alias("component"))
+    return sketches.drop("registers").join(ends, "signature", "left")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``key, n_shingles, component_id, kept`` of every row."""
+    rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
+    out = classed(rows, words, percent).select(
+        F.col("_key").alias(key), "n_shingles", F.when(F.col("signature").isNull(), F.col("_key")).otherwise(F.col("component")).alias("component_id"),
     )
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.col("component_id").isNull()))
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns kept, whose id names its class; of rows that share an id one stays.
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row of each class of near-duplicates, all columns kept, and all rows without words.
 
-    Rows without an id can't be named and stay. The window needs no exchange of its own after a shuffled join.
+    Rows are told apart by a number of their own, written with them, so rows that share an id,
+    or have none, are judged by their texts alone. The row with the smallest id stays, rows
+    without an id last, then by the hash of the text. Input columns may have any names.
     """
-    classes = near_duplicates(docs, key, text, **options)
-    gone = cut(classes.filter(~F.col("kept")).select(F.col(key).alias("_gone")).filter("_gone IS NOT NULL").distinct(), "gone")
-    left = docs.join(gone, docs[key] == gone["_gone"], "left_anti")
-    row = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))
-    return left.withColumn("_copy", row).filter((F.col("_copy") == 1) | F.col(key).isNull()).drop("_copy")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = cut(docs.select(row.alias("_row"), F.monotonically_increasing_id().alias("_key")), "rows")
+    own = F.col("_row").getField(text)
+    judged = classed(rows.select("_key", F.col("_row").getField(key).alias("_id"), F.xxhash64(own).alias("_hash"), own.alias("_text")), words, percent)
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash", "_key")
+    stay = judged.groupBy(F.coalesce("component", "_key").alias("_class")).agg(F.min(order)["_key"].alias("_key")).select("_key")
+    return rows.join(stay, "_key", "left_semi").select("_row.*")
