@@ -4,7 +4,7 @@ from importlib import import_module
 
 from prospectra.catalog.registry import ENTRIES, Entry
 
-SECTIONS = ("columns", "sources", "tables", "scoring", "evidence", "outreach", "health")
+SECTIONS = ("columns", "sources", "tables", "scoring", "evidence", "outreach", "health", "streams")
 
 
 def load() -> dict[str, Entry]:

@@ -204,3 +204,18 @@ def run_updates(stream: DataFrame, spark: SparkSession, label: str, keys: list[s
     rows = spark.read.parquet(out).drop("b")
     values = [c for c in rows.columns if c not in keys and c != "_batch"]
     return latest(rows, keys, "_batch", values)
+
+
+def run_arrivals(spark: SparkSession, arrivals: list[DataFrame], build: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """Runs an appending stream over tables that arrive one after the other and reads all it wrote.
+
+    Each arrival lands in a folder of its own and is run to its end from the checkpoint, as a
+    scheduled job would: a micro-batch per arrival, and one without rows that moves the watermark.
+    """
+    landing, out, mark = (new_path(spark, f"{label}{x}") for x in ("-landing", "", "-progress"))
+    for number, rows in enumerate(arrivals):
+        rows.write.parquet(f"{landing}/arrival-{number}")
+        stream = build(spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(landing))
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).outputMode("append") \
+            .trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
