@@ -404,17 +404,20 @@ def address_lines(spark, sf):
         F.lit("info@site.test"), verified, F.lit("5.1.1 no such user"), F.lit(True), own).alias("line"))
 
 
-@query("F26 F27", "SELECT lang, COUNT(*) AS documents, COUNT(*) AS quoted FROM documents GROUP BY 1")
+@query("F26 F27", r"""
+    WITH w AS (SELECT doc_id, text, string_split_regex(trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), '\s+') AS t FROM documents)
+    SELECT doc_id, len(t) >= 2 AS first_words, len(t) >= 2 AND doc_id % 3 <> 0 AS both_ends, FALSE AS invented FROM w
+""")
 def quotes_on_page(spark, sf):
-    """A passage of every document looked for in the folded text of the whole document."""
+    """Passages of every document looked for in its folded text: its own words, both ends around an ellipsis, and invented ones."""
     from prospectra.plans.evidence import folded, pieces
     df = table(spark, sf, "documents").withColumn("page", folded(F.col("text")))
-    head = first_group(F.col("text"), r"(?s)^(\S+\s+\S+)")
+    head = first_group(F.col("text"), r"(?s)^\s*(\S+\s+\S+)")
     tail = first_group(F.col("text"), r"(?s)(\S+\s+\S+)\s*$")
-    df = df.withColumn("quote", pieces(folded(F.concat_ws(" ... ", head, tail))))
-    return df.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.count_if(F.forall("quote", lambda p: F.contains(F.col("page"), p))).alias("quoted"))
+    tail = F.when(F.col("doc_id") % 3 == 0, F.concat(tail, F.lit(" zq"), F.col("doc_id"))).otherwise(tail)
+    quotes = {"first_words": F.regexp_replace(head, r"\s+", " \t "), "both_ends": F.concat(head, F.lit(" ... "), tail), "invented": F.lit("zq xj qv of the zz")}
+    stands = lambda q: F.coalesce(F.forall(pieces(folded(q)), lambda p: F.contains(F.col("page"), p)) & (F.size(pieces(folded(q))) > 0), F.lit(False))
+    return df.select("doc_id", *[stands(q).alias(n) for n, q in quotes.items()])
 
 
 @query("F40 P16", """

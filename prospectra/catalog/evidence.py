@@ -248,10 +248,21 @@ def person_candidates(spark, sf):
     return found.select("page_seq", "name", "title", "pattern")
 
 
-@query("D08 W10", f"WITH {_NAMED.strip()} SELECT business_id, name, title, confidence, score, FALSE AS email_match, mentions, patterns FROM d", ("crawl",))
+@query("D08 W10", f"""
+    WITH {_NAMED.strip()} SELECT business_id, name, title, confidence, score + CASE WHEN title = 'Owner' AND business_id % 10 = 1 THEN 10 ELSE 0 END AS score,
+           title = 'Owner' AND business_id % 10 = 1 AS email_match, mentions, patterns FROM d""", ("crawl",))
 def decision_makers(spark, sf):
-    """One person per business or none, with the score and what corroborates it."""
-    _, scored = _people(spark, sf)
+    """One person per business or none, with the score and what corroborates it.
+
+    Some owners have an address of initial and last name, others one that only holds the last name.
+    """
+    crawl = world(spark, sf, "crawl")
+    i = F.col("business_id")
+    last = F.get(F.array(*[F.lit(x) for x in ("kline", "hurst", "dorn", "frye", "tuck", "sato", "moreno")]), (i % 7).cast("int"))
+    mail = F.concat(F.when(i % 10 == 1, "the.e").otherwise("the.x"), last, F.lit("@site.test")).alias("email")
+    planted = crawl.filter(i % 5 == 1).select("business_id").distinct().select("business_id", mail)
+    mails = _addresses(spark, sf).filter(E.is_person_shaped(F.col("email"))).select("business_id", "email").unionByName(planted)
+    scored = people.score_people(people.candidates(crawl), mails)
     return people.pick_decision_maker(scored).select(
         "business_id", "name", "title", "confidence", "score", "email_match", "mentions", F.array_join("patterns", ",").alias("patterns"))
 

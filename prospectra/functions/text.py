@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from prospectra.functions.identity import _col, let, none_if_blank
+from prospectra.functions.patterns import replace_longest
 
 # Control characters a text store refuses (tab, LF and CR are kept).
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
@@ -267,8 +268,5 @@ def non_empty_map(fields: dict[str, Column]) -> Column:
 
 
 def replace_known_ids(text: Column | str, names: dict[str, str]) -> Column:
-    """Every known id replaced by its display name, longest id first."""
-    c = _col(text)
-    for ident in sorted(names, key=len, reverse=True):
-        c = F.replace(c, F.lit(ident), F.lit(names[ident]))
-    return c
+    """Every known id replaced by its display name, longest id first, in one pass over the text."""
+    return replace_longest(_col(text), names)

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from prospectra.functions import emails as E
-from prospectra.functions.regex import before, located
+from prospectra.functions.identity import let
+from prospectra.functions.patterns import pattern_hits
 from prospectra.functions.text import find_payment_terms
-from prospectra.operators.skew import salted_join
+from prospectra.operators.skew import pack_rows, salted_join
 from prospectra.operators.stage import staged
 
 # Words that show somebody owns or runs a business.
@@ -22,6 +23,8 @@ OWNERSHIP = (
     r"|my business)(?!\w)"
 )
 TITLE_REACH = 80
+#: Claims that travel to a page in one array; a business with more has several arrays.
+MAX_CLAIMS = 1000
 THRESHOLD = 0.7
 
 
@@ -32,8 +35,13 @@ def _compatible(texts: pd.Series) -> pd.Series:
 
 
 def folded(text: Column) -> Column:
-    """Text for matching quotes: quotes straightened, pictographs out, blanks collapsed, lower case."""
-    c = F.translate(_compatible(F.coalesce(text, F.lit(""))), "‘’“”", "''\"\"")
+    """Text for matching quotes: quotes straightened, pictographs out, blanks collapsed, lower case.
+
+    Plain ASCII without an entity folds to itself, so only other texts travel to Python.
+    """
+    c = F.coalesce(text, F.lit(""))
+    foreign = c.rlike(r"[^\x00-\x7F]|&")
+    c = F.when(foreign, F.translate(_compatible(F.when(foreign, c)), "‘’“”", "''\"\"")).otherwise(c)
     c = F.regexp_replace(c, r"[\p{So}\p{Sk}\p{Cf}\p{Mn}]", "")
     return F.lower(F.trim(F.regexp_replace(c, r"[\s\x{a0}]+", " ")))
 
@@ -48,23 +56,36 @@ def whole_phrase(phrase: Column) -> Column:
     return F.concat(F.lit(r"(?<!\w)\Q"), phrase, F.lit(r"\E(?!\w)"))
 
 
-def title_near_name(title: Column, name: Column, page: Column, reach: int = TITLE_REACH) -> Column:
-    """True when the title stands within ``reach`` characters of the name or its first word.
+def near_hits(hits: Column, title: Column, title_size: Column, who: Column, who_size: Column, reach: int = TITLE_REACH) -> Column:
+    """True when pattern ``title`` stands within ``reach`` characters of a whole ``who``; both are numbers of the hits' patterns.
 
-    All three are folded text.
+    The title is a whole phrase within that stretch of text, so a word may go on beyond its ends.
     """
-    def near(who: Column) -> Column:
-        def window(m: Column) -> Column:
-            after = F.substring(page, m["start"] + F.length(m["hit"]), F.lit(reach))
-            return F.concat(before(page, m["start"], reach), m["hit"], after)
+    def beside(m: Column) -> Column:
+        first, last = F.greatest(m["start"] - reach, F.lit(0)), m["start"] + who_size + reach
+        return F.exists(hits, lambda t: (t["k"] == title) & (t["start"] >= first) & (t["start"] + title_size <= last)
+                        & (~t["left"] | (t["start"] == first)) & (~t["right"] | (t["start"] + title_size == last)))
+
+    return F.exists(hits, lambda m: (m["k"] == who) & ~m["left"] & ~m["right"] & beside(m))
 
-        return F.exists(
-            located(page, whole_phrase(who)), lambda m: F.regexp_like(window(m), whole_phrase(title))
-        )
 
+def title_near(hits: Column, k: Column, title: Column, name: Column, reach: int = TITLE_REACH) -> Column:
+    """True when a title stands near a name or its first word: patterns ``k``, ``k + 2`` and ``k + 1`` of the hits."""
     first = F.substring_index(name, " ", 1)
-    possible = (title != "") & (first != "") & F.contains(page, title) & F.contains(page, first)
-    return F.when(possible, F.when(near(first), True).when(name == first, False).otherwise(near(name))).otherwise(False)
+    seen = lambda n: F.exists(hits, lambda h: h["k"] == n)
+    by_first = near_hits(hits, k, F.length(title), k + 1, F.length(first), reach)
+    by_name = near_hits(hits, k, F.length(title), k + 2, F.length(name), reach)
+    possible = (title != "") & (first != "") & seen(k) & seen(k + 1)
+    return F.when(possible, by_first | ((name != first) & by_name)).otherwise(False)
+
+
+def title_near_name(title: Column, name: Column, page: Column, reach: int = TITLE_REACH) -> Column:
+    """True when the title stands within ``reach`` characters of the name or its first word.
+
+    All three are folded text. The page is read once for both.
+    """
+    hits = pattern_hits(page, F.array(title, F.substring_index(name, " ", 1), name))
+    return let(hits, lambda h: title_near(h, F.lit(0), title, name, reach))
 
 
 def shows_ownership(passage: Column, folded_name: Column) -> Column:
@@ -100,20 +121,23 @@ def claims_of(research: DataFrame) -> DataFrame:
 def prove(claims: DataFrame, pages: DataFrame) -> DataFrame:
     """(business_id, idx, kind) with ``proven``: every passage of the statement stands on some page.
 
-    ``owns`` tells whether a passage shows ownership. Claims of a business are
-    few and travel as one short array to each of its pages; pages are never
-    gathered.
+    ``owns`` tells whether a passage shows ownership. The claims of a business travel to each
+    of its pages in arrays of bounded size; an automaton of their phrases and names reads the
+    folded page once per array, and what is near what is told from the places alone. Pages are
+    never gathered.
     """
-    packed = claims.groupBy("business_id").agg(
-        F.collect_list(F.struct("idx", "kind", "piece_no", "phrase", "who")).alias("_claims"))
-    told = salted_join(pages.select("business_id", "text"), packed, ["business_id"], "inner",
-                       counts=pages.groupBy("business_id").count())
+    packed = pack_rows(claims, ["business_id"], ["idx", "kind", "piece_no"], ["phrase", "who"], "_claims", MAX_CLAIMS).drop("chunk")
+    texts = pages.select("business_id", "text").filter(F.col("text") != "")
+    told = salted_join(texts, packed, ["business_id"], "inner", counts=texts.groupBy("business_id").count())
     seen = staged(told, {"_page": folded(F.col("text"))}, ("text",))
-    judged = seen.select("business_id", F.explode(F.transform("_claims", lambda c: F.struct(
+    words = F.flatten(F.transform("_claims", lambda c: F.when(
+        c["kind"] == "title", F.array(c["phrase"], F.substring_index(c["who"], " ", 1), c["who"])).otherwise(F.array(c["phrase"], F.lit(None), F.lit(None)))))
+    read = seen.withColumn("_hits", pattern_hits(F.col("_page"), words)).filter(F.size("_hits") > 0)
+    judged = read.select("business_id", F.explode(F.transform("_claims", lambda c, i: F.struct(
         c["idx"].alias("idx"), c["kind"].alias("kind"), c["piece_no"].alias("piece_no"),
-        F.when(c["kind"] == "title", title_near_name(c["phrase"], c["who"], F.col("_page")))
-        .otherwise(F.contains(F.col("_page"), c["phrase"])).alias("hit"),
-    ))).alias("_h")).select("business_id", "_h.*")
+        F.when(c["kind"] == "title", title_near(F.col("_hits"), 3 * i, c["phrase"], c["who"]))
+        .otherwise(F.exists("_hits", lambda h: h["k"] == 3 * i)).alias("hit"),
+    ))).alias("_h")).select("business_id", "_h.*").filter("hit")
     keys = ["business_id", "idx", "kind"]
     per_piece = judged.groupBy(*keys, "piece_no").agg(F.max("hit").alias("hit"))
     found = claims.select(*keys, "piece_no", "owns").join(per_piece, [*keys, "piece_no"], "left")
