@@ -91,7 +91,7 @@ HTML_CHAIN = """regexp_replace(regexp_replace(regexp_replace(regexp_replace(rege
 
 @query("F10 F11 F12 P11", f"""
     SELECT page_id, length(t) AS chars, md5(t) AS digest,
-           length(html) > 500 AS usable, md5(replace(replace(html, '&lt;', '<'), '&gt;', '>')) IS NOT NULL AS decoded
+           length(html) > 500 AS usable, md5(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '&#0?39;|&apos;|&rsquo;', chr(39), 'g'), '&quot;|&ldquo;|&rdquo;', '"', 'g'), '&amp;', '&'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>')) AS decoded
     FROM (SELECT page_id, html, trim({HTML_CHAIN}) AS t FROM pages)
 """)
 def page_texts(spark, sf):
@@ -99,7 +99,7 @@ def page_texts(spark, sf):
     return df.select(
         "page_id", F.length("t").alias("chars"), F.md5(F.col("t").cast("binary")).alias("digest"),
         T.is_usable_page(F.lit(200), F.col("html"), F.col("t")).alias("usable"),
-        T.decode_entities("html").isNotNull().alias("decoded"))
+        F.md5(T.decode_entities("html").cast("binary")).alias("decoded"))
 
 
 @query("P11 P12", r"""

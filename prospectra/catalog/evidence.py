@@ -8,6 +8,7 @@ from prospectra.catalog.columns import DEMO_JUNK, FREE_SQL, ROLE_SQL, duck_addre
 from prospectra.catalog.registry import query
 from prospectra.catalog.world import table, world
 from prospectra.functions import emails as E
+from prospectra.functions.markup import opened, tag_events, values_of
 from prospectra.functions.reviews import as_time
 from prospectra.plans import ads, email_job, forms, page_signals, people, registration
 
@@ -151,6 +152,25 @@ def page_signals_found(spark, sf):
         F.size("profiles").alias("profiles"), F.array_join("growth", ",").alias("growth"), F.array_join("person_emails", ",").alias("person_emails"))
 
 
+@query("F10 F09 D04 D12", r"""
+    SELECT page_id, len(regexp_extract_all(html, '(?i)href\s*=\s*["'']([^"'']+)["'']')) + CASE WHEN page_id % 11 = 0 THEN 1 ELSE 0 END + CASE WHEN page_id % 4 = 0 THEN 2 ELSE 0 END
+             + CASE WHEN page_id % 8 = 0 THEN 4 ELSE 0 END AS links,
+           CASE WHEN page_id % 4 = 0 THEN 2 ELSE 0 END AS profiles, CASE WHEN page_id % 6 < 3 THEN 1 ELSE 0 END AS forms, page_id % 6 = 2 AS asks,
+           length(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>', '', 'g'), '(?is)<style.*?</style>', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '<[^>]+>', '', 'g'))
+             + CASE WHEN page_id % 11 = 0 THEN 4 ELSE 0 END + CASE WHEN page_id % 4 = 0 THEN 2 ELSE 0 END + CASE WHEN page_id % 6 = 0 THEN 11 ELSE 0 END + CASE WHEN page_id % 8 = 0 THEN 4 ELSE 0 END
+             + CASE WHEN page_id % 9 = 0 THEN 32 ELSE 0 END AS shown
+    FROM pages
+""")
+def page_tag_events(spark, sf):
+    """Text, links, profiles and forms of every page from one pass over its markup."""
+    e = F.col("events")
+    read = markup(spark, sf).select("page_id", F.explode(F.array(tag_events("html"))).alias("events"))
+    text = F.array_join(F.transform(F.filter(e, lambda x: x["kind"] == "text"), lambda x: x["text"]), "")
+    return read.select(
+        "page_id", F.size(values_of(e, "href")).cast("long").alias("links"), F.size(page_signals.profile_links(e)).alias("profiles"),
+        F.size(opened(e, "form")).alias("forms"), page_signals.has_contact_input(e).alias("asks"), F.length(text).cast("long").alias("shown"))
+
+
 @query("A10 D05", r"""
     SELECT CAST(FLOOR(page_id / 3) AS BIGINT) AS site, COUNT(*) AS pages, bool_or(page_id % 7 = 0) AS marketing_active,
            CAST(CASE WHEN bool_or(page_id % 7 = 0) THEN 25 ELSE 0 END + CASE WHEN bool_or(page_id % 11 = 0) THEN 15 ELSE 0 END + CASE WHEN bool_or(page_id % 6 = 2) THEN 10 ELSE 0 END
@@ -459,7 +479,7 @@ def form_verdicts(spark, sf):
     UNION ALL SELECT NULL, 'submit', FALSE, NULL, COUNT(*) FROM pages WHERE page_id % 6 = 2
 """)
 def form_fields(spark, sf):
-    found = forms.fields_of(forms.forms_of(markup(spark, sf).select("page_id", "html")).select("page_id", "form_index", "body"))
+    found = forms.fields_of(forms.forms_of(markup(spark, sf).select("page_id", "html")))
     return found.groupBy("role", "type", "is_trap", "label").agg(F.count(F.lit(1)).alias("n"))
 
 

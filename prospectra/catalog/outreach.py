@@ -8,7 +8,10 @@ from prospectra.catalog.registry import query
 from prospectra.catalog.world import table, world
 from prospectra.functions.reviews import as_time
 from prospectra.plans import candidates as C, evidence as EV, grading as G, payloads as PL, pool as P
+from prospectra.session import new_path
 from prospectra.sources import tables
+from prospectra.sources.buckets import BucketTable
+from prospectra.sources.claims import claim as claim_in
 from prospectra.schemas import OUTREACH_STATUSES
 
 NOW = "2024-01-20 00:00:00"
@@ -156,6 +159,35 @@ def claims(spark, sf):
     return after.select("business_id", "status", "run_id")
 
 
+class _Overtaken(BucketTable):
+    """A table whose first write is overtaken by another run."""
+
+    other = None
+
+    def _write(self, df, keys, count):
+        other, self.other = self.other, None
+        if other:
+            other()
+        return super()._write(df, keys, count)
+
+
+@query("D25 S09", f"""
+    WITH {_STATE}, w AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 3 > 0 THEN 'b' ELSE 'a' END AS run FROM customer WHERE c_custkey % 3 > 0 OR c_custkey % 2 = 0)
+    SELECT id AS business_id, run FROM w LEFT JOIN st ON business_id = id
+    WHERE status IS NULL OR status = 'failed' OR (status = 'claimed' AND claimed_at < TIMESTAMP '{NOW}' - INTERVAL 6 HOUR)
+""")
+def overlapping_claims(spark, sf):
+    """Two runs want overlapping businesses; the second commits while the first is writing, and each id is granted once."""
+    root = new_path(spark, "claims")
+    BucketTable(spark, root).create(outreach_state(spark, sf), ["business_id"], 16)
+    ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("business_id"))
+    granted = {}
+    first = _Overtaken(spark, root)
+    first.other = lambda: granted.update(b=claim_in(BucketTable(spark, root), ids.filter("business_id % 3 > 0"), "b", as_time(NOW)))
+    granted["a"] = claim_in(first, ids.filter("business_id % 2 = 0"), "a", as_time(NOW))
+    return granted["a"].withColumn("run", F.lit("a")).unionByName(granted["b"].withColumn("run", F.lit("b")))
+
+
 @query("ST11 P06", f"""
     WITH {_STATE} SELECT business_id FROM st WHERE status = 'claimed' AND claimed_at < TIMESTAMP '{NOW}' - INTERVAL 6 HOUR
 """)

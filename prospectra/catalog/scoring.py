@@ -14,6 +14,7 @@ from prospectra.operators.stage import staged
 from prospectra.plans import ingest, listing, qc, raw_enrich, scoring as S
 from prospectra.session import new_path
 from prospectra.sources import tables
+from prospectra.sources.buckets import BucketTable
 
 
 def _case(key: str, values: dict, default: str = "NULL") -> str:
@@ -159,7 +160,7 @@ def _facts(spark, sf):
 def staging(spark, sf):
     """Orders as staged search hits of the businesses."""
     hits = world(spark, sf, "hits").select("business_id", F.col("term").alias("query"), "geo_target", "phase")
-    return hits.join(_facts(spark, sf), "business_id").drop("business_id")
+    return hits.join(_facts(spark, sf), "business_id").withColumnRenamed("business_id", "seq")
 
 
 def master(spark, sf):
@@ -174,7 +175,7 @@ def master(spark, sf):
 
 def _batch(spark, sf):
     return ingest.run_batch(staging(spark, sf), master(spark, sf), as_time("2026-02-01"),
-                            cut=lambda df, label: tables.written(df, new_path(spark, label)))
+                            cut=lambda df, label: tables.written(df, new_path(spark, label)), tie="seq")
 
 
 _STAGED = f"""{scored_sql(enriched=False)},
@@ -186,23 +187,68 @@ _STAGED = f"""{scored_sql(enriched=False)},
     stage AS (SELECT f.*, coalesce(place_id, domain, phone_normalized, name_key) AS dedup_key, h.term AS query, h.geo_target, h.phase FROM hits h JOIN facts f USING (business_id))"""
 
 
+_WHOLE = """
+    whole AS (SELECT f.business_id, f.place_id, f.domain, f.phone_normalized, f.name_key, coalesce(f.place_id, f.domain, f.phone_normalized, f.name_key) AS dedup_key, s.name, s.website, s.review_count,
+                     CASE WHEN s.description <> '' THEN s.description END AS description, s.score, s.tier, s.qc, f.service, s.rating FROM facts f JOIN scored s ON s.id = f.business_id),
+    known AS (SELECT 'b' || business_id AS id, coalesce(-review_count, 1) AS worth, * FROM whole WHERE rating >= 4.5),
+    chosen AS (SELECT * FROM whole WHERE business_id IN (SELECT business_id FROM hits) AND dedup_key IS NOT NULL
+               QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY review_count DESC NULLS LAST, business_id) = 1),
+    held AS (SELECT 1 AS rank, place_id AS v, id, worth FROM known WHERE place_id IS NOT NULL UNION ALL SELECT 2, domain, id, worth FROM known WHERE domain IS NOT NULL
+             UNION ALL SELECT 3, phone_normalized, id, worth FROM known WHERE phone_normalized IS NOT NULL UNION ALL SELECT 4, name_key, id, worth FROM known WHERE name_key IS NOT NULL),
+    first AS (SELECT * FROM held QUALIFY row_number() OVER (PARTITION BY rank, v ORDER BY worth, id) = 1),
+    asked AS (SELECT 1 AS rank, place_id AS v, dedup_key FROM chosen UNION ALL SELECT 2, domain, dedup_key FROM chosen UNION ALL SELECT 3, phone_normalized, dedup_key FROM chosen
+              UNION ALL SELECT 4, name_key, dedup_key FROM chosen),
+    matched AS (SELECT dedup_key, id AS matched_id FROM asked JOIN first USING (rank, v) QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY rank) = 1),
+    fresh AS (SELECT c.*, matched_id, coalesce(matched_id, 'new ' || c.dedup_key) AS target FROM chosen c LEFT JOIN matched m ON m.dedup_key = c.dedup_key
+              QUALIFY row_number() OVER (PARTITION BY coalesce(matched_id, 'new ' || c.dedup_key) ORDER BY review_count DESC NULLS LAST, c.dedup_key) = 1)
+"""
+
+
 @query("D17 P02 A03 A04 J07", f"""
-    WITH {_STAGED} SELECT query, geo_target, COUNT(*) AS results_discovered, COUNT(DISTINCT dedup_key || service) AS businesses FROM stage GROUP BY 1, 2
+    WITH {_STAGED}, {_WHOLE} SELECT query, geo_target, COUNT(*) AS results_discovered, COUNT(DISTINCT stage.dedup_key || service) FILTER (WHERE matched_id IS NULL AND stage.dedup_key IS NOT NULL) AS new_businesses,
+           COUNT(DISTINCT stage.dedup_key || service) FILTER (WHERE matched_id IS NOT NULL) AS duplicates
+    FROM stage LEFT JOIN matched ON matched.dedup_key = stage.dedup_key GROUP BY 1, 2
 """, ("biz", "hits"))
 def ingest_log(spark, sf):
-    """Batch log: raw results and distinct businesses per search, new and duplicate together."""
+    """Batch log: raw results, new and already known businesses per search."""
     log = _batch(spark, sf).log
-    return log.groupBy("query", "geo_target").agg(
-        F.sum("results_discovered").alias("results_discovered"),
-        F.sum(F.col("new_businesses") + F.col("duplicates")).alias("businesses"))
+    return log.groupBy("query", "geo_target").agg(*[F.sum(c).alias(c) for c in ("results_discovered", "new_businesses", "duplicates")])
+
+
+_MERGED = f"""
+    WITH {_STAGED}, {_WHOLE}
+    SELECT coalesce(k.id, 'new ' || f.dedup_key) AS row_key, coalesce(f.name, k.name) AS name, coalesce(f.website, k.website) AS website, coalesce(f.review_count, k.review_count) AS review_count, f.description,
+           CAST(CASE WHEN f.target IS NOT NULL THEN f.score ELSE 1 END AS INTEGER) AS icp_score, coalesce(f.tier, k.tier) AS icp_tier, coalesce(f.qc, k.qc) AS qc_status, coalesce(k.service, f.service) AS service_category,
+           f.target IS NOT NULL AS touched, k.id IS NULL AS discovered
+    FROM known k FULL OUTER JOIN fresh f ON f.target = k.id"""
+
+
+def _rows(merged):
+    """A merged master as the SQL shows it; new rows by their identity."""
+    known = F.col("id").rlike("^b[0-9]+$")
+    identity = F.coalesce("place_id", "domain", "phone_normalized", "name_city_state_key")
+    batch = as_time("2026-02-01")
+    return merged.select(
+        F.when(known, F.col("id")).otherwise(F.concat(F.lit("new "), identity)).alias("row_key"), "name", "website", "review_count", "description",
+        F.col("icp_score").cast("int").alias("icp_score"), "icp_tier", "qc_status", "service_category",
+        (F.col("date_updated") == batch).alias("touched"), (F.col("date_discovered") == batch).alias("discovered"))
 
 
-@query("D17 J02 J04 W01")
+@query("D17 J02 J04 W01", _MERGED, ("biz", "hits"))
 def ingest_batch(spark, sf):
-    """The master table after a batch: old and new rows by tier and status."""
-    merged = _batch(spark, sf).businesses
-    return merged.groupBy("icp_tier", "qc_status", F.col("id").startswith("b").alias("known")).agg(
-        F.count(F.lit(1)).alias("businesses"), F.count("description").alias("described"))
+    """Every row of the master table after a batch."""
+    return _rows(_batch(spark, sf).businesses)
+
+
+@query("D17 S09 J04", _MERGED, ("biz", "hits"))
+def ingest_into_buckets(spark, sf):
+    """The same batch merged into a master in buckets, which stays where it lies."""
+    held = BucketTable(spark, new_path(spark, "master"))
+    known = master(spark, sf)
+    held.create(known, ["id"], 16)
+    ingest.store(held, ingest.run_batch(staging(spark, sf), held.read(), as_time("2026-02-01"), tie="seq",
+                                        cut=lambda df, label: tables.written(df, new_path(spark, label))), as_time("2026-02-01"))
+    return _rows(held.read())
 
 
 @query("D17 A01", f"""

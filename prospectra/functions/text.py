@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from prospectra.functions.identity import _col, let, none_if_blank
+from prospectra.functions.markup import tag_events, visible_text
 from prospectra.functions.patterns import replace_longest
 
 # Control characters a text store refuses (tab, LF and CR are kept).
@@ -86,18 +87,14 @@ def mailto_addresses(html: Column | str) -> Column:
 
 def html_to_text(html: Column | str) -> Column:
     """Visible text of a page; up to ten mailto addresses go in front."""
-    c = _col(html)
-    linked = F.slice(mailto_addresses(c), 1, 10)
-    prefix = F.when(F.size(linked) > 0, F.concat(F.array_join(linked, " "), F.lit(" "))).otherwise("")
-    body = strip_controls(c)
-    for pattern in (
-        r"(?is)<script.*?</script>",
-        r"(?is)<style.*?</style>",
-        r"(?s)<!--.*?-->",
-        r"<[^>]+>",
-        r"&nbsp;",
-    ):
-        body = F.regexp_replace(body, pattern, " ")
+    return events_to_text(tag_events(strip_controls(html)), mailto_addresses(html))
+
+
+def events_to_text(events: Column, linked: Column) -> Column:
+    """The same of a page's tag events and its linked addresses."""
+    first = F.slice(linked, 1, 10)
+    prefix = F.when(F.size(first) > 0, F.concat(F.array_join(first, " "), F.lit(" "))).otherwise("")
+    body = F.regexp_replace(visible_text(events), r"&nbsp;", " ")
     body = F.regexp_replace(body, "&amp;", "&")
     body = F.regexp_replace(body, "&(?:#39|rsquo|apos);", "'")
     body = F.regexp_replace(body, "&(?:quot|ldquo|rdquo);", '"')

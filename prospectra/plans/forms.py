@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.functions.identity import host, resolve_url
-from prospectra.functions.regex import before, located
+from prospectra.functions.markup import opened, source_of, tag_events
+from prospectra.functions.regex import before
 from prospectra.functions.text import decode_entities
 from prospectra.operators.stage import staged
 from prospectra.operators.topk import first_k
@@ -25,6 +26,7 @@ FIELD_ROLES = (
     ("subject", r"(?i)subject|topic|regarding"),
     ("full_name", r"(?i)\bname\b|your[\s_-]*name"),
 )
+# Words for somebody else's details, trap names and wrappers, other kinds of forms.
 NOT_THE_SENDER = (
     r"(?i)\b(?:dogs?|pets?|pup|pups|puppy|puppies|animals?|breed|cats?|kennel|user|screen|file|domain"
     r"|furry|companion)\b"
@@ -55,31 +57,34 @@ REFUSED = (
     r"|this field is required|required field|invalid (?:email|entry|input)|could not be (?:sent|submitted)"
     r"|please try again)"
 )
-FORM = r"(?is)<form\b([^>]*)>(.*?)</form>"
-CONTROL_TAG = r"(?i)<(input|textarea|select)\b([^>]*)>"
-LABEL = r"(?is)<label\b([^>]*)>(.*?)</label>"
+CONTROLS = ("input", "textarea", "select")
+#: Characters in front of a control that may show it hidden.
+WRAPPER_REACH = 400
 DELIVERED = ("sent", "rejected", "unknown")
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """One attribute of a tag's attribute text, quoted or bare, entities decoded; NULL when absent."""
-    quoted = rf"(?i)\b{name}\s*=\s*[\"']([^\"']*)[\"']"
-    bare = rf"(?i)\b{name}\s*=\s*([^\s>\"']+)"
-    value = F.when(tag.rlike(quoted), F.regexp_extract(tag, quoted, 1)).when(
-        tag.rlike(bare), F.regexp_extract(tag, bare, 1)
-    )
-    return decode_entities(value)
+def attribute(values: Column, name: str) -> Column:
+    """One attribute of a tag, entities decoded; NULL when absent."""
+    return decode_entities(F.try_element_at(values, F.lit(name)))
 
 
 def forms_of(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per form of a page: attributes, body, position."""
-    h = F.col(html)
-    attrs = F.regexp_extract_all(h, F.lit(FORM), F.lit(1))
-    bodies = F.regexp_extract_all(h, F.lit(FORM), F.lit(2))
+    """One row per form of a page: its number, tag, attributes, body, and the open tags inside.
+
+    A form that is never closed reaches to the end of the page.
+    """
     rest = [c for c in pages.columns if c != html]
-    both = F.arrays_zip(attrs.alias("attrs"), bodies.alias("body"))
-    return pages.select(*rest, F.posexplode(both).alias("form_index", "_f")) \
-        .select(*rest, "form_index", F.col("_f.attrs").alias("attrs"), F.col("_f.body").alias("body"))
+    read = staged(pages, {"_events": tag_events(html)})
+    heads = F.filter("_events", lambda e: (e["kind"] == "open") & (e["name"] == "form") & (e["form"] >= 0))
+    tops = F.filter(heads, lambda e: e["start"] == F.array_min(F.transform(F.filter(heads, lambda x: x["form"] == e["form"]), lambda x: x["start"])))
+    one = read.select(*rest, html, "_events", F.explode(tops).alias("_f"))
+    inside = F.filter("_events", lambda e: (e["form"] == F.col("_f.form")) & (e["start"] >= F.col("_f.stop")))
+    end = F.coalesce(F.array_min(F.transform(F.filter(inside, lambda e: (e["kind"] == "close") & (e["name"] == "form")), lambda e: e["start"])), F.length(html))
+    body = F.substring(F.col(html), F.col("_f.stop") + 1, end - F.col("_f.stop"))
+    return one.select(
+        *rest, F.col("_f.form").alias("form_index"), source_of(F.col(html), F.col("_f")).alias("tag"), F.col("_f.values").alias("attrs"),
+        body.alias("body"), F.col("_f.stop").alias("body_start"), opened(inside, "label", *CONTROLS).alias("tags"),
+    )
 
 
 def _label_for(labels: Column, field_id: Column) -> Column:
@@ -91,32 +96,26 @@ def _label_for(labels: Column, field_id: Column) -> Column:
 
 def fields_of(forms: DataFrame) -> DataFrame:
     """One row per named control with its label, kind, role and whether it is a trap."""
-    labels = F.transform(
-        F.arrays_zip(
-            F.regexp_extract_all("body", F.lit(LABEL), F.lit(1)).alias("attrs"),
-            F.regexp_extract_all("body", F.lit(LABEL), F.lit(2)).alias("inner"),
-        ),
-        lambda x: F.struct(
-            attribute(x["attrs"], "for").alias("id"),
-            F.trim(F.regexp_replace(decode_entities(F.regexp_replace(x["inner"], "<[^>]+>", " ")), r"\s+", " ")).alias("text"),
-        ),
-    )
+    labels = F.transform(F.filter("tags", lambda e: e["name"] == "label"), lambda e: F.struct(
+        attribute(e["values"], "for").alias("id"),
+        F.trim(F.regexp_replace(decode_entities(F.coalesce(e["text"], F.lit(""))), r"\s+", " ")).alias("text"),
+    ))
     labels = F.filter(labels, lambda x: x["id"].isNotNull() & (x["text"] != ""))
-    keep = [c for c in forms.columns if c != "body"]
+    keep = [c for c in forms.columns if c not in ("tag", "attrs", "body", "body_start", "tags")]
     raw = forms.withColumn("_labels", labels).select(
-        *keep, "body", "_labels", F.posexplode(located(F.col("body"), CONTROL_TAG)).alias("field_pos", "_m")
+        *keep, "body", "body_start", "_labels", F.posexplode(F.filter("tags", lambda e: e["name"] != "label")).alias("field_pos", "_m")
     )
-    tag = F.regexp_extract("_m.hit", CONTROL_TAG, 2)
+    at = F.col("_m.start") - F.col("body_start")
     raw = staged(raw, {
-        "tag": F.lower(F.regexp_extract("_m.hit", CONTROL_TAG, 1)), "_a": tag,
-        "_ctx": before(F.col("body"), F.col("_m.start"), 400),
-    }, ("body", "_m"))
-    a = F.col("_a")
+        "tag": F.col("_m.name"), "_v": F.col("_m.values"), "_a": F.substring(F.col("body"), at + 1, F.col("_m.stop") - F.col("_m.start")),
+        "_ctx": before(F.col("body"), at + 1, WRAPPER_REACH),
+    }, ("body", "body_start", "_m"))
+    a, v = F.col("_a"), F.col("_v")
     named = staged(raw, {
-        "name": attribute(a, "name"), "field_id": attribute(a, "id"), "placeholder": attribute(a, "placeholder"),
-        "type": F.lower(F.coalesce(F.nullif(attribute(a, "type"), F.lit("")), F.col("tag"))),
-        "required": a.rlike(r"(?i)\brequired\b|aria-required\s*=\s*[\"']true"),
-    }).filter(F.coalesce("name", F.lit("")) != "")
+        "name": attribute(v, "name"), "field_id": attribute(v, "id"), "placeholder": attribute(v, "placeholder"),
+        "type": F.lower(F.coalesce(F.nullif(attribute(v, "type"), F.lit("")), F.col("tag"))),
+        "required": F.map_contains_key(v, "required") | F.coalesce(F.lower(F.try_element_at(v, F.lit("aria-required"))) == "true", F.lit(False)),
+    }, ("_v",)).filter(F.coalesce("name", F.lit("")) != "")
     named = staged(named, {"label": _label_for(F.col("_labels"), F.col("field_id"))}, ("_labels",))
     shown = F.array(F.col("label"), F.col("placeholder"))
     hay = F.filter(F.array("label", "placeholder", "name", "field_id"), lambda x: F.coalesce(x, F.lit("")) != "")
@@ -148,7 +147,7 @@ def fields_of(forms: DataFrame) -> DataFrame:
 def classify(pages: DataFrame, key: str, url: str = "url", html: str = "html") -> DataFrame:
     """One row per form: key, action, field count, verdict and the reason when it is no contact form."""
     forms = forms_of(pages.select(key, url, html), html)
-    fields = fields_of(forms.select(key, "form_index", "body"))
+    fields = fields_of(forms.select(key, "form_index", "body", "body_start", "tags"))
     counted = ~F.col("type").isin("hidden", "submit", "button") & ~F.col("is_trap")
     per_form = fields.groupBy(key, "form_index").agg(
         F.count(F.lit(1)).alias("n_fields"),
@@ -157,9 +156,9 @@ def classify(pages: DataFrame, key: str, url: str = "url", html: str = "html") -
         F.max(F.when(F.col("type").contains("file"), 1)).alias("_file"),
         F.count_if("is_trap").alias("traps"),
     )
-    marker = F.col("attrs")
-    method = F.lower(F.coalesce(attribute(marker, "method"), F.lit("get")))
-    action = attribute(marker, "action")
+    marker, values = F.col("tag"), F.col("attrs")
+    method = F.lower(F.coalesce(attribute(values, "method"), F.lit("get")))
+    action = attribute(values, "action")
     target = F.when(
         F.coalesce(action, F.lit("")).rlike("^(?:#|$)"), resolve_url(F.lit(""), url)
     ).otherwise(resolve_url(action, url))
@@ -172,7 +171,7 @@ def classify(pages: DataFrame, key: str, url: str = "url", html: str = "html") -
         .when(F.col("body").rlike("(?i)recaptcha|hcaptcha|turnstile"), "captcha present")
     )
     form_key = F.coalesce(
-        F.nullif(attribute(marker, "id"), F.lit("")), F.concat(F.lit("form-"), F.col("form_index").cast("string"))
+        F.nullif(attribute(values, "id"), F.lit("")), F.concat(F.lit("form-"), F.col("form_index").cast("string"))
     )
     return forms.join(per_form, [key, "form_index"], "left").select(
         key, url, "form_index", form_key.alias("form_key"), target.alias("action_url"),

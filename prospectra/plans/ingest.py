@@ -11,6 +11,7 @@ from prospectra.functions.identity import none_if_blank, stable_uuid
 from prospectra.operators.collapse import identity_key, provenance, representatives
 from prospectra.operators.match import waterfall_match
 from prospectra.operators.merge import first_per_key, merge_upsert
+from prospectra.sources.buckets import BucketTable, Manifest
 
 MATCH_KEYS = ["place_id", "domain", "phone_normalized", "name_city_state_key"]
 SOURCE_FIELDS = ["query", "geo_target", "service_category", "phase"]
@@ -26,6 +27,10 @@ class Batch:
     provenance: DataFrame
     log: DataFrame
     matched: DataFrame
+    source: DataFrame
+
+
+POLICIES = {c: "overwrite" for c in ALWAYS_FRESH} | {"service_category": "keep_old"}
 
 
 def keyed(staging: DataFrame) -> DataFrame:
@@ -37,17 +42,18 @@ def keyed(staging: DataFrame) -> DataFrame:
 
 def run_batch(
     staging: DataFrame, businesses: DataFrame, now: Column,
-    cut: Callable[[DataFrame, str], DataFrame] | None = None, hot_keys: int = 64,
+    cut: Callable[[DataFrame, str], DataFrame] | None = None, hot_keys: int = 64, tie: str = "row_hash",
 ) -> Batch:
     """Merges one staged batch into the master table.
 
     Each batch is its own DataFrame; nothing is shared with batches running at
     the same time. ``cut`` may write an intermediate table and read it back,
-    which pays off because the match feeds four outputs.
+    which pays off because the match feeds four outputs. Of equally reviewed rows
+    of one business the smallest in ``tie`` speaks.
     """
     cut = cut or (lambda df, _: df)
     rows = cut(keyed(staging), "keyed")
-    chosen = representatives(rows, "dedup_key", "review_count", "row_hash")
+    chosen = representatives(rows, "dedup_key", "review_count", tie)
     prefer = [F.coalesce(-F.col("review_count"), F.lit(1))]
     hits = waterfall_match(chosen, businesses, "dedup_key", "id", MATCH_KEYS, prefer, hot_keys=hot_keys)
     matched = cut(chosen.join(hits, "dedup_key"), "matched").withColumn(
@@ -60,15 +66,25 @@ def run_batch(
         (none_if_blank(F.col(c)) if c in ("description", "price_range", "status") else F.col(c)).alias(c)
         for c in fields
     ])
-    policies = {c: "overwrite" for c in ALWAYS_FRESH} | {"service_category": "keep_old"}
-    merged = merge_upsert(
-        businesses, source, ["id"], policies, "coalesce_new", touched="date_updated", now=now
-    ).withColumn("date_discovered", F.coalesce("date_discovered", now))
+    merged = merged_master(businesses, source, now)
     entries = provenance(rows, "dedup_key", SOURCE_FIELDS)
     held = entries.join(matched.select("dedup_key", "target_id"), "dedup_key").select(
         F.col("target_id").alias("id"), *SOURCE_FIELDS, now.alias("discovered_at")
     )
-    return Batch(merged, held, batch_log(rows, entries, matched, now), matched)
+    return Batch(merged, held, batch_log(rows, entries, matched, now), matched, source)
+
+
+def merged_master(businesses: DataFrame, source: DataFrame, now: Column) -> DataFrame:
+    """Master rows after a batch's source rows, one per business, came in."""
+    return merge_upsert(businesses, source, ["id"], POLICIES, "coalesce_new", touched="date_updated", now=now) \
+        .withColumn("date_discovered", F.coalesce("date_discovered", now))
+
+
+def store(table: BucketTable, batch: Batch, now: Column) -> Manifest:
+    """The batch merged into a master kept in buckets: those it touches are read and rewritten where they lie."""
+    count = table.manifest().count
+    rows = batch.source.repartition(count, "id")
+    return table.change(batch.source.select("id"), lambda old: merged_master(old, rows, now).select(*old.columns))
 
 
 def batch_log(rows: DataFrame, entries: DataFrame, matched: DataFrame, now: Column) -> DataFrame:

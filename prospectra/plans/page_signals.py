@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.functions import emails as E
 from prospectra.functions.identity import none_if_blank, origin, resolve_url, url_path
+from prospectra.functions.markup import opened, tag_events, values_of
 from prospectra.operators.skew import first_non_null
 from prospectra.operators.stage import staged
 from prospectra.operators.topk import first_k
@@ -76,8 +77,6 @@ PROFILES = (
     ("twitter", r"(?i)(?:twitter\.com|(?:^|//)x\.com)/(?!intent|share|i/)[A-Za-z0-9._]+", None),
     ("google_business", r"(?i)(?:g\.page|goo\.gl/maps|google\.com/maps/place)", None),
 )
-ATTRIBUTE_URL = r"(?i)(?:href|src|content)\s*=\s*[\"']([^\"']+)[\"']"
-HREF = r"(?i)href\s*=\s*[\"']([^\"']+)[\"']"
 NOT_A_PAGE = r"(?i)^(?:mailto:|tel:|javascript:|#)"
 ASSET_LINK = r"(?i)\.(?:jpe?g|png|gif|webp|svg|pdf|css|js|zip|mp4|ico)(?:$|\?)"
 # Sub-pages worth following, most valuable kind first.
@@ -86,10 +85,8 @@ SUBPAGE_KINDS = (
     ("pricing", r"(?i)/(?:pricing|rates|packages|programs?|services|tuition)\b"),
     ("contact", r"(?i)/(?:contact|book|schedule|consultation|get-started)\b"),
 )
-NATIVE_FORM = r"(?is)<form\b.{0,4000}?</form>"
-FORM_INPUT = (
-    r"(?is)type\s*=\s*[\"'](?:email|tel)[\"']|name\s*=\s*[\"'][^\"']*(?:email|phone|tel)[^\"']*[\"']"
-)
+FORM_TYPES = ("email", "tel")
+FORM_NAME = r"(?i)email|phone|tel"
 # Hosts that are a profile, not a site to visit.
 SOCIAL_SITE = r"(?i)(?:facebook\.com|instagram\.com|nextdoor\.com|linktr\.ee)"
 
@@ -109,33 +106,41 @@ def all_tokens(html: Column, rules) -> Column:
     )
 
 
-def profile_links(html: Column) -> Column:
-    """Profile name -> first link to it, looked for in attribute values only."""
-    urls = F.regexp_extract_all(html, F.lit(ATTRIBUTE_URL), F.lit(1))
+def profile_links(events: Column, longest: int | None = None) -> Column:
+    """Profile name -> first link to it, looked for in attribute values only; ``longest`` cuts the links."""
+    urls = values_of(events, "href", "src", "content")
 
     def hit(must: str, never: str | None) -> Column:
         def test(u: Column) -> Column:
             return u.rlike(must) & ~u.rlike(never) if never else u.rlike(must)
-        return F.substring(F.get(F.filter(urls, test), F.lit(0)), 1, 200)
+        first = F.get(F.filter(urls, test), F.lit(0))
+        return first if longest is None else F.left(first, F.lit(longest))
 
     pairs = [x for name, must, never in PROFILES for x in (F.lit(name), hit(must, never))]
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
 
 
+def has_contact_input(events: Column) -> Column:
+    """True when a form of any length asks for an address or a phone number."""
+    def asks(e: Column) -> Column:
+        told = lambda k: F.coalesce(F.try_element_at(e["values"], F.lit(k)), F.lit(""))
+        return (e["form"] >= 0) & (F.lower(told("type")).isin(*FORM_TYPES) | told("name").rlike(FORM_NAME))
+
+    return F.exists(opened(events), asks)
+
+
 def detect(pages: DataFrame, html: str = "html") -> DataFrame:
     """Adds what one page shows; a missing token means not observed here, nothing more."""
-    h = F.col(html)
-    form = F.exists(F.regexp_extract_all(h, F.lit(NATIVE_FORM), F.lit(0)), lambda f: f.rlike(FORM_INPUT))
-    found = E.page_addresses(h)
-    with_addresses = staged(pages, {"_addresses": found})
+    h, e = F.col(html), F.col("_events")
+    found = staged(pages, {"_events": tag_events(h), "_addresses": E.page_addresses(h)})
     people = F.filter("_addresses", E.is_person_shaped)
     desks = F.filter("_addresses", lambda e: ~E.is_person_shaped(e))
-    return with_addresses.select(
+    return found.select(
         *pages.columns,
         first_token(h, GOOGLE_ADS).alias("google_ads"), first_token(h, META_ADS).alias("meta_ads"),
         all_tokens(h, MARTECH).alias("martech"), first_token(h, BOOKING).alias("booking"),
-        F.coalesce(first_token(h, FORM_EMBEDS), F.when(form, "native form with email/phone input")).alias("lead_form"),
-        profile_links(h).alias("profiles"),
+        F.coalesce(first_token(h, FORM_EMBEDS), F.when(has_contact_input(e), "native form with email/phone input")).alias("lead_form"),
+        profile_links(e).alias("profiles"),
         all_tokens(h, [(p, k) for k, p, _ in GROWTH]).alias("growth"),
         F.slice(people, 1, 5).alias("person_emails"), F.slice(desks, 1, 3).alias("role_emails"),
     )
@@ -220,7 +225,7 @@ def social_breadth(rolled: DataFrame, reviews: DataFrame, key: str) -> DataFrame
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Every link of a page made absolute, in page order."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(HREF), F.lit(1))
+    hrefs = values_of(tag_events(html), "href")
     rest = [c for c in pages.columns if c != html]
     resolved = F.transform(hrefs, lambda h: F.struct(h.alias("href"), resolve_url(h, url).alias("target")))
     return pages.select(*rest, F.posexplode(resolved).alias("pos", "_l")) \
