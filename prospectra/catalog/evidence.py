@@ -504,9 +504,10 @@ def best_forms(spark, sf):
     FROM documents
 """)
 def submission_answers(spark, sf):
+    """What the answer to a submission says, wherever in its whole text."""
     i = F.col("doc_id")
-    lead = F.when(i % 4 == 0, "Thank you. Please try again. ").when(i % 4 == 1, "Thank you! ").otherwise("")
-    out = forms.read_response(F.when(i % 10 == 0, 0).when(i % 10 == 1, 503).otherwise(200), F.concat(lead, F.col("text")))
+    end = F.when(i % 4 == 0, " Thank you. Please try again.").when(i % 4 == 1, " Thank you!").otherwise("")
+    out = forms.read_response(F.when(i % 10 == 0, 0).when(i % 10 == 1, 503).otherwise(200), F.concat("text", end))
     return table(spark, sf, "documents").select("doc_id", out["outcome"].alias("outcome"), out["note"].alias("note"))
 
 

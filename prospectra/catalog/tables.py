@@ -23,17 +23,19 @@ def provenance_sets(spark, sf):
     return packed.select("l_partkey", F.array_join(text, ",").alias("sources"), F.size("sources").cast("long").alias("n"))
 
 
-@query("A01", """
-    SELECT l_returnflag, COUNT(*) AS n, SUM(k) AS check_sum
-    FROM (SELECT DISTINCT l_returnflag, l_orderkey AS k FROM lineitem) GROUP BY l_returnflag
+@query("A01 W12", """
+    SELECT l_returnflag, CAST(floor((rn - 1) / 500) AS BIGINT) AS chunk, COUNT(*) AS n, MIN(k) AS first, MAX(k) AS last, md5(string_agg(k, ',' ORDER BY k)) AS digest
+    FROM (SELECT l_returnflag, k, row_number() OVER (PARTITION BY l_returnflag ORDER BY k) AS rn
+          FROM (SELECT DISTINCT CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS l_returnflag, l_orderkey AS k FROM lineitem)) GROUP BY 1, 2
 """)
 def packed_hot_groups(spark, sf):
-    """Three very large groups packed into bounded chunks: nothing is lost on the way."""
-    rows = collapse.provenance(table(spark, sf, "lineitem"), "l_returnflag", ["l_orderkey"])
-    packed = pack_rows(rows, ["l_returnflag"], ["l_orderkey"], ["l_orderkey"], "items", 500)
-    return packed.groupBy("l_returnflag").agg(
-        F.sum(F.size("items")).alias("n"),
-        F.sum(F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + x["l_orderkey"])).alias("check_sum"))
+    """Three very large groups, one without a key, as ordered chunks of 500: every chunk with its ends and a digest."""
+    lines = table(spark, sf, "lineitem").withColumn("l_returnflag", F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")))
+    packed = pack_rows(collapse.provenance(lines, "l_returnflag", ["l_orderkey"]), ["l_returnflag"], ["l_orderkey"], [], "items", 500)
+    keys = F.transform("items", lambda x: x["l_orderkey"])
+    return packed.select(
+        "l_returnflag", "chunk", F.size("items").cast("long").alias("n"), F.get(keys, F.lit(0)).alias("first"), F.element_at(keys, -1).alias("last"),
+        F.md5(F.array_join(keys.cast("array<string>"), ",").cast("binary")).alias("digest"))
 
 
 @query("A02 W05", """

@@ -104,7 +104,7 @@ def reject_reason(email: Column | str, junk_domains: tuple[str, ...] = INFRASTRU
     """First rule an address breaks, or NULL when it is kept."""
     c = _col(email)
     local = F.lower(local_part(c))
-    domain = F.substring(c, F.instr(c, "@") + 1, 1_000_000)
+    domain = F.substring(c, F.instr(c, "@") + 1, F.length(c))
     return (
         F.when(F.instr(c, "@") < 2, "malformed")
         .when(c.rlike(ASSET_NAME), "asset filename")

@@ -6,12 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.operators.topk import cap_groups
 
-MAX_LISTED = 2_000
-
 
 def _listed(values: list[str]) -> Column:
-    if len(values) > MAX_LISTED:
-        raise ValueError(f"{len(values)} values; a list in the plan may hold {MAX_LISTED}")
+    """A vocabulary as an array that sits in the plan."""
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
@@ -59,7 +56,7 @@ def geo_plan(metros: DataFrame) -> DataFrame:
     """Metro -> its core city and suburbs, in file order."""
     geos = F.concat(F.array("core_city"), F.col("suburbs"))
     return metros.select("metro", "metro_pos", F.posexplode(geos).alias("geo_pos", "geo_target")) \
-        .withColumn("position", F.col("metro_pos") * 10_000 + F.col("geo_pos"))
+        .withColumn("position", F.struct("metro_pos", "geo_pos"))
 
 
 def plan_searches(

@@ -5,7 +5,9 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from prospectra.session import new_path
 
 
 def salted_join(
@@ -40,32 +42,43 @@ def salted_join(
 
 
 def pack_rows(
-    df: DataFrame, keys: list[str], order: list[str], values: list[str],
-    into: str = "items", max_items: int = 10_000, salts: int = 32,
+    df: DataFrame, keys: list[str], order: list[str], values: list[str], into: str = "items", max_items: int = 10_000,
 ) -> DataFrame:
-    """Rows of a key as a sorted array of structs, in chunks of about ``max_items``.
+    """Rows of a key as sorted arrays of structs: ``chunk`` 0, 1, ... of ``max_items`` each, the last one shorter.
 
-    A key at or below the limit gives one row, ``chunk`` 0. A larger key is
-    spread over as many chunks as it needs, so no task holds the whole group
-    and no row is lost. The chunk counts are repeated ``salts`` times for the
-    join, which is ``salts / max_items`` of the rows at most.
+    The chunks of a key in their order are its rows in theirs, however many there are: what lies
+    in chunk k comes before what lies in chunk k + 1. A key that fits one chunk is gathered at
+    once. Larger keys, also a NULL one, are dealt to ranges of their order, numbered there, and
+    cut by number, so no task holds such a key. Rows go by ``order``, then by the other values.
     """
-    row_hash = F.xxhash64(*dict.fromkeys([*order, *values]))
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = sizes.filter(F.col("_n") > max_items).select(
-        *keys, F.ceil(F.col("_n") / F.lit(max_items)).alias("_chunks"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-    )
-    rows = df.select(*keys, *[c for c in dict.fromkeys([*order, *values]) if c not in keys]).withColumn("_hash", row_hash)
-    # The salt takes the upper half of the hash, the chunk the lower, so neither decides the other.
-    salted = rows.withColumn("_salt", F.pmod(F.shiftright("_hash", 32), F.lit(salts)).cast("int"))
-    item = F.struct(*order, *[v for v in values if v not in order])
-    return (
-        salted.join(chunks, [*keys, "_salt"], "left")
-        .withColumn("chunk", F.pmod(F.col("_hash"), F.coalesce("_chunks", F.lit(1))).cast("int"))
-        .groupBy(*keys, "chunk")
-        .agg(F.array_sort(F.collect_list(item)).alias(into))
-    )
+    fields = list(dict.fromkeys([*order, *values]))
+    rows = df.select(*keys, *[c for c in fields if c not in keys])
+    item = F.array_sort(F.collect_list(F.struct(*fields))).alias(into)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_items).drop("_n")
+    if sizes.isEmpty():
+        return rows.groupBy(*keys, F.lit(0).cast("long").alias("chunk")).agg(item)
+    large = _cut(sizes, "large-keys")  # at most a key per ``max_items`` rows
+    same = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys]
+    match = lambda how: rows.alias("_l").join(large.alias("_r"), same, how)
+    small = match("left_anti").groupBy(*keys, F.lit(0).cast("long").alias("chunk")).agg(item)
+    by = [F.col(c).asc_nulls_first() for c in [*keys, *fields]]
+    ranges = _cut(match("left_semi").repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per range, and one more where a range holds the end of one key and the start of the next.
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*by))
+    on = [*same, F.col("_l._part") == F.col("_r._part")]
+    numbered = ranges.withColumn("_at", inside - 1).alias("_l").join(counts.alias("_r"), on).select("_l.*", "_before")
+    chunk = F.floor((F.col("_before") + F.col("_at")) / F.lit(max_items)).alias("chunk")
+    return small.unionByName(numbered.groupBy(*keys, chunk).agg(item))
+
+
+def _cut(df: DataFrame, label: str) -> DataFrame:
+    """Rows written to the shared folder and read back, so that what is computed from them twice is the same."""
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def first_non_null(value: Column, order: Column) -> Column:

@@ -73,7 +73,7 @@ def context_blocks(chosen: DataFrame, first: DataFrame, second: DataFrame) -> Da
 
 
 def research_context(blocks: DataFrame, max_blocks: int = 200) -> DataFrame:
-    """Blocks of a business joined in order; a business with very many pages gives several parts."""
+    """Blocks of a business joined in order; a business with very many pages gives several parts, which follow each other."""
     packed = pack_rows(blocks, ["id"], ["crawler", "page_kind", "fetched_at", "url"], ["block"], "blocks", max_blocks)
     return packed.select(
         "id", F.col("chunk").alias("part"), F.size("blocks").alias("pages"),

@@ -186,17 +186,22 @@ def best_form(classified: DataFrame, keys: list[str]) -> DataFrame:
     return first_k(usable, keys, [F.col("n_fields").desc(), F.col("form_index")], 1).drop("rank")
 
 
-def read_response(status: Column, text: Column) -> dict[str, Column]:
-    """Outcome and note of a submission's answer; an error phrase beats a confirmation."""
-    head = F.substring(F.coalesce(text, F.lit("")), 1, 4000)
+def read_response(status: Column, text: Column, head: int | None = None, longest_note: int | None = None) -> dict[str, Column]:
+    """Outcome and note of a submission's answer; an error phrase beats a confirmation.
+
+    ``head`` reads only the first characters of an answer, ``longest_note`` cuts the note.
+    """
+    whole = F.coalesce(text, F.lit(""))
+    head = whole if head is None else F.left(whole, F.lit(head))
+    cut = lambda c: c if longest_note is None else F.left(c, F.lit(longest_note))
     code = status.cast("string")
     outcome = F.when(status == 0, "blocked").when(status.isin(403, 429) | (status >= 500), "blocked") \
         .when(head.rlike(REFUSED), "rejected").when(head.rlike(CONFIRMED), "sent").otherwise("unknown")
     note = (
         F.when(status == 0, "no response")
         .when(status.isin(403, 429) | (status >= 500), F.concat(F.lit("HTTP "), code))
-        .when(head.rlike(REFUSED), F.substring(F.regexp_extract(head, f"({REFUSED})", 1), 1, 200))
-        .when(head.rlike(CONFIRMED), F.substring(F.regexp_extract(head, f"({CONFIRMED})", 1), 1, 200))
+        .when(head.rlike(REFUSED), cut(F.regexp_extract(head, f"({REFUSED})", 1)))
+        .when(head.rlike(CONFIRMED), cut(F.regexp_extract(head, f"({CONFIRMED})", 1)))
         .otherwise(F.concat(F.lit("HTTP "), code, F.lit(", no confirmation or error text")))
     )
     return {"outcome": outcome, "note": note}

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from prospectra.functions.text import content_error, strip_controls
 
 
-def parse(responses: DataFrame, raw: str = "raw") -> DataFrame:
+def parse(responses: DataFrame, raw: str = "raw", longest_error: int | None = None) -> DataFrame:
     """Text, status, final URL and error of each raw answer.
 
     Three shapes occur: a page, an error envelope, and something that is not JSON.
-    The site's own status wins over the service's code.
+    The site's own status wins over the service's code. ``longest_error`` cuts the message.
     """
     v = F.try_parse_json(F.col(raw))
     df = responses.withColumn("_v", v)
@@ -27,7 +27,7 @@ def parse(responses: DataFrame, raw: str = "raw") -> DataFrame:
     page = F.coalesce(is_page, F.lit(False))
     error = (
         F.when(F.col("_v").isNull(), "unparseable response")
-        .when(~page, F.substring(message, 1, 500)).otherwise(content_error(content))
+        .when(~page, message if longest_error is None else F.left(message, F.lit(longest_error))).otherwise(content_error(content))
     )
     return df.withColumn("fetch_error", strip_controls(error)) \
         .withColumn("text", F.when(F.col("fetch_error").isNull(), strip_controls(content))) \

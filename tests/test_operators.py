@@ -73,11 +73,22 @@ def test_salted_join_keeps_every_row(spark):
             rows(big.join(lookup, "k", how), "id", "k", F.coalesce("v", F.lit(-1)))
 
 
-def test_pack_rows_is_whole_and_bounded(spark):
-    df = spark.range(5000).select(F.when(F.col("id") % 5 > 0, 0).otherwise(F.col("id")).alias("k"), "id")
-    packed = skew.pack_rows(df, ["k"], ["id"], ["id"], "items", 100)
-    assert rows(packed.select("k", F.explode("items.id").alias("id")), "id", "k") == rows(df, "id", "k")
-    assert packed.agg(F.max(F.size("items"))).first()[0] < 200
+def test_packed_chunks_are_the_sorted_rows(spark):
+    """One key and the NULL key hold nearly all rows; chunk after chunk gives them in order."""
+    pick = random.Random(1)
+    own = [(pick.choice(["hot", "hot", None, None, "a", "b", f"k{i % 50}"]), pick.choice([None, "x", "y", f"v{i % 300:04d}"]), pick.randrange(40), i % 7) for i in range(4000)]
+    df = spark.createDataFrame(own, "k string, s string, n int, v int").repartition(9)
+    for limit in (1, 100, 333, 10_000):
+        packed = skew.pack_rows(df if limit > 1 else df.limit(0).unionByName(df.filter("k = 'a'")), ["k"], ["s", "n"], ["v"], "items", limit)
+        got = {}
+        for r in sorted(packed.collect(), key=lambda r: r.chunk):
+            got.setdefault(r.k, []).append([tuple(x) for x in r["items"]])
+        order = lambda x: tuple((c is not None, c if c is not None else 0) for c in x)
+        for key in {r[0] for r in own} if limit > 1 else {"a"}:
+            chunks = got.pop(key)
+            assert [x for c in chunks for x in c] == sorted((r[1:] for r in own if r[0] == key), key=order)
+            assert all(len(c) == limit for c in chunks[:-1])
+        assert not got
 
 
 def test_best_or_none(spark):
