@@ -8,13 +8,15 @@ prefixes of ``length - V + 1`` bytes are then equal.
 1. Sampled prefixes are named (a rolling hash built by doubling names: 1, 2, 4, ... bytes)
    and names are compared across all texts, in buckets.
 2. The remaining suffixes merge in only where a sampled one after them, less than V bytes
-   on, shares its prefix with another: their ``length``-byte prefixes are named and compared
-   in the same way. Equal names mark the bytes to remove.
+   on, shares its prefix with another: their ``length``-byte prefixes are named, by 128 bits of
+   two hashes, and compared in the same way. Equal names mark the bytes to remove.
 
 Texts lie in groups of about ``SOURCE_BYTES``; a group sends each distinct name once per
 bucket, sorted and packed, and gets back one bit per name. Equal texts meet in one group and
 are worked on once; copies of a text that would overfill a group are spread over several.
 
+A text is worked on whole; a task needs about 100 times the bytes of its longest text.
+
 Null texts are empty. Texts shorter than ``length`` keep all bytes. Repeated rows repeat each
 other, so their bytes go. Columns beyond key and text are left out; an empty table gives an
 empty result.
@@ -36,22 +38,27 @@ COVER_MODULO = 73
 #: Powers of two modulo 73 form a perfect difference set: each difference occurs exactly once.
 COVER = sorted({pow(2, i, COVER_MODULO) for i in range(9)})
 SOURCE_BYTES = 4 << 20
-#: Bytes of a name sent beside its bucket: a false match of samples costs work only, of windows it would cost bytes.
-SAMPLE_WIDTH, WINDOW_WIDTH = 4, 6
-_TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BASE = 0xD6E8FEB86659FD93
+#: Bytes of a name sent beside its bucket. A false match of samples costs work only. One of windows would cost
+#: bytes, so their names are of two independent hashes.
+SAMPLE_WIDTH, WINDOW_WIDTH = 4, 16
+#: Byte tables and bases of the two hashes.
+_HASHES = tuple(
+    (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(step)), base)
+    for step, base in ((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F))
+)
 
 
 class Names:
     """Hashes of all byte strings of the lengths asked for, by doubling."""
 
-    def __init__(self, raw: np.ndarray):
-        self.now, self.length, self.kept = _TABLE[raw], 1, {}
+    def __init__(self, raw: np.ndarray, which: int = 0):
+        table, self.base = _HASHES[which]
+        self.now, self.length, self.kept = table[raw], 1, {}
 
     def doubled_to(self, most: int) -> None:
         self.kept[1] = self.now
         while 2 * self.length <= most:
-            power = np.uint64(pow(_BASE, self.length, 1 << 64))
+            power = np.uint64(pow(self.base, self.length, 1 << 64))
             grown = self.now.copy()
             grown[:len(grown) - self.length] = self.now[:len(grown) - self.length] * power + self.now[self.length:]
             self.now, self.length = grown, 2 * self.length
@@ -62,7 +69,7 @@ class Names:
         out, done = np.zeros(len(at), np.uint64), 0
         for step in sorted(self.kept, reverse=True):
             if (length >> (step.bit_length() - 1)) & 1:
-                out = out * np.uint64(pow(_BASE, step, 1 << 64)) + self.kept[step][at + done]
+                out = out * np.uint64(pow(self.base, step, 1 << 64)) + self.kept[step][at + done]
                 done += step
         return mix(out)
 
@@ -70,22 +77,26 @@ class Names:
 class Packets:
     """Distinct names of a group by bucket, as sent, and the way back to their places."""
 
-    def __init__(self, names: np.ndarray, weight: np.ndarray, buckets: int, width: int):
-        value = names & np.uint64((1 << 8 * width) - 1)
+    def __init__(self, names: np.ndarray, weight: np.ndarray, buckets: int, width: int, more: np.ndarray | None = None):
+        """``more`` are the names' second hashes, sent whole; without them a name is ``width`` bytes of its first."""
+        value = names if more is not None else names & np.uint64((1 << 8 * width) - 1)
+        more = np.zeros(len(names), np.uint64) if more is None else more
         bucket = (mix(names ^ np.uint64(0xA5A5A5A5)) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((value, bucket))
-        value, bucket = value[order], bucket[order]
-        first = np.r_[True, (value[1:] != value[:-1]) | (bucket[1:] != bucket[:-1])] if len(value) else np.zeros(0, bool)
+        order = np.lexsort((more, value, bucket))
+        value, more, bucket = value[order], more[order], bucket[order]
+        new = (value[1:] != value[:-1]) | (more[1:] != more[:-1]) | (bucket[1:] != bucket[:-1])
+        first = np.r_[True, new] if len(value) else np.zeros(0, bool)
         self.which = np.empty(len(names), np.int64)
         self.which[order] = np.cumsum(first) - 1
-        self.value, self.bucket, self.width = value[first], bucket[first], width
+        self.value, self.more, self.bucket, self.width = value[first], more[first], bucket[first], width
         self.own = np.bincount(self.which, weight, len(self.value)) if len(self.value) else np.zeros(0)
         self.ends = np.flatnonzero(np.r_[self.bucket[1:] != self.bucket[:-1], True]) + 1 if len(self.value) else np.zeros(0, int)
 
     def rows(self):
         begin = 0
         for end in self.ends.tolist():
-            packed = self.value[begin:end, None].view(np.uint8).reshape(-1, 8)[:, :self.width]
+            both = np.stack([self.value[begin:end], self.more[begin:end]], 1)
+            packed = both.view(np.uint8).reshape(-1, 16)[:, :self.width]
             yield int(self.bucket[begin]), np.ascontiguousarray(packed).tobytes()
             begin = end
 
@@ -112,7 +123,7 @@ class Group:
         self.raw = np.frombuffer(b"".join(self.texts), np.uint8)
         self.owner = np.repeat(np.arange(len(sizes)), sizes)
         self.copies = np.array([copies[t] for t in self.texts], np.int64)
-        self.names = Names(self.raw)
+        self.names, self.second = Names(self.raw), None
         self.names.doubled_to(length)
         self.place = np.arange(len(self.raw)) - self.starts[self.owner]
         self.left = self.ends[self.owner] - np.arange(len(self.raw))
@@ -132,7 +143,11 @@ class Group:
         np.add.at(step, np.maximum(at - COVER_MODULO + 1, self.starts[self.owner[at]]), 1)
         np.add.at(step, at + 1, -1)
         at = np.flatnonzero((np.cumsum(step[:-1]) > 0) & (self.left >= self.length))
-        return at, Packets(self.names.of(self.length, at), self.copies[self.owner[at]], self.buckets, WINDOW_WIDTH)
+        if len(at) and self.second is None:
+            self.second = Names(self.raw, 1)
+            self.second.doubled_to(self.length)
+        more = self.second.of(self.length, at) if len(at) else np.zeros(0, np.uint64)
+        return at, Packets(self.names.of(self.length, at), self.copies[self.owner[at]], self.buckets, WINDOW_WIDTH, more)
 
     def kept(self, samples: dict[int, bytes], windows: dict[int, bytes]) -> dict[bytes, tuple[int, int, bytes]]:
         """Per text the removed bytes, their runs, and what stays."""
@@ -175,11 +190,12 @@ def _compared(sent: DataFrame, width: int, round_: int) -> DataFrame:
     """One bit per name that came from several groups; buckets are independent of each other."""
     def compare(rows: pa.Table) -> pa.Table:
         parts = [np.frombuffer(n.as_buffer(), np.uint8).reshape(-1, width) for n in rows.column("names")]
-        wide = np.zeros((sum(map(len, parts)), 8), np.uint8)
+        wide = np.zeros((sum(map(len, parts)), 16), np.uint8)
         wide[:, :width] = np.concatenate(parts)
-        value = wide.view(np.uint64).ravel()
-        order = np.argsort(value, kind="stable")
-        same = value[order][1:] == value[order][:-1]
+        value, more = wide.view(np.uint64).T
+        order = np.lexsort((more, value)) if width > 8 else np.argsort(value, kind="stable")
+        value, more = value[order], more[order]
+        same = (value[1:] == value[:-1]) & (more[1:] == more[:-1])
         again = np.zeros(len(value), bool)
         again[order[1:]] |= same
         again[order[:-1]] |= same
