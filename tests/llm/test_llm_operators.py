@@ -410,9 +410,10 @@ def test_items_without_id_and_ids_with_many_rows(spark, part_bytes):
     assert [(got[i].n_hit, got[i].n_items, got[i]["items"]) for i in range(4)] == [(12, 0, []), (12, 1, ["3"]), (12, 1, ["8"]), (0, 0, [])]
     assert [r.doc_id for r in decontaminate.decontaminate(docs, bench, part_bytes=part_bytes).collect()] == [3]
     assert {r.item for r in decontaminate.longest_matches(docs, bench, part_bytes=part_bytes).collect()} == {"3", "8"}
-    parts = decontaminate.benchmark_parts(bench, "item_id", "text", part_bytes)
-    assert sorted(map(str, sum(parts, ()))) == sorted(str((i if i is None else str(i), t)) for i, t in items)
-    assert len(parts) == 1 or max(map(len, parts)) < 20
+    parts = decontaminate.benchmark_parts(bench, "item_id", "text", 10, part_bytes)
+    held = [decontaminate.part_of(p) for p in parts]
+    assert sorted(map(str, (n for p in held for n in p.names))) == sorted(str(i) for i, _ in items)
+    assert (len(parts) > 1) == (part_bytes == 1500) and max(len(p.names) for p in held) < (35 if len(parts) > 1 else 100)
 
 
 def test_longest_matches(spark):
