@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from prospectra.catalog.columns import GROWTH_SQL
 from prospectra.catalog.registry import query
-from prospectra.catalog.world import NOW, table, world
+from prospectra.catalog.world import NOW, TABLES, WORLD, table, world
 from prospectra.functions.identity import host, name_key, phone_key
 from prospectra.functions.reviews import as_time
 from prospectra.operators.diff import histogram
 from prospectra.operators.stage import staged
-from prospectra.plans import ingest, listing, qc, raw_enrich, scoring as S
+from prospectra.plans import incremental, ingest, listing, qc, raw_enrich, scoring as S
 from prospectra.session import new_path
 from prospectra.sources import tables
 from prospectra.sources.buckets import BucketTable
@@ -93,6 +93,36 @@ def rescore_changes(spark, sf):
         "id", "icp_score", "new_icp_score", "new_icp_tier", "new_qc_status", "new_service_category")
 
 
+def _scores(biz):
+    """The stored result of scoring, one row per business."""
+    return S.score(biz).select("id", "icp_score", "icp_tier", "qc_status")
+
+
+@query("D02 J23 S09 P18", f"""
+    WITH old AS ({WORLD["biz"].format(**{t: t for t in TABLES})}),
+    biz AS (SELECT * REPLACE (CASE WHEN id % 11 = 3 THEN 5.0 ELSE rating END AS rating, CASE WHEN id % 17 = 5 THEN 'Museum' ELSE primary_category END AS primary_category) FROM old WHERE id % 13 <> 7
+            UNION ALL SELECT * REPLACE (id + 10000000 AS id, 'Luxury Board and Train' AS name) FROM old WHERE id % 19 = 4),
+    {scored_sql()}, {scored_sql(name="was").replace("FROM biz)", "FROM old)")}
+    SELECT coalesce(n.id, o.id) AS id, CAST(n.score AS INTEGER) AS icp_score, n.tier AS icp_tier, n.qc AS qc_status,
+           CASE WHEN o.id IS NULL THEN 'insert' WHEN n.id IS NULL THEN 'delete' WHEN o.id % 11 = 3 AND o.rating <> 5.0 OR o.id % 17 = 5 AND o.primary_category <> 'Museum' THEN 'update' END AS change
+    FROM scored n FULL OUTER JOIN was o ON o.id = n.id
+""")
+def incremental_scores(spark, sf):
+    """Scores after businesses were changed, removed and added: only those are scored again, and all equal a full run."""
+    biz = with_categories(world(spark, sf, "biz"))
+    held, scores = BucketTable(spark, new_path(spark, "biz")), BucketTable(spark, new_path(spark, "scores"))
+    held.create(biz, ["id"], 16)
+    scores.create(_scores(held.read()), ["id"], 16)
+    i = F.col("id")
+    changed = biz.withColumn("rating", F.when(i % 11 == 3, 5.0).otherwise(F.col("rating"))) \
+        .withColumn("primary_category", F.when(i % 17 == 5, "Museum").otherwise(F.col("primary_category"))).filter((i % 11 == 3) | (i % 17 == 5))
+    held.merge(with_categories(changed))
+    held.change(biz.filter(i % 13 == 7).select("id"), lambda old: old.filter(i % 13 != 7))
+    held.merge(biz.filter(i % 19 == 4).withColumn("id", i + 10_000_000).withColumn("name", F.lit("Luxury Board and Train")))
+    incremental.refresh({"biz": incremental.Input(held, 1)}, scores, lambda rows: _scores(rows["biz"]), new_path(spark, "affected"))
+    return scores.read().join(incremental.changes(held, 1), "id", "full_outer").select("id", "icp_score", "icp_tier", "qc_status", "change")
+
+
 @query("D02 A08", _RESCORE + """ SELECT t0 AS icp_tier, COUNT(*) AS n, round(100.0::DOUBLE * COUNT(*) / (SELECT COUNT(*) FROM d), 1) AS percent FROM d GROUP BY 1""", ("biz",))
 def tier_histogram(spark, sf):
     return histogram(stored_scores(spark, sf), "icp_tier")

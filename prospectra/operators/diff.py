@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from prospectra.operators.quantiles import quantiles
+
 
 def differs(pairs: list[tuple[Column, Column]]) -> Column:
     """True when any pair differs, NULLs compared as values."""
@@ -20,13 +22,10 @@ def histogram(df: DataFrame, key: str) -> DataFrame:
 
 
 def distinct_percentiles(df: DataFrame, value: str, points: list[float]) -> DataFrame:
-    """Exact percentiles from the value's frequency table."""
-    freq = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
-    quantiles = F.percentile(F.col(value), F.array(*[F.lit(p) for p in points]), F.col("n"))
+    """Exact percentiles of a column of any number of distinct values."""
     names = [f"p{round(p * 100)}" for p in points]
-    return freq.agg(quantiles.alias("_q")).select(
-        *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(names)]
-    )
+    found = quantiles(df, [], value, points)
+    return found.select(*[F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
 
 
 def share_at_or_above(df: DataFrame, value: str, cutoffs: list[int]) -> DataFrame:

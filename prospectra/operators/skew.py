@@ -62,7 +62,7 @@ def pack_rows(
     match = lambda how: rows.alias("_l").join(large.alias("_r"), same, how)
     small = match("left_anti").groupBy(*keys, F.lit(0).cast("long").alias("chunk")).agg(item)
     by = [F.col(c).asc_nulls_first() for c in [*keys, *fields]]
-    ranges = _cut(match("left_semi").repartitionByRange(*by).withColumn("_part", F.spark_partition_id()), "ranges")
+    ranges = ranged(match("left_semi"), by, "ranges")
     counts = ranges.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # A row per range, and one more where a range holds the end of one key and the start of the next.
@@ -81,6 +81,11 @@ def _cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ranged(df: DataFrame, order: list, label: str) -> DataFrame:
+    """The rows in ranges of ``order``, written and read back with the number of their range as ``_part``."""
+    return _cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), label)
+
+
 def first_non_null(value: Column, order: Column) -> Column:
     """The non-NULL value with the smallest order, as an aggregate."""
     return F.min_by(value, F.when(value.isNotNull(), order))

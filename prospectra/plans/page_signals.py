@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from prospectra.functions import emails as E
 from prospectra.functions.identity import none_if_blank, origin, resolve_url, url_path
 from prospectra.functions.markup import opened, tag_events, values_of
+from prospectra.operators.quantiles import quantiles
 from prospectra.operators.skew import first_non_null
 from prospectra.operators.stage import staged
 from prospectra.operators.topk import first_k
@@ -218,9 +219,8 @@ def coverage(rolled: DataFrame) -> DataFrame:
 def social_breadth(rolled: DataFrame, reviews: DataFrame, key: str) -> DataFrame:
     """Businesses and median reviews by number of linked platforms."""
     per = rolled.select(key, F.size("profiles").alias("breadth")).join(reviews, key)
-    return per.groupBy("breadth", "review_count").agg(F.count(F.lit(1)).alias("_n")).groupBy("breadth").agg(
-        F.sum("_n").alias("businesses"), F.percentile("review_count", F.lit(0.5), F.col("_n")).alias("median_reviews")
-    )
+    counts = per.groupBy("breadth").agg(F.count(F.lit(1)).alias("businesses"))
+    return counts.join(quantiles(per, ["breadth"], "review_count", [0.5]).withColumnRenamed("q0", "median_reviews"), "breadth", "left")
 
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

@@ -122,6 +122,11 @@ class BucketTable:
         """Spark's own bucket of a row."""
         return F.pmod(F.hash(*keys), F.lit(count))
 
+    @classmethod
+    def buckets_of(cls, keys_of: DataFrame, m: Manifest) -> list[int]:
+        """The buckets of a version that hold the keys of a DataFrame; at most all of them."""
+        return sorted(r[0] for r in keys_of.select(cls._bucket(m.keys, m.count).alias(BUCKET)).distinct().collect())
+
     def create(self, df: DataFrame, keys: list[str], buckets: int) -> Manifest:
         """The first version, of a DataFrame that is unique on its keys."""
         folders = self._write(df.repartition(buckets, *keys), keys, buckets)
@@ -156,8 +161,7 @@ class BucketTable:
         when another writer touched one of the buckets in between.
         """
         base = self.manifest()
-        hit = keys_of.select(self._bucket(base.keys, base.count).alias(BUCKET)).distinct()
-        touched = sorted(r[0] for r in hit.collect())  # at most the number of buckets
+        touched = self.buckets_of(keys_of, base)
         for _ in range(attempts):
             folders = self._write(make(self._read(base, touched)), base.keys, base.count) if touched else {}
             done = self._committed(base, folders, touched)
