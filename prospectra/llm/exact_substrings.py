@@ -55,14 +55,21 @@ class Names:
         table, self.base = _HASHES[which]
         self.now, self.length, self.kept = table[raw], 1, {}
 
-    def doubled_to(self, most: int) -> None:
-        self.kept[1] = self.now
+    def doubled_to(self, *lengths: int) -> None:
+        """Keeps the hashes that names of these lengths are put together from, three arrays of a group's bytes here."""
+        most, parts = max(lengths), 0
+        for length in lengths:
+            parts |= length
+        if parts & 1:
+            self.kept[1] = self.now
         while 2 * self.length <= most:
             power = np.uint64(pow(self.base, self.length, 1 << 64))
             grown = self.now.copy()
             grown[:len(grown) - self.length] = self.now[:len(grown) - self.length] * power + self.now[self.length:]
             self.now, self.length = grown, 2 * self.length
-            self.kept[self.length] = grown
+            if parts & self.length:
+                self.kept[self.length] = grown
+        self.now = None
 
     def of(self, length: int, at: np.ndarray) -> np.ndarray:
         """Names of the strings of a length at places where they fit."""
@@ -124,7 +131,7 @@ class Group:
         self.owner = np.repeat(np.arange(len(sizes)), sizes)
         self.copies = np.array([copies[t] for t in self.texts], np.int64)
         self.names, self.second = Names(self.raw), None
-        self.names.doubled_to(length)
+        self.names.doubled_to(length, length - COVER_MODULO + 1)
         self.place = np.arange(len(self.raw)) - self.starts[self.owner]
         self.left = self.ends[self.owner] - np.arange(len(self.raw))
 
