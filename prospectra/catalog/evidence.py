@@ -10,7 +10,10 @@ from prospectra.catalog.world import table, world
 from prospectra.functions import emails as E
 from prospectra.functions.markup import opened, tag_events, values_of
 from prospectra.functions.reviews import as_time
+from prospectra.operators.observe import observed
+from prospectra.operators.stage import staged
 from prospectra.plans import ads, email_job, forms, page_signals, people, registration
+from prospectra.session import new_path
 
 # -- addresses ---------------------------------------------------------------------------------
 
@@ -57,6 +60,26 @@ def reject_counts(spark, sf):
     return email_job.reject_counts(world(spark, sf, "crawl"))
 
 
+_REASONS = ("malformed", "asset filename", "placeholder local part", "infrastructure domain", "implausibly long local part",
+            "exceeds maximum email length", "hex token", "no letters in local part")
+
+
+@query("A14 A23", f"""
+    WITH t AS (SELECT {duck_reject('email')} AS reason FROM (
+        SELECT unnest(list_transform(regexp_extract_all(text, '{E.LOOSE_ADDRESS}'), lambda x: regexp_replace(lower(x), '[.,;:)\\]}}>\'\'"]+$', ''))) AS email FROM crawl))
+    SELECT r AS reason, (SELECT COUNT(*) FROM t WHERE reason = r) AS n FROM (SELECT unnest({list(_REASONS)}) AS r)
+    UNION ALL SELECT 'kept', (SELECT COUNT(*) FROM t WHERE reason IS NULL)
+""", ("crawl",))
+def rejects_beside_rows(spark, sf):
+    """Reject reasons counted by the pass that writes the kept addresses; every reason has its row, also with none."""
+    tokens = world(spark, sf, "crawl").select(F.explode(E.loose_addresses_in(F.coalesce("text", F.lit("")))).alias("email"))
+    judged = staged(tokens, {"reason": E.reject_reason("email")})
+    rows, seen = observed(judged, {f"n{k}": F.col("reason") == r for k, r in enumerate(_REASONS)} | {"kept": F.col("reason").isNull()})
+    rows.filter("reason IS NULL").drop("reason").write.parquet(new_path(spark, "kept-addresses"))
+    found = seen.get
+    return spark.createDataFrame([(r, found[f"n{k}"]) for k, r in enumerate(_REASONS)] + [("kept", found["kept"])], "reason string, n long")
+
+
 @query("D06 S09", f"""WITH {_SEEN} SELECT business_id, email, CAST(conf AS INTEGER) AS confidence, CASE WHEN is_role THEN 'rdap' ELSE 'crawl' END AS source FROM a""", ("crawl",))
 def stored_addresses(spark, sf):
     """Addresses stored before keep the channel they came through."""

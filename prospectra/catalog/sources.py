@@ -5,38 +5,138 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from prospectra.catalog.registry import query
+from prospectra.catalog.scoring import scored_sql
 from prospectra.catalog.world import table, world
+from prospectra.functions import text as T
+from prospectra.operators import coverage
 from prospectra.operators.merge import insert_absent, last_per_key, merge_upsert, restore_values
 from prospectra.plans import page_signals
 from prospectra.schemas import EVENT
 from prospectra.session import new_path
 from prospectra.sources import places, reader, tables
+from prospectra.sources.array_files import ArrayFiles
 from prospectra.streaming import events as ev
 
 
-@query("S01 S02 P01 S03", """
-    SELECT id, name, city, 'term ' || id % 4 || ' in town' AS query, 'town' AS geo_target
-    FROM biz WHERE id % 4 < 3
-""", ("biz",))
-def place_files(spark, sf):
-    """Businesses written as JSON place arrays, one file per search, read back and tagged by file name."""
+def _place_folder(spark, sf):
+    """Businesses as JSON array files of up to a hundred, named by job and search; every seventh file is cut off."""
     folder = new_path(spark, "places")
     biz = world(spark, sf, "biz")
-    # Files are named after the search by partitioning on it and reading the folder tree.
-    rows = biz.select(
-        F.concat(F.lit("job-term_"), (F.col("id") % 4).cast("string"), F.lit("_in_town")).alias("stem"),
-        F.col("id").cast("string").alias("place_id"), F.col("name").alias("title"),
-        F.struct("city", "state").alias("complete_address"))
-    rows.write.partitionBy("stem").json(folder)
-    raw = spark.read.schema("place_id string, title string, complete_address struct<city:string,state:string>") \
-        .option("basePath", folder).json(folder)
-    raw = raw.withColumn("file_stem", F.regexp_extract(F.input_file_name(), "stem=([^/]+)/", 1))
-    meta = spark.createDataFrame(
-        [(f"term {i} in town", "town", "dog_training", "p1") for i in range(3)],
-        "keyword string, geo_target string, service_category string, phase string")
-    tagged, _ = places.tag_files(raw, meta)
-    return tagged.select(F.col("place_id").cast("long").alias("id"), F.col("title").alias("name"),
-                         F.col("complete_address.city").alias("city"), F.col("keyword").alias("query"), "geo_target")
+    stem = F.concat(F.lit("job"), F.floor(F.col("id") / 400).cast("string"), F.lit("-term_"), (F.col("id") % 4).cast("string"), F.lit("_in_town"))
+    place = F.struct(
+        F.col("id").cast("string").alias("place_id"), F.col("name").alias("title"), F.col("website").alias("web_site"), "phone",
+        F.struct("city", "state").alias("complete_address"), F.col("rating").alias("review_rating"), F.col("review_count").cast("int").alias("review_count"),
+        F.col("primary_category").alias("category"), F.array("primary_category", "second_category").alias("categories"), "description", "price_range")
+    files = biz.groupBy(stem.alias("stem"), F.floor(F.col("id") / 400).alias("job")).agg(F.array_sort(F.collect_list(place)).alias("places"))
+    whole = F.to_json("places")
+    text = F.when(F.col("job") % 7 == 3, F.left(whole, F.length(whole) - 9)).otherwise(whole)
+    files.select("stem", text.alias("value")).write.partitionBy("stem").text(folder)
+    found, bad = places.read_places(spark, folder, ".txt")
+    own = F.regexp_extract("file", "stem=([^/]+)/", 1)
+    return found.withColumn("file_stem", own), bad.withColumn("file_stem", own)
+
+
+def _searches(spark):
+    return spark.createDataFrame([(f"term {i} in town", "town", "dog_training", "p1") for i in range(3)],
+                                 "keyword string, geo_target string, service_category string, phase string")
+
+
+_READ = "floor(id / 400) % 7 <> 3"
+
+
+@query("S01 S02 P01 F05 F06 F22", f"""
+    WITH {scored_sql(enriched=False)} SELECT id, name, 'term ' || id % 4 || ' in town' AS query, city, primary_category, CAST(score AS INTEGER) AS icp_score, tier AS icp_tier, qc AS qc_status,
+           coalesce(service, 'dog_training') AS service_category, CASE WHEN phone LIKE '+1%' THEN right(regexp_replace(phone, '[^0-9]', '', 'g'), 10) ELSE regexp_replace(phone, '[^0-9]', '', 'g') END AS phone_normalized
+    FROM scored WHERE id % 4 < 3 AND {_READ}
+""", ("biz",))
+def place_files(spark, sf):
+    """Staging rows of place files that a search claims, by way of the file source."""
+    found, _ = _place_folder(spark, sf)
+    tagged, _ = places.tag_files(found, _searches(spark))
+    return places.staging_rows(tagged).select(
+        F.col("place_id").cast("long").alias("id"), "name", "query", "city", "primary_category", "icp_score", "icp_tier", "qc_status", "service_category", "phone_normalized")
+
+
+@query("S01 S02", f"""
+    SELECT DISTINCT 'job' || CAST(floor(id / 400) AS BIGINT) || '-term_' || id % 4 || '_in_town' AS file_stem, CASE WHEN {_READ} THEN 'no search' ELSE 'JSONDecodeError' END AS why
+    FROM biz WHERE NOT ({_READ}) OR id % 4 = 3
+""", ("biz",))
+def unread_place_files(spark, sf):
+    """Every file that is cut off, with its error, and every file that no search claims."""
+    found, bad = _place_folder(spark, sf)
+    _, unclaimed = places.tag_files(found, _searches(spark))
+    return bad.select("file_stem", F.split_part("error", F.lit(":"), F.lit(1)).alias("why")).unionByName(unclaimed.select("file_stem", F.lit("no search").alias("why")))
+
+
+@query("S19 ST01 S01", """
+    SELECT event_type, COUNT(*) AS n, MIN(event_id) AS first, MAX(event_id) AS last FROM events WHERE floor(event_id / 500) % 5 <> 2 GROUP BY 1
+""")
+def stream_array_files(spark, sf):
+    """Events as array files that arrive in two lots, read as a stream; cut-off files give error rows only."""
+    folder, out, mark = (new_path(spark, x) for x in ("event-files", "event-rows", "event-progress"))
+    spark.dataSource.register(ArrayFiles)
+    lot = F.floor(F.col("event_id") / 500)
+    rows = table(spark, sf, "events").select(lot.alias("lot"), F.struct("event_id", "event_type").alias("e"))
+    whole = F.to_json(F.collect_list("e"))
+    files = rows.groupBy("lot").agg(whole.alias("value"))
+    files = files.select("lot", F.when(F.col("lot") % 5 == 2, F.left("value", F.length("value") - 3)).otherwise(F.col("value")).alias("value"))
+    for part in (files.filter("lot % 2 = 0"), files.filter("lot % 2 = 1")):
+        part.write.mode("append").partitionBy("lot").text(folder)
+        stream = spark.readStream.format("array_files").option("suffix", ".txt").load(folder)
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+    read = spark.read.schema(stream.schema).parquet(out).filter("error IS NULL").select(F.from_json("element", "event_id long, event_type string").alias("e")).select("e.*")
+    return read.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+
+
+@query("S03 D15 T03", """
+    SELECT 'svc' || r_regionkey || ' in ' || g.geo AS keyword, g.geo AS geo_target, n_nationkey AS metro_pos, g.pos AS geo_pos
+    FROM nation JOIN region ON n_regionkey = r_regionkey, LATERAL (SELECT unnest([n_name, 'Old ' || n_name, 'New ' || n_name]) AS geo, unnest([0, 1, 2]) AS pos) g
+    WHERE r_regionkey = 1
+""")
+def lookup_plan(spark, sf):
+    """Searches planned from the two nested lookup files, built of nations and regions."""
+    metros_path, terms_path = new_path(spark, "metros"), new_path(spark, "terms")
+    nations = table(spark, sf, "nation").select(F.struct(
+        F.col("n_nationkey").alias("pos"), F.col("n_name").alias("metro"), F.col("n_name").alias("core_city"),
+        F.array(F.concat(F.lit("Old "), "n_name"), F.concat(F.lit("New "), "n_name")).alias("suburbs")).alias("m"))
+    nations.agg(F.transform(F.array_sort(F.collect_list("m")), lambda m: F.struct(m["metro"].alias("metro"), m["core_city"].alias("core_city"), m["suburbs"].alias("suburbs"))).alias("metros")) \
+        .write.json(metros_path)
+    terms = table(spark, sf, "region").agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat(F.lit("service"), "r_regionkey").alias("k"), F.array(F.concat(F.lit("svc"), "r_regionkey")).alias("v")))).alias("t"))
+    terms.select(F.to_json("t").alias("value")).write.text(terms_path)
+    metros, held = places.read_lookup(spark, metros_path, terms_path)
+    region = table(spark, sf, "nation").filter("n_regionkey = 1").select(F.col("n_name").alias("metro"))
+    plan = coverage.plan_searches(
+        coverage.geo_plan(metros.join(region, "metro", "left_semi")), [r.term for r in held.filter("service = 'service1'").collect()],
+        spark.createDataFrame([], "query string, service_category string"), "service1", "p1")
+    return plan.select("keyword", "geo_target", F.col("position.metro_pos").cast("long").alias("metro_pos"), F.col("position.geo_pos").alias("geo_pos"))
+
+
+@query("S13 T06", """
+    SELECT id, name, review_count FROM biz
+""", ("biz",))
+def report_round_trip(spark, sf):
+    """A tab-separated report with header, read back."""
+    path = new_path(spark, "report")
+    tables.write_report(world(spark, sf, "biz").select("id", "name", "review_count").orderBy(F.desc_nulls_last("review_count"), "id"), path)
+    return spark.read.option("sep", "\t").option("header", True).schema("id long, name string, review_count long").csv(path)
+
+
+@query("S15 F29 D30", """
+    SELECT c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN '[First Name]' WHEN 1 THEN '[Business Name]' END AS placeholder, c_custkey % 5 > 1 AS clean FROM customer
+""")
+def draft_files(spark, sf):
+    """Drafts from JSON files, arrays and single objects, and the placeholder each still holds."""
+    path = new_path(spark, "drafts")
+    i = F.col("c_custkey")
+    body = F.concat(F.lit("Hello "), F.when(i % 5 == 0, "[First Name]").when(i % 5 == 1, "[Business Name]").otherwise("Erin"), F.lit(", we saw your kennel."))
+    draft = F.struct(i.alias("id"), body.alias("body"))
+    rows = table(spark, sf, "customer").groupBy(F.floor(i / 50).alias("file")).agg(F.collect_list(draft).alias("all"))
+    single = F.size("all") == 1
+    rows.select("file", F.when(single, F.to_json(F.get("all", F.lit(0)))).otherwise(F.to_json("all")).alias("value")).write.partitionBy("file").text(path)
+    held = tables.read_drafts(spark, path, "id long, body string")
+    found = T.find_placeholder(F.col("body"))
+    return held.select("id", found.alias("placeholder"), found.isNull().alias("clean"))
 
 
 @query("S04 S05 S13", """

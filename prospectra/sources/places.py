@@ -7,14 +7,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from prospectra.functions.identity import file_slug, host, name_key, none_if_blank, phone_key
 from prospectra.plans.scoring import about_options, score
 from prospectra.schemas import PLACE
+from prospectra.sources.array_files import ArrayFiles
 
 
-def read_places(spark: SparkSession, folder: str) -> DataFrame:
-    """All readable place files of a folder; a file that is not JSON gives no rows."""
-    raw = spark.read.schema(PLACE).option("multiLine", True).option("mode", "PERMISSIVE") \
-        .option("columnNameOfCorruptRecord", "_corrupt").json(folder)
-    stem = F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -1), r"\.json$", "")
-    return raw.withColumn("file_stem", stem)
+def read_places(spark: SparkSession, folder: str, suffix: str = ".json") -> tuple[DataFrame, DataFrame]:
+    """(places of all readable files of a folder, one row per bad file with its error).
+
+    A file that is cut off, no JSON or no array gives no places, and an element that is no object
+    counts as a bad one of its file.
+    """
+    spark.dataSource.register(ArrayFiles)
+    raw = spark.read.format("array_files").option("suffix", suffix).load(folder)
+    stem = F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.json$", "")
+    read = raw.withColumn("file_stem", stem).withColumn("_p", F.from_json("element", PLACE, {"columnNameOfCorruptRecord": "_corrupt"}))
+    broken = F.col("error").isNotNull() | F.col("_p").isNull() | F.col("_p._corrupt").isNotNull()
+    fields = [f.name for f in read.schema["_p"].dataType if f.name != "_corrupt"]
+    bad = read.filter(broken).select("file", "file_stem", "position", F.coalesce("error", F.lit("element is not a place")).alias("error"))
+    return read.filter(~broken).select(*[F.col(f"_p.{f}").alias(f) for f in fields], "file", "file_stem"), bad
 
 
 def tag_files(places: DataFrame, meta: DataFrame) -> tuple[DataFrame, DataFrame]:

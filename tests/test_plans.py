@@ -243,7 +243,8 @@ def test_ingest_batch_counts(spark, tmp_path):
     (folder / "job8-dog_trainer_in_town.json").write_text("{not json")
     meta = spark.createDataFrame([(t, "Town", "dog_training", "p1") for t in ("dog trainer in Town", "puppy class in Town")],
                                  "keyword string, geo_target string, service_category string, phase string")
-    raw = places.read_places(spark, str(folder)).filter("_corrupt IS NULL").cache()
+    raw, bad = places.read_places(spark, str(folder))
+    assert [(r.file_stem, r.error.split(":")[0]) for r in bad.collect()] == [("job8-dog_trainer_in_town", "JSONDecodeError")]
     tagged, unmatched = places.tag_files(raw, meta)
     assert [r[0] for r in unmatched.collect()] == ["job9-unknown_search"]
     staging = places.staging_rows(tagged)
