@@ -212,12 +212,31 @@ def site_signals(spark, sf):
 
 
 @query("A26", r"""
-    WITH r AS (SELECT FLOOR(page_id / 3) AS s, bool_or(page_id % 7 = 0) AS px, bool_or(page_id % 11 = 0) AS bk, bool_or(page_id % 6 = 2) AS fm, bool_or(page_id % 8 = 0) AS pe FROM pages GROUP BY 1)
+    WITH r AS (SELECT FLOOR(page_id / 3) AS s, bool_or(page_id % 10 = 4) AS ab, bool_or(page_id % 7 = 0) AS px, bool_or(page_id % 11 = 0) AS bk, bool_or(page_id % 6 = 2) AS fm, bool_or(page_id % 8 = 0) AS pe FROM pages GROUP BY 1)
     SELECT COUNT(*) AS reachable, round(100.0::DOUBLE * COUNT(*) FILTER (WHERE px) / COUNT(*), 1) AS pct_pixel, round(100.0::DOUBLE * COUNT(*) FILTER (WHERE bk) / COUNT(*), 1) AS pct_booking,
-           round(100.0::DOUBLE * COUNT(*) FILTER (WHERE fm) / COUNT(*), 1) AS pct_form, round(100.0::DOUBLE * COUNT(*) FILTER (WHERE pe) / COUNT(*), 1) AS pct_person_email FROM r
+           round(100.0::DOUBLE * COUNT(*) FILTER (WHERE fm) / COUNT(*), 1) AS pct_form, round(100.0::DOUBLE * COUNT(*) FILTER (WHERE pe) / COUNT(*), 1) AS pct_person_email,
+           round(100.0::DOUBLE * COUNT(*) FILTER (WHERE ab) / COUNT(*), 1) AS pct_about FROM r
 """)
 def signal_coverage(spark, sf):
-    return page_signals.coverage(page_signals.roll_up(page_signals.detect(markup(spark, sf)), "site", "page_id"))
+    pages = markup(spark, sf).withColumn("page_kind", F.when(F.col("page_id") % 10 == 4, "about").otherwise("home"))
+    return page_signals.coverage(page_signals.roll_up(page_signals.detect(pages), "site", "page_id"))
+
+
+@query("A10 D05", r"""
+    WITH h AS (SELECT page_id, CAST(FLOOR(page_id / 3) AS BIGINT) AS site FROM pages)
+    SELECT site, CASE WHEN bool_or(page_id % 4 = 0) THEN 'https://www.facebook.com/dogs' END AS facebook, CASE WHEN bool_or(page_id % 4 = 0) THEN 'https://instagram.com/dogs?x' END AS instagram,
+           CASE WHEN bool_or(page_id % 4 = 0) THEN 2 ELSE 0 END AS links, bool_or(page_id % 8 = 0) AS person, MIN(page_id) FILTER (WHERE page_id % 8 = 0) AS first_page
+    FROM h GROUP BY 1
+""")
+def site_profiles(spark, sf):
+    """Profile links of every site, and the page that first shows a person's address."""
+    signals = page_signals.detect(markup(spark, sf), per_page=(None, None))
+    rolled = page_signals.roll_up(signals, "site", "page_id")
+    shown = page_signals.site_addresses(signals, "site", "page_id").filter("person AND email = 'jane.doe@k9.com'").select("site", "first_page")
+    url = lambda n: F.try_element_at("profile_urls", F.lit(n))
+    return rolled.join(shown, "site", "left").select(
+        "site", url("facebook").alias("facebook"), url("instagram").alias("instagram"), F.size("profile_urls").alias("links"),
+        F.col("first_page").isNotNull().alias("person"), "first_page")
 
 
 @query("A32", r"""
@@ -379,24 +398,27 @@ def registration_accepted(spark, sf):
 
 @query("D10 J17 J06 S09 S10", """
     SELECT CASE WHEN id % 4 = 3 THEN TRUE WHEN f THEN FALSE END AS kept, CASE WHEN f OR id % 12 = 4 THEN 1 END AS addresses, CASE WHEN f OR id % 12 = 4 THEN CAST(f AND id % 12 <> 3 AS BIGINT) END AS from_registry,
-           CASE WHEN id % 10 = 7 THEN 'stale' WHEN f THEN 'found' WHEN id % 6 = 1 THEN 'privacy' WHEN id % 6 = 4 THEN 'junk' ELSE 'redacted' END AS probe, COUNT(*) AS businesses
+           CASE WHEN id % 10 = 7 THEN 'stale' WHEN f THEN 'found' WHEN id % 6 = 1 THEN 'privacy' WHEN id % 6 = 4 THEN 'junk' ELSE 'redacted' END AS probe, CASE WHEN f AND id % 4 < 3 THEN 1 END AS contact_email_count, CASE WHEN f AND id % 4 < 3 THEN FALSE END AS contact_email_is_role,
+           CASE WHEN f AND id % 12 <> 3 THEN TRUE END AS linked, COUNT(*) AS businesses
     FROM (SELECT c_custkey AS id, c_custkey % 6 IN (3, 5) AS f FROM customer) GROUP BY ALL
 """)
 def registration_stored(spark, sf):
     """Probes, addresses and entities after a run: known addresses stay, new answers replace old probes."""
     docs = registrations(spark, sf)
     probes = registration.contacts(docs)
-    judged = registration.accept(probes.filter("outcome = 'found'").join(docs.select("domain", "website"), "domain"))
+    link = registration.registrar_link(F.col("document")).alias("source_url")
+    judged = registration.accept(probes.filter("outcome = 'found'").join(docs.select("domain", "website", link), "domain"))
     entities = docs.select("id", "website", F.when(F.col("id") % 4 == 3, "known@site.test").alias("contact_email"))
     k = F.col("id") % 12
     stored = docs.filter(k.isin(3, 4)).select(
         F.col("id").alias("business_id"), F.concat(F.when(k == 3, "erin@").otherwise("old@"), "domain").alias("email"), F.lit("form").alias("source"))
     old = probes.withColumn("outcome", F.lit("stale"))
     after_probes, addresses, after = registration.store(entities, stored, old, judged, probes.filter(~F.col("domain").endswith("7.test")))
-    held = addresses.groupBy(F.col("business_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("source") == "rdap").alias("from_registry"))
+    held = addresses.groupBy(F.col("business_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("source") == "rdap").alias("from_registry"),
+        F.max(F.when(F.col("source_url") == F.concat(F.lit("https://rdap.x.test/site"), F.col("business_id").cast("string"), F.lit(".test")), True)).alias("linked"))
     probed = docs.select("id", "domain").join(after_probes.select("domain", F.col("outcome").alias("probe")), "domain", "left").drop("domain")
     return after.join(held, "id", "left").join(probed, "id", "left").groupBy(
-        (F.col("contact_email") == "known@site.test").alias("kept"), F.col("n").alias("addresses"), "from_registry", "probe",
+        (F.col("contact_email") == "known@site.test").alias("kept"), F.col("n").alias("addresses"), "from_registry", "probe", "contact_email_count", "contact_email_is_role", "linked",
     ).agg(F.count(F.lit(1)).alias("businesses"))
 
 

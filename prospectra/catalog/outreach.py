@@ -229,6 +229,37 @@ def outcome_states(spark, sf):
     return df.select("event_id", out["status"].alias("status"), out["reason"].alias("reason"))
 
 
+@query("D26", f"""
+    WITH {_STATE}, {_OUTCOME}, j AS (SELECT event_id, CASE WHEN import_status = 'imported' THEN 'imported' WHEN research_status = 'error' OR draft_status = 'error' THEN 'failed'
+          WHEN research_status <> 'researched' THEN CASE WHEN rejection_reason = 'llm_unavailable' THEN 'failed' ELSE 'rejected' END
+          WHEN draft_status <> 'drafted' THEN CASE WHEN draft_reason = 'llm_unavailable' THEN 'failed' ELSE 'rejected' END ELSE 'failed' END AS status,
+        CASE WHEN import_status = 'imported' THEN NULL WHEN research_status = 'error' OR draft_status = 'error' THEN error
+          WHEN research_status <> 'researched' THEN coalesce(rejection_reason, research_status)
+          WHEN draft_status <> 'drafted' THEN CASE WHEN draft_reason = 'llm_unavailable' THEN 'draft llm_unavailable' ELSE 'draft ' || draft_status END
+          WHEN import_status IS NOT NULL THEN 'import failed' ELSE 'did not finish' END AS reason FROM o)
+    SELECT business_id, CASE WHEN event_id IS NULL THEN st.status ELSE j.status END AS status, CASE WHEN event_id IS NOT NULL THEN j.reason END AS reason, event_id IS NOT NULL AS finished
+    FROM st LEFT JOIN j ON event_id = business_id
+""")
+def recorded_outcomes(spark, sf):
+    """State rows after a run's outcomes; businesses without a row stay without one."""
+    after = C.record_outcomes(outreach_state(spark, sf), _outcomes(spark, sf), as_time(NOW))
+    return after.select("business_id", "status", "reason", F.col("finished_at").isNotNull().alias("finished"))
+
+
+@query("D19 J13 W15", f"""
+    WITH {_POOL} SELECT business_id AS id, email, k % 2 = 0 AS verified, CASE WHEN k = 1 THEN 'old' END AS verification_error FROM pool WHERE business_id % 3 = 0
+""")
+def chosen_addresses(spark, sf):
+    """Addresses of the chosen businesses with their newest verdict of two."""
+    held = pool(spark, sf).drop("verified", "verification_error").withColumn("business_email_id", F.concat_ws(":", "business_id", "email"))
+    k = F.col("pos") % 5
+    numbered = pool(spark, sf).withColumn("business_email_id", F.concat_ws(":", "business_id", "email"))
+    checks = numbered.select("business_email_id", (k % 2 == 0).alias("verified"), F.when(k == 1, "old").alias("error"), F.lit(2).alias("verified_at")) \
+        .unionByName(numbered.select("business_email_id", F.lit(False).alias("verified"), F.lit("older").alias("error"), F.lit(1).alias("verified_at")))
+    chosen = table(spark, sf, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("id"))
+    return C.address_rows(chosen, held, checks).select("id", "email", "verified", "verification_error")
+
+
 @query("A23", f"""
     WITH {_OUTCOME} SELECT COUNT(*) AS selected, COUNT(*) FILTER (WHERE research_status = 'researched') AS researched, COUNT(*) FILTER (WHERE research_status = 'rejected') AS rejected,
       COUNT(*) FILTER (WHERE draft_status = 'drafted') AS drafted, COUNT(*) FILTER (WHERE import_status = 'imported') AS imported,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from prospectra.functions import emails as E
+from prospectra.operators.match import fan_out
 from prospectra.operators.merge import merge_upsert
 from prospectra.operators.stage import staged
 from prospectra.operators.topk import budget
@@ -102,7 +103,7 @@ def match_results(rows: DataFrame, results: DataFrame) -> DataFrame:
         F.regexp_replace("mx_server", "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]", "").alias("mx_server"),
         F.regexp_replace("error", "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]", "").alias("error"),
     ).dropDuplicates(["_e"])
-    return rows.withColumn("_e", F.lower(F.trim("email"))).join(answers, "_e", "inner").drop("_e")
+    return fan_out(rows.withColumn("_e", F.lower(F.trim("email"))), answers, "_e").drop("_e")
 
 
 def check_summary(rows: DataFrame, results: DataFrame) -> DataFrame:

@@ -130,8 +130,16 @@ def has_contact_input(events: Column) -> Column:
     return F.exists(opened(events), asks)
 
 
-def detect(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Adds what one page shows; a missing token means not observed here, nothing more."""
+def _first(items: Column, most: int | None) -> Column:
+    return items if most is None else F.slice(items, 1, most)
+
+
+def detect(pages: DataFrame, html: str = "html", per_page: tuple[int | None, int | None] = (5, 3)) -> DataFrame:
+    """Adds what one page shows; a missing token means not observed here, nothing more.
+
+    A page shows its first five addresses of persons and three of desks, by rule; ``per_page``
+    takes other numbers, None for all.
+    """
     h, e = F.col(html), F.col("_events")
     found = staged(pages, {"_events": tag_events(h), "_addresses": E.page_addresses(h)})
     people = F.filter("_addresses", E.is_person_shaped)
@@ -143,7 +151,7 @@ def detect(pages: DataFrame, html: str = "html") -> DataFrame:
         F.coalesce(first_token(h, FORM_EMBEDS), F.when(has_contact_input(e), "native form with email/phone input")).alias("lead_form"),
         profile_links(e).alias("profiles"),
         all_tokens(h, [(p, k) for k, p, _ in GROWTH]).alias("growth"),
-        F.slice(people, 1, 5).alias("person_emails"), F.slice(desks, 1, 3).alias("role_emails"),
+        _first(people, per_page[0]).alias("person_emails"), _first(desks, per_page[1]).alias("role_emails"),
     )
 
 
@@ -154,8 +162,9 @@ def _joined(label: str, items: Column) -> Column:
 def roll_up(signals: DataFrame, key: str, page_order: str) -> DataFrame:
     """Signals of all pages of a business with the marketing score and its evidence.
 
-    "First" follows ``page_order``. Only fixed vocabularies are gathered into
-    arrays; addresses, which have no bound, are counted.
+    "First" follows ``page_order``; of several links to a profile the last page's counts. Only
+    fixed vocabularies are gathered into arrays and maps; addresses, which have no bound, are rows
+    of ``site_addresses``.
     """
     order = F.col(page_order)
     martech = [F.max(F.array_contains("martech", t)).alias(f"_m{i}") for i, (_, t) in enumerate(MARTECH)]
@@ -168,6 +177,7 @@ def roll_up(signals: DataFrame, key: str, page_order: str) -> DataFrame:
     agg = signals.groupBy(key).agg(
         *tokens, *martech, *growth, *profiles, F.count(F.lit(1)).alias("pages"),
         F.max(F.size("person_emails") > 0).alias("has_person_email"),
+        F.max(F.col("page_kind") == "about" if "page_kind" in signals.columns else F.lit(None).cast("boolean")).alias("has_about_page"),
     )
 
     def listed(prefix: str, labels: list[str], test) -> Column:
@@ -177,7 +187,8 @@ def roll_up(signals: DataFrame, key: str, page_order: str) -> DataFrame:
 
     agg = agg.withColumn("martech", listed("_m", [t for _, t in MARTECH], lambda c: c)) \
         .withColumn("growth", listed("_g", [t for _, _, t in GROWTH], lambda c: c)) \
-        .withColumn("profiles", listed("_p", [n for n, _, _ in PROFILES], lambda c: c.isNotNull()))
+        .withColumn("profiles", listed("_p", [n for n, _, _ in PROFILES], lambda c: c.isNotNull())) \
+        .withColumn("profile_urls", F.map_filter(F.create_map(*[x for i, (n, _, _) in enumerate(PROFILES) for x in (F.lit(n), F.col(f"_p{i}"))]), lambda _, v: v.isNotNull()))
     score = (
         F.when(F.col("google_ads").isNotNull(), 25).otherwise(0) + F.when(F.col("meta_ads").isNotNull(), 25).otherwise(0)
         + F.when(F.col("booking").isNotNull(), 15).otherwise(0) + F.when(F.col("lead_form").isNotNull(), 10).otherwise(0)
@@ -196,10 +207,18 @@ def roll_up(signals: DataFrame, key: str, page_order: str) -> DataFrame:
         F.col("lead_form").isNotNull().alias("lead_form_present"),
         F.when(F.col("booking").isNotNull(), True).alias("booking_present"),
         F.least(score, F.lit(100)).alias("marketing_score"), none_if_blank(evidence).alias("marketing_evidence"),
-        "martech", "profiles", "growth", "has_person_email",
+        "martech", "profiles", "profile_urls", "growth", "has_person_email", "has_about_page",
     )
 
 
+def site_addresses(signals: DataFrame, key: str, page_order: str) -> DataFrame:
+    """``key, email, person, first_page``: every address that the pages of a business show, a row each, however many."""
+    both = F.concat(F.transform("person_emails", lambda e: F.struct(e.alias("email"), F.lit(True).alias("person"))),
+                    F.transform("role_emails", lambda e: F.struct(e.alias("email"), F.lit(False).alias("person"))))
+    return signals.select(key, F.col(page_order).alias("_page"), F.explode(both).alias("_a")).groupBy(key, "_a.email", "_a.person") \
+        .agg(F.min("_page").alias("first_page"))
+
+
 # Observed values are authoritative, except a booking link another channel may have seen.
 ENTITY_POLICIES = {"booking_present": "coalesce_new", "marketing_evidence": "coalesce_new"}
 
@@ -213,6 +232,7 @@ def coverage(rolled: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("reachable"), share(F.col("marketing_active")).alias("pct_pixel"),
         share(F.col("booking_present").isNotNull()).alias("pct_booking"),
         share(F.col("lead_form_present")).alias("pct_form"), share(F.col("has_person_email")).alias("pct_person_email"),
+        share(F.col("has_about_page")).alias("pct_about"),
     )
 
 

@@ -9,8 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.functions import emails as E
-from prospectra.operators.skew import salted_join
+from prospectra.operators.skew import pack_rows, salted_join
+from prospectra.operators.stage import staged
+from prospectra.session import new_path
+from prospectra.sources.tables import written
 
+#: Addresses of a business that travel to a page in one array; a larger pool has several arrays.
+MAX_POOL = 1000
 CONTACTS = "array<struct<name:string,title:string,email:string,is_decision_maker:boolean,evidence:string>>"
 
 
@@ -27,28 +32,30 @@ def live_pool(pool: DataFrame, pages: DataFrame) -> DataFrame:
     dropped, unless the mailbox accepted it or its first local-part word is a
     person's name standing on the pages.
     """
-    text = F.coalesce("text", F.lit(""))
-    stated = pages.select("business_id", F.explode(E.stated_addresses(text)).alias("_e")).distinct() \
-        .withColumn("_shown", F.lit(True))
-    rows = pool.withColumn("_e", F.lower("email")).join(stated, ["business_id", "_e"], "left") \
-        .withColumn("on_page", F.coalesce("_shown", F.lit(False))).drop("_shown", "_e")
-    totals = rows.groupBy("business_id").agg(
-        F.count_if("on_page").alias("_on"), F.count(F.lit(1)).alias("_all")
-    )
-    counts = totals.select("business_id", F.col("_all").alias("count"))
-    rows = salted_join(rows, totals, ["business_id"], "inner", counts=counts)
-    partly = (F.col("_on") > 0) & (F.col("_on") < F.col("_all"))
+    address = F.lower("email")
     first = F.split(E.local_part("email"), "[._+-]", 2)[0]
     personal = F.coalesce(~F.col("is_role"), F.lit(False)) & first.rlike(r"^\p{L}{3,}$")
-    rows = rows.withColumn("_word", F.when(partly & ~F.col("on_page") & personal, F.lower(first)))
-    wanted = rows.filter(F.col("_word").isNotNull()).select("business_id", "_word").distinct()
-    spoken = pages.join(wanted.select("business_id").distinct(), "business_id", "left_semi").select(
-        "business_id", F.explode(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"))).alias("_word")
-    ).join(wanted, ["business_id", "_word"], "left_semi").distinct().withColumn("_named", F.lit(True))
-    rows = rows.join(spoken, ["business_id", "_word"], "left")
+    asked = pool.select("business_id", address.alias("_e"), F.when(personal, F.lower(first)).alias("_word"))
+    packed = pack_rows(asked.distinct(), ["business_id"], ["_e"], ["_word"], "_pool", MAX_POOL).drop("chunk")
+    text = F.coalesce("text", F.lit(""))
+    told = salted_join(pages.select("business_id", "text").filter(text != ""), packed, ["business_id"], "inner")
+    # Every page is read once: which of its business's addresses it states, and which of their names it says.
+    read = staged(told, {"_stated": E.stated_addresses(text), "_words": F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"))}, ("text",))
+    facts = read.select("business_id", F.explode(F.transform("_pool", lambda x: F.struct(
+        x["_e"].alias("_e"), F.array_contains("_stated", x["_e"]).alias("on"), F.coalesce(F.array_contains("_words", x["_word"]), F.lit(False)).alias("named"),
+    ))).alias("_f")).select("business_id", "_f.*").filter("on OR named")
+    found = written(facts.groupBy("business_id", "_e").agg(F.max("on").alias("_on"), F.max("named").alias("_named")), new_path(pool.sparkSession, "page-facts"))
+
+    shown = found.filter("_on").groupBy("business_id").agg(F.count(F.lit(1)).alias("_shown"))
+    sizes = pool.groupBy("business_id").agg(F.count(F.lit(1)).alias("count"), F.count_if(address.isNull()).alias("_none"), F.count_distinct(address).alias("_all"))
+    # Some shown and some not: told by distinct addresses, so rows need no second join.
+    partly = sizes.join(shown, "business_id", "left").select("business_id", "count", (F.coalesce("_shown", F.lit(0)).between(1, F.col("_all") + F.col("_none").cast("boolean").cast("int") - 1)).alias("_partly"))
+    partly = written(partly, new_path(pool.sparkSession, "pool-sizes"))
+    rows = salted_join(pool, partly.drop("count"), ["business_id"], "inner", counts=partly.drop("_partly"))
+    rows = rows.withColumn("_e", address).join(found, ["business_id", "_e"], "left").withColumn("on_page", F.coalesce("_on", F.lit(False)))
     valid = E.deliverability(F.col("verified"), F.col("verification_error")) == "valid"
-    kept = ~partly | F.col("on_page") | valid | F.coalesce("_named", F.lit(False))
-    return rows.withColumn("kept", kept).drop("_on", "_all", "_word", "_named")
+    kept = ~F.col("_partly") | F.col("on_page") | valid | F.coalesce("_named", F.lit(False))
+    return rows.withColumn("kept", kept).select(*pool.columns, "on_page", "kept")
 
 
 def person_for(email: Column, contacts: Column) -> Column:

@@ -169,17 +169,25 @@ def store(
     businesses: DataFrame, stored_addresses: DataFrame, stored_probes: DataFrame,
     judged: DataFrame, probes: DataFrame,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Probes, addresses and entities after a run; an address already known is never replaced."""
+    """Probes, addresses and entities after a run; an address already known is never replaced.
+
+    An entity without an address gets the registry's, how many there are and whether it is a desk's;
+    one that has an address keeps all three. Addresses carry ``source_url`` if ``judged`` has it.
+    """
+    link = F.col("source_url") if "source_url" in judged.columns else F.lit(None).cast("string").alias("source_url")
     holders = businesses.select(F.col("id").alias("business_id"), registrable("website").alias("domain"))
     accepted = judged.filter(F.col("reason").isNull())
     fanned = fan_out(holders.filter(F.col("domain").isNotNull()), accepted.select(
-        "domain", "email", "local_part", "email_domain", "is_role", "is_free_mail", "matches_site_domain", "confidence",
+        "domain", "email", "local_part", "email_domain", "is_role", "is_free_mail", "matches_site_domain", "confidence", link,
     ), "domain")
     addresses = insert_absent(stored_addresses, fanned.select(
         "business_id", "email", "local_part", F.col("email_domain").alias("domain"),
-        F.lit("rdap").alias("source"), "is_role", "is_free_mail", "matches_site_domain", "confidence",
+        F.lit("rdap").alias("source"), "source_url", "is_role", "is_free_mail", "matches_site_domain", "confidence",
     ), ["business_id", "email"])
-    best = fanned.groupBy(F.col("business_id").alias("id")).agg(F.min("email").alias("contact_email"))
-    entities = merge_upsert(businesses, best, ["id"], {"contact_email": "keep_old"}, "keep_old")
+    best = fanned.groupBy(F.col("business_id").alias("id")).agg(
+        F.min("email").alias("contact_email"), F.count_distinct("email").cast("int").alias("contact_email_count"),
+        F.min_by("is_role", "email").alias("contact_email_is_role"))
+    without = businesses.filter(F.col("contact_email").isNull()).select("id")
+    entities = merge_upsert(businesses, best.join(without, "id", "left_semi"), ["id"], default="overwrite")
     return merge_upsert(stored_probes, probes, ["domain"]), addresses, \
         entities.join(businesses.select("id"), "id", "left_semi")

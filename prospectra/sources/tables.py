@@ -1,4 +1,4 @@
-"""Tables on shared storage: versions as folders, logs by date, records by stage, reports."""
+"""Tables on shared storage: written tables, logs by date, records by stage, reports."""
 
 from __future__ import annotations
 
@@ -6,21 +6,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
-def write_version(df: DataFrame, root: str, version: int) -> str:
-    """Writes one version of a table; earlier versions stay as the rollback source.
-
-    There is one writer at a time: Parquet has no conflict check.
-    """
-    path = f"{root}/version={version}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
-
-
-def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
-    """One version of a table, additive columns merged."""
-    return spark.read.option("mergeSchema", True).parquet(f"{root}/version={version}")
-
-
 def written(df: DataFrame, path: str) -> DataFrame:
     """The DataFrame written out and read back: lineage ends here and survives lost executors."""
     df.write.mode("errorifexists").parquet(path)
