@@ -23,6 +23,7 @@ from prospectra.llm.common import fields, text_slices
 
 #: Documents and characters of training text per language; documents come in the order of a hash of their id.
 TRAIN_DOCS, TRAIN_CHARS, DOC_CHARS = 400, 40_000, 400
+SAMPLE_BUCKETS = 64
 #: Characters of a piece of text in a lane.
 PIECE = 512
 UNKNOWN = "und"
@@ -132,13 +133,21 @@ def training_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", l
                      train_docs: int = TRAIN_DOCS, train_chars: int = TRAIN_CHARS, doc_chars: int = DOC_CHARS) -> dict[str, str]:
     """Text per language: pieces of up to ``doc_chars`` of the first ``train_docs`` documents by hash of their id.
 
-    The rows collected are bounded by languages times ``train_docs`` times ``doc_chars``.
+    The rows collected are bounded by languages times ``train_docs`` times ``doc_chars``. A language
+    is first cut down in ``SAMPLE_BUCKETS`` by the hash, so the task that ranks it gets a bounded
+    number of rows, however large it is. The bound on a document keeps one long text from being
+    the whole sample.
     """
     code = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("_lang"), code.alias("_code"), F.substring(F.col(text), 1, doc_chars).alias("_text"))
-    first = Window.partitionBy("_lang").orderBy("_code", "_text")
-    picked = rows.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= train_docs).drop("_n").collect()
+    # A row of the first ``train_docs`` is among the first of its bucket.
+    bucket = F.pmod(F.xxhash64("_code"), F.lit(SAMPLE_BUCKETS))
+    picked = rows.withColumn("_bucket", bucket)
+    for keys in (["_lang", "_bucket"], ["_lang"]):
+        first = Window.partitionBy(*keys).orderBy("_code", "_text")
+        picked = picked.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= train_docs).drop("_n")
+    picked = picked.drop("_bucket").collect()
     out: dict[str, str] = {}
     for row in sorted(picked):
         held = out.get(row["_lang"], "")

@@ -1,0 +1,89 @@
+"""The rows of the corpus stages against a plain Python version of every stage."""
+
+import itertools
+import os
+import re
+
+import pytest
+
+from prospectra.llm import mixing, secret_scan
+from test_llm_operators import LOWER, quality_brute, shingles_of
+
+SF = "/root/testdata/sf0.001"
+ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+
+
+def one_of_each_class(docs):
+    sets = [shingles_of(d["text"]) if (d["text"] or "").split() else set() for d in docs]
+    group = list(range(len(docs)))
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(docs)), 2):
+        both = len(sets[i] & sets[j])
+        if both and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+            a, b = sorted((top(i), top(j)), key=lambda k: docs[k]["doc_id"])
+            group[b] = a
+    return [d for i, d in enumerate(docs) if top(i) == i]
+
+
+def without_items(docs, items):
+    windows = set()
+    for item in items:
+        words = ITEM_WORD.findall((item["text"] or "").translate(LOWER))
+        n = min(10, len(words))
+        windows |= {tuple(words[k:k + n]) for k in range(len(words) - n + 1)} if n else set()
+    lengths = {len(w) for w in windows}
+
+    def hit(text):
+        words = ITEM_WORD.findall((text or "").translate(LOWER))
+        return any(tuple(words[k:k + n]) in windows for n in lengths for k in range(len(words) - n + 1))
+
+    return [d for d in docs if not hit(d["text"])]
+
+
+def marked(doc):
+    """Every rule over the whole text, without an index; overlapping spans joined."""
+    text = doc["text"]
+    spans = sorted((m.start(), m.end()) for _, p, g, least in secret_scan.RULES for m in re.finditer(p, text or "") if m.end(g) - m.start(g) >= least)
+    out, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            out += [text[at:start], "[SECRET]"]
+        at = max(at, end)
+    whole = "".join([*out, text[at:]]) if out else text
+    return doc | {"text": whole, "n_chars": len(whole) if out else doc["n_chars"]}
+
+
+def test_every_stage_and_the_rows_of_the_run(spark):
+    import corpus_pipeline
+
+    duckdb = pytest.importorskip("duckdb")
+    docs = [r.asDict() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    items = [r.asDict() for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    plain = {
+        "quality_rules": lambda rows: [d for d in rows if quality_brute(d["text"])["kept"]], "minhash_near_dedup": one_of_each_class,
+        "benchmark_decontamination": lambda rows: without_items(rows, items), "secret_scans": lambda rows: [marked(d) for d in rows],
+    }
+    order = lambda rows: sorted((tuple(d.items()) for d in rows), key=str)
+    now = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = len(docs)
+        docs = plain[name](docs)
+        now = stage(spark, now, SF)
+        rows = [r.asDict() for r in now.collect()]
+        assert order(rows) == order(docs) and now.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert len(docs) < before or name == "secret_scans"
+        now = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", [tuple(d.values()) for d in docs])
+    answer = con.execute(mixing.ORACLE_SQL)
+    columns = [d[0] for d in answer.description]
+    want = sorted(answer.fetchall())
+    for rows in (corpus_pipeline.STAGES[-1][1](spark, now, SF), corpus_pipeline.run(spark, SF)):
+        assert sorted(map(tuple, rows.select(columns).collect())) == want

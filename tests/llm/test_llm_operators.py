@@ -184,6 +184,33 @@ def test_cross_parsing_counts_phrases():
     assert parser.phrases(["abcabc", "zzz", "q"]).tolist() == [[2, 6], [3, 2], [1, 1]]
 
 
+def test_parses_equal_the_longest_matches_by_search():
+    pick = random.Random(21)
+    word = lambda letters: "".join(pick.choice(letters) for _ in range(pick.randint(1, 6)))
+    samples = {"x": " ".join(word("abcé") for _ in range(60)), "y": " ".join(word("bcdß") for _ in range(60)), "z": "d"}
+    parser = language.Parser(samples)
+    texts = [" ".join(word("abcdéßq") for _ in range(n)) for n in (0, 1, 3, 40, 400)] + ["", "q" * 1100, "ab" * 700]
+
+    def phrases(text, sample):
+        text, sample, count = parser.clean(text), parser.clean(sample), 0
+        for begin in range(0, len(text), language.PIECE):
+            piece = text[begin:begin + language.PIECE]
+            while piece:
+                n = next((k for k in range(len(piece), 0, -1) if piece[:k] in sample), 1)
+                piece, count = piece[n:], count + 1
+        return count
+
+    assert parser.phrases(texts).tolist() == [[phrases(t, samples[k]) for k in sorted(samples)] for t in texts]
+
+
+def test_the_sample_is_the_first_rows_by_hash(spark):
+    rows = [(i % 700 if i % 9 else None, f"text {i}", "en" if i % 3 else "de") for i in range(3000)] + [(1, None, "en"), (2, "no", None)]
+    got = language.training_samples(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7), train_docs=30, train_chars=150)
+    for k in ("en", "de"):
+        own = sorted((hashlib.md5(("" if i is None else str(i)).encode()).hexdigest(), t) for i, t, g in rows if g == k and t)[:30]
+        assert got[k] == "".join("\n" + t for _, t in own)[:150]
+
+
 def test_repeats_are_removed(spark):
     texts = corpus(7, 60)
     texts += ["q" * 450, texts[3], texts[3] or "", "head " + texts[0] * 3 + " tail", ("é" * 99 + "x") * 5]
