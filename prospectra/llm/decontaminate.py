@@ -322,14 +322,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: i
     @F.arrow_udf(FOUND)
     def searched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            shards = [[words_of(t) for t in part] for part in text_slices(texts, SHARD_BYTES)] if len(files) == 1 else None
             found: list[list[dict]] = [[] for _ in range(len(texts))]
             sizes = np.zeros(len(texts), np.int64)
+            # The words of one shard are held at a time; with several parts they are cut anew for each.
             for file in files or [None]:
-                known = part_of(file) if file else None
-                at = 0
-                # With several parts the words are cut anew for each, so that a batch is never held as words.
-                for shard in shards or ([words_of(t) for t in part] for part in text_slices(texts, SHARD_BYTES)):
+                known, at = part_of(file) if file else None, 0
+                for part in text_slices(texts, SHARD_BYTES):
+                    shard = [words_of(t) for t in part]
                     sizes[at:at + len(shard)] = [len(w) for w in shard]
                     for k, hit in (known.search(shard) if known else {}).items():
                         found[at + k].append(hit)
