@@ -1 +1 @@
-"""Operators of a training-data pipeline over documents, pages and a benchmark."""
+"""Operators for training data: documents, pages, conversations and a benchmark."""
