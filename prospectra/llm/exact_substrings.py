@@ -8,8 +8,8 @@ prefixes of ``length - V + 1`` bytes are then equal.
 1. Sampled prefixes are named (a rolling hash built by doubling names: 1, 2, 4, ... bytes)
    and names are compared across all texts, in buckets.
 2. The remaining suffixes merge in only where a sampled one after them, less than V bytes
-   on, shares its prefix with another: their ``length``-byte prefixes are named, by 128 bits of
-   two hashes, and compared in the same way. Equal names mark the bytes to remove.
+   on, shares its prefix with another: their ``length``-byte prefixes are named by two hashes
+   and compared in the same way. Equal names mark the bytes to remove.
 
 Texts lie in groups of about ``SOURCE_BYTES``; a group sends each distinct name once per
 bucket, sorted and packed, and gets back one bit per name. Equal texts meet in one group and
@@ -39,8 +39,8 @@ COVER_MODULO = 73
 COVER = sorted({pow(2, i, COVER_MODULO) for i in range(9)})
 SOURCE_BYTES = 4 << 20
 #: Bytes of a name sent beside its bucket. A false match of samples costs work only. One of windows would cost
-#: bytes, so their names are of two independent hashes.
-SAMPLE_WIDTH, WINDOW_WIDTH = 4, 16
+#: bytes, so a second, independent hash picks their bucket: 56 bits, and those of the number of buckets.
+SAMPLE_WIDTH, WINDOW_WIDTH = 4, 7
 #: Byte tables and bases of the two hashes.
 _HASHES = tuple(
     (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(step)), base)
@@ -85,25 +85,22 @@ class Packets:
     """Distinct names of a group by bucket, as sent, and the way back to their places."""
 
     def __init__(self, names: np.ndarray, weight: np.ndarray, buckets: int, width: int, more: np.ndarray | None = None):
-        """``more`` are the names' second hashes, sent whole; without them a name is ``width`` bytes of its first."""
-        value = names if more is not None else names & np.uint64((1 << 8 * width) - 1)
-        more = np.zeros(len(names), np.uint64) if more is None else more
-        bucket = (mix(names ^ np.uint64(0xA5A5A5A5)) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((more, value, bucket))
-        value, more, bucket = value[order], more[order], bucket[order]
-        new = (value[1:] != value[:-1]) | (more[1:] != more[:-1]) | (bucket[1:] != bucket[:-1])
-        first = np.r_[True, new] if len(value) else np.zeros(0, bool)
+        """``more`` are independent hashes of the same strings, to pick the buckets."""
+        value = names & np.uint64((1 << 8 * width) - 1)
+        bucket = (mix((names if more is None else more) ^ np.uint64(0xA5A5A5A5)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((value, bucket))
+        value, bucket = value[order], bucket[order]
+        first = np.r_[True, (value[1:] != value[:-1]) | (bucket[1:] != bucket[:-1])] if len(value) else np.zeros(0, bool)
         self.which = np.empty(len(names), np.int64)
         self.which[order] = np.cumsum(first) - 1
-        self.value, self.more, self.bucket, self.width = value[first], more[first], bucket[first], width
+        self.value, self.bucket, self.width = value[first], bucket[first], width
         self.own = np.bincount(self.which, weight, len(self.value)) if len(self.value) else np.zeros(0)
         self.ends = np.flatnonzero(np.r_[self.bucket[1:] != self.bucket[:-1], True]) + 1 if len(self.value) else np.zeros(0, int)
 
     def rows(self):
         begin = 0
         for end in self.ends.tolist():
-            both = np.stack([self.value[begin:end], self.more[begin:end]], 1)
-            packed = both.view(np.uint8).reshape(-1, 16)[:, :self.width]
+            packed = self.value[begin:end, None].view(np.uint8).reshape(-1, 8)[:, :self.width]
             yield int(self.bucket[begin]), np.ascontiguousarray(packed).tobytes()
             begin = end
 
@@ -197,12 +194,11 @@ def _compared(sent: DataFrame, width: int, round_: int) -> DataFrame:
     """One bit per name that came from several groups; buckets are independent of each other."""
     def compare(rows: pa.Table) -> pa.Table:
         parts = [np.frombuffer(n.as_buffer(), np.uint8).reshape(-1, width) for n in rows.column("names")]
-        wide = np.zeros((sum(map(len, parts)), 16), np.uint8)
+        wide = np.zeros((sum(map(len, parts)), 8), np.uint8)
         wide[:, :width] = np.concatenate(parts)
-        value, more = wide.view(np.uint64).T
-        order = np.lexsort((more, value)) if width > 8 else np.argsort(value, kind="stable")
-        value, more = value[order], more[order]
-        same = (value[1:] == value[:-1]) & (more[1:] == more[:-1])
+        value = wide.view(np.uint64).ravel()
+        order = np.argsort(value, kind="stable")
+        same = value[order][1:] == value[order][:-1]
         again = np.zeros(len(value), bool)
         again[order[1:]] |= same
         again[order[:-1]] |= same
