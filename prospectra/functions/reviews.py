@@ -9,6 +9,8 @@ from pyspark.sql import Column, functions as F
 from prospectra.functions.identity import let
 
 DAY_SECONDS = 86400.0
+# Fixed value: the last second that a stored answer's date is believed, that of 2100.
+LATEST_EPOCH = 4102444800
 
 # Points by age of the newest review in days, and by reviews per month.
 RECENCY_STEPS = ((30, 50), (90, 40), (180, 28), (365, 15), (730, 5))
@@ -85,11 +87,11 @@ def review_window(published: Column, now: Column) -> Column:
     ))
 
 
-def epoch_seconds(text: Column) -> Column:
-    """Epoch seconds as text -> timestamp; NULL outside 2000..2100."""
+def epoch_seconds(text: Column, latest: int = LATEST_EPOCH) -> Column:
+    """Epoch seconds as text -> timestamp; NULL before 2000 and after ``latest``, which is 2100 unless told otherwise."""
     seconds = text.try_cast("double")
     return F.when(
-        seconds.between(946684800, 4102444800), F.timestamp_seconds(seconds.cast("long"))
+        seconds.between(946684800, latest), F.timestamp_seconds(seconds.cast("long"))
     )
 
 

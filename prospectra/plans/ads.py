@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from prospectra.functions.identity import host
-from prospectra.functions.reviews import epoch_seconds, is_stale, within_days
+from prospectra.functions.reviews import LATEST_EPOCH, epoch_seconds, is_stale, within_days
 from prospectra.operators.match import fan_out
 from prospectra.operators.merge import merge_upsert
 from prospectra.operators.stage import staged
@@ -26,8 +26,11 @@ def _first(values: Column) -> Column:
     return F.get(F.filter(values, lambda v: v.isNotNull()), F.lit(0))
 
 
-def decode(responses: DataFrame, body: str = "body") -> DataFrame:
-    """Creatives, advertiser, date range and formats of each response; ``{}`` means no ads."""
+def decode(responses: DataFrame, body: str = "body", latest: int = LATEST_EPOCH) -> DataFrame:
+    """Creatives, advertiser, date range and formats of each response; ``{}`` means no ads.
+
+    A date after ``latest`` (epoch seconds) counts as absent.
+    """
     df = responses.withColumn("_r", F.from_json(F.col(body), RESPONSE))
     ads = F.filter(F.coalesce(F.col("_r")["1"], F.array().cast(
         "array<struct<`1`:string,`2`:string,`3`:struct<`3`:struct<`2`:string>,`1`:struct<`4`:string>>,"
@@ -41,7 +44,7 @@ def decode(responses: DataFrame, body: str = "body") -> DataFrame:
         high = F.regexp_extract(markup, r'(?i)height\s*=\s*"(\d+)"', 1)
         return F.struct(
             a["2"].alias("creative_id"), a["4"].alias("format"),
-            epoch_seconds(a["6"]["1"]).alias("first_shown"), epoch_seconds(a["7"]["1"]).alias("last_shown"),
+            epoch_seconds(a["6"]["1"], latest).alias("first_shown"), epoch_seconds(a["7"]["1"], latest).alias("last_shown"),
             F.when(markup != "", markup).alias("markup"), F.when(src != "", src).alias("image_url"),
             F.when((wide != "") & (high != ""), F.concat_ws("x", wide, high)).alias("dimensions"),
             F.when(a["3"]["1"]["4"] != "", a["3"]["1"]["4"]).alias("preview_url"),

@@ -301,3 +301,16 @@ def test_events_stream(spark, tmp_path):
 def test_warmup_tag_is_a_whole_token(spark):
     df = spark.createDataFrame([("Coffee? | warmup 33153D9",), ("x33153D9",), (None,)], "s string")
     assert [r[0] for r in df.select(ev.is_warmup(F.col("s"), F.lit(None).cast("string"))).collect()] == [True, False, False]
+
+
+def test_ad_dates_up_to_the_latest_told(spark):
+    df = spark.createDataFrame([(json.dumps({"1": [{"6": {"1": "4102445000"}, "7": {"1": "99999999999999"}}]}),)], "body string")
+    shown = lambda **told: ads.decode(df, **told).select(F.unix_seconds("first_shown"), F.unix_seconds("last_shown")).first()
+    assert tuple(shown()) == (None, None) and tuple(shown(latest=9_000_000_000_000)) == (4102445000, None)
+
+
+def test_ad_responses_of_large_order_numbers(spark, tmp_path):
+    from prospectra.catalog.evidence import ad_responses
+    spark.createDataFrame([(9_000_001, 7), (9_000_050, 7)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    row = ad_responses(spark, str(tmp_path)).first()
+    assert (row["creative_count"], row["first_shown"], row["last_shown"]) == (2, 1600000000 + 9_000_001_000, 1700000000 + 9_000_001_000)
