@@ -314,3 +314,9 @@ def test_ad_responses_of_large_order_numbers(spark, tmp_path):
     spark.createDataFrame([(9_000_001, 7), (9_000_050, 7)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
     row = ad_responses(spark, str(tmp_path)).first()
     assert (row["creative_count"], row["first_shown"], row["last_shown"]) == (2, 1600000000 + 9_000_001_000, 1700000000 + 9_000_001_000)
+
+
+def test_person_candidates_of_short_pages(spark):
+    got = people.candidates(page(spark, "Li; Erin Kline, Owner of the place. "))
+    assert [(r["name"], r["title"], r["pattern"]) for r in got.collect()] == [("Erin Kline", "Owner", "name_comma_title")]
+    assert people.candidates(page(spark, "Li; Erin Kline, Owner of the place. "), shortest=40).count() == 0
