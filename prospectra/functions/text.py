@@ -87,7 +87,7 @@ def mailto_addresses(html: Column | str) -> Column:
 
 def html_to_text(html: Column | str) -> Column:
     """Visible text of a page; up to ten mailto addresses go in front."""
-    return events_to_text(tag_events(strip_controls(html)), mailto_addresses(html))
+    return events_to_text(tag_events(strip_controls(html), keys=()), mailto_addresses(html))
 
 
 def events_to_text(events: Column, linked: Column) -> Column:

@@ -74,7 +74,7 @@ def forms_of(pages: DataFrame, html: str = "html") -> DataFrame:
     A form that is never closed reaches to the end of the page.
     """
     rest = [c for c in pages.columns if c != html]
-    read = staged(pages, {"_events": tag_events(html)})
+    read = staged(pages, {"_events": tag_events(html, ("open", "close"), ("form", "label", *CONTROLS))})
     heads = F.filter("_events", lambda e: (e["kind"] == "open") & (e["name"] == "form") & (e["form"] >= 0))
     tops = F.filter(heads, lambda e: e["start"] == F.array_min(F.transform(F.filter(heads, lambda x: x["form"] == e["form"]), lambda x: x["start"])))
     one = read.select(*rest, html, "_events", F.explode(tops).alias("_f"))

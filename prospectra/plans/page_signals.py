@@ -88,6 +88,9 @@ SUBPAGE_KINDS = (
 )
 FORM_TYPES = ("email", "tel")
 FORM_NAME = r"(?i)email|phone|tel"
+# Attributes that hold links, and all that the signals of a page are read from.
+LINK_KEYS = ("href", "src", "content")
+SIGNAL_KEYS = (*LINK_KEYS, "type", "name")
 # Hosts that are a profile, not a site to visit.
 SOCIAL_SITE = r"(?i)(?:facebook\.com|instagram\.com|nextdoor\.com|linktr\.ee)"
 
@@ -109,7 +112,7 @@ def all_tokens(html: Column, rules) -> Column:
 
 def profile_links(events: Column, longest: int | None = None) -> Column:
     """Profile name -> first link to it, looked for in attribute values only; ``longest`` cuts the links."""
-    urls = values_of(events, "href", "src", "content")
+    urls = values_of(events, *LINK_KEYS)
 
     def hit(must: str, never: str | None) -> Column:
         def test(u: Column) -> Column:
@@ -141,7 +144,7 @@ def detect(pages: DataFrame, html: str = "html", per_page: tuple[int | None, int
     takes other numbers, None for all.
     """
     h, e = F.col(html), F.col("_events")
-    found = staged(pages, {"_events": tag_events(h), "_addresses": E.page_addresses(h)})
+    found = staged(pages, {"_events": tag_events(h, ("open",), keys=SIGNAL_KEYS), "_addresses": E.page_addresses(h)})
     people = F.filter("_addresses", E.is_person_shaped)
     desks = F.filter("_addresses", lambda e: ~E.is_person_shaped(e))
     return found.select(
@@ -245,7 +248,7 @@ def social_breadth(rolled: DataFrame, reviews: DataFrame, key: str) -> DataFrame
 
 def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Every link of a page made absolute, in page order."""
-    hrefs = values_of(tag_events(html), "href")
+    hrefs = values_of(tag_events(html, ("open",), keys=("href",)), "href")
     rest = [c for c in pages.columns if c != html]
     resolved = F.transform(hrefs, lambda h: F.struct(h.alias("href"), resolve_url(h, url).alias("target")))
     return pages.select(*rest, F.posexplode(resolved).alias("pos", "_l")) \

@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +67,22 @@ def test_links_and_text_read_quoted_values(spark):
     assert [r.target for r in page_signals.links(df).orderBy("pos").collect()] == ["https://x.test/a", "https://x.test/b"]
     assert df.select(html_to_text("html").alias("t")).first().t == "A B C D & E"
     assert df.select(F.size(markup.opened(markup.tag_events("html"), "a")).alias("n")).first().n == 3
+
+
+def test_events_of_many_pages_are_packed_by_thousands_and_cut(monkeypatch):
+    most = []
+
+    def watched(flat, packed, pack=markup._pack):
+        most.append(len(flat))
+        pack(flat, packed)
+
+    monkeypatch.setattr(markup, "AT_ONCE", 10)
+    monkeypatch.setattr(markup, "_pack", watched)
+    pages = pa.array(["<a href='/a' id=x>t</a>"] * 40 + [None, ""])
+    found = markup.events_of(pages)
+    assert max(most) <= 12 and len(found) == 42 and found[40].as_py() == [] == found[41].as_py()
+    assert [e["kind"] for e in found[39].as_py()] == ["open", "text", "close"] and found[39].as_py()[0]["start"] == 0
+    assert found[0].as_py()[0]["values"] == [("href", "/a"), ("id", "x")]
+    only = markup.events_of(pages, ("open",), ("a",), ("href",))
+    assert [(e["name"], e["values"]) for e in only[7].as_py()] == [("a", [("href", "/a")])]
+    assert markup.events_of(pages, names=("form",))[0].as_py() == []
