@@ -9,17 +9,17 @@ taken, are left out; rows behind the watermark Spark drops itself (see ``windows
 for a table of those).
 
 A key's state holds its waiting rows, those of one watermark delay, and the machine's few
-figures. A micro-batch brings all rows of a key to one task, as state requires; the source's
-files per trigger bound that.
+figures. A micro-batch brings all rows of a key, or of a shard of it, to one task, as state
+requires; the source's files per trigger bound that.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from prospectra.plans.candidates import STALE_CLAIM_HOURS
@@ -58,57 +58,70 @@ class Machine:
 
 
 class InOrder(StatefulProcessor):
-    """Runs a machine over the rows of each key in order of (time, id)."""
+    """Runs a machine over the rows of each key in order of (time, id).
 
-    def __init__(self, machine: Machine, key: str, at: str):
-        self.machine, self.beside = machine, [key, at]
-        self.names = [key, *names_of(f"{OUT}, {machine.gives}")]
+    A call to the state store costs more than a row's work, so new rows of which none has passed
+    are only appended, and a timer is touched only if it moves.
+    """
+
+    def __init__(self, machine: Machine, keys: list[str]):
+        self.machine = machine
+        self.takes = ["us", "id", *names_of(machine.takes)]
+        self.out = Row(*keys, *names_of(f"{OUT}, {machine.gives}"))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", f"us long, id long, {self.machine.takes}")
-        self.kept = handle.getValueState("kept", f"us long, id long, {self.machine.keeps}")
+        self.kept = handle.getValueState("kept", f"us long, id long, first long, timer long, {self.machine.keeps}")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = [tuple(None if pd.isna(v) else v for v in r) for df in rows for r in df.drop(columns=self.beside).itertuples(index=False, name=None)]
-        self.waiting.appendList([(int(r[0]), int(r[1]), *r[2:]) for r in new])
-        yield from self._advance(key, timerValues)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        yield from self._advance(key, timerValues, [tuple(r[c] for c in self.takes) for r in rows], False)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._advance(key, timerValues)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._advance(key, timerValues, [], True)
 
-    def _advance(self, key, timers) -> Iterator[pd.DataFrame]:
+    def _advance(self, key, timers, new: list[tuple], fired: bool) -> Iterator[Row]:
         passed = max(0, timers.getCurrentWatermarkInMs()) * 1000
-        machine = self.machine
+        machine, out = self.machine, []
         last = self.kept.get()
-        place, kept = (tuple(last[:2]), tuple(last[2:])) if last else ((-1, -1), machine.start())
-        rows = sorted({tuple(r[:2]): tuple(r[2:]) for r in self.waiting.get()}.items())
-        rest, out = [], []
-
-        def expired(limit: int) -> None:
-            nonlocal kept
-            while (due := machine.deadline(kept)) is not None and due < limit:
-                kept, made = machine.expire(kept, due)
-                out.extend((due, None, *m) for m in made)
-
-        for where, row in rows:
-            if where[0] > passed:
-                rest.append((*where, *row))
-            elif where > place:
-                expired(where[0])
-                kept, made = machine.step(kept, where[0], row)
-                out.extend((*where, *m) for m in made)
-                place = where
-        expired(passed)
-        self.waiting.put(rest) if rest else self.waiting.clear()
-        self.kept.update((*place, *kept))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        due = [x for x in (rest[0][0] if rest else None, machine.deadline(kept)) if x is not None]
-        if due:
-            self.handle.registerTimer(max(min(due) // 1000 + 1, passed // 1000 + 1))
-        if out:
-            yield pd.DataFrame([(*key, *o) for o in (out[-1:] if machine.only_last else out)], columns=self.names)
+        place, first, timer, kept = (tuple(last[:2]), last[2], last[3], tuple(last[4:])) if last else ((-1, -1), None, None, machine.start())
+        timer = None if fired else timer
+        due = machine.deadline(kept)
+        first = min((x for x in (first, *(r[0] for r in new)) if x is not None), default=None)
+        if (first is None or first > passed) and (due is None or due >= passed):
+            if new:
+                self.waiting.appendList(new)
+        else:
+            def expired(limit: int) -> None:
+                nonlocal kept
+                while (due := machine.deadline(kept)) is not None and due < limit:
+                    kept, made = machine.expire(kept, due)
+                    out.extend((due, None, *m) for m in made)
+
+            rest = []
+            for where, row in sorted({tuple(r[:2]): tuple(r[2:]) for r in chain(self.waiting.get(), new)}.items()):
+                if where[0] > passed:
+                    rest.append((*where, *row))
+                elif where > place:
+                    expired(where[0])
+                    kept, made = machine.step(kept, where[0], row)
+                    if machine.only_last:
+                        out.clear()
+                    out.extend((*where, *m) for m in made)
+                    place = where
+            expired(passed)
+            self.waiting.put(rest) if rest else self.waiting.clear()
+            first, due = rest[0][0] if rest else None, machine.deadline(kept)
+        wanted = [x for x in (first, due) if x is not None]
+        at = max(min(wanted) // 1000 + 1, passed // 1000 + 1) if wanted else None
+        if at != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if at is not None:
+                self.handle.registerTimer(at)
+        self.kept.update((*place, first, at, *kept))
+        for o in out[-1:] if machine.only_last else out:
+            yield self.out(*key, *o)
 
     def close(self) -> None:
         pass
@@ -119,15 +132,20 @@ def names_of(ddl: str) -> list[str]:
     return [c.split()[0] for c in ddl.split(", ")]
 
 
-def in_event_order(stream: DataFrame, machine: Machine, key: str, at: str, ident: str, delay: str) -> DataFrame:
-    """``key, at, id`` and what the machine gives, of a stream; rows of deadlines have no id."""
+def in_event_order(stream: DataFrame, machine: Machine, key: str, at: str, ident: str, delay: str, shards: int = 1) -> DataFrame:
+    """``key, at, id`` and what the machine gives, of a stream; rows of deadlines have no id.
+
+    With several ``shards`` the rows of a key are dealt to as many states by their id, each with
+    a machine of its own: for machines whose outputs a later aggregate brings together.
+    """
     names = names_of(machine.takes)
     kind = dict(stream.dtypes)[key]
     rows = stream.withWatermark(at, delay).select(key, at, F.unix_micros(at).alias("us"), F.col(ident).cast("long").alias("id"), *names)
-    out = rows.groupBy(key).transformWithStateInPandas(
-        InOrder(machine, key, at), f"{key} {kind}, {OUT}, {machine.gives}", "append", "eventTime",
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    out = rows.groupBy(key, "shard").transformWithState(
+        InOrder(machine, [key, "shard"]), f"{key} {kind}, shard int, {OUT}, {machine.gives}", "append", "eventTime",
     )
-    return out.withColumn("at", F.timestamp_micros("at_us")).drop("at_us")
+    return out.withColumn("at", F.timestamp_micros("at_us")).drop("at_us", "shard")
 
 
 @contextmanager
@@ -242,6 +260,10 @@ class LatestMachine(Machine):
         return row, [row]
 
 
-def latest_payloads(events: DataFrame, key: str, payload: str, delay: str, at: str = "at", tie: str = "event_id") -> DataFrame:
-    """A stream of each type's newest payload; a row whenever a micro-batch brings a newer one."""
-    return in_event_order(events.withColumnRenamed(payload, "payload"), LatestMachine(), key, at, tie, delay).withColumnRenamed("id", tie)
+def latest_payloads(events: DataFrame, key: str, payload: str, delay: str, at: str = "at", tie: str = "event_id", shards: int = 128) -> DataFrame:
+    """A stream of each type's newest payloads: whenever a micro-batch brings a newer one of a shard, a row.
+
+    Types are few and their rows many, so a type has ``shards`` states and the greatest of its rows
+    by (time, id) is its newest; one shard gives only rows that are newer than all before.
+    """
+    return in_event_order(events.withColumnRenamed(payload, "payload"), LatestMachine(), key, at, tie, delay, shards).withColumnRenamed("id", tie)

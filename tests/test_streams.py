@@ -99,3 +99,39 @@ def test_windows_take_plain_arguments_only():
         windows.micros("a while")
     with pytest.raises(ValueError):
         windows.window_of("round", "at", "1 hour")
+
+
+def test_rows_that_wait_are_only_appended():
+    class Store:
+        """List and value state, timers and the watermark of one key; ``calls`` counts what the store is asked."""
+
+        def __init__(self):
+            self.rows, self.value, self.timers, self.mark, self.calls = [], None, set(), 0, []
+
+        getListState = getValueState = lambda self, *a: self
+        getCurrentWatermarkInMs = lambda self: self.mark
+        appendList = lambda self, new: (self.calls.append("append"), self.rows.extend(new))
+        put = lambda self, new: self.rows.__init__(new)
+        clear = lambda self: self.rows.clear()
+        update = lambda self, value: setattr(self, "value", value)
+        registerTimer = lambda self, at: self.timers.add(at)
+        deleteTimer = lambda self, at: self.timers.remove(at)
+
+    store = Store()
+    store.get = lambda: store.calls.append("get") or (store.value if store.calls[-2:-1] != ["get"] else list(store.rows))
+    own = keyed.InOrder(keyed.LatestMachine(), ["k"])
+    own.init(store)
+    rows = lambda *at: [dict(us=a, id=a, payload=str(a)) for a in at]
+    assert list(own.handleInputRows(("a",), rows(5000, 3000), store)) == [] and store.calls == ["get", "append"] and store.timers == {4}
+    store.calls.clear()
+    store.mark = 4
+    assert [r.payload for r in own.handleInputRows(("a",), rows(4000, 9000), store)] == ["4000"]
+    assert sorted(r[0] for r in store.rows) == [5000, 9000] and store.timers == {6}
+
+
+def test_latest_payloads_of_a_type_are_dealt_to_shards(spark):
+    frame = spark.createDataFrame([(i, at(i), "a", str(i)) for i in range(64)] + [(99, at(5000), "b", "end")], "event_id long, at timestamp, event_type string, props string")
+    with keyed.keyed_state(spark):
+        out = ev.run_arrivals(spark, [frame], lambda s: keyed.latest_payloads(s, "event_type", "props", "1 hour", shards=4), "latest")
+    got = out.collect()
+    assert len(got) == 4 and max(got, key=lambda r: r["at"]).payload == "63"
