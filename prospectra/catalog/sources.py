@@ -169,10 +169,14 @@ def search_list_file(spark, sf):
     FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL
 """)
 def rows_from_payload(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", F.to_json(F.array(F.struct(
+    items = table(spark, sf, "lineitem")
+    count = items.count()  # from the files' footers
+    lines = items.select("l_orderkey", F.to_json(F.array(F.struct(
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", F.col("l_quantity").cast("long").alias("quantity")))).alias("payload"))
     orders = table(spark, sf, "orders").select("o_orderkey")
     rows = tables.rows_from_json(lines, "payload", "o_orderkey:bigint,l_linenumber:int,quantity:bigint")
+    # Sort, join and groups of a task take memory by its rows, so tasks grow in number instead.
+    rows, orders = tables.dealt(rows, count, "o_orderkey"), tables.dealt(orders, count, "o_orderkey")
     return rows.join(orders, "o_orderkey").groupBy("o_orderkey", "l_linenumber", "quantity").agg(F.count(F.lit(1)).alias("n"))
 
 

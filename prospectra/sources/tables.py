@@ -73,6 +73,11 @@ def split_valid(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, Da
     return judged.filter(F.size("broken_checks") == 0).drop("broken_checks"), judged.filter(F.size("broken_checks") > 0)
 
 
+def dealt(df: DataFrame, rows: int, *keys: str, most: int = 500_000) -> DataFrame:
+    """Dealt by keys to so many tasks that one gets about ``most`` of ``rows`` rows, however many they are."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // most)), *keys)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows spread over all cores when the scan has fewer splits than there are cores.
 

@@ -172,3 +172,10 @@ def test_stream_decides_as_the_whole_log(spark):
     newest = spark.read.parquet(source).agg(F.max("checked_at").alias("m")).scalar()
     cols = ["fleet", "verdict", "streak", "since_restart", "since_refresh", "decision"]
     assert sorted(after.filter(F.col("batch") == last).select(*cols).collect()) == sorted(decide(ticks, "fleet", newest, F.lit(3)).select(*cols).collect())
+
+
+def test_rows_are_dealt_to_tasks_of_bounded_size(spark):
+    from prospectra.sources.tables import dealt
+    rows = spark.range(100).withColumnRenamed("id", "k")
+    assert dealt(rows, 100, "k", most=10).rdd.getNumPartitions() == 10
+    assert dealt(rows, 101, "k", most=10).rdd.getNumPartitions() == 11 and dealt(rows, 100, "k").count() == 100
