@@ -7,8 +7,10 @@ nothing. A pattern that stands several times in a set is found under each of its
 from __future__ import annotations
 
 import functools
+from array import array
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
@@ -42,9 +44,10 @@ def pattern_hits(text: Column, patterns: Column) -> Column:
     """
     @F.arrow_udf(HITS)
     def found(texts: pa.Array, sets: pa.Array) -> pa.Array:
-        sizes, ks, starts, lefts, rights = [0], [], [], [], []
+        sizes, ks, starts, lefts, rights = array("i", [0]), array("i"), array("i"), bytearray(), bytearray()
         last, search = None, None
-        for text, own in zip(texts.to_pylist(), sets.to_pylist()):
+        for text, own in zip(texts, sets):  # a row at a time: the texts of a batch are never all objects of Python
+            text, own = text.as_py(), own.as_py()
             if own != last:
                 last, search = own, automaton(tuple(own)) if own else None
             if text and search is not None:
@@ -57,8 +60,10 @@ def pattern_hits(text: Column, patterns: Column) -> Column:
                         lefts.append(left)
                         rights.append(right)
             sizes.append(len(ks))
-        flat = pa.StructArray.from_arrays([pa.array(ks, pa.int32()), pa.array(starts, pa.int32()), pa.array(lefts, pa.bool_()), pa.array(rights, pa.bool_())], fields=list(_HIT))
-        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat)
+        number = lambda a: pa.array(np.frombuffer(a, np.int32))
+        flag = lambda a: pa.array(np.frombuffer(a, np.bool_))
+        flat = pa.StructArray.from_arrays([number(ks), number(starts), flag(lefts), flag(rights)], fields=list(_HIT))
+        return pa.ListArray.from_arrays(number(sizes), flat)
 
     return found(text, patterns)
 
@@ -68,7 +73,8 @@ def found_patterns(text: Column, patterns: Column) -> Column:
     @F.arrow_udf("array<string>")
     def found(texts: pa.Array, sets: pa.Array) -> pa.Array:
         out, last, search = [], None, None
-        for text, own in zip(texts.to_pylist(), sets.to_pylist()):
+        for text, own in zip(texts, sets):
+            text, own = text.as_py(), own.as_py()
             if own != last:
                 last, search = own, automaton(tuple(own)) if own else None
             hit = {numbers[0] for _, (_, numbers) in search.iter(text)} if text and search is not None else ()
