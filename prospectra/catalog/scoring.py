@@ -422,7 +422,8 @@ def _duplicate_input(spark, sf):
     QUALIFY COUNT(*) OVER (PARTITION BY name_city_state_key) > 1
 """)
 def duplicate_members(spark, sf):
-    rows = _duplicate_input(spark, sf)
-    flags = qc.duplicate_candidates(rows)
+    # Keys and flags are written once: the texts are read for neither the queue nor its members again.
+    rows = tables.written(_duplicate_input(spark, sf), new_path(spark, "name-keys"))
+    flags = tables.written(qc.duplicate_candidates(rows), new_path(spark, "duplicate-flags"))
     queue = qc.open_reviews(flags, flags)
     return qc.duplicate_members(rows, queue).select("id", "name_city_state_key")
