@@ -8,8 +8,10 @@ import itertools
 import os
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -229,6 +231,32 @@ def test_repeats_are_removed(spark):
     assert exact_substrings.remove_repeats(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_names_of_long_texts_take_little_memory():
+    """A group's texts reach over many stretches; naming a sample takes the memory of the sample, not of every byte."""
+    pick = random.Random(5)
+    part = pick.randbytes(700)
+    texts = [pick.randbytes(900_000), pick.randbytes(300_000) + part + pick.randbytes(90_000) + part, b"", b"short", pick.randbytes(50_000) + part[100:450]]
+    tracemalloc.start()
+    try:
+        group = exact_substrings.Group(texts, exact_substrings.LENGTH, 3)
+        samples = group.samples()[-1]
+        assert tracemalloc.get_traced_memory()[1] < 20 * sum(map(len, texts))
+    finally:
+        tracemalloc.stop()
+    none = pa.table({"bucket": pa.array([], pa.int64()), "bits": pa.array([], pa.binary())})
+    assert samples.repeated(none).any()
+    found = group.kept(none, none)
+    assert [found[t][:2] for t in texts] == [(0, 0), (1400, 2), (0, 0), (0, 0), (350, 1)]
+    assert found[texts[1]][2] == texts[1][:300_000] + texts[1][300_700:390_700]
+
+
+def test_repeats_of_bytes_that_are_no_text(spark):
+    broken = bytes(range(128, 256)) * 3
+    docs = spark.createDataFrame([(1, broken), (2, b"x" + broken[:-50]), (3, b"y" * 150)], "doc_id long, raw binary").selectExpr("doc_id", "CAST(raw AS STRING) AS text")
+    got = by_id(exact_substrings.remove_repeats(docs))
+    assert [(got[i].n_bytes, got[i].n_removed, got[i].n_spans) for i in (1, 2, 3)] == [(384, 384, 1), (335, 334, 1), (150, 0, 0)]
+
+
 def test_the_cover_holds_every_difference():
     v = exact_substrings.COVER_MODULO
     assert {(a - b) % v for a in exact_substrings.COVER for b in exact_substrings.COVER} == set(range(v))
