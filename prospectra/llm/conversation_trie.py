@@ -7,10 +7,11 @@ of all its conversations it descends depth first: a set ANDed with the postings
 position gives the children, their bits the members, and those whose turns are used up the
 conversations that end there.
 
-Shards then meet by node: members are added, the smallest member is the node's name. A node
-is owned by the shard of its smallest member; owners' values, summed over each shard's
-subtrees and then over shards, give sums over whole subtrees, however deep. Ids that end
-at a node come in ascending ranges, so their digest is streamed.
+Shards then meet by node, in the order of their ids: members are added, the smallest member is
+the node's name, and the ids that end there are digested, in one stream. A node is owned by the
+shard of its smallest member; owners' values, summed over each shard's subtrees and then over
+shards, give sums over whole subtrees, however deep. A node's parent lies in its owner's shard too,
+so children are counted and parents named there.
 
 A node's key is the sum, modulo 2^128, of a 128-bit hash of every (position, turn) on its
 path. So a conversation of any length may lie in several shards and ranges: each piece
@@ -33,7 +34,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from prospectra.llm.common import cut, in_ranges, ranged
-from prospectra.operators.skew import salted_join
 
 #: Turns and conversations from which a shard is closed.
 SHARD_TURNS, SHARD_CONVERSATIONS = 20_000, 4096
@@ -41,9 +41,18 @@ ORDER = ["_conv", "_kind", "_turn", "_digest", "_row"]
 WHOLE = 1 << 128
 EMPTY = hashlib.sha256(b"").hexdigest()
 PARTIALS = (
-    "_part int, _shard int, _pre int, _size int, name binary, depth long, parent binary, n long, conv long, words long, "
+    "_part int, _shard int, _pre int, _over int, _size int, name binary, depth long, n long, conv long, words long, "
     "ends binary, _in long, _out long"
 )
+#: Of all rows; what follows ``_out`` counts at the owner's row, and the last three are NULL elsewhere.
+OWNED = (
+    "_part int, _shard int, _pre int, _over int, _size int, name binary, _counts boolean, conv_id long, _in long, _out long, "
+    "n_leaves long, saved_tokens long, depth long, n_convs long, ends_sha256 string"
+)
+NODES = (
+    "name binary, conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, "
+    "ends_sha256 string"
+)
 
 
 def listed(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -83,10 +92,8 @@ def branched(rows: DataFrame, step: int = 20, most: int = 4) -> DataFrame:
         "_conv", F.lit(0).alias("_kind"), F.struct(F.lit(True).alias("known"), F.col("_at").cast("long").alias("turn")).alias("_turn"),
         "_digest", "_words", F.lit(0).cast("long").alias("_row"),
     )
-    here = F.struct("_turn", "_digest", "_row")
-    gone = first.join(convs.drop("_trunk"), "_conv").filter("_at <= _h").groupBy("_conv").agg(F.max(here).alias("_last"))
-    # A conversation with a large share of the rows is divided by Spark's skew join: the other side has one row of it.
-    own = rows.join(gone, "_conv", "left").filter(F.col("_last").isNull() | (here > F.col("_last"))).select(rows.columns)
+    gone = first.filter(F.col("_at") <= F.crc32(F.col("_conv").cast("string")) % most).select("_row")
+    own = rows.join(gone, "_row", "left_anti").select(rows.columns)
     return own.unionByName(heads).unionByName(_starts(convs.select("_conv")))
 
 
@@ -104,20 +111,19 @@ def _value(limbs) -> int:
 
 def _carries(rows: DataFrame) -> DataFrame:
     """Per range: the conversation that comes from the range before, its turns and key so far, and the one that goes on."""
-    pieces = rows.groupBy("_part", "_conv").agg(F.count("_digest").alias("n"))
-    piece = F.struct("_conv", "n")
-    edges = pieces.groupBy("_part").agg(F.min(piece).alias("_head"), F.max(piece).alias("_tail"))
-    # One row per range from here on.
-    so_far = Window.partitionBy("_tail._conv").orderBy("_part")
+    # One row per range, in these tables and windows, so one task has them all.
     by_part = Window.orderBy("_part")
-    edges = edges.withColumn("_sum", F.sum("_tail.n").over(so_far)).select(
-        "_part", "_head", "_tail", F.lag(F.struct("_tail._conv", "_sum")).over(by_part).alias("_before"), F.lead("_head._conv").over(by_part).alias("_after"),
+    ends = rows.groupBy("_part").agg(F.min("_conv").alias("_first"), F.max("_conv").alias("_last")).coalesce(1)
+    before, after = F.lag("_last").over(by_part), F.lead("_first").over(by_part)
+    cuts = cut(ends.select(
+        "_part", F.when(before == F.col("_first"), F.col("_first")).alias("_in"), F.when(after == F.col("_last"), F.col("_last")).alias("_out"),
+    ), "range-cuts")
+    counts = rows.join(F.broadcast(cuts.filter("_out IS NOT NULL")), "_part").filter("_conv = _out").groupBy("_part").agg(F.count("_digest").alias("_n")).coalesce(1)
+    so_far = F.sum("_n").over(Window.partitionBy("_out").orderBy("_part"))
+    edges = cuts.coalesce(1).join(F.broadcast(counts), "_part", "left").withColumn("_sum", so_far).select(
+        "_part", "_in", F.when(F.col("_in").isNotNull(), F.lag("_sum").over(by_part)).otherwise(0).cast("long").alias("_from"), "_out",
     )
-    comes = F.col("_before._conv") == F.col("_head._conv")
-    edges = cut(edges.select(
-        "_part", F.when(comes, F.col("_head._conv")).alias("_in"), F.when(comes, F.col("_before._sum")).otherwise(0).cast("long").alias("_from"),
-        F.when(F.col("_after") == F.col("_tail._conv"), F.col("_after")).alias("_out"),
-    ), "range-edges")
+    edges = cut(edges, "range-edges")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at, total = None, 0, 0
@@ -142,11 +148,11 @@ def _carries(rows: DataFrame) -> DataFrame:
     # At most one row per range.
     held = in_ranges(rows.join(F.broadcast(going), ["_part", "_conv"]), ORDER).select("_part", "_digest", "_begin")
     limbs = [f"l{k}" for k in range(4)]
-    done = held.mapInArrow(sums, "_part int, l0 long, l1 long, l2 long, l3 long")
-    known = going.join(done, "_part", "left").withColumns({c: F.sum(F.coalesce(c, F.lit(0))).over(Window.partitionBy("_conv").orderBy("_part")) for c in limbs})
+    done = held.mapInArrow(sums, "_part int, l0 long, l1 long, l2 long, l3 long").groupBy("_part").agg(*(F.sum(c).alias(c) for c in limbs)).coalesce(1)
+    on_path = Window.partitionBy("_out").orderBy("_part")
+    known = edges.coalesce(1).join(F.broadcast(done), "_part", "left").withColumns({c: F.sum(F.coalesce(c, F.lit(0))).over(on_path) for c in limbs})
     key = F.lag(F.struct(*limbs)).over(by_part)  # the range before is where the conversation went on from
-    both = edges.join(known.select("_part", *limbs), "_part", "left")
-    return cut(both.withColumn("_key", F.when(F.col("_in").isNotNull(), key)).select("_part", "_in", "_from", "_out", "_key"), "range-carries")
+    return cut(known.withColumn("_key", F.when(F.col("_in").isNotNull(), key)).select("_part", "_in", "_from", "_out", "_key"), "range-carries")
 
 
 class Shard:
@@ -199,14 +205,13 @@ class Shard:
         skip = [self.top[0] if self.top and i == 0 else 0 for i in range(len(convs))]
         every = (1 << len(convs)) - 1
         rows: list[list] = []
-        above: list[int] = []
-        # bits, depth, key, key above, words, row above, whether the node's members count here
-        stack = [(every & ~1 if self.top else every, 0, 0, None, 0, -1, True)]
+        # bits, depth, key, words, row above, whether the node's members count here
+        stack = [(every & ~1 if self.top else every, 0, 0, 0, -1, True)]
         if self.top:
-            stack.append((1, self.top[0], self.top[1], None, 0, -1, False))
+            stack.append((1, self.top[0], self.top[1], 0, -1, False))
         comes = convs[0] if self.top else None
         while stack:
-            bits, depth, key, parent, words, over, counts = stack.pop()
+            bits, depth, key, words, over, counts = stack.pop()
             if not bits:
                 continue
             at = len(rows)
@@ -224,25 +229,30 @@ class Shard:
                 k = turns[i][depth - skip[i]]
                 child = bits & postings[k]
                 left &= ~child
-                children.append((child, depth + 1, (key + self.hashes[k]) % WHOLE, key, self.words[k], at, True))
+                children.append((child, depth + 1, (key + self.hashes[k]) % WHOLE, self.words[k], at, True))
             first = convs[(bits & -bits).bit_length() - 1]
-            rows.append([part, number, at, 1, key, depth, parent, bits.bit_count() if counts else 0, first if counts else None, words,
+            rows.append([part, number, at, over, 1, key, depth, bits.bit_count() if counts else 0, first if counts else None, words,
                          ",".join(map(str, done)).encode() if done else None, comes if bits & 1 else None, goes])
-            above.append(over)
             stack += reversed(children)
         for at in range(len(rows) - 1, -1, -1):
-            if above[at] >= 0:
-                rows[above[at]][3] += rows[at][3]
+            if rows[at][3] >= 0:
+                rows[rows[at][3]][4] += rows[at][4]
         return rows
 
 
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string(), "boolean": pa.bool_()}
+
+
+def _batch(rows: list, schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(x.split() for x in schema.split(", ")))
+    columns = zip(*rows) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[t]) for c, t in zip(columns, kinds)], list(names))
+
+
 def _partials(rows: list[list]) -> pa.RecordBatch:
-    name = lambda v: None if v is None else v.to_bytes(16, "little")
     for r in rows:
-        r[4], r[6] = name(r[4]), name(r[6])
-    kinds = [pa.int32()] * 4 + [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-    names = [x.split()[0] for x in PARTIALS.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+        r[5] = r[5].to_bytes(16, "little")
+    return _batch(rows, PARTIALS)
 
 
 def _descend(turns: int, convs: int):
@@ -284,33 +294,50 @@ def _descend(turns: int, convs: int):
     return run
 
 
-def _subtrees(rows: pa.Table) -> pa.Table:
-    """Sums of a shard's own values over the subtree of each of its nodes."""
-    rows = rows.sort_by("_pre")
-    size = rows.column("_size").to_numpy()
-    at = np.arange(len(size))
-    out = {"name": rows.column("name")}
-    for c in ("n_leaves", "saved_tokens"):
-        total = np.r_[0, np.cumsum(rows.column(c).to_numpy())]
-        out[c] = pa.array(total[at + size] - total[at])
-    return pa.table(out)
+def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``OWNED`` from those of ``PARTIALS`` sorted by name and shard; a name's first row with members is its owner's."""
+    name, owner, members, inner, words, state = None, None, 0, False, 0, None
 
+    def closed() -> tuple:
+        return (*owner[:-1], int(not inner), (members - 1) * words, owner[-1], members, state.hexdigest() if state else EMPTY)
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``name, ends_sha256`` of sorted pieces of id lists."""
-    name, state = None, None
     for batch in batches:
         out = []
-        for n, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for part, shard, pre, over, size, n, depth, count, conv, w, ends, comes, goes in zip(*(c.to_pylist() for c in batch.columns)):
             if n != name:
-                out += [(name, state.hexdigest())] if state else []
-                name, state = n, hashlib.sha256()
+                out += [closed()] if owner else []
+                name, owner, members, inner, state = n, None, 0, False, None
+            members += count
+            inner |= size > 1
+            if ends is not None:
+                if state:
+                    state.update(b",")
+                else:
+                    state = hashlib.sha256()
+                state.update(ends)
+            if owner is None and conv is not None:
+                owner, words = (part, shard, pre, over, size, n, True, conv, comes, goes, depth), w
             else:
-                state.update(b",")
-            state.update(ids.as_buffer())
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.string())], ["name", "ends_sha256"])
-    if state:
-        yield pa.RecordBatch.from_arrays([pa.array([name], pa.binary()), pa.array([state.hexdigest()])], ["name", "ends_sha256"])
+                out.append((part, shard, pre, over, size, n, conv is not None, owner and owner[7], comes, goes, 0, 0, None, None, None))
+        yield _batch(out, OWNED)
+    if owner:
+        yield _batch([closed()], OWNED)
+
+
+def _subtrees(rows: pa.Table) -> pa.Table:
+    """Sums of a shard's own values over the subtree of each of its nodes; the children it owns, and their parents."""
+    rows = rows.sort_by("_pre")
+    over, size = (rows.column(c).to_numpy() for c in ("_over", "_size"))
+    at = np.arange(len(size))
+    out = {c: rows.column(c) for c in ("name", "conv_id", "depth", "n_convs", "ends_sha256")}
+    below = rows.column("depth").is_valid().to_numpy() & (over >= 0)
+    out["n_children"] = pa.array(np.bincount(over[below], minlength=len(at)).astype(np.int64))
+    out["parent_conv_id"] = rows.column("conv_id").take(pa.array(np.maximum(over, 0), mask=~below))
+    for c in ("n_leaves", "saved_tokens"):
+        total = np.r_[0, np.cumsum(rows.column(c).to_numpy())]
+        # What later pieces of a conversation hold counts at the node where this piece stops, so not at the row where a later one starts.
+        out[c] = pa.array(np.where(rows.column("_counts").to_numpy(), total[at + size] - total[at], 0))
+    return pa.table({c: out[c] for c in (x.split()[0] for x in NODES.split(", "))})
 
 
 def trie(rows: DataFrame, shard_turns: int = SHARD_TURNS, shard_conversations: int = SHARD_CONVERSATIONS) -> DataFrame:
@@ -322,36 +349,19 @@ def trie(rows: DataFrame, shard_turns: int = SHARD_TURNS, shard_conversations: i
     columns = ["_part", "_conv", "_digest", "_words", "_in", "_from", "_key", "_out"]
     partials = cut(placed.select(columns).mapInArrow(_descend(shard_turns, shard_conversations), PARTIALS), "trie-partials")
 
-    found = partials.groupBy("name").agg(
-        F.max("depth").alias("depth"), F.max("parent").alias("parent"), F.sum("n").alias("n_convs"), F.min("conv").alias("conv_id"), F.max("words").alias("words"),
-    )
-    children = found.filter("depth > 0").groupBy("parent").agg(F.count("*").alias("n_children"))
-    nodes = cut(found.join(children.withColumnRenamed("parent", "name"), "name", "left").fillna(0, ["n_children"]), "trie-nodes")
-
-    own = partials.select("_part", "_shard", "_pre", "_size", "name", "conv", "_in", "_out").join(nodes.select("name", "conv_id", "n_convs", "n_children", "words"), "name")
-    owner = F.col("conv") == F.col("conv_id")
-    value = lambda v: F.coalesce(F.when(owner, v), F.lit(0)).cast("long")
-    own = cut(own.select(
-        "_part", "_shard", "_pre", "_size", F.when(F.col("conv").isNotNull(), F.col("name")).alias("name"), "_in", "_out",
-        value((F.col("n_children") == 0).cast("long")).alias("n_leaves"), value((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens"),
-    ), "trie-owned")
-    # What later pieces of a conversation hold counts at the node where this piece stops, so not at the nameless row where a later one starts.
+    # As many rows of a node as there are shards, at most.
+    by_node = partials.repartition("name").sortWithinPartitions("name", "_part", "_shard", "_pre")
+    own = cut(by_node.mapInArrow(_owned, OWNED), "trie-owned")
     sums = ["n_leaves", "saved_tokens"]
     later = own.filter("_in IS NOT NULL").groupBy(F.col("_in").alias("_c"), "_part", "_shard").agg(*(F.sum(c).alias(c) for c in sums), F.lit(1).alias("_held"))
     asks = own.filter("_out IS NOT NULL").select(F.col("_out").alias("_c"), "_part", "_shard", *(F.lit(0).cast("long").alias(c) for c in sums), F.lit(0).alias("_held"))
     after = Window.partitionBy("_c").orderBy(F.desc("_part"), F.desc("_shard"), "_held").rowsBetween(Window.unboundedPreceding, -1)
     extra = later.unionByName(asks).withColumns({f"_{c}": F.coalesce(F.sum(c).over(after), F.lit(0)) for c in sums}).filter("_held = 0")
-    extra = extra.select("_part", "_shard", F.col("_c").alias("_out"), *(f"_{c}" for c in sums))
-    own = own.join(extra, ["_part", "_shard", "_out"], "left").withColumns({c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in sums})
-    below = own.select("_part", "_shard", "_pre", "_size", "name", *sums).groupBy("_part", "_shard").applyInArrow(_subtrees, "name binary, n_leaves long, saved_tokens long")
-    below = below.filter("name IS NOT NULL").groupBy("name").agg(*(F.sum(c).alias(c) for c in sums))
-
-    ends = partials.filter("ends IS NOT NULL").select("name", "ends", "_part", "_shard").repartition("name").sortWithinPartitions("name", "_part", "_shard")
-    ends = ends.select("name", "ends").mapInArrow(_digests, "name binary, ends_sha256 string")
-    whole = nodes.join(below, "name").join(ends, "name", "left").fillna(EMPTY, ["ends_sha256"])
-    # A parent may have any number of children: the commonest are spread.
-    over = nodes.select(F.col("name").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
-    whole = salted_join(whole, over, ["parent"], counts=children.withColumnRenamed("n_children", "count"))
+    extra = extra.select("_part", "_shard", *(f"_{c}" for c in sums))  # one row of a shard at most, as one conversation goes on
+    own = own.join(extra, ["_part", "_shard"], "left").withColumns({c: F.col(c) + F.when(F.col("_out").isNotNull(), F.coalesce(f"_{c}", F.lit(0))).otherwise(0) for c in sums})
+    below = own.drop("_in", "_out", *(f"_{c}" for c in sums)).groupBy("_part", "_shard").applyInArrow(_subtrees, NODES)
+    once = ["conv_id", "depth", "parent_conv_id", "n_convs", "ends_sha256"]
+    whole = below.groupBy("name").agg(*(F.max(c).alias(c) for c in once), *(F.sum(c).alias(c) for c in ["n_children", *sums]))
     return whole.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 

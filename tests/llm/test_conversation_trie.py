@@ -95,6 +95,27 @@ def test_one_conversation_with_most_turns_and_a_hot_first_turn(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_tasks_of_a_table_with_many_partitions(spark):
+    """Every shuffle that is not needed costs a task per partition."""
+    context = spark.sparkContext
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        rows = [(21, t, "user", f"word {t // 2}") for t in range(300)] + [(c, t, "user", f"{c % 7} {t}") for c in range(200) for t in range(3)]
+        df = frame(spark, rows)
+        context.setJobGroup("trie", "trie")
+        got = nodes(conversation_trie.trie(conversation_trie.branched(conversation_trie.listed(df)), 100, 16))
+        tracker = context.statusTracker()
+        stages = {k for job in tracker.getJobIdsForGroup("trie") for k in tracker.getJobInfo(job).stageIds}
+        done = sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == brute(rows)
+    assert 0 < done < 350  # 472 with an aggregate and joins for each figure of a node
+
+
 def test_no_conversations(spark):
     for rows in ([], [(None, 1, "user", "a")]):
         df = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
