@@ -101,7 +101,7 @@ def _packed(data: np.ndarray, ends: np.ndarray) -> pa.Array | pa.ChunkedArray:
 def _unpacked(values: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of binary values one after the other, and the size of each."""
     parts, sizes = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
-    for chunk in values.chunks:
+    for chunk in values.cast(pa.binary()).chunks:
         if len(chunk):
             ends = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset:chunk.offset + len(chunk) + 1].astype(np.int64)
             sizes.append(np.diff(ends))
