@@ -27,11 +27,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark; ``n_chars`` follows a changed text."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), secret_scan.secret_spans(F.col("text")).alias("_spans"))
-    found = F.size("_spans") > 0
-    text = F.when(found, secret_scan.redact(F.col("_row.text"), F.col("_spans"))).otherwise(F.col("_row.text"))
-    rows = rows.select("_row", found.alias("_found"), text.alias("_text"))
-    changed = {"text": F.col("_text"), "n_chars": F.when(F.col("_found"), F.length("_text").cast("long")).otherwise(F.col("_row.n_chars"))}
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), secret_scan.without_secrets(F.col("text")).alias("_text"))
+    n_chars = F.when(F.col("_text").isNotNull(), F.length("_text").cast("long")).otherwise(F.col("_row.n_chars"))
+    changed = {"text": F.coalesce("_text", "_row.text"), "n_chars": n_chars}
     return rows.select(*[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
