@@ -1,10 +1,13 @@
 """Phrase collocations from sorted count streams.
 
-Counts: texts are scanned three times, for words, pairs and longer phrases, each time as
-numpy arrays of word numbers with breaks between pieces. A phrase can only be frequent if its
-words are, and its pairs, so a scan leaves out what the one before ruled out. It asks a bit
-map of fixed size for that: a wrong yes costs a row that is cut later, a wrong no can't
-happen, and counts of frequent phrases are exact.
+Counts: texts are scanned three times, for words, for hashes of pairs and for phrases, each
+time as numpy arrays of word numbers with breaks between pieces. A phrase can only be
+frequent if its words are, and its pairs, so a scan leaves out what the one before ruled out.
+It asks a bit map of fixed size for that: a wrong yes costs a row that is cut later, a wrong
+no can't happen, and counts of frequent phrases are exact. Most pairs are rare, so the second
+scan sends no words: a pair is a cell, its count is added to the cell's, and a task packs the
+cells of each part into one row. Parts grow in number with the text, so that one stays small
+and cells stay nearly empty; the last scan counts the pairs of the cells that reach the limit.
 
 Scores: the counts of all frequent phrases lie in two streams, one in prefix order (by
 words) and one in suffix order (by words from the last). A stream is read in lockstep with
@@ -43,6 +46,9 @@ TOP = 2000
 FLUSH = 3_000_000
 #: Size of a bit map.
 BITS = 1 << 27
+#: Words of text for each part of the pairs' cells, and the bits that number a cell within its part.
+PART_WORDS = 2_000_000
+CELL_BITS = 24
 TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
 EDGE = re.compile(rb"[ \t.,;:!?\n-\r]")
 BREAKS = [bytes([c]) for c in b".,;:!?\n\x0b\x0c\r"]
@@ -113,6 +119,12 @@ def _probes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes % np.uint64(BITS), (hashes >> np.uint64(32)) % np.uint64(BITS)
 
 
+def cells_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The cells of pairs, a part's number above its own."""
+    count = np.uint64(parts)
+    return hashes % count << np.uint64(CELL_BITS) | hashes // count % np.uint64(1 << CELL_BITS)
+
+
 def may_hold(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     out = np.ones(len(hashes), bool)
     for place in _probes(hashes):
@@ -136,30 +148,32 @@ def _pairs(ids: np.ndarray, ok: np.ndarray) -> np.ndarray:
     return np.flatnonzero(allowed[:-1] & allowed[1:])
 
 
-def pairs(lang: str, words: list[bytes], ids: np.ndarray, known: int, bits: np.ndarray) -> Found:
-    ok = may_hold(bits, word_hashes(lang, words))
+def pairs(lang: str, words: list[bytes], ids: np.ndarray, known: int, bits: np.ndarray) -> np.ndarray:
+    """The hash of every new pair of allowed words."""
+    hashes = word_hashes(lang, words)
+    ok = may_hold(bits, hashes)
     ok[0] = False
     at = _pairs(ids, ok)
     at = at[at + 1 >= known]
-    places, count, _ = _distinct(ids[at] * len(words) + ids[at + 1], at)
-    return [(2, places, count)]
+    return pair_hashes(hashes[ids[at]], hashes[ids[at + 1]])
 
 
-def phrases(longest: int) -> Callable:
+def phrases(longest: int, parts: int) -> Callable:
     def longer(lang: str, words: list[bytes], ids: np.ndarray, known: int, bits: np.ndarray) -> Found:
         whole = np.ones(len(words), bool)
         whole[0] = False
         hashes = word_hashes(lang, words)
         at = _pairs(ids, whole)
-        at = at[may_hold(bits, pair_hashes(hashes[ids[at]], hashes[ids[at + 1]]))]
+        at = at[may_hold(bits, mix(cells_of(pair_hashes(hashes[ids[at]], hashes[ids[at + 1]]), parts)))]
         starts = np.zeros(len(ids) + longest, bool)
         starts[at] = True
         number = np.zeros(len(ids) + longest, np.int64)
         number[at] = _distinct(ids[at] * len(words) + ids[at + 1], at)[2]
         out = []
-        for k in range(3, longest + 1):
-            at = at[starts[at + k - 2]]
-            _, _, number[at] = _distinct(number[at] * len(words) + ids[at + k - 1], at) if len(at) else (None, None, 0)
+        for k in range(2, longest + 1):
+            if k > 2:
+                at = at[starts[at + k - 2]]
+                _, _, number[at] = _distinct(number[at] * len(words) + ids[at + k - 1], at) if len(at) else (None, None, 0)
             new = at[at + k > known]  # places whose last word is new
             places, count, _ = _distinct(number[new], new)
             out.append((k, places, count))
@@ -168,25 +182,42 @@ def phrases(longest: int) -> Callable:
     return longer
 
 
-def _rows(lang: str, words: pa.Array, ids: np.ndarray, found: Found) -> Iterator[pa.RecordBatch]:
-    for length, places, count in found:
-        if len(places):
-            flat = ids[places[:, None] + np.arange(length)].ravel()
-            lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, length, np.int32), words.take(pa.array(flat)))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(places)), pc.binary_join(lists, TAB), pa.array(count.astype(np.int64))], ["lang", "phrase", "n"])
+def _rows(found: Iterator[tuple[str, list[bytes], np.ndarray, Found]]) -> Iterator[pa.RecordBatch]:
+    for lang, words, ids, phrases in found:
+        words = pa.array(words, pa.binary()).cast(pa.string())
+        for length, places, count in phrases:
+            if len(places):
+                flat = ids[places[:, None] + np.arange(length)].ravel()
+                lists = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, length, np.int32), words.take(pa.array(flat)))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(places)), pc.binary_join(lists, TAB), pa.array(count.astype(np.int64))], ["lang", "phrase", "n"])
 
 
-def counted(texts: DataFrame, find: Callable, tail: int, bits=None, flush: int = FLUSH) -> DataFrame:
-    """``lang, phrase, n`` of the phrases that ``find`` finds, words joined by tabs; ``tail`` words are shared by flushes."""
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers byte by byte, lowest bytes first: the upper ones are nearly all 0, which Spark's shuffle compresses."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def packed(cells: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending cells of a part, as steps, and their counts."""
+    return _planes(np.diff(cells, prepend=cells.dtype.type(0))) + _planes(counts)
+
+
+def unpacked(packet: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    steps, counts = (x.T.copy().view("<u4").ravel().astype(np.int64) for x in np.frombuffer(packet, np.uint8).reshape(2, 4, -1))
+    return np.cumsum(steps), counts
+
+
+def scanned(texts: DataFrame, find: Callable, hand: Callable, schema: str, tail: int, bits, flush: int) -> DataFrame:
+    """The rows that ``hand`` makes of what ``find`` finds in the words of each flush; ``tail`` words are shared by flushes."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs: dict[str, Run] = {}
         held = 0
         allowed = bits.value if bits else None
 
-        def hand_on() -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple]:
             for lang, run in runs.items():
                 ids, rest = run.close(tail)
-                yield from _rows(lang, pa.array(run.words.list, pa.binary()).cast(pa.string()), ids, find(lang, run.words.list, ids, run.known, allowed))
+                yield lang, run.words.list, ids, find(lang, run.words.list, ids, run.known, allowed)
                 runs[lang] = rest
 
         for batch in batches:
@@ -195,25 +226,58 @@ def counted(texts: DataFrame, find: Callable, tail: int, bits=None, flush: int =
                 for part in slices(text.as_buffer().to_pybytes() if text.is_valid else b""):
                     held += run.add(part)
                     if held >= flush:
-                        yield from hand_on()
+                        yield from hand(found())
                         run, held = runs[lang], 0
                 held += run.add(b"\n")
-        yield from hand_on()
+        yield from hand(found())
+
+    return texts.mapInArrow(scan, schema)
+
+
+def counted(texts: DataFrame, find: Callable, tail: int, bits=None, flush: int = FLUSH) -> DataFrame:
+    """``lang, phrase, n`` of the phrases that ``find`` finds, words joined by tabs."""
+    return scanned(texts, find, _rows, "lang string, phrase string, n long", tail, bits, flush).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def pair_packets(texts: DataFrame, bits, parts: int, flush: int = FLUSH) -> DataFrame:
+    """``part, packet``: the cells of the pairs of allowed words, a row per flush and part."""
+    def packets(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        hashes = np.concatenate([np.zeros(0, np.uint64), *(f[3] for f in found)])
+        cells, counts = np.unique(cells_of(hashes, parts), return_counts=True)
+        part = (cells >> np.uint64(CELL_BITS)).astype(np.int32)
+        edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1)).tolist() if len(part) else []
+        cells &= np.uint64((1 << CELL_BITS) - 1)
+        rows = [packed(cells[a:b], counts[a:b]) for a, b in zip(edges, edges[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(part[edges[:-1]], pa.int32()), pa.array(rows, pa.binary())], ["part", "packet"])
+
+    return scanned(texts, pairs, packets, "part int, packet binary", 1, bits, flush)
+
+
+def frequent_cells(packets: DataFrame, least: int) -> DataFrame:
+    """``cell`` of those whose pairs occur ``least`` times together."""
+    def summed(keys: tuple, rows: pa.Table) -> pa.Table:
+        cells, counts = zip(*(unpacked(p.as_buffer()) for p in rows.column("packet")))
+        cells, which = np.unique(np.concatenate(cells), return_inverse=True)
+        often = cells[np.bincount(which, np.concatenate(counts)) >= least]
+        return pa.table({"cell": pa.array((keys[0].as_py() << CELL_BITS) + often, pa.int64())})
 
-    return texts.mapInArrow(scan, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return packets.groupBy("part").applyInArrow(summed, "cell long")
 
 
 def bit_map(frequent: DataFrame, words: int):
-    """A broadcast bit map of phrases of one or two words; its size is fixed, so it bounds what the driver gets."""
+    """A broadcast bit map of words, or of pairs' cells; its size is fixed, so it bounds what the driver gets."""
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [word_hashes(lang, p.encode().split(b"\t")) for lang, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            each = np.array(hashes, np.uint64).reshape(len(hashes), words)
-            for place in _probes(each[:, 0] if words == 1 else pair_hashes(each[:, 0], each[:, 1])):
+            if words == 1:
+                hashes = [word_hashes(lang, [p.encode()]) for lang, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+                hashes = np.concatenate([np.zeros(0, np.uint64), *hashes])
+            else:
+                hashes = mix(batch.column(0).to_numpy())
+            for place in _probes(hashes):
                 bit = (np.uint64(1) << (place & np.uint64(63))).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array((place >> np.uint64(6)).astype(np.int64)), pa.array(bit)], ["cell", "bits"])
 
-    cells = frequent.select("lang", "phrase").mapInArrow(marks, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
+    cells = frequent.select(*["lang", "phrase"] if words == 1 else ["cell"]).mapInArrow(marks, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(BITS // 64, np.uint64)
     out[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy().view(np.uint64)
     return frequent.sparkSession.sparkContext.broadcast(out)
@@ -226,10 +290,9 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST
     every = cut(counted(texts, single, 0, flush=flush), "words")
     streams = [every.groupBy("lang").agg(F.sum("n").alias("n")).select("lang", F.lit("").alias("phrase"), "n"), every.filter(often)]
     if longest > 1:
-        two = cut(counted(texts, pairs, 1, bit_map(streams[1], 1), flush).filter(often), "pairs")
-        streams.append(two)
-    if longest > 2:
-        streams.append(counted(texts, phrases(longest), longest - 1, bit_map(two, 2), flush).filter(often))
+        parts = -(-(every.agg(F.sum("n")).first()[0] or 0) // PART_WORDS) or 1
+        cells = frequent_cells(pair_packets(texts, bit_map(streams[1], 1), parts, flush), least)
+        streams.append(counted(texts, phrases(longest, parts), longest - 1, bit_map(cells, 2), flush).filter(often))
     out = streams[0]
     for more in streams[1:]:
         out = out.unionByName(more)

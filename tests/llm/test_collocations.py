@@ -88,6 +88,23 @@ def test_a_full_bit_map_changes_nothing(spark, monkeypatch):
     assert sorted(map(tuple, collocations.collocations(frame(spark, rows), 4, 5).collect())) == want
 
 
+def test_pairs_leave_a_scan_as_a_row_per_flush_and_part(spark, monkeypatch):
+    rows = corpus(7)
+    texts = frame(spark, rows, 3).select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+    full = spark.sparkContext.broadcast(~collocations.np.zeros(collocations.BITS // 64, "u8"))
+    packets = collocations.pair_packets(texts, full, 4)
+    assert 0 < packets.count() <= 3 * 4
+    kinds = collections.Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            kinds.update(("und" if lang is None else lang, *p) for p in zip(words, words[1:]))
+    for least in (1, 5, 20):
+        assert collocations.frequent_cells(packets, least).count() == sum(n >= least for n in kinds.values())
+    monkeypatch.setattr(collocations, "PART_WORDS", 40)
+    assert sorted(map(tuple, collocations.collocations(frame(spark, rows), 5, 9, flush=60).collect())) == brute(rows, 5, 9, 2000)
+
+
 def test_long_texts_are_cut_between_words():
     data = b"ab cd,ef " * 50 + b"x" * 100 + b" tail"
     for limit in (1, 5, 17, 120, 10_000):
